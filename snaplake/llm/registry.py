@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .simhash import op8_simhash_components
 from .toxicity import op1_toxicity_noisy_or
+from .windows import op4_superkmer_repeats
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity_noisy_or,)}
+    return {f.__name__: f for f in (op1_toxicity_noisy_or, op4_superkmer_repeats, op8_simhash_components)}
 
 
 def oracle_sql() -> dict[str, str]:
