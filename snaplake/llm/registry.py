@@ -6,13 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .lm import op5_backoff_automaton
+from .media import op2_media_chunks
+from .packing import op9_vector_best_fit
+from .pii import op10_pii_disclosure
 from .simhash import op8_simhash_components
 from .toxicity import op1_toxicity_noisy_or
 from .windows import op4_superkmer_repeats
 
+QUERIES = (
+    op1_toxicity_noisy_or,
+    op2_media_chunks,
+    op4_superkmer_repeats,
+    op5_backoff_automaton,
+    op8_simhash_components,
+    op9_vector_best_fit,
+    op10_pii_disclosure,
+)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity_noisy_or, op4_superkmer_repeats, op8_simhash_components)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
