@@ -12,6 +12,7 @@ from .packing import op9_vector_best_fit
 from .pii import op10_pii_disclosure
 from .simhash import op8_simhash_components
 from .toxicity import op1_toxicity_noisy_or
+from .urls import op6_sql, op6_url_rules
 from .windows import op4_superkmer_repeats
 
 QUERIES = (
@@ -19,6 +20,7 @@ QUERIES = (
     op2_media_chunks,
     op4_superkmer_repeats,
     op5_backoff_automaton,
+    op6_url_rules,
     op8_simhash_components,
     op9_vector_best_fit,
     op10_pii_disclosure,
@@ -30,4 +32,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_url_rules": op6_sql()}
