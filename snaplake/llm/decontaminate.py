@@ -11,7 +11,8 @@ slots mean another text on the same pattern, and no leak.
 
 Tokens are runs of letters and digits, a point or comma between digits included. A
 token that starts with a digit is a number; a unit word right behind a number is a unit;
-a capitalised token that starts no sentence is a name; others count lower-cased. A
+a capitalised token with small letters that starts no sentence is a name; others
+count lower-cased. A
 window needs `literal` tokens that are no placeholders. Items shorter than a window are
 one window of their own length; items without enough literal tokens can't be found.
 
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +69,9 @@ def template(texts: pa.Array) -> tuple[tb.Words, np.ndarray, np.ndarray]:
     buf, at = tb.flat(texts)
     words = tb.split_where(buf, at, _inside(buf))
     n = len(words.starts)
-    h = tb.Words(tb.lowered(buf), words.starts, words.ends, words.offsets, at).hashes()
+    # Lower case may change the length of a word, but not the number of words.
+    low, low_at = tb.flat(pc.utf8_lower(texts.fill_null("")))
+    h = tb.split_where(low, low_at, _inside(low)).hashes()
     if not n:
         return words, h, np.zeros(0, dtype=bool)
     first = buf[words.starts]
@@ -79,7 +83,12 @@ def template(texts: pa.Array) -> tuple[tb.Words, np.ndarray, np.ndarray]:
     # Capitals: A-Z, and the two-byte ones from C3 80 to C3 9E.
     second = buf[np.minimum(words.starts + 1, len(buf) - 1)]
     capital = ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
-    name = capital & ~begins & ~number
+    # A small letter must follow: words in capitals throughout are no names.
+    low_at = words.starts + np.where(first == 0xC3, 2, 1)
+    inner = low_at < words.ends
+    follow, after = (buf[np.minimum(low_at + d, len(buf) - 1)] for d in (0, 1))
+    small = inner & (((follow >= 97) & (follow <= 122)) | ((follow == 0xC3) & (after >= 0xA0)))
+    name = capital & small & ~begins & ~number
     known = _UNIT_HASHES[np.minimum(np.searchsorted(_UNIT_HASHES, h), len(_UNIT_HASHES) - 1)] == h
     unit = np.zeros(n, dtype=bool)
     unit[1:] = known[1:] & number[:-1]

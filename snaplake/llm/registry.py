@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import op7_prefix_tree_chat
+from .decontaminate import op3_template_leaks
 from .lm import op5_backoff_automaton
 from .media import op2_media_chunks
 from .packing import op9_vector_best_fit
@@ -18,9 +20,11 @@ from .windows import op4_superkmer_repeats
 QUERIES = (
     op1_toxicity_noisy_or,
     op2_media_chunks,
+    op3_template_leaks,
     op4_superkmer_repeats,
     op5_backoff_automaton,
     op6_url_rules,
+    op7_prefix_tree_chat,
     op8_simhash_components,
     op9_vector_best_fit,
     op10_pii_disclosure,

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from . import textblocks as tb
 from .components import components
-from .shared import cut, pack, unpack
+from .shared import cut, pack, unpack, without_ids
 
 BLOCK = 4 << 20
 SEED = 42
@@ -210,8 +210,8 @@ def keep_one(docs: DataFrame, *, shingle: int = 5, radius: int = 5, prints: int
     differ with probability acos(0.889) / pi = 0.15, 78 of 512 on average. Of repeated
     rows with one id all stay or go together."""
     named = group(docs, doc_id=doc_id, text=text, shingle=shingle, radius=radius, prints=prints, most_bits=most_bits)
-    gone = named.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(f"`{doc_id}`") == F.col("_gone"), "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    gone = cut(named.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
+    return without_ids(docs, gone, doc_id)
 
 
 def op8_simhash_components(spark, sf_dir: str) -> DataFrame:
