@@ -10,8 +10,8 @@ either the smallest weighted residual norm after placing or the largest weighted
 product of piece and residual. A new bin opens only where none is feasible. A shard
 wastes about a bin, one in thousands.
 
-White space separates words before the tokenizer's own rules, so a block is tokenised
-by its distinct words. Null and empty texts are the end token alone; texts of any
+White space separates words before the tokenizer's own rules, and so does a stop behind
+a letter, so a block is tokenised by its distinct parts, and a worker remembers theirs. Null and empty texts are the end token alone; texts of any
 length are handled whole. Ties are broken by id and piece; repeated rows are packed
 each. Input columns beside id and text are not looked at. An empty table gives an
 empty result.
@@ -20,7 +20,7 @@ empty result.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,39 +32,98 @@ from .shared import cut
 
 BLOCK = 6 << 20
 #: Words whose tokens a worker remembers.
-REMEMBERED = 400_000
-_tokenizers: dict[str, tuple] = {}
+REMEMBERED = 2_000_000
+#: Stands between words when many are encoded as one string: a token of its own.
+MARK = "\x01"
+_STOPS = np.zeros(256, dtype=bool)
+_STOPS[[ord(c) for c in ".,!?;:"]] = True
+_PLAIN = np.zeros(256, dtype=bool)
+_PLAIN[48:58] = _PLAIN[65:91] = _PLAIN[97:123] = True
+_vocabularies: dict[str, _Vocabulary] = {}
 
 
-def _tokenizer(path: str) -> tuple:
-    """The tokenizer of a file and this worker's memory of words, loaded once a worker."""
-    if path not in _tokenizers:
+class _Vocabulary:
+    """A tokenizer and the tokens of the words that this worker has met."""
+
+    def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path), {}
-    return _tokenizers[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 and self._encode(f"a {MARK} b").tolist() == [*self._encode("a"), mark[0], *self._encode("b")] else None
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.begin, self.size = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.uint32)
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+    def _encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one after another, and how many each has."""
+        ids, sizes = [], []
+        for lo in range(0, len(words), 2_000):
+            part = words[lo : lo + 2_000]
+            text = b" \x01 ".join(part)
+            if self.mark is None or text.count(b"\x01") != len(part) - 1:
+                each = [self._encode(w.decode()) for w in part]
+            else:
+                got = self._encode(text.decode())
+                cut = np.flatnonzero(got == self.mark)
+                ids.append(got[got != self.mark])
+                sizes.append(np.diff(np.concatenate([[-1], cut, [len(got)]])) - 1)
+                continue
+            ids += each
+            sizes.append(np.array([len(e) for e in each], dtype=np.int64))
+        return np.concatenate(ids) if ids else self.ids[:0], np.concatenate(sizes) if sizes else self.size[:0]
+
+    def look_up(self, distinct: np.ndarray, word: Callable[[np.ndarray], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ids the tokens of the distinct hashes begin, and how many they are.
+        word gives the spelling of the hashes at some places."""
+        if len(self.keys) > REMEMBERED:
+            self.forget()
+        at = np.searchsorted(self.keys, distinct)
+        new = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] != distinct) if len(self.keys) else np.arange(len(distinct))
+        if len(new):
+            ids, size = self._encode_words(word(new))
+            begin = len(self.ids) + np.cumsum(size) - size
+            self.ids = np.concatenate([self.ids, ids])
+            to = np.searchsorted(self.keys, distinct[new])
+            self.keys, self.begin, self.size = np.insert(self.keys, to, distinct[new]), np.insert(self.begin, to, begin), np.insert(self.size, to, size)
+            at = np.searchsorted(self.keys, distinct)
+        return self.begin[at], self.size[at]
+
+
+def _parts(texts: pa.Array) -> tb.Words:
+    """Parts of the texts that are tokenised alone: what white space separates, cut again
+    where a stop or comma follows a letter or digit, A-Z lower-cased as the tokenizer does
+    it (but not where a special token may stand)."""
+    buf, at = tb.flat(texts)
+    if b"<|" not in buf.tobytes():
+        buf = tb.lowered(buf)
+    stop = np.flatnonzero(_STOPS[buf])
+    stop = stop[stop > 1]
+    one, two = buf[stop - 1], buf[stop - 2]
+    letter = _PLAIN[one] | ((two == 0xC3) & (one >= 0x80) & (one != 0x97) & (one != 0xB7))
+    return tb.split_where(buf, at, tb.not_white(buf), stop[letter])
 
 
 def _word_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """All token ids of the texts, one text after another, and how many each has."""
-    tokenizer, memory = _tokenizer(path)
-    words = tb.split(texts)
+    if path not in _vocabularies:
+        _vocabularies[path] = _Vocabulary(path)
+    vocabulary = _vocabularies[path]
+    words = _parts(texts)
     distinct, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
-    if len(memory) > REMEMBERED:
-        memory.clear()
-    keys = distinct.tolist()
-    new = [k for k, h in enumerate(keys) if h not in memory]
     raw = words.buf.tobytes()
-    at = first[new]
-    strings = [raw[a:b].decode() for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)]
-    for lo in range(0, len(new), 20_000):
-        for k, e in zip(new[lo : lo + 20_000], tokenizer.encode_batch_fast(strings[lo : lo + 20_000], add_special_tokens=False), strict=True):
-            memory[keys[k]] = np.array(e.ids, dtype=np.uint32)
-    parts = [memory[h] for h in keys]
-    size = np.array([len(p) for p in parts], dtype=np.int64)
-    flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)
-    begin = np.cumsum(size) - size
-    ids = flat[tb.ranges(begin[number], size[number])]
+
+    def spelling(places: np.ndarray) -> list[bytes]:
+        at = first[places]
+        return [raw[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)]
+
+    begin, size = vocabulary.look_up(distinct, spelling)
+    ids = vocabulary.ids[tb.ranges(begin[number], size[number])]
     total = np.concatenate([[0], np.cumsum(size[number])])
     return ids, total[words.offsets[1:]] - total[words.offsets[:-1]]
 

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
+SEGMENT = 1 << 19
 #: The white space bytes that separate words (space and 9-13).
 WHITE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
@@ -78,13 +79,20 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """One well mixed 64-bit value a word; equal words, equal values."""
-        if not len(self.starts):
-            return np.zeros(0, dtype=np.uint64)
-        up, down = _power_table(_BASE, len(self.buf) + 1)
-        total = np.zeros(len(self.buf) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[self.buf] * up[: len(self.buf)], out=total[1:])
-        h = (total[self.ends] - total[self.starts]) * down[self.starts]
-        return mix(h + (self.ends - self.starts).astype(np.uint64))
+        out = np.zeros(len(self.starts), dtype=np.uint64)
+        i = 0
+        while i < len(out):
+            # Half a megabyte at a time stays in the processor's cache and keeps tables short.
+            zero = int(self.starts[i])
+            j = max(i + 1, int(np.searchsorted(self.ends, zero + SEGMENT, side="right")))
+            part = self.buf[zero : int(self.ends[j - 1])]
+            up, down = _power_table(_BASE, len(part) + 1)
+            total = np.zeros(len(part) + 1, dtype=np.uint64)
+            np.cumsum(_BYTE[part] * up[: len(part)], out=total[1:])
+            first, last = self.starts[i:j] - zero, self.ends[i:j] - zero
+            out[i:j] = mix((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64))
+            i = j
+        return out
 
     def packed(self, first: np.ndarray, last: np.ndarray) -> tuple[bytes, list[bytes]]:
         """Words first[i]..last[i] (inclusive), joined by one space, for every i."""
@@ -181,3 +189,26 @@ def ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     at = np.cumsum(lens) - lens
     return np.repeat(starts - at, lens) + np.arange(total)
+
+
+def split_where(buf: np.ndarray, at: np.ndarray, inside: np.ndarray, breaks: np.ndarray | None = None) -> Words:
+    """Words of texts at[i]:at[i + 1] of buf: runs where inside is True; at breaks a new
+    word begins."""
+    at = at if breaks is None else np.concatenate([at, breaks])
+    before = np.zeros(len(buf) + 1, dtype=bool)
+    before[1:] = inside
+    before[at] = False
+    after = np.zeros(len(buf) + 1, dtype=bool)
+    after[: len(buf)] = inside
+    after[at] = False
+    starts = np.flatnonzero(inside & ~before[:-1])
+    at = at if breaks is None else at[: len(at) - len(breaks)]
+    return Words(buf, starts, np.flatnonzero(inside & ~after[1:]) + 1, np.searchsorted(starts, at), at)
+
+
+def not_white(buf: np.ndarray) -> np.ndarray:
+    return _IS_WORD[buf]
+
+
+def lowered(buf: np.ndarray) -> np.ndarray:
+    return _LOWER[buf]
