@@ -1,4 +1,4 @@
 """Importing this package registers all queries of the reference's operators."""
 
-from . import aggregates, joins, scalars, windows  # noqa: F401
+from . import aggregates, joins, merges, nested, scalars, scores, windows  # noqa: F401
 from .catalog import QUERIES, SQL  # noqa: F401
