@@ -37,14 +37,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[f"`{c}`" for c in df.columns if c.lower() not in taken])
 
 
-def pack(*arrays: np.ndarray | bytes) -> bytes:
+def pack(*arrays: np.ndarray | bytes, level: int = 3) -> bytes:
     """Arrays and byte strings as one compressed blob."""
     parts, head = [], []
     for a in arrays:
         raw = a if isinstance(a, bytes) else np.ascontiguousarray(a).tobytes()
         head.append(len(raw))
         parts.append(raw)
-    return zstandard.ZstdCompressor(level=3).compress(np.array([len(head), *head], dtype=np.int64).tobytes() + b"".join(parts))
+    return zstandard.ZstdCompressor(level=level).compress(np.array([len(head), *head], dtype=np.int64).tobytes() + b"".join(parts))
 
 
 def unpack(blob: bytes) -> list[memoryview]:
@@ -77,3 +77,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+#: Ids up to which a list of them is broadcast: 16 MB or so.
+BROADCAST_IDS = 1_000_000
+
+
+def without_ids(df: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """df without the rows whose id is in ids (one distinct column). A short list is
+    broadcast, so df isn't shuffled; a longer one is joined by its hash."""
+    from pyspark.sql import functions as F
+
+    side = ids.toDF("_gone")
+    if ids.count() <= BROADCAST_IDS:
+        side = F.broadcast(side)
+    return df.join(side, F.col(f"`{name}`") == F.col("_gone"), "left_anti")

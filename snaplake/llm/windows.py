@@ -36,6 +36,8 @@ from .shared import groups_for, pack, unpack, without
 BLOCK = 4 << 20
 #: Text bytes whose super-k-mers share a bucket; packed they are about three times that.
 BUCKET_BYTES = 6 << 20
+#: Compression level of the packed strings, which are most of what is shuffled.
+LEVEL = 7
 _SECOND = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -94,7 +96,7 @@ def _blob_rows(bucket, runs, strings, spans) -> tuple[list[int], list[bytes]]:
         texts = [strings[i] for i in part.tolist()]
         lens = np.array([len(t) for t in texts], dtype=np.int32)
         keys.append(int(bucket[part[0]]))
-        blobs.append(pack(*(r[part] for r in runs), lens, b"".join(texts), *left))
+        blobs.append(pack(*(r[part] for r in runs), lens, b"".join(texts), *left, level=LEVEL))
         left = none
     if len(left[0]):
         keys.append(0)
@@ -197,7 +199,7 @@ def _judge(k: int, *, last_round: bool):
     return run
 
 
-def repeated_spans(docs: DataFrame, *, k: int = 13, minimiser: int = 4, buckets: int | None = None, salts: int = 1) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, k: int = 13, minimiser: int = 3, buckets: int | None = None, salts: int = 1) -> DataFrame:
     """(id, row, start, n) for docs(id, row, text): n windows from word `start` on are repeated.
 
     buckets: grows with the input where not given. salts: parts in which a bucket is
@@ -249,12 +251,14 @@ def _kept(k: int, names: list[str]):
     return run
 
 
-def remove_repeated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 13, minimiser: int = 4, buckets: int | None = None, salts: int = 1) -> DataFrame:
+def remove_repeated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 13, minimiser: int = 3, buckets: int | None = None, salts: int = 1) -> DataFrame:
     """docs without its text column but with n_words, n_removed (long) and kept: the
     words that stay, joined by one space."""
     rest = without(docs, text, "n_words", "n_removed", "kept")
     names = rest.columns
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(doc_id).cast("long").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"), F.xxhash64(text).alias("_row"))
+    # Rows are told apart by their texts only where ids repeat: a hash does not compress.
+    repeats = not docs.groupBy(doc_id).count().where("count > 1").isEmpty()
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(doc_id).cast("long").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"), (F.xxhash64(text) if repeats else F.lit(0).cast("long")).alias("_row"))
     spans = repeated_spans(rows.select(F.col("_id").alias("id"), F.col("_row").alias("row"), F.col("_text").alias("text")), k=k, minimiser=minimiser, buckets=buckets, salts=salts)
     by_row = spans.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
     joined = rows.join(by_row.hint("shuffle_hash"), ["_id", "_row"], "left").select(*[f"`{c}`" for c in names], "_text", "_spans")
