@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Latin letters with accents and their plain forms.
 ACCENTED = "àáâãäåèéêëìíîïòóôõöùúûüýÿñçšžÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜÝÑÇŠŽ"
@@ -46,7 +47,7 @@ def name_key(c: Column, joiner: str = " ", default: str | None = None) -> Column
     return key if default is None else F.coalesce(key, F.lit(default))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unicode_name_key(names: pd.Series) -> pd.Series:
     """name_key for any script: compatibility decomposition, then no combining marks."""
     plain = names.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
