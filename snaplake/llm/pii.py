@@ -91,7 +91,7 @@ def base_spans(t: str) -> list[tuple[int, int, int]]:
 
 _BASE = "array<struct<kind:int,start:int,end:int>>"
 _NEAR = "array<struct<entity:bigint,term:bigint,start:int,end:int,first:int>>"
-_FOUND = f"base {_BASE}, near {_NEAR}, entities array<bigint>"
+_FOUND = f"_base {_BASE}, _near {_NEAR}, _entities array<bigint>"
 _ARROW = (
     pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])),
     pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("first", pa.int32())])),
@@ -113,7 +113,7 @@ def _may_hold(words: tb.Words) -> np.ndarray:
 
 
 def _scan(text: str, near: int):
-    """Rows with base, near and entities added."""
+    """Rows with _base, _near and _entities added."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,7 +150,7 @@ def _scan(text: str, near: int):
                             seen.add(pair)
                     entities[k] = sorted(set(entities[k]))
                 cols = [pa.array(v, type=kind) for v, kind in zip((base, beside, entities), _ARROW, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *cols], names=[*part.schema.names, "base", "near", "entities"])
+                yield pa.RecordBatch.from_arrays([*part.columns, *cols], names=[*part.schema.names, "_base", "_near", "_entities"])
 
     return run
 
@@ -194,10 +194,10 @@ def _asked_counts(left: pa.Table, right: pa.Table) -> pa.Table:
 
 
 def term_spans(docs: DataFrame, found: DataFrame, *, text: str, support: int, generalise_at: float, remove_at: float, buckets: int | None = None) -> DataFrame:
-    """(_id, _twin, terms): the disclosing terms of each text of found."""
+    """(_id, _twin, _terms): the disclosing terms of each text of found."""
     n_all = docs.count()
-    near = found.select("_id", "_twin", F.explode("near").alias("c")).select("_id", "_twin", "c.*")
-    n_e = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    near = found.select("_id", "_twin", F.explode("_near").alias("c")).select("_id", "_twin", "c.*")
+    n_e = found.select(F.explode("_entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     pairs = near.groupBy("entity", "term").agg(F.sum("first").alias("n_te"), F.count_distinct("_twin").alias("texts")).where(F.col("texts") >= support)
     pairs = cut(pairs.join(n_e, "entity"))
     buckets = buckets or groups_for(docs, text, 8 * BLOCK, least=8)
@@ -208,7 +208,7 @@ def term_spans(docs: DataFrame, found: DataFrame, *, text: str, support: int, ge
     share = F.log(F.col("n_te") * F.lit(float(n_all)) / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n_all)) / F.col("n_e"))
     risky = pairs.join(n_t, "term").where((F.col("n_e") < n_all) & (F.col("n_t") > 0)).withColumn("disclosure", share).where(F.col("disclosure") >= generalise_at)
     spans = near.join(risky.select("entity", "term", "disclosure"), ["entity", "term"]).groupBy("_id", "_twin", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    return spans.groupBy("_id", "_twin").agg(F.array_sort(F.collect_list(F.struct("start", "end", (F.col("disclosure") >= remove_at).alias("remove")))).alias("terms"))
+    return spans.groupBy("_id", "_twin").agg(F.array_sort(F.collect_list(F.struct("start", "end", (F.col("disclosure") >= remove_at).alias("remove")))).alias("_terms"))
 
 
 def _with_keys(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -224,14 +224,14 @@ def find(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", near: i
     in order of start and kind; kind is a place in KINDS."""
     keyed = _with_keys(without(docs, "spans"), doc_id, text)
     found = cut(keyed.mapInArrow(_scan(text, near), f"{_schema(keyed)}, {_FOUND}").drop(text))
-    terms = term_spans(docs, found.where(F.size("base") > 0), text=text, support=support, generalise_at=generalise_at, remove_at=remove_at)
-    base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(False).alias("remove")))
-    extra = F.transform(F.coalesce("terms", F.array()), lambda s: F.struct(s["start"].alias("start"), F.lit(4).alias("kind"), s["end"].alias("end"), s["remove"].alias("remove")))
-    return _left_by_row(found, terms).withColumn("spans", F.array_sort(F.concat(base, extra))).drop("_id", "_twin", "base", "near", "entities", "terms")
+    terms = term_spans(docs, found.where(F.size("_base") > 0), text=text, support=support, generalise_at=generalise_at, remove_at=remove_at)
+    base = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(False).alias("remove")))
+    extra = F.transform(F.coalesce("_terms", F.array()), lambda s: F.struct(s["start"].alias("start"), F.lit(4).alias("kind"), s["end"].alias("end"), s["remove"].alias("remove")))
+    return _left_by_row(found, terms).withColumn("spans", F.array_sort(F.concat(base, extra))).drop("_id", "_twin", "_base", "_near", "_entities", "_terms")
 
 
 def _left_by_row(rows: DataFrame, terms: DataFrame) -> DataFrame:
-    right = terms.select(F.col("_id").alias("_i"), F.col("_twin").alias("_t"), "terms")
+    right = terms.select(F.col("_id").alias("_i"), F.col("_twin").alias("_t"), "_terms")
     return rows.join(right, rows["_id"].eqNullSafe(right["_i"]) & (rows["_twin"] == right["_t"]), "left").drop("_i", "_t")
 
 
@@ -241,7 +241,7 @@ def _rewrite(text: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for t, base, terms in zip(*(batch.column(c).to_pylist() for c in (text, "base", "terms")), strict=True):
+            for t, base, terms in zip(*(batch.column(c).to_pylist() for c in (text, "_base", "_terms")), strict=True):
                 spans = sorted([(s["start"], s["end"], place[s["kind"]]) for s in base] + [(s["start"], s["end"], "" if s["remove"] else place[4]) for s in terms or ()])
                 parts, done = [], 0
                 for a, b, to in spans:
@@ -260,10 +260,10 @@ def sanitise(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", nea
     names = docs.columns
     keyed = _with_keys(docs, doc_id, text)
     scanned = keyed.mapInArrow(_scan(text, near), f"{_schema(keyed)}, {_FOUND}")
-    plain = scanned.where(F.size("base") == 0).select(*[f"`{c}`" for c in names])
-    hit = cut(scanned.where(F.size("base") > 0))
+    plain = scanned.where(F.size("_base") == 0).select(*[f"`{c}`" for c in names])
+    hit = cut(scanned.where(F.size("_base") > 0))
     terms = term_spans(docs, hit.drop(text), text=text, support=support, generalise_at=generalise_at, remove_at=remove_at)
-    changed = _left_by_row(hit, terms).select(*[f"`{c}`" for c in names], "base", "terms").mapInArrow(_rewrite(text, names), _schema(docs))
+    changed = _left_by_row(hit, terms).select(*[f"`{c}`" for c in names], "_base", "_terms").mapInArrow(_rewrite(text, names), _schema(docs))
     return plain.union(changed)
 
 
