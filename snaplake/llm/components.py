@@ -8,22 +8,23 @@ nothing; an empty edge list gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import cut
 
 
-def _star(edges: DataFrame) -> DataFrame:
-    """Links each greater neighbour of a node u, and u itself if that is not the least,
-    to the least of u and its neighbours. edges(u, v)."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    moved = edges.join(least, "u").where(F.col("v") > F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.where(F.col("u") > F.col("m")).select("u", F.col("m").alias("v")))
+def _pairs(edges: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """(u, v) for each of the pairs of columns of every edge."""
+    each = F.array(*[F.struct(F.col(a).alias("u"), F.col(b).alias("v")) for a, b in pairs])
+    return edges.select(F.explode(each).alias("e")).select("e.u", "e.v")
 
 
-def _both(edges: DataFrame) -> DataFrame:
-    return edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+def _star(edges: DataFrame, keep: Column) -> DataFrame:
+    """Links the neighbours v of each node u that pass keep to m, the least of u and its
+    neighbours. edges(u, v)."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return edges.join(least, "u").where(keep).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def components(edges: DataFrame, *, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
@@ -33,10 +34,8 @@ def components(edges: DataFrame, *, a: str = "a", b: str = "b", most_rounds: int
     for _ in range(most_rounds):
         n, total = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if (n, total) == before:
-            return e.select(F.col("u").alias("id"), F.col("v").alias("root")).union(e.select(F.col("v").alias("id"), F.col("v").alias("root"))).distinct()
+            return _pairs(e, ("u", "v"), ("v", "v")).distinct().toDF("id", "root")
         before = n, total
-        large = _both(e)
-        least = large.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = large.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        e = cut(_star(large).distinct())
+        large = _star(_pairs(e, ("u", "v"), ("v", "u")), F.col("v") > F.col("u"))
+        e = cut(_star(_pairs(large, ("u", "v"), ("u", "u")), F.col("v") > F.col("m")))
     raise RuntimeError("components did not settle; raise most_rounds")
