@@ -1,4 +1,4 @@
 """Importing this package registers all queries of the reference's operators."""
 
-from . import aggregates, joins, merges, models, nested, scalars, scores, streams, windows  # noqa: F401
+from . import aggregates, assembly, joins, merges, models, nested, scalars, scores, streams, windows  # noqa: F401
 from .catalog import QUERIES, SQL  # noqa: F401
