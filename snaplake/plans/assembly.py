@@ -222,3 +222,58 @@ def f3(spark, d):
 def m6b(spark, d):
     kept = merge.purge(table(spark, d, "orders"), table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("season")), "o_orderkey", F.col("season") >= 2001)
     return table(spark, d, "customer").join(kept, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+
+
+@query("a13_star_dump", "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer ORDER BY c_custkey")
+def a13(spark, d):
+    return table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").orderBy("c_custkey")
+
+
+@query("b7_pure_projection", "SELECT s_suppkey AS player, s_acctbal AS market_value, CASE WHEN s_acctbal < 0 THEN 'high' ELSE 'low' END AS risk FROM supplier")
+def b7(spark, d):
+    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("player"), F.col("s_acctbal").alias("market_value"), F.when(F.col("s_acctbal") < 0, "high").otherwise("low").alias("risk"))
+
+
+@query("c7_profile_with_team", "SELECT s_suppkey, s_name, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
+def c7(spark, d):
+    s, n, r = (table(spark, d, t) for t in ("supplier", "nation", "region"))
+    return s.join(n, s.s_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left").select("s_suppkey", "s_name", "n_name", "r_name")
+
+
+@query("c9_value_curve", "SELECT o_orderkey, c_name, CAST(o_orderdate AS DATE) AS day, o_totalprice FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def c9(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return table(spark, d, "orders").join(c, "o_custkey", "left").select("o_orderkey", "c_name", F.col("o_orderdate").cast("date").alias("day"), "o_totalprice")
+
+
+@query("c13_predictions_with_champion", """
+WITH b AS (SELECT CAST(ts AS DATE) AS run, arg_max(event_type, (value, event_id)) AS champion FROM events WHERE event_type <> 'error' GROUP BY 1)
+SELECT event_id, champion, event_type = champion AS is_champion FROM events LEFT JOIN b ON CAST(ts AS DATE) = run""")
+def c13(spark, d):
+    e = table(spark, d, "events").withColumn("run", F.col("ts").cast("date"))
+    b = e.where("event_type <> 'error'").groupBy("run").agg(F.max_by("event_type", F.struct("value", "event_id")).alias("champion"))
+    return e.join(b, "run", "left").select("event_id", "champion", (F.col("event_type") == F.col("champion")).alias("is_champion"))
+
+
+@query("d21_max_code_lookup", "SELECT n_regionkey, max(upper(left(n_name, 3))) AS code FROM nation GROUP BY 1")
+def d21(spark, d):
+    return table(spark, d, "nation").groupBy("n_regionkey").agg(F.max(F.upper(F.substring("n_name", 1, 3))).alias("code"))
+
+
+@query("e16_last_row_per_team_and_day", "SELECT user_id, CAST(ts AS DATE) AS day, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC NULLS LAST, event_id DESC) = 1")
+def e16(spark, d):
+    e = table(spark, d, "events").withColumn("day", F.col("ts").cast("date"))
+    return latest.newest_per_key(e, ["user_id", "day"], ["ts", "event_id"]).select("user_id", "day", "event_id")
+
+
+@query("j12_last_event_per_hash", "SELECT sha1(concat_ws('|', CAST(user_id AS VARCHAR), event_type, json_extract_string(props, '$.k'))) AS event_hash, max(event_id) AS event_id FROM events GROUP BY 1")
+def j12(spark, d):
+    key = S.content_hash(F.col("user_id"), F.col("event_type"), F.get_json_object("props", "$.k"))
+    return table(spark, d, "events").groupBy(key.alias("event_hash")).agg(F.max("event_id").alias("event_id"))
+
+
+@query("j14_value_history_last_wins", "SELECT user_id, CAST(ts AS DATE) AS mv_date, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2")
+def j14(spark, d):
+    h = table(spark, d, "events").groupBy("user_id").agg(F.collect_list(F.struct("ts", "event_id", "value")).alias("it"))
+    rows = h.select("user_id", F.explode("it").alias("x")).select("user_id", F.col("x.ts").cast("date").alias("mv_date"), "x.*")
+    return latest.newest_per_key(rows, ["user_id", "mv_date"], ["ts", "event_id"]).select("user_id", "mv_date", "value")

@@ -107,3 +107,42 @@ def k12(spark, d):
     j = last("view", "predicted").join(last("purchase", "actual"), "user_id").withColumn("scope", F.when(F.col("user_id") % 3 == 0, "even").otherwise("odd"))
     out = rollup.error_metrics(j, F.col("predicted") - F.col("actual"), "scope")
     return out.withColumns({c: F.round(c, 4) for c in ("mae", "rmse", "bias")})
+
+
+TARGETS = ("points", "started", "quantity_share")
+
+
+def fit_targets(rows: DataFrame, targets=TARGETS) -> dict:
+    """One linear model for each target over the same prepared features."""
+    prepared = Pipeline(stages=preprocessing(["quantity", "size", "price"], ["brand"])).fit(rows)
+    ready = prepared.transform(rows).select("features", *targets).persist()
+    models = {t: regressor("linear", t).setPredictionCol(f"{t}_predicted").fit(ready) for t in targets}
+    ready.unpersist()
+    return {"prepared": prepared, "models": models}
+
+
+def score_targets(bundle: dict, rows: DataFrame) -> DataFrame:
+    """rows with a prediction for each target, probabilities within 0 and 1."""
+    out = bundle["prepared"].transform(rows)
+    for m in bundle["models"].values():
+        out = m.transform(out)
+    clipped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("started_predicted")))
+    return out.withColumn("started_predicted", clipped).select("key", *[f"{t}_predicted" for t in bundle["models"]])
+
+
+@query("l4_hierarchical_targets")
+def l4(spark, d):
+    rows = features_of(spark, d).withColumn("quantity_share", F.col("quantity") / 50)
+    scored = score_targets(fit_targets(rows), rows)
+    return scored.groupBy("key").agg(F.avg("points_predicted").alias("points"), F.avg("started_predicted").alias("started"))
+
+
+@query("d12_hierarchical_evaluation", """
+SELECT round(sqrt(avg((l_quantity - 25) * (l_quantity - 25))), 6) AS rmse_total, round(avg(abs(l_discount - 0.05)), 6) AS mae_bonus, round(avg((l_tax * 10 - CAST(l_returnflag = 'A' AS DOUBLE)) * (l_tax * 10 - CAST(l_returnflag = 'A' AS DOUBLE))), 6) AS brier_started, round(avg((l_discount * 10 - CAST(l_returnflag = 'N' AS DOUBLE)) * (l_discount * 10 - CAST(l_returnflag = 'N' AS DOUBLE))), 6) AS brier_subbed, count(*) AS n FROM lineitem""")
+def d12(spark, d):
+    e = F.col("l_quantity") - 25
+    brier = lambda p, flag: F.round(rollup.brier(F.col(p) * 10, F.col("l_returnflag") == flag), 6)
+    return table(spark, d, "lineitem").agg(
+        F.round(F.sqrt(F.avg(e * e)), 6).alias("rmse_total"), F.round(F.avg(F.abs(F.col("l_discount") - 0.05)), 6).alias("mae_bonus"),
+        brier("l_tax", "A").alias("brier_started"), brier("l_discount", "N").alias("brier_subbed"), F.count(F.lit(1)).alias("n"),
+    )
