@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .shared import cut, without_ids
+from .shared import cut, tidy, without_ids
 
 BLOCK = 4 << 20
 #: Benchmark windows up to which their hashes are sent to the tasks that scan documents.
@@ -175,7 +175,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text
         got = items.select("hash").distinct().toPandas()["hash"].to_numpy(dtype=np.int64)
         known = spark.sparkContext.broadcast(np.sort(got.view(np.uint64)))
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull())
-    found = rows.mapInArrow(_doc_rows(sizes, literal, known), _ROWS).select(F.col("id").alias("doc_id"), "hash", F.col("place").alias("doc_place"), F.col("slots").alias("doc_slots"))
+    found = rows.mapInArrow(tidy(_doc_rows(sizes, literal, known)), _ROWS).select(F.col("id").alias("doc_id"), "hash", F.col("place").alias("doc_place"), F.col("slots").alias("doc_slots"))
     small = F.broadcast if n <= SENT_WINDOWS else (lambda df: df)
     side = items.select(F.col("id").alias("item_id"), "hash", F.col("place").alias("item_place"), "windows", F.col("slots").alias("item_slots"))
     met = found.join(small(side), "hash").withColumn("diagonal", F.col("doc_place") - F.col("item_place"))

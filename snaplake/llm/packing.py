@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .shared import cut
+from .shared import cut, tidy
 
 BLOCK = 6 << 20
 #: Words whose tokens a worker remembers.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 #: Stands between words when many are encoded as one string: a token of its own.
 MARK = "\x01"
 _STOPS = np.zeros(256, dtype=bool)
@@ -160,7 +160,7 @@ def tokenised(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text:
     """(doc_id, piece, start, length, ids_crc32) of every piece, and its ids if wanted."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
-    return rows.mapInArrow(_piece_rows(tokenizer, capacity, end_id, keep_ids), schema)
+    return rows.mapInArrow(tidy(_piece_rows(tokenizer, capacity, end_id, keep_ids)), schema)
 
 
 def fit_bins(length: np.ndarray, limits: np.ndarray, weights: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .shared import cut, groups_for, pack, unpack, without
+from .shared import cut, groups_for, pack, tidy, unpack, without
 
 BLOCK = 4 << 20
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -202,7 +202,7 @@ def term_spans(docs: DataFrame, found: DataFrame, *, text: str, support: int, ge
     pairs = cut(pairs.join(n_e, "entity"))
     buckets = buckets or groups_for(docs, text, 8 * BLOCK, least=8)
     bucket = F.col("term").bitwiseAND(F.lit(2**63 - 1)) % buckets
-    counts = docs.select(F.col(text).alias("text")).mapInArrow(_text_counts(buckets), "bucket long, blob binary")
+    counts = docs.select(F.col(text).alias("text")).mapInArrow(tidy(_text_counts(buckets)), "bucket long, blob binary")
     asked = pairs.select("term").distinct().withColumn("bucket", bucket)
     n_t = counts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_asked_counts, "term long, n_t long")
     share = F.log(F.col("n_te") * F.lit(float(n_all)) / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n_all)) / F.col("n_e"))
@@ -223,7 +223,7 @@ def find(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", near: i
     """Every row of docs without its text, with spans: array of (start, kind, end, remove)
     in order of start and kind; kind is a place in KINDS."""
     keyed = _with_keys(without(docs, "spans"), doc_id, text)
-    found = cut(keyed.mapInArrow(_scan(text, near), f"{_schema(keyed)}, {_FOUND}").drop(text))
+    found = cut(keyed.mapInArrow(tidy(_scan(text, near)), f"{_schema(keyed)}, {_FOUND}").drop(text))
     terms = term_spans(docs, found.where(F.size("_base") > 0), text=text, support=support, generalise_at=generalise_at, remove_at=remove_at)
     base = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(False).alias("remove")))
     extra = F.transform(F.coalesce("_terms", F.array()), lambda s: F.struct(s["start"].alias("start"), F.lit(4).alias("kind"), s["end"].alias("end"), s["remove"].alias("remove")))
@@ -259,7 +259,7 @@ def sanitise(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", nea
     Where spans overlap the first placeholder stands for all. n_chars is not touched."""
     names = docs.columns
     keyed = _with_keys(docs, doc_id, text)
-    scanned = keyed.mapInArrow(_scan(text, near), f"{_schema(keyed)}, {_FOUND}")
+    scanned = keyed.mapInArrow(tidy(_scan(text, near)), f"{_schema(keyed)}, {_FOUND}")
     plain = scanned.where(F.size("_base") == 0).select(*[f"`{c}`" for c in names])
     hit = cut(scanned.where(F.size("_base") > 0))
     terms = term_spans(docs, hit.drop(text), text=text, support=support, generalise_at=generalise_at, remove_at=remove_at)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -75,7 +76,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder, read again."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -92,3 +93,19 @@ def without_ids(df: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     if ids.count() <= BROADCAST_IDS:
         side = F.broadcast(side)
     return df.join(side, F.col(f"`{name}`") == F.col("_gone"), "left_anti")
+
+
+def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Hand texts to Python tasks in batches of this size: less memory beside the heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def tidy(run):
+    """run, a function over Arrow batches, which gives unused memory back at its end."""
+
+    @functools.wraps(run)
+    def tidied(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return tidied

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from . import textblocks as tb
 from .components import components
-from .shared import cut, pack, unpack, without_ids
+from .shared import cut, pack, tidy, unpack, without_ids
 
 BLOCK = 4 << 20
 SEED = 42
@@ -96,7 +96,7 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
                 offsets = pa.array(np.arange(0, prints * (j - i) + 1, prints, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.ListArray.from_arrays(offsets, values)], schema=schema)
 
-    return rows.mapInArrow(run, "doc_id long, prints array<long>")
+    return rows.mapInArrow(tidy(run), "doc_id long, prints array<long>")
 
 
 def _to_buckets(masks: np.ndarray, prints: int, buckets: int):
@@ -104,8 +104,8 @@ def _to_buckets(masks: np.ndarray, prints: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):
-                part = batch.slice(lo, 4096)
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
                 ids = part.column("id").to_numpy(zero_copy_only=False)
                 values = part.column("prints").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, prints)
                 table = np.repeat(np.arange(prints * len(masks), dtype=np.uint16), len(ids))
@@ -184,9 +184,9 @@ def links(nodes: DataFrame, *, radius: int = 4, prints: int = 1, within: int | N
     again afterwards, `nearest` links each node of a small bucket to that many others, so
     that one bad link does not cut off good ones."""
     masks = covering_masks(radius)
-    # About a million (table, fingerprint) entries a bucket.
-    buckets = buckets or max(8, -(-nodes.count() * len(masks) * prints // 1_000_000))
-    sent = nodes.select("id", "prints").mapInArrow(_to_buckets(masks, prints, buckets), "bucket long, blob binary")
+    # About 400 000 (table, fingerprint) entries a bucket.
+    buckets = buckets or max(8, -(-nodes.count() * len(masks) * prints // 400_000))
+    sent = nodes.select("id", "prints").mapInArrow(tidy(_to_buckets(masks, prints, buckets)), "bucket long, blob binary")
     return sent.groupBy("bucket").applyInArrow(_links(masks, radius if within is None else within, nearest), "a long, b long").distinct()
 
 

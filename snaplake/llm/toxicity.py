@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .shared import as_batch, without
+from .shared import as_batch, tidy, without
 
 BLOCK = 4 << 20
 #: A sentence without any known word offends with about 6e-6.
@@ -245,7 +245,7 @@ def score(docs: DataFrame, model: ToxicityModel, *, text: str = "text", offends_
                         spans[owner[k]].append({"start": int(words.starts[low[k]] - base[k]), "end": int(words.ends[high[k]] - base[k]), "p": float(p[k])})
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(-np.expm1(log_no)), pa.array(spans, type=arrow_span)], names=[*part.schema.names, "score", "offending"])
 
-    return docs.mapInArrow(run, f"{fields}, score double, offending {span}")
+    return docs.mapInArrow(tidy(run), f"{fields}, score double, offending {span}")
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 4, part: int = 2) -> F.Column:
