@@ -170,7 +170,7 @@ def _links(masks: np.ndarray, within: int, nearest: int):
             x, y = _nearest(*part, nearest) if nearest and n <= SMALL else _forest(*part)
             a += x
             b += y
-        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
+        pairs = np.unique(np.sort(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=1), axis=0)
         return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
     return run
@@ -213,7 +213,7 @@ def group(
     rows = cut(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle, prints=prints))
     nodes = cut(rows.groupBy("prints").agg(F.min("doc_id").alias("id")))
     known = nodes.where(F.col("id").isNotNull())
-    found = links(known, radius=radius, prints=prints, within=within, nearest=0 if most_bits is None else 4)
+    found = links(known, radius=radius, prints=prints, within=within, nearest=0 if most_bits is None else 2)
     if most_bits is not None:
         side = lambda n: known.select(F.col("id").alias(n), F.col("prints").alias(f"p{n}"))
         found = found.join(side("a"), "a").join(side("b"), "b").where(bit_distance(F.col("pa"), F.col("pb")) <= most_bits).select("a", "b")
