@@ -34,16 +34,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .shared import cut, groups_for, pack, shared_folder, unpack
+from .shared import cut, groups_for, pack, shared_folder, unpack, written
 
 BLOCK = 4 << 20
 UNIT = 576
 #: Bytes of a chunk: least, and most; about LEAST + 2**BITS on average.
 LEAST, BITS, MOST = 256, 10, 8192
 RATE = 8000
+#: Shared chunks up to which the list of their owners is broadcast: 50 MB or so.
+BROADCAST_CHUNKS = 1_000_000
+#: Compression level of moved and stored bytes.
+LEVEL = 12
 _GEAR = np.random.default_rng(31).integers(0, 2**32, 256, dtype=np.uint32)
 
 
+def name_of(data: bytes) -> bytes:
+    """The name of a chunk or file: half a SHA-256 digest."""
+    return hashlib.sha256(data).digest()[:16]
+
+
 def payload_of(text: bytes) -> bytes:
     return text + b"\xff" * (max(UNIT, -(-len(text) // UNIT) * UNIT) - len(text))
 
@@ -105,9 +114,9 @@ def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, n_bytes, file, chunks): digests only."""
     for batch in batches:
         for i, media, sizes in _files(batch.column("text")):
-            chunks = [[hashlib.sha256(m[a:b]).digest()[:16] for a, b in zip([0, *ends[:-1]], ends, strict=True)] for m, ends in zip(media, chunk_ends(media), strict=True)]
+            chunks = [[name_of(m[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)] for m, ends in zip(media, chunk_ends(media), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(i, len(media)), pa.array(sizes, pa.int64()), pa.array([hashlib.sha256(m).digest() for m in media], pa.binary()), pa.array(chunks, pa.list_(pa.binary()))],
+                [batch.column("doc_id").slice(i, len(media)), pa.array(sizes, pa.int64()), pa.array([name_of(m) for m in media], pa.binary()), pa.array(chunks, pa.list_(pa.binary()))],
                 names=["doc_id", "n_bytes", "file", "chunks"],
             )
 
@@ -118,9 +127,9 @@ def _send_bytes(buckets: int):
             for _, media, _ in _files(batch.column("text")):
                 by: dict[int, dict[bytes, bytes]] = {}
                 for m in media:
-                    d = hashlib.sha256(m).digest()
+                    d = name_of(m)
                     by.setdefault(int.from_bytes(d[:6], "big") % buckets, {})[d] = m
-                blobs = [pack(b"".join(x), np.array([len(m) for m in x.values()], dtype=np.int64), b"".join(x.values())) for x in by.values()]
+                blobs = [pack(b"".join(x), np.array([len(m) for m in x.values()], dtype=np.int64), b"".join(x.values()), level=LEVEL) for x in by.values()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(by), pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     return run
@@ -136,7 +145,7 @@ def _store_rows(left: pa.Table, right: pa.Table) -> pa.Table:
         names, sizes, raw = unpack(blob)
         at = 0
         for k, n in enumerate(np.frombuffer(sizes, dtype=np.int64).tolist()):
-            files.setdefault(bytes(names[32 * k : 32 * k + 32]), raw[at : at + n])
+            files.setdefault(bytes(names[16 * k : 16 * k + 16]), raw[at : at + n])
             at += n
     shared = {r["file"]: r for r in right.select(["file", "borrowed", "lent"]).to_pylist()}
     media = [bytes(m) for m in files.values()]
@@ -145,7 +154,7 @@ def _store_rows(left: pa.Table, right: pa.Table) -> pa.Table:
         own = shared.get(name)
         gone = set(own["borrowed"]) if own else ()
         parts = [m[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-        digests.append([hashlib.sha256(p).digest()[:16] for p in parts])
+        digests.append([name_of(p) for p in parts])
         sizes.append([len(p) for p in parts])
         owned.append([None if k in gone else p for k, p in enumerate(parts)])
         lends.append(sorted(own["lent"]) if own else [])
@@ -166,7 +175,9 @@ def store(docs: DataFrame, digests: DataFrame, path: str, *, text: str = "text",
     """Write the files of docs to path; digests is index(docs)."""
     files = digests.groupBy("file").agg(F.first("chunks").alias("chunks"))
     places = files.select("file", F.posexplode("chunks").alias("place", "digest"))
-    owner = places.groupBy("digest").agg(F.min(F.struct("file", "place")).alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    owner = cut(places.groupBy("digest").agg(F.min(F.struct("file", "place")).alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    if owner.count() <= BROADCAST_CHUNKS:
+        owner = F.broadcast(owner)
     mine = (F.col("owner.file") == F.col("file")) & (F.col("owner.place") == F.col("place"))
     duties = places.join(owner, "digest").groupBy("file").agg(
         F.collect_list(F.when(~mine, F.col("place"))).alias("borrowed"), F.collect_list(F.when(mine, F.col("place"))).alias("lent")
@@ -175,7 +186,7 @@ def store(docs: DataFrame, digests: DataFrame, path: str, *, text: str = "text",
     sent = docs.select(F.col(text).alias("text")).mapInArrow(_send_bytes(buckets), "bucket long, blob binary")
     duties = duties.withColumn("bucket", F.conv(F.substring(F.hex("file"), 1, 12), 16, 10).cast("long") % buckets)
     rows = sent.groupBy("bucket").cogroup(duties.groupBy("bucket")).applyInArrow(_store_rows, _STORE)
-    rows.write.option("compression", "zstd").parquet(path)
+    rows.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(LEVEL)).parquet(path)
 
 
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,15 +198,15 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 got = {f["digest"]: f["bytes"] for f in fetched}
                 owned = [got[d] if p is None else p for d, p in zip(digests, owned, strict=True)]
             for d, p in zip(digests, owned, strict=True):
-                if p is None or hashlib.sha256(p).digest()[:16] != d:
+                if p is None or name_of(p) != d:
                     raise ValueError(f"chunk {d.hex()} of file {name.hex()} is lost or damaged")
             media = b"".join(owned)
-            if hashlib.sha256(media).digest() != name:
+            if name_of(media) != name:
                 raise ValueError(f"file {name.hex()} is damaged")
             x = samples_of(media)
-            for k, v in zip(out, (name, len(x), hashlib.sha256(x).hexdigest(), zlib.crc32(x[-32:]), len(media), name.hex(), feature(x)), strict=True):
+            for k, v in zip(out, (name, len(x), hashlib.sha256(x).digest(), zlib.crc32(x[-32:]), len(media), hashlib.sha256(media).digest(), feature(x)), strict=True):
                 out[k].append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary() if k == "file" else pa.string() if k in ("payload_sha256", "media_sha256", "feature") else pa.int64()) for k, v in out.items()], names=list(out))
+        yield pa.RecordBatch.from_arrays([pa.array(v, pa.string() if k == "feature" else pa.int64() if k in ("payload_bytes", "tail_crc32", "media_bytes") else pa.binary()) for k, v in out.items()], names=list(out))
 
 
 def read(stored: DataFrame) -> DataFrame:
@@ -206,15 +217,16 @@ def read(stored: DataFrame) -> DataFrame:
     fetched = wanted.join(lent, "digest").groupBy("file").agg(F.collect_list(F.struct("digest", "bytes")).alias("fetched"))
     whole = stored.where("borrows = 0").select("file", "digests", "owned", F.lit(None).cast("array<struct<digest:binary,bytes:binary>>").alias("fetched"))
     mended = needs.join(fetched, "file", "left").select("file", "digests", "owned", "fetched")
-    return whole.union(mended).mapInArrow(_read_back, "file binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return whole.union(mended).mapInArrow(_read_back, "file binary, payload_bytes long, payload_sha256 binary, tail_crc32 long, media_bytes long, media_sha256 binary, feature string")
 
 
 def round_trip(docs: DataFrame, path: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Store docs at path, read them back and return a row for every row of docs."""
-    digests = cut(index(docs, doc_id=doc_id, text=text))
+    digests = written(index(docs, doc_id=doc_id, text=text), "media-index")
     store(docs, digests, path, text=text)
     features = read(docs.sparkSession.read.parquet(path))
-    return digests.select("doc_id", "n_bytes", "file").join(features, "file").drop("file")
+    hexed = {c: F.lower(F.hex(c)) for c in ("payload_sha256", "media_sha256")}
+    return digests.select("doc_id", "n_bytes", "file").join(features, "file").drop("file").withColumns(hexed)
 
 
 def op2_media_chunks(spark, sf_dir: str) -> DataFrame:
