@@ -190,6 +190,191 @@ def links(nodes: DataFrame, *, radius: int = 4, prints: int = 1, within: int | N
     return sent.groupBy("bucket").applyInArrow(_links(masks, radius if within is None else within, nearest), "a long, b long").distinct()
 
 
+def _to_meet(masks: np.ndarray, prints: int, buckets: int):
+    """As _to_buckets, with 32 bits of the key in place of table and fingerprint."""
+    schema = pa.schema([("bucket", pa.int64()), ("blob", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                ids = part.column("id").to_numpy(zero_copy_only=False)
+                values = part.column("prints").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, prints)
+                table = np.repeat(np.arange(prints * len(masks), dtype=np.uint16), len(ids))
+                fp = np.repeat(values.T, len(masks), axis=0).reshape(-1)
+                key = tb.mix((fp & masks[table % len(masks)]) ^ tb.mix(table.astype(np.uint64) + np.uint64(1)))
+                yield _split(key % np.uint64(buckets), buckets, schema, (key >> np.uint64(32)).astype(np.uint32), np.tile(ids, prints * len(masks)))
+
+    return run
+
+
+def _split(to: np.ndarray, parts: int, schema: pa.Schema, *columns: np.ndarray) -> pa.RecordBatch:
+    """A blob of the columns for each part that gets any."""
+    order = np.argsort(to, kind="stable")
+    cuts = np.searchsorted(to[order], np.arange(parts + 1, dtype=np.uint64))
+    found = np.flatnonzero(np.diff(cuts))
+    blobs = [pack(*(c[o] for c in columns)) for o in (order[cuts[b] : cuts[b + 1]] for b in found.tolist())]
+    return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(blobs, pa.binary())], schema=schema)
+
+
+def _columns(table: pa.Table, *kinds) -> list[np.ndarray]:
+    parts = [unpack(x) for x in table.column("blob").to_pylist()]
+    return [np.concatenate([np.frombuffer(p[c], dtype=kind) for p in parts]) for c, kind in enumerate(kinds)]
+
+
+def _salted(ids: np.ndarray) -> np.ndarray:
+    return tb.mix(ids.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+
+
+def _parted(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = _salted(batch.column("id").to_numpy(zero_copy_only=False)) % np.uint64(parts)
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int64)), *batch.columns], names=["part", "id", "prints"])
+
+    return run
+
+
+def _meetings(parts: int):
+    """(part, blob): the sets of nodes that meet in a bucket, each once, by parts of nodes."""
+    schema = pa.schema([("part", pa.int64()), ("blob", pa.binary())])
+
+    def run(table: pa.Table) -> pa.Table:
+        key, ids = _columns(table, np.uint32, np.int64)
+        order = np.lexsort((ids, key))
+        key, ids = key[order], ids[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(first, len(key)))
+        # A set is named by its members, so it is one set in whatever tables it meets.
+        name = tb.mix(np.add.reduceat(_salted(ids), first))
+        many = np.flatnonzero(size > 1)
+        many = many[np.unique(name[many], return_index=True)[1]]
+        at = tb.ranges(first[many], size[many])
+        name, ids = np.repeat(name[many], size[many]), ids[at]
+        return pa.Table.from_batches([_split(_salted(ids) % np.uint64(parts), parts, schema, name, ids)])
+
+    return run
+
+
+def _carry(prints: int, buckets: int):
+    """(bucket, blob): the members of the sets with all of their fingerprints, by sets."""
+    schema = pa.schema([("bucket", pa.int64()), ("blob", pa.binary())])
+
+    def run(nodes: pa.Table, met: pa.Table) -> pa.Table:
+        if not met.num_rows or not nodes.num_rows:
+            return schema.empty_table()
+        known = nodes.column("id").to_numpy()
+        values = nodes.column("prints").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, prints)
+        order = np.argsort(known, kind="stable")
+        known, values = known[order], values[order]
+        name, ids = _columns(met, np.uint64, np.int64)
+        order = np.lexsort((ids, name))
+        name, ids = name[order], ids[order]
+        new = np.append(True, (name[1:] != name[:-1]) | (ids[1:] != ids[:-1]))
+        name, ids = name[new], ids[new]
+        # Several rows of one id may have different texts.
+        low = np.searchsorted(known, ids)
+        rows = np.searchsorted(known, ids, side="right") - low
+        at, name = tb.ranges(low, rows), np.repeat(name, rows)
+        bucket = name % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+        found = np.flatnonzero(np.diff(cuts))
+        blobs = []
+        for b in found.tolist():
+            o = order[cuts[b] : cuts[b + 1]]
+            used, row = np.unique(at[o], return_inverse=True)
+            blobs.append(pack(name[o], row.astype(np.int32), known[used], values[used]))
+        return pa.table({"bucket": pa.array(found, pa.int64()), "blob": pa.array(blobs, pa.binary())})
+
+    return run
+
+
+def _merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least node of each node's component once the links a-b are added."""
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return root
+        np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _spanning(values: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links, of at most `most` differing bits, among rows of prints."""
+    a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    left = np.arange(len(values))
+    while len(left):
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            x = queue.pop()
+            near = np.bitwise_count(values[left] ^ values[x]).sum(axis=1, dtype=np.int64) <= most
+            if near.any():
+                queue += left[near].tolist()
+                a.append(np.full(int(near.sum()), x))
+                b.append(left[near])
+                left = left[~near]
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _judged(prints: int, most: int):
+    """Judges every pair of each set; links each node to the least id that it reaches in the bucket."""
+
+    def run(table: pa.Table) -> pa.Table:
+        parts = [unpack(x) for x in table.column("blob").to_pylist()]
+        name, row, ids, values = ([np.frombuffer(p[c], dtype=kind) for p in parts] for c, kind in enumerate((np.uint64, np.int32, np.int64, np.uint64)))
+        start = np.cumsum([0, *[len(i) for i in ids]])
+        row = np.concatenate([r + s for r, s in zip(row, start[:-1].tolist(), strict=True)]).astype(np.int64)
+        name, ids, values = np.concatenate(name), np.concatenate(ids), np.concatenate(values).reshape(-1, prints)
+        order = np.argsort(name, kind="stable")
+        name, row = name[order], row[order]
+        first = np.flatnonzero(np.append(True, name[1:] != name[:-1]))
+        size = np.diff(np.append(first, len(name)))
+        root = np.arange(len(ids))
+        # Pairs of small sets are judged side by side, larger sets are searched: the links are the same.
+        for n in range(2, 17):
+            sets = first[size == n]
+            i, j = np.triu_indices(n, 1)
+            for lo in range(0, len(sets), 100_000 // len(i) + 1):
+                member = row[sets[lo : lo + 100_000 // len(i) + 1, None] + np.arange(n)]
+                a, b = member[:, i].reshape(-1), member[:, j].reshape(-1)
+                good = root[a] != root[b]
+                a, b = a[good], b[good]
+                good = np.bitwise_count(values[a] ^ values[b]).sum(axis=1, dtype=np.int64) <= most
+                root = _merge(root, a[good], b[good])
+        for i, n in zip(first[size > 16].tolist(), size[size > 16].tolist(), strict=True):
+            member = row[i : i + n]
+            if (root[member] != root[member[0]]).any():
+                a, b = _spanning(values[member], most)
+                root = _merge(root, member[a], member[b])
+        least = np.full(len(ids), np.iinfo(np.int64).max)
+        np.minimum.at(least, root, ids)
+        least = least[root]
+        far = least != ids
+        return pa.table({"a": pa.array(least[far], pa.int64()), "b": pa.array(ids[far], pa.int64())})
+
+    return run
+
+
+def judged_links(nodes: DataFrame, *, radius: int, prints: int, most_bits: int, buckets: int | None = None) -> DataFrame:
+    """(a, b): pairs with the components of all links among nodes(id, prints). Every pair that
+    meets in a table is judged; it links if at most most_bits of all its prints' bits differ.
+
+    Three steps: short keys tell which nodes meet in a table; their prints are added to those
+    alone; and each set of nodes, named by its members, is judged where it comes together."""
+    masks = covering_masks(radius)
+    n = nodes.count()
+    buckets = buckets or max(8, -(-n * len(masks) * prints // 400_000))
+    parts = max(8, -(-n // 4096))
+    sent = nodes.select("id", "prints").mapInArrow(tidy(_to_meet(masks, prints, buckets)), "bucket long, blob binary")
+    met = sent.groupBy("bucket").applyInArrow(_meetings(parts), "part long, blob binary")
+    rows = nodes.select("id", "prints").mapInArrow(tidy(_parted(parts)), "part long, id long, prints array<long>")
+    carried = rows.groupBy("part").cogroup(met.groupBy("part")).applyInArrow(_carry(prints, buckets), "bucket long, blob binary")
+    return carried.groupBy("bucket").applyInArrow(_judged(prints, most_bits), "a long, b long").distinct()
+
+
 def bit_distance(a: F.Column, b: F.Column) -> F.Column:
     """Differing bits of two arrays of fingerprints."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
@@ -213,10 +398,7 @@ def group(
     rows = cut(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle, prints=prints))
     nodes = cut(rows.groupBy("prints").agg(F.min("doc_id").alias("id")))
     known = nodes.where(F.col("id").isNotNull())
-    found = links(known, radius=radius, prints=prints, within=within, nearest=0 if most_bits is None else 2)
-    if most_bits is not None:
-        side = lambda n: known.select(F.col("id").alias(n), F.col("prints").alias(f"p{n}"))
-        found = found.join(side("a"), "a").join(side("b"), "b").where(bit_distance(F.col("pa"), F.col("pb")) <= most_bits).select("a", "b")
+    found = links(known, radius=radius, prints=prints, within=within) if most_bits is None else judged_links(known, radius=radius, prints=prints, most_bits=most_bits)
     roots = components(found)
     named = nodes.join(roots, "id", "left").select("prints", F.coalesce("root", "id").alias("component_id"))
     return rows.join(named, "prints").select("doc_id", "prints", "component_id")

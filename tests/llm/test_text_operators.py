@@ -154,6 +154,44 @@ def test_links_of_a_dense_ball(spark):
     assert found.count() < 300 * 31
 
 
+def flipped(r, x, n):
+    for b in r.choice(512, size=n, replace=False).tolist():
+        x ^= 1 << b
+    return x
+
+
+def signed(x):
+    return [v - 2**64 if v >= 2**63 else v for v in (x >> 64 * k & (2**64 - 1) for k in range(8))]
+
+
+def test_judged_links_of_dense_sets(spark):
+    """Pairs that meet beside many nearer ones, and chains in sets of every size, are linked."""
+    r = np.random.default_rng(8)
+    every = []
+    for size in (2, 5, 30, 400):
+        base = int.from_bytes(r.bytes(64))
+        every += [flipped(r, base, int(n)) for n in r.integers(1, 110, size)]
+    every += [int.from_bytes(r.bytes(64)) for _ in range(100)]
+    every = [every[i] for i in r.permutation(len(every)).tolist()]
+    nodes = spark.createDataFrame([(i, signed(x)) for i, x in enumerate(every)], "id long, prints array<long>")
+    masks = [int(m) for m in simhash.covering_masks(5)]
+    groups, met = Groups(range(len(every))), collections.defaultdict(list)
+    for i, x in enumerate(every):
+        for k in range(8):
+            for t, m in enumerate(masks):
+                met[k, t, x >> 64 * k & m].append(i)
+    for ids in met.values():
+        for i in ids:
+            for j in ids:
+                if i < j and (every[i] ^ every[j]).bit_count() <= 84:
+                    groups.join(i, j)
+    found = simhash.judged_links(nodes, radius=5, prints=8, most_bits=84, buckets=3)
+    roots = {row["id"]: row["root"] for row in components.components(found).collect()}
+    assert {i: roots.get(i, i) for i in range(len(every))} == {i: groups.find(i) for i in range(len(every))}
+    assert found.count() < 3 * len(every)
+    assert simhash.judged_links(nodes.limit(0), radius=5, prints=8, most_bits=84).count() == 0
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(1, 65).select((F.col("id") - 1).alias("a"), F.col("id").alias("b")).union(spark.createDataFrame([(100, 101), (101, 100), (7, 7), (None, 3)], "a long, b long"))
     got = {r["id"]: r["root"] for r in components.components(edges).collect()}
