@@ -36,8 +36,6 @@ from .shared import cut, pack, tidy, unpack, without_ids
 
 BLOCK = 4 << 20
 SEED = 42
-#: Fingerprints of a bucket of which each may be linked to several others.
-SMALL = 256
 
 
 def covering_masks(radius: int, bits: int = 64) -> np.ndarray:
@@ -140,18 +138,7 @@ def _forest(fp: np.ndarray, ids: np.ndarray, radius: int) -> tuple[list[np.ndarr
     return a, b
 
 
-def _nearest(fp: np.ndarray, ids: np.ndarray, within: int, most: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Links of each fingerprint of a small bucket to its `most` nearest within reach."""
-    apart = np.bitwise_count(fp[:, None] ^ fp[None, :]).astype(np.int64)
-    np.fill_diagonal(apart, 65)
-    near = np.argsort(apart, axis=1, kind="stable")[:, :most]
-    row = np.repeat(np.arange(len(fp)), near.shape[1])
-    col = near.reshape(-1)
-    good = apart[row, col] <= within
-    return [ids[row[good]]], [ids[col[good]]]
-
-
-def _links(masks: np.ndarray, within: int, nearest: int):
+def _links(masks: np.ndarray, radius: int):
     def run(table: pa.Table) -> pa.Table:
         parts = [unpack(x) for x in table.column("blob").to_pylist()]
         t, fp, ids = (np.concatenate([np.frombuffer(p[c], dtype=kind) for p in parts]) for c, kind in enumerate((np.uint16, np.uint64, np.int64)))
@@ -163,11 +150,10 @@ def _links(masks: np.ndarray, within: int, nearest: int):
         first = np.flatnonzero(new)
         size = np.diff(np.append(first, len(t)))
         two = first[size == 2]
-        two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= within]
+        two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= radius]
         a, b = [ids[two]], [ids[two + 1]]
         for i, n in zip(first[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-            part = fp[i : i + n], ids[i : i + n], within
-            x, y = _nearest(*part, nearest) if nearest and n <= SMALL else _forest(*part)
+            x, y = _forest(fp[i : i + n], ids[i : i + n], radius)
             a += x
             b += y
         pairs = np.unique(np.sort(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=1), axis=0)
@@ -176,18 +162,14 @@ def _links(masks: np.ndarray, within: int, nearest: int):
     return run
 
 
-def links(nodes: DataFrame, *, radius: int = 4, prints: int = 1, within: int | None = None, nearest: int = 0, buckets: int | None = None) -> DataFrame:
+def links(nodes: DataFrame, *, radius: int = 4, prints: int = 1, buckets: int | None = None) -> DataFrame:
     """(a, b): a spanning set of the links among nodes(id, prints), whose prints differ
-    from node to node. A pair links if one of its prints is within radius.
-
-    A larger `within` also takes pairs that meet in a table by luck; where links are judged
-    again afterwards, `nearest` links each node of a small bucket to that many others, so
-    that one bad link does not cut off good ones."""
+    from node to node. A pair links if one of its prints is within radius."""
     masks = covering_masks(radius)
     # About 400 000 (table, fingerprint) entries a bucket.
     buckets = buckets or max(8, -(-nodes.count() * len(masks) * prints // 400_000))
     sent = nodes.select("id", "prints").mapInArrow(tidy(_to_buckets(masks, prints, buckets)), "bucket long, blob binary")
-    return sent.groupBy("bucket").applyInArrow(_links(masks, radius if within is None else within, nearest), "a long, b long").distinct()
+    return sent.groupBy("bucket").applyInArrow(_links(masks, radius), "a long, b long").distinct()
 
 
 def _to_meet(masks: np.ndarray, prints: int, buckets: int):
@@ -375,11 +357,6 @@ def judged_links(nodes: DataFrame, *, radius: int, prints: int, most_bits: int,
     return carried.groupBy("bucket").applyInArrow(_judged(prints, most_bits), "a long, b long").distinct()
 
 
-def bit_distance(a: F.Column, b: F.Column) -> F.Column:
-    """Differing bits of two arrays of fingerprints."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-
-
 def group(
     docs: DataFrame,
     *,
@@ -388,29 +365,28 @@ def group(
     shingle: int = 4,
     radius: int = 4,
     prints: int = 1,
-    within: int | None = None,
     most_bits: int | None = None,
 ) -> DataFrame:
     """(doc_id, prints, component_id) for every row of docs.
 
-    With several prints, or a larger `within`, more near copies meet in a table; most_bits
-    then drops links whose prints differ in more bits altogether."""
+    With several prints more near copies meet in a table. With most_bits every pair that
+    meets links if its prints differ in at most that many bits altogether."""
     rows = cut(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle, prints=prints))
     nodes = cut(rows.groupBy("prints").agg(F.min("doc_id").alias("id")))
     known = nodes.where(F.col("id").isNotNull())
-    found = links(known, radius=radius, prints=prints, within=within) if most_bits is None else judged_links(known, radius=radius, prints=prints, most_bits=most_bits)
+    found = links(known, radius=radius, prints=prints) if most_bits is None else judged_links(known, radius=radius, prints=prints, most_bits=most_bits)
     roots = components(found)
     named = nodes.join(roots, "id", "left").select("prints", F.coalesce("root", "id").alias("component_id"))
     return rows.join(named, "prints").select("doc_id", "prints", "component_id")
 
 
-def keep_one(docs: DataFrame, *, shingle: int = 5, radius: int = 5, prints: int = 8, within: int = 12, most_bits: int = 84, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, *, shingle: int = 5, radius: int = 5, prints: int = 8, most_bits: int = 84, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without near copies: of every group the smallest doc_id stays; columns stay.
 
     The default is for a Jaccard similarity of 0.8 on shingles of five words: bits then
     differ with probability acos(0.889) / pi = 0.15, 78 of 512 on average. Of repeated
     rows with one id all stay or go together."""
-    named = group(docs, doc_id=doc_id, text=text, shingle=shingle, radius=radius, prints=prints, within=within, most_bits=most_bits)
+    named = group(docs, doc_id=doc_id, text=text, shingle=shingle, radius=radius, prints=prints, most_bits=most_bits)
     gone = cut(named.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
     return without_ids(docs, gone, doc_id)
 

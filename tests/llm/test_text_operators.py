@@ -192,6 +192,19 @@ def test_judged_links_of_dense_sets(spark):
     assert simhash.judged_links(nodes.limit(0), radius=5, prints=8, most_bits=84).count() == 0
 
 
+def test_a_hub_takes_no_link_away(spark):
+    """y and z meet by one print alone, in a set of over 256 whose smallest id has that print too."""
+    r = np.random.default_rng(9)
+    hub = int.from_bytes(r.bytes(64))
+    change = lambda x, n: x ^ sum(1 << 64 * k + b for k in range(1, 8) for b in r.choice(64, size=n, replace=False).tolist())
+    y = change(hub, 20)
+    fill = [hub & (2**64 - 1) | int.from_bytes(r.bytes(56)) << 64 for _ in range(300)]
+    every = [hub, y, change(y, 12), *fill]
+    nodes = spark.createDataFrame([(i, signed(x)) for i, x in enumerate(every)], "id long, prints array<long>")
+    found = simhash.judged_links(nodes, radius=5, prints=8, most_bits=84, buckets=3)
+    assert {(row["id"], row["root"]) for row in components.components(found).collect()} == {(1, 1), (2, 1)}
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(1, 65).select((F.col("id") - 1).alias("a"), F.col("id").alias("b")).union(spark.createDataFrame([(100, 101), (101, 100), (7, 7), (None, 3)], "a long, b long"))
     got = {r["id"]: r["root"] for r in components.components(edges).collect()}
