@@ -3,7 +3,9 @@
 Numbers, names and units become typed placeholders, so a question and its copy with
 other numbers or names have one template. Windows of template tokens of benchmark and
 documents meet in a hash join. Matches of one document and item on one diagonal
-(document place minus item place) form an alignment; the values in its slots must be
+(document place minus item place) form an alignment; alignments on diagonals at most half
+the item's length apart, as left by inserted or deleted tokens, add up from the largest on
+while consistent. The values in the slots must be
 consistent: one item value always stands for one document value, and one document value
 for one item value. An alignment that covers `cover` of the item's windows is a leak:
 exact if no slot differs, re-parameterised if slots differ consistently. Inconsistent
@@ -12,7 +14,9 @@ slots mean another text on the same pattern, and no leak.
 Tokens are runs of letters and digits, a point or comma between digits included. A
 token that starts with a digit is a number; a unit word right behind a number is a unit;
 a capitalised token with small letters that starts no sentence is a name; others
-count lower-cased. A
+count lower-cased. A second reading, matched apart from the first, takes a capitalised
+token that starts a sentence for a name too, and has one placeholder for a run of names and
+one for a run of numbers with the unit behind it. A
 window needs `literal` tokens that are no placeholders. Items shorter than a window are
 one window of their own length; items without enough literal tokens can't be found.
 
@@ -23,7 +27,9 @@ like an output column is not looked at. Empty tables give an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -64,8 +70,13 @@ def _inside(buf: np.ndarray) -> np.ndarray:
     return inside
 
 
-def template(texts: pa.Array) -> tuple[tb.Words, np.ndarray, np.ndarray]:
-    """Words of the texts in their own spelling, template token hashes, and which are slots."""
+#: Ways to read a text: a placeholder a token, or wide ones for runs.
+TOKENS, RUNS = 0, 1
+
+
+def template(texts: pa.Array) -> tuple[tb.Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the texts in their own spelling, template token hashes, which are slots, and
+    which are slots if words that start a sentence can be names."""
     buf, at = tb.flat(texts)
     words = tb.split_where(buf, at, _inside(buf))
     n = len(words.starts)
@@ -73,7 +84,7 @@ def template(texts: pa.Array) -> tuple[tb.Words, np.ndarray, np.ndarray]:
     low, low_at = tb.flat(pc.utf8_lower(texts.fill_null("")))
     h = tb.split_where(low, low_at, _inside(low)).hashes()
     if not n:
-        return words, h, np.zeros(0, dtype=bool)
+        return words, h, np.zeros(0, dtype=bool), np.zeros(0, dtype=bool)
     first = buf[words.starts]
     number = _DIGIT[first]
     stops = np.cumsum(_STOP[buf], dtype=np.int64)[words.starts]
@@ -88,33 +99,69 @@ def template(texts: pa.Array) -> tuple[tb.Words, np.ndarray, np.ndarray]:
     inner = low_at < words.ends
     follow, after = (buf[np.minimum(low_at + d, len(buf) - 1)] for d in (0, 1))
     small = inner & (((follow >= 97) & (follow <= 122)) | ((follow == 0xC3) & (after >= 0xA0)))
-    name = capital & small & ~begins & ~number
+    named = capital & small & ~number
+    name = named & ~begins
     known = _UNIT_HASHES[np.minimum(np.searchsorted(_UNIT_HASHES, h), len(_UNIT_HASHES) - 1)] == h
     unit = np.zeros(n, dtype=bool)
     unit[1:] = known[1:] & number[:-1]
     unit[words.offsets[:-1][words.counts > 0]] = False
     h = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, h)))
-    return words, h, number | name | unit
-
-
-def _windows(words: tb.Words, h: np.ndarray, slot: np.ndarray, k: int, literal: int) -> tuple[np.ndarray, np.ndarray]:
+    return words, h, number | name | unit, number | named | unit
+
+
+@dataclass
+class Reading:
+    """Template tokens: hashes, which are slots, first and last word (inclusive), text."""
+
+    h: np.ndarray
+    slot: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    owner: np.ndarray
+    offsets: np.ndarray
+
+
+def readings(texts: pa.Array) -> tuple[tb.Words, list[Reading]]:
+    words, h, slot, wide = template(texts)
+    each, owner = np.arange(len(h)), words.text_ids()
+    out = [Reading(h, slot, each, each, owner, words.offsets)]
+    kind = np.where(wide & ~slot, NAME, h)
+    # A unit belongs to its number; words in a run have one space between them.
+    joined = np.zeros(len(h), dtype=bool)
+    close = (owner[1:] == owner[:-1]) & (words.starts[1:] == words.ends[:-1] + 1) & (words.buf[words.ends[:-1]] == 32) if len(h) else joined[1:]
+    joined[1:] = wide[1:] & wide[:-1] & (close & (kind[1:] == kind[:-1]) & (kind[1:] != UNIT) | (kind[1:] == UNIT))
+    first = np.flatnonzero(~joined)
+    last = np.append(first[1:], len(h))[: len(first)] - 1
+    offsets = np.searchsorted(first, words.offsets)
+    out.append(Reading(kind[first], wide[first], first, last, owner[first], offsets))
+    return words, out
+
+
+def _windows(read: Reading, mode: int, k: int, literal: int) -> tuple[np.ndarray, np.ndarray]:
     """First tokens and hashes of the windows of k tokens with enough literal ones."""
+    h, slot, owner = read.h, read.slot, read.owner
     if len(h) < k:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    owner = words.text_ids()
     plain = np.concatenate([[0], np.cumsum(~slot)])
     start = np.flatnonzero((owner[: len(h) - k + 1] == owner[k - 1 :]) & (plain[k:] - plain[:-k] >= min(literal, k)))
-    return start, (tb.window_hashes(h, k) ^ np.uint64(k))[start]
+    return start, (tb.window_hashes(h, k) ^ np.uint64(k + 1024 * mode))[start]
 
 
-def _slots(words: tb.Words, slot: np.ndarray, start: int, k: int) -> list[str]:
+def _slots(words: tb.Words, read: Reading, start: int, k: int) -> list[str]:
+    """The values of the window's slots; a unit behind its number is told apart by a tab."""
     raw = words.buf
-    return [raw[words.starts[t] : words.ends[t]].tobytes().decode(errors="replace") for t in range(start, start + k) if slot[t]]
+    out = []
+    for t in range(start, start + k):
+        if read.slot[t]:
+            parts = [raw[words.starts[w] : words.ends[w]].tobytes().decode(errors="replace") for w in range(read.first[t], read.last[t] + 1)]
+            unit = len(parts) > 1 and parts[0][0].isdigit() and not parts[-1][0].isdigit()
+            out.append(" ".join(parts[:-1]) + "\t" + parts[-1] if unit else " ".join(parts))
+    return out
 
 
-_ROWS = "id long, hash long, place int, size int, windows int, slots array<string>"
-_NAMES = ["id", "hash", "place", "size", "windows", "slots"]
-_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string())]
+_ROWS = "id long, hash long, mode int, place int, word int, size int, windows int, slots array<string>"
+_NAMES = ["id", "hash", "mode", "place", "word", "size", "windows", "slots"]
+_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string())]
 
 
 def _item_rows(k: int, literal: int):
@@ -122,20 +169,21 @@ def _item_rows(k: int, literal: int):
         for batch in batches:
             out: list[list] = [[] for _ in _NAMES]
             for row in range(batch.num_rows):
-                words, h, slot = template(batch.column("text").slice(row, 1))
-                size = min(k, len(h))
-                if not size:
-                    continue
-                start, hashes = _windows(words, h, slot, size, literal)
-                for s, x in zip(start.tolist(), hashes.view(np.int64).tolist(), strict=True):
-                    for col, v in zip(out, (batch.column("id")[row].as_py(), x, s, size, len(start), _slots(words, slot, s, size)), strict=True):
-                        col.append(v)
+                words, reads = readings(batch.column("text").slice(row, 1))
+                for mode, read in enumerate(reads):
+                    size = min(k, len(read.h))
+                    if not size:
+                        continue
+                    start, hashes = _windows(read, mode, size, literal)
+                    for p, x in zip(start.tolist(), hashes.view(np.int64).tolist(), strict=True):
+                        for col, v in zip(out, (batch.column("id")[row].as_py(), x, mode, p, int(read.first[p]), size, len(start), _slots(words, read, p, size)), strict=True):
+                            col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(v, type=t) for v, t in zip(out, _KINDS, strict=True)], names=_NAMES)
 
     return run
 
 
-def _doc_rows(sizes: list[int], literal: int, known):
+def _doc_rows(sizes: list[tuple[int, int]], literal: int, known):
     """Windows of the documents; known: sorted hashes of a broadcast that are worth a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,55 +191,108 @@ def _doc_rows(sizes: list[int], literal: int, known):
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             for i, j in tb.blocks(batch.column("text"), BLOCK):
-                words, h, slot = template(batch.column("text").slice(i, j - i))
-                owner = words.text_ids()
+                words, reads = readings(batch.column("text").slice(i, j - i))
                 out: list[list] = [[] for _ in _NAMES]
-                for size in sizes:
-                    start, hashes = _windows(words, h, slot, size, literal)
+                for mode, size in sizes:
+                    read = reads[mode]
+                    start, hashes = _windows(read, mode, size, literal)
                     if wanted is not None:
                         at = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
                         hit = np.flatnonzero(wanted[at] == hashes) if len(wanted) else at[:0]
                         start, hashes = start[hit], hashes[hit]
-                    text = owner[start]
+                    text = read.owner[start]
                     out[0] += ids[i + text].tolist()
                     out[1] += hashes.view(np.int64).tolist()
-                    out[2] += (start - words.offsets[text]).tolist()
-                    out[3] += [size] * len(start)
-                    out[4] += [0] * len(start)
-                    out[5] += [_slots(words, slot, s, size) for s in start.tolist()]
+                    out[2] += [mode] * len(start)
+                    out[3] += (start - read.offsets[text]).tolist()
+                    out[4] += (read.first[start] - words.offsets[text]).tolist()
+                    out[5] += [size] * len(start)
+                    out[6] += [0] * len(start)
+                    out[7] += [_slots(words, read, p, size) for p in start.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(v, type=t) for v, t in zip(out, _KINDS, strict=True)], names=_NAMES)
 
     return run
 
 
+def _consistent(pairs: set) -> bool:
+    """One value for one value both ways, or no value changed."""
+    return len({i for i, _ in pairs}) == len(pairs) == len({d for _, d in pairs}) or all(i == d for i, d in pairs)
+
+
+def _values(pairs: list[dict]) -> set:
+    """(item value, document value); a number and its unit count apart where both sides have a unit."""
+    out = set()
+    for p in pairs:
+        i, d = p["i"].split("\t"), p["d"].split("\t")
+        out |= set(zip(i, d, strict=True)) if len(i) == len(d) else {(" ".join(i), " ".join(d))}
+    return out
+
+
+_BEST = "doc_id long, item_id long, coverage double, n_slots int, n_changed int, place int"
+
+
+def _judge(cover: float):
+    """The best alignment of each document and item, near diagonals added up."""
+    names = ["doc_id", "item_id", "coverage", "n_slots", "n_changed", "place"]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32()]
+
+    def best(windows: int, length: int, found: list[dict]):
+        found = sorted(found, key=lambda f: f["diagonal"])
+        at, tried = [f["diagonal"] for f in found], []
+        pairs = [_values(f["pairs"]) for f in found]
+        for k, seed in enumerate(found):
+            lo, hi = bisect_left(at, at[k] - length // 2), bisect_right(at, at[k] + length // 2)
+            if sum(len(found[j]["places"]) for j in range(lo, hi)) < cover * windows or not _consistent(pairs[k]):
+                continue
+            places, values, place = set(seed["places"]), pairs[k], seed["place"]
+            tried.append((-len(places) / windows, sum(i != d for i, d in values), place, len(values)))
+            for j in sorted(range(lo, hi), key=lambda j: (-len(found[j]["places"]), abs(at[j] - at[k]))):
+                if len(places) == windows:
+                    break
+                if not places.issuperset(found[j]["places"]) and _consistent(values | pairs[j]):
+                    places, values, place = places | set(found[j]["places"]), values | pairs[j], min(place, found[j]["place"])
+            tried.append((-len(places) / windows, sum(i != d for i, d in values), place, len(values)))
+        return min((x for x in tried if -x[0] >= cover), default=None)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in names]
+            for row in range(batch.num_rows):
+                r = {c: batch.column(c)[row].as_py() for c in ("doc_id", "item_id", "windows", "size", "found")}
+                b = best(r["windows"], r["windows"] + r["size"] - 1, r["found"])
+                if b:
+                    for col, v in zip(out, (r["doc_id"], r["item_id"], -b[0], b[3], b[1], b[2]), strict=True):
+                        col.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(v, type=t) for v, t in zip(out, kinds, strict=True)], names=names)
+
+    return run
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", k: int = 8, literal: int = 4, cover: float = 0.5) -> DataFrame:
     """(doc_id, item_id, kind, coverage, n_slots, n_changed, place) of each leaked item."""
     spark = docs.sparkSession
     items = cut(benchmark.select(F.col(item_id).cast("long").alias("id"), F.col("text").alias("text")).where(F.col("id").isNotNull()).mapInArrow(_item_rows(k, literal), _ROWS))
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # k at most
+    sizes = sorted((r["mode"], r["size"]) for r in items.select("mode", "size").distinct().collect())  # k at most
     n = items.count()
     known = None
     if n <= SENT_WINDOWS:
         got = items.select("hash").distinct().toPandas()["hash"].to_numpy(dtype=np.int64)
         known = spark.sparkContext.broadcast(np.sort(got.view(np.uint64)))
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull())
-    found = rows.mapInArrow(tidy(_doc_rows(sizes, literal, known)), _ROWS).select(F.col("id").alias("doc_id"), "hash", F.col("place").alias("doc_place"), F.col("slots").alias("doc_slots"))
+    found = rows.mapInArrow(tidy(_doc_rows(sizes, literal, known)), _ROWS).select(F.col("id").alias("doc_id"), "hash", F.col("place").alias("doc_place"), F.col("word"), F.col("slots").alias("doc_slots"))
     small = F.broadcast if n <= SENT_WINDOWS else (lambda df: df)
-    side = items.select(F.col("id").alias("item_id"), "hash", F.col("place").alias("item_place"), "windows", F.col("slots").alias("item_slots"))
+    side = items.select(F.col("id").alias("item_id"), "hash", "mode", "size", F.col("place").alias("item_place"), "windows", F.col("slots").alias("item_slots"))
     met = found.join(small(side), "hash").withColumn("diagonal", F.col("doc_place") - F.col("item_place"))
-    run = ["doc_id", "item_id", "diagonal"]
     pairs = F.transform(F.arrays_zip("item_slots", "doc_slots"), lambda s: F.struct(F.lower(s["item_slots"]).alias("i"), F.lower(s["doc_slots"]).alias("d")))
     # An alignment has as many windows as the item at most, so its sets are small.
-    aligned = met.groupBy(*run).agg(
-        F.count_distinct("item_place").alias("n"), F.max("windows").alias("windows"), F.min("doc_place").alias("place"),
+    aligned = met.groupBy("doc_id", "item_id", "mode", "diagonal").agg(
+        F.collect_set("item_place").alias("places"), F.max("windows").alias("windows"), F.max("size").alias("size"), F.min("word").alias("place"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
     )
-    distinct = lambda f: F.size(F.array_distinct(F.transform("pairs", lambda p: p[f])))
-    judged = aligned.select(
-        "doc_id", "item_id", "place", (F.col("n") / F.col("windows")).alias("coverage"), F.size("pairs").alias("n_slots"),
-        F.size(F.filter("pairs", lambda p: p["i"] != p["d"])).alias("n_changed"),
-        ((distinct("i") == F.size("pairs")) & (distinct("d") == F.size("pairs"))).alias("consistent"),
-    ).where((F.col("coverage") >= cover) & (F.col("consistent") | (F.col("n_changed") == 0)))
+    together = aligned.groupBy("doc_id", "item_id", "mode").agg(
+        F.max("windows").alias("windows"), F.max("size").alias("size"), F.sum(F.size("places")).alias("n"), F.collect_list(F.struct("diagonal", "places", "place", "pairs")).alias("found")
+    )
+    judged = together.where(F.col("n") >= cover * F.col("windows")).drop("mode", "n").mapInArrow(tidy(_judge(cover)), _BEST)
     best = judged.groupBy("doc_id", "item_id").agg(F.min(F.struct(-F.col("coverage"), "n_changed", "place", "n_slots")).alias("b"))
     return best.select(
         "doc_id", "item_id", F.when(F.col("b.n_changed") == 0, "exact").otherwise("reparameterised").alias("kind"),

@@ -73,6 +73,22 @@ def test_templates_catch_changed_questions(spark):
     assert decontaminate.leaks(docs.limit(0), items).count() == 0 and decontaminate.leaks(docs, items.limit(0)).count() == 0
 
 
+def test_leaks_whose_length_changed(spark):
+    """A token put in or left out in the middle, slots of other lengths, names that start sentences."""
+    plain = "the old ferry leaves the small harbour every single morning and carries letters flour salt and tools over to the quiet island beyond the long reef"
+    names = "Bob buys apples at the market. Bob sells apples to his friend. Bob keeps apples for his mother."
+    wide = "each worker named Bob carries 1000 stones of 5 kg up the hill before Bob rests and then counts 1000 stones again"
+    items = spark.createDataFrame([(1, plain), (2, names), (3, wide)], "item_id long, text string")
+    other = wide.replace("Bob", "Mary Ann").replace("1000", "2 500").replace("5 kg", "7")
+    rows = [
+        (1, plain.replace("morning and", "morning gladly and")), (2, plain.replace("morning and", "and")), (3, names.replace("Bob", "Tom")), (4, other),
+        (5, names.replace("Bob", "Tom", 1)), (6, plain.split(" and ")[0]), (7, "so " + plain + " it is"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontaminate.leaks(docs, items).collect()}
+    assert got == {(1, 1): "exact", (2, 1): "exact", (3, 2): "reparameterised", (4, 3): "reparameterised", (5, 2): "exact", (7, 1): "exact"}
+
+
 URLS = [
     None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/x?q#f", "https://a.example.com/en/", "https://example.com/EN/", "https://com/", "https://x.com", "https://x.net/es/1", "ftp://net/fr/#a://b/",
     "https://spam-farm.org/", "https://notspam-farm.org/", "https://spam-farms.org/", "https://docs.spam-farm.org/a", "https://x.org/online-casino?x", "https://x.org/casinos", "https://x.org/?a=1&sessionid=deadbeef99",
