@@ -18,9 +18,11 @@ count lower-cased. A second reading, matched apart from the first, takes a capit
 token that starts a sentence for a name too, and has one placeholder for a run of names and
 one for a run of numbers with the unit behind it. A
 window needs `literal` tokens that are no placeholders. Items shorter than a window are
-one window of their own length; items without enough literal tokens can't be found.
+one window of their own length. An item with windows of fewer literal tokens (sums, tables
+of values, lists of names) is matched in a third reading too, whose tokens are the words and
+values themselves: its copies are found, not those with other values.
 
-Null and empty texts match nothing; texts of any length are handled whole. Ties are
+A row with a null id is not looked at and stays. Null and empty texts match nothing; texts of any length are handled whole. Ties are
 broken by coverage, then place. Repeated rows give one result; an input column named
 like an output column is not looked at. Empty tables give an empty result.
 """
@@ -70,13 +72,13 @@ def _inside(buf: np.ndarray) -> np.ndarray:
     return inside
 
 
-#: Ways to read a text: a placeholder a token, or wide ones for runs.
-TOKENS, RUNS = 0, 1
+#: Ways to read a text: a placeholder a token, wide ones for runs, or no placeholders.
+TOKENS, RUNS, RAW = 0, 1, 2
 
 
-def template(texts: pa.Array) -> tuple[tb.Words, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of the texts in their own spelling, template token hashes, which are slots, and
-    which are slots if words that start a sentence can be names."""
+def template(texts: pa.Array) -> tuple[tb.Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the texts in their own spelling, template token hashes, which are slots,
+    which are slots if words that start a sentence can be names, and lower-cased words' hashes."""
     buf, at = tb.flat(texts)
     words = tb.split_where(buf, at, _inside(buf))
     n = len(words.starts)
@@ -84,7 +86,7 @@ def template(texts: pa.Array) -> tuple[tb.Words, np.ndarray, np.ndarray, np.ndar
     low, low_at = tb.flat(pc.utf8_lower(texts.fill_null("")))
     h = tb.split_where(low, low_at, _inside(low)).hashes()
     if not n:
-        return words, h, np.zeros(0, dtype=bool), np.zeros(0, dtype=bool)
+        return words, h, np.zeros(0, dtype=bool), np.zeros(0, dtype=bool), h
     first = buf[words.starts]
     number = _DIGIT[first]
     stops = np.cumsum(_STOP[buf], dtype=np.int64)[words.starts]
@@ -105,8 +107,8 @@ def template(texts: pa.Array) -> tuple[tb.Words, np.ndarray, np.ndarray, np.ndar
     unit = np.zeros(n, dtype=bool)
     unit[1:] = known[1:] & number[:-1]
     unit[words.offsets[:-1][words.counts > 0]] = False
-    h = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, h)))
-    return words, h, number | name | unit, number | named | unit
+    typed = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, h)))
+    return words, typed, number | name | unit, number | named | unit, h
 
 
 @dataclass
@@ -122,7 +124,7 @@ class Reading:
 
 
 def readings(texts: pa.Array) -> tuple[tb.Words, list[Reading]]:
-    words, h, slot, wide = template(texts)
+    words, h, slot, wide, raw = template(texts)
     each, owner = np.arange(len(h)), words.text_ids()
     out = [Reading(h, slot, each, each, owner, words.offsets)]
     kind = np.where(wide & ~slot, NAME, h)
@@ -134,6 +136,7 @@ def readings(texts: pa.Array) -> tuple[tb.Words, list[Reading]]:
     last = np.append(first[1:], len(h))[: len(first)] - 1
     offsets = np.searchsorted(first, words.offsets)
     out.append(Reading(kind[first], wide[first], first, last, owner[first], offsets))
+    out.append(Reading(raw, np.zeros(len(raw), dtype=bool), each, each, owner, words.offsets))
     return words, out
 
 
@@ -175,6 +178,10 @@ def _item_rows(k: int, literal: int):
                     if not size:
                         continue
                     start, hashes = _windows(read, mode, size, literal)
+                    if mode == TOKENS:
+                        whole = len(start) == len(read.h) - size + 1
+                    elif mode == RAW and whole:
+                        continue
                     for p, x in zip(start.tolist(), hashes.view(np.int64).tolist(), strict=True):
                         for col, v in zip(out, (batch.column("id")[row].as_py(), x, mode, p, int(read.first[p]), size, len(start), _slots(words, read, p, size)), strict=True):
                             col.append(v)

@@ -89,6 +89,15 @@ def test_leaks_whose_length_changed(spark):
     assert got == {(1, 1): "exact", (2, 1): "exact", (3, 2): "reparameterised", (4, 3): "reparameterised", (5, 2): "exact", (7, 1): "exact"}
 
 
+def test_leaks_of_few_literal_tokens(spark):
+    """Copies of items that are nearly all numbers or names are found, other values are not."""
+    sums = "12 + 7 - 40 = 19 then 3 * 5 + 8 = 23 and 77 - 6 = 71"
+    items = spark.createDataFrame([(1, sums), (2, "see Anna Berta Clara Dora Emma Frieda Greta Hanna Ida"), (3, "7 kg")], "item_id long, text string")
+    rows = [(1, f"Some text. {sums}. More"), (2, sums.replace("7", "9").replace("3", "4")), (3, "and see Anna Berta Clara Dora Emma Frieda Greta Hanna Ida"), (4, "about 7 kg of it"), (5, "about 8 kg of it")]
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 1): "exact", (3, 2): "exact", (4, 3): "exact"}
+
+
 URLS = [
     None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/x?q#f", "https://a.example.com/en/", "https://example.com/EN/", "https://com/", "https://x.com", "https://x.net/es/1", "ftp://net/fr/#a://b/",
     "https://spam-farm.org/", "https://notspam-farm.org/", "https://spam-farms.org/", "https://docs.spam-farm.org/a", "https://x.org/online-casino?x", "https://x.org/casinos", "https://x.org/?a=1&sessionid=deadbeef99",
