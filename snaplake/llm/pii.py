@@ -8,8 +8,8 @@ estimates how strongly a term reveals a protected value. For a value e and a ter
 
 the share of e's information that t gives away (1: t occurs with e only), where n
 counts texts and t occurs within `near` words of e. A term reaching `generalise_at` is
-generalised to a placeholder, one reaching `remove_at` removed, wherever it stands near
-that value; both need `support` different texts, as two rare words meet once by chance.
+generalised to a placeholder, one reaching `remove_at` removed, wherever it stands in a
+text with that value; both need `support` different texts, as two rare words meet once by chance.
 
 Terms are runs of letters, A-Z lower-cased. Their numbers of texts cover the whole
 corpus: a block sends each of its words once, with its count, to a bucket that keeps
@@ -193,8 +193,35 @@ def _asked_counts(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table({"term": asked.view(np.int64), "n_t": total})
 
 
-def term_spans(docs: DataFrame, found: DataFrame, *, text: str, support: int, generalise_at: float, remove_at: float, buckets: int | None = None) -> DataFrame:
-    """(_id, _twin, _terms): the disclosing terms of each text of found."""
+def _occurrences(text: str, remove_at: float):
+    """(_id, _twin, _terms): every place of a text's disclosing terms outside its personal data."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("remove", pa.bool_())]))
+        for batch in batches:
+            for i, j in tb.blocks(batch.column(text), BLOCK):
+                part = batch.slice(i, j - i)
+                words = tb.split(part.column(text), lower=True, letters=True)
+                h = words.hashes().view(np.int64)
+                chars = np.concatenate([[0], np.cumsum((words.buf & 0xC0) != 0x80)])
+                out = []
+                for k, told in enumerate(part.column("_told").to_pylist()):
+                    share = {t["term"]: t["disclosure"] for t in told}
+                    lo, hi = int(words.offsets[k]), int(words.offsets[k + 1])
+                    at = lo + np.flatnonzero(np.isin(h[lo:hi], np.array(list(share), dtype=np.int64)))
+                    zero = chars[words.text_offsets[k]]
+                    starts, ends = chars[words.starts[at]] - zero, chars[words.ends[at]] - zero
+                    free = np.ones(len(at), dtype=bool)
+                    for a, _, b in base_spans(part.column(text)[k].as_py()):
+                        free &= (ends <= a) | (starts >= b)
+                    out.append([{"start": int(starts[w]), "end": int(ends[w]), "remove": share[int(h[at[w]])] >= remove_at} for w in np.flatnonzero(free).tolist()])
+                yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_twin"), pa.array(out, type=kind)], names=["_id", "_twin", "_terms"])
+
+    return run
+
+
+def term_spans(docs: DataFrame, found: DataFrame, texts: DataFrame, *, text: str, support: int, generalise_at: float, remove_at: float, buckets: int | None = None) -> DataFrame:
+    """(_id, _twin, _terms): the disclosing terms of each text of found. texts has theirs by _id and _twin."""
     n_all = docs.count()
     near = found.select("_id", "_twin", F.explode("_near").alias("c")).select("_id", "_twin", "c.*")
     n_e = found.select(F.explode("_entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
@@ -207,8 +234,11 @@ def term_spans(docs: DataFrame, found: DataFrame, *, text: str, support: int, ge
     n_t = counts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_asked_counts, "term long, n_t long")
     share = F.log(F.col("n_te") * F.lit(float(n_all)) / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n_all)) / F.col("n_e"))
     risky = pairs.join(n_t, "term").where((F.col("n_e") < n_all) & (F.col("n_t") > 0)).withColumn("disclosure", share).where(F.col("disclosure") >= generalise_at)
-    spans = near.join(risky.select("entity", "term", "disclosure"), ["entity", "term"]).groupBy("_id", "_twin", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    return spans.groupBy("_id", "_twin").agg(F.array_sort(F.collect_list(F.struct("start", "end", (F.col("disclosure") >= remove_at).alias("remove")))).alias("_terms"))
+    holders = found.select(F.col("_id").alias("_i"), F.col("_twin").alias("_t"), F.explode("_entities").alias("entity"))
+    told = holders.join(risky.select("entity", "term", "disclosure"), "entity").groupBy("_i", "_t", "term").agg(F.max("disclosure").alias("disclosure"))
+    told = told.groupBy("_i", "_t").agg(F.collect_list(F.struct("term", "disclosure")).alias("_told"))
+    rows = texts.join(told, texts["_id"].eqNullSafe(told["_i"]) & (texts["_twin"] == told["_t"])).select("_id", "_twin", text, "_told").dropDuplicates(["_id", "_twin"])
+    return rows.mapInArrow(tidy(_occurrences(text, remove_at)), "_id long, _twin long, _terms array<struct<start:int,end:int,remove:boolean>>")
 
 
 def _with_keys(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -223,11 +253,13 @@ def find(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", near: i
     """Every row of docs without its text, with spans: array of (start, kind, end, remove)
     in order of start and kind; kind is a place in KINDS."""
     keyed = _with_keys(without(docs, "spans"), doc_id, text)
-    found = cut(keyed.mapInArrow(tidy(_scan(text, near)), f"{_schema(keyed)}, {_FOUND}").drop(text))
-    terms = term_spans(docs, found.where(F.size("_base") > 0), text=text, support=support, generalise_at=generalise_at, remove_at=remove_at)
+    scanned = keyed.mapInArrow(tidy(_scan(text, near)), f"{_schema(keyed)}, {_FOUND}")
+    found = cut(scanned.withColumn("_text", F.when(F.size("_base") > 0, F.col(f"`{text}`"))).drop(text))
+    hit = found.where(F.size("_base") > 0)
+    terms = term_spans(docs, hit.drop("_text"), hit.select("_id", "_twin", F.col("_text").alias(text)), text=text, support=support, generalise_at=generalise_at, remove_at=remove_at)
     base = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(False).alias("remove")))
     extra = F.transform(F.coalesce("_terms", F.array()), lambda s: F.struct(s["start"].alias("start"), F.lit(4).alias("kind"), s["end"].alias("end"), s["remove"].alias("remove")))
-    return _left_by_row(found, terms).withColumn("spans", F.array_sort(F.concat(base, extra))).drop("_id", "_twin", "_base", "_near", "_entities", "_terms")
+    return _left_by_row(found, terms).withColumn("spans", F.array_sort(F.concat(base, extra))).drop("_id", "_twin", "_text", "_base", "_near", "_entities", "_terms")
 
 
 def _left_by_row(rows: DataFrame, terms: DataFrame) -> DataFrame:
@@ -262,7 +294,7 @@ def sanitise(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", nea
     scanned = keyed.mapInArrow(tidy(_scan(text, near)), f"{_schema(keyed)}, {_FOUND}")
     plain = scanned.where(F.size("_base") == 0).select(*[f"`{c}`" for c in names])
     hit = cut(scanned.where(F.size("_base") > 0))
-    terms = term_spans(docs, hit.drop(text), text=text, support=support, generalise_at=generalise_at, remove_at=remove_at)
+    terms = term_spans(docs, hit.drop(text), hit.select("_id", "_twin", F.col(f"`{text}`")), text=text, support=support, generalise_at=generalise_at, remove_at=remove_at)
     changed = _left_by_row(hit, terms).select(*[f"`{c}`" for c in names], "_base", "_terms").mapInArrow(_rewrite(text, names), _schema(docs))
     return plain.union(changed)
 

@@ -204,6 +204,13 @@ def test_terms_that_disclose_are_found_and_replaced(spark):
     assert all("[EMAIL]" in clean[i] and "Quillon" not in clean[i] and "[TERM]" in clean[i] and "@" not in clean[i] for i in range(12))
 
 
+def test_terms_are_replaced_in_the_whole_text(spark):
+    far = F.concat("text", F.lit(" " + "the " * 30 + "Quillon quillon"))
+    docs = secrets(spark).withColumn("text", F.when(F.col("doc_id") < 100, far).otherwise(F.col("text")))
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs, generalise_at=0.6, remove_at=2.0).collect()}
+    assert all("quillon" not in clean[i].lower() and clean[i].endswith("the [TERM] [TERM]") for i in range(12))
+
+
 def test_pii_edges(spark):
     docs = edge_docs(spark, "spans string, base string, near string")
     got = pii.find(docs)
