@@ -173,7 +173,7 @@ def test_judged_links_of_dense_sets(spark):
         every += [flipped(r, base, int(n)) for n in r.integers(1, 110, size)]
     every += [int.from_bytes(r.bytes(64)) for _ in range(100)]
     every = [every[i] for i in r.permutation(len(every)).tolist()]
-    nodes = spark.createDataFrame([(i, signed(x)) for i, x in enumerate(every)], "id long, prints array<long>")
+    nodes = spark.createDataFrame([(i, signed(x) * 2) for i, x in enumerate(every)], "id long, prints array<long>")
     masks = [int(m) for m in simhash.covering_masks(5)]
     groups, met = Groups(range(len(every))), collections.defaultdict(list)
     for i, x in enumerate(every):
@@ -185,11 +185,11 @@ def test_judged_links_of_dense_sets(spark):
             for j in ids:
                 if i < j and (every[i] ^ every[j]).bit_count() <= 84:
                     groups.join(i, j)
-    found = simhash.judged_links(nodes, radius=5, prints=8, most_bits=84, buckets=3)
+    found = simhash.judged_links(nodes, radius=5, meet_prints=8, most_bits=84, buckets=3)
     roots = {row["id"]: row["root"] for row in components.components(found).collect()}
     assert {i: roots.get(i, i) for i in range(len(every))} == {i: groups.find(i) for i in range(len(every))}
     assert found.count() < 3 * len(every)
-    assert simhash.judged_links(nodes.limit(0), radius=5, prints=8, most_bits=84).count() == 0
+    assert simhash.judged_links(nodes.limit(0), radius=5, meet_prints=8, most_bits=84).count() == 0
 
 
 def test_a_hub_takes_no_link_away(spark):
@@ -200,8 +200,8 @@ def test_a_hub_takes_no_link_away(spark):
     y = change(hub, 20)
     fill = [hub & (2**64 - 1) | int.from_bytes(r.bytes(56)) << 64 for _ in range(300)]
     every = [hub, y, change(y, 12), *fill]
-    nodes = spark.createDataFrame([(i, signed(x)) for i, x in enumerate(every)], "id long, prints array<long>")
-    found = simhash.judged_links(nodes, radius=5, prints=8, most_bits=84, buckets=3)
+    nodes = spark.createDataFrame([(i, signed(x) * 2) for i, x in enumerate(every)], "id long, prints array<long>")
+    found = simhash.judged_links(nodes, radius=5, meet_prints=8, most_bits=84, buckets=3)
     assert {(row["id"], row["root"]) for row in components.components(found).collect()} == {(1, 1), (2, 1)}
 
 
@@ -283,3 +283,42 @@ def test_damaged_media_is_told(spark):
     bad = spark.read.parquet(path).withColumn("owned", F.transform("owned", lambda _: F.lit(b"other")))
     with pytest.raises(Exception, match="damaged"):
         media.read(bad).collect()
+
+
+def shingle_set(text, k=5):
+    w = words(text, lower=True)
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))}
+
+
+def similarity(a, b):
+    a, b = shingle_set(a), shingle_set(b)
+    return len(a & b) / len(a | b)
+
+
+def changed(r, text, n):
+    w = text.split()
+    for i in r.choice(len(w), size=n, replace=False).tolist():
+        w[i] = f"new{r.integers(10**9)}"
+    return " ".join(w)
+
+
+def test_recall_of_near_copies_against_all_pairs(spark):
+    """Pairs by similarity, beside 2 000 near copies of one text that all stay one group."""
+    r = np.random.default_rng(12)
+    pairs, rows = [], []
+    for k in range(400):
+        base = prose(20_000 + k, 150 + k % 3 * 100, 4000)
+        near = changed(r, base, 3 + int(r.integers(0, 4)) * (1 + k % 3) // 2)
+        pairs.append((len(rows), len(rows) + 1, similarity(base, near)))
+        rows += [base, near]
+    base = prose(19_999, 300, 4000)
+    first = len(rows)
+    rows += [base, *[changed(r, base, int(r.integers(1, 4))) for _ in range(2000)]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    kept = {x["doc_id"] for x in simhash.keep_one(docs).collect()}
+    caught = lambda low, high: [b not in kept for _, b, s in pairs if low <= s < high]
+    assert len(caught(0.8, 0.85)) > 40 and np.mean(caught(0.8, 0.85)) >= 0.9
+    assert len(caught(0.85, 1.1)) > 60 and all(caught(0.85, 1.1))
+    assert not any(caught(0, 0.65))
+    assert kept & set(range(first, len(rows))) == {first}
+    assert all(a in kept for a, _, _ in pairs)
