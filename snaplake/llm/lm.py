@@ -2,28 +2,33 @@
 
 Training counts of all n-grams up to `order` make the automaton. A state is a seen
 history of at most order - 1 tokens. State s has an arc for each token w seen after
-it, with weight log10 P(w | s), and a failure arc to its longest proper suffix, with
-weight log10(mu / (c(s) + mu)). Weights are Dirichlet-smoothed,
+it, with weight log10 P(w | s), to the longest seen suffix of s w, and a failure arc to
+its longest proper suffix, with weight log10(mu / (c(s) + mu)). Weights are
+Dirichlet-smoothed,
 
     P(w | s) = (c(s w) + mu * P(w | suffix of s)) / (c(s) + mu),
     P(w)     = (c(w) + 1) / (N + V + 1),
 
-so every state's distribution sums to one and counts are all that is gathered. One
-traversal goes left to right: it carries the state (the longest seen suffix of what
-was read), takes the arc of the next token or fails until one has it, and adds up the
-weights. The state after a token depends on its last order - 1 tokens only, so the
-traversal runs for all positions of a block at once.
+so every state's distribution sums to one and counts are all that is gathered. The root
+has an arc for every token; that of an unseen one leads back to it.
 
 No task holds the model. A block of texts asks for the n-grams that it holds: each
 distinct one goes, with its training count in the block, to the bucket of its hash;
-buckets add up and answer each block; texts ride along, packed, and are scored where
-the answers arrive. Frequent n-grams cost one entry a block, and buckets grow in
-number with the input.
-
-N-grams are told apart by 64-bit hashes of their tokens. A-Z is lower-cased, words
+buckets add up and answer each block. The block's tokens, as numbers, join the answers,
+and the part of the automaton that the block can reach is built there: states, arcs and
+failure arcs. It is traversed once from left to right: the state is carried from token to
+token, fails until it has an arc, and the weights add up. The traversal runs over many
+texts side by side, and over pieces of long ones: a piece starts order - 1 tokens early,
+which is all that a state can remember. Frequent n-grams cost one entry a block, and
+buckets grow in number with the input.
+
+Tokens are told apart by 64-bit hashes, longer n-grams by 48 bits of theirs within a
+bucket; as buckets keep their size, one n-gram in about a billion shares its count with
+another, whatever the input. A-Z is lower-cased, words
 are runs without white space, and each text ends with an end token. Null and empty
 texts hold just that. A row with a null id trains the model. Repeated rows count and
-are scored each. An empty table gives an empty result.
+are scored each. docs is read three times and must give the same rows each time, as a
+table does; where it doesn't, an error is raised. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,12 +42,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .shared import groups_for, pack, unpack
+from .shared import groups_for, pack, tidy, unpack
 from .toxicity import held_out
 
 BLOCK = 4 << 20
-CHUNK = 12 << 20
+CHUNK = 16 << 20
 BUCKET_BYTES = 4 << 20
+#: Tokens of a piece, the longest stretch that is traversed in one go.
+PIECE = 512
+#: Bits of a longer n-gram's hash that its question leaves out; the bucket tells more of it.
+SHORT = np.uint64(16)
 #: Fixed values of this module's hashes: the end of a text and what stands before its start.
 END, START = np.uint64(0x0E4D0E4D0E4D0E4D), np.uint64(0x57A9757A97757A97)
 
@@ -64,131 +73,248 @@ def _tokens(texts: pa.Array, pad: int) -> tuple[np.ndarray, np.ndarray]:
     return out, at
 
 
-def _grams(tokens: np.ndarray, at: np.ndarray, n: int, pad: int) -> tuple[np.ndarray, np.ndarray]:
-    """(end places, keys) of the n-grams: those that end at a token of a text and, for
-    histories, at the last start before it."""
-    keys = tb.window_hashes(tokens, n) ^ np.uint64(n) if n > 1 else tokens
-    sizes = np.diff(at)
-    first = at[:-1] + pad - (1 if n <= pad else 0)
-    ends = tb.ranges(first, sizes - (first - at[:-1]))
-    return ends, keys[ends - n + 1]
+class Grams:
+    """The distinct n-grams of a block: keys in order, and the number of the key that ends
+    at each token, -1 where too few tokens stand before it."""
+
+    def __init__(self, tokens: np.ndarray, at: np.ndarray, order: int) -> None:
+        self.keys: list[np.ndarray] = []
+        self.number: list[np.ndarray] = []
+        # What ends at the last start before a text is a history; before that nothing counts.
+        self.counted = np.ones(len(tokens), dtype=bool)
+        self.counted[tb.ranges(at[:-1], np.full(len(at) - 1, max(0, order - 2)))] = False
+        for n in range(1, order + 1):
+            keys = tb.window_hashes(tokens, n) ^ np.uint64(n) if n > 1 else tokens
+            ends = tb.ranges(at[:-1] + n - 1, np.diff(at) - n + 1)
+            distinct, number = np.unique(keys[ends - n + 1], return_inverse=True)
+            every = np.full(len(tokens), -1, dtype=np.int32)
+            every[ends] = number
+            self.keys.append(distinct)
+            self.number.append(every)
+
+    def counts(self, trains: np.ndarray) -> list[np.ndarray]:
+        """How often each n-gram ends at a place that trains."""
+        return [np.bincount(x[trains & self.counted & (x >= 0)], minlength=len(k)) for k, x in zip(self.keys, self.number, strict=True)]
+
+
+def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the keys by bucket, in order of keys, and where each bucket begins."""
+    bucket = (keys % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
 
-def _chunk_keys(tokens, at, order: int, trains: np.ndarray) -> tuple[np.ndarray, np.ndarray, list, list]:
-    """Distinct keys of a chunk in order, their training counts, and for each n the places
-    of its n-grams and the numbers of their keys."""
-    pad = order - 1
-    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    places, keys = zip(*(_grams(tokens, at, n, pad) for n in range(1, order + 1)), strict=True)
-    distinct, number = np.unique(np.concatenate(keys), return_inverse=True)
-    counted = np.concatenate([trains[owner[p]] for p in places])
-    counts = np.bincount(number, weights=counted, minlength=len(distinct)).astype(np.int64)
-    cuts = np.cumsum([len(k) for k in keys])[:-1]
-    return distinct, counts, list(places), np.split(number, cuts)
+def _squeeze(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, byte by byte: the high bytes are mostly zero."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    bucket = (keys % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1)), bucket
+def _unsqueeze(raw: memoryview) -> np.ndarray:
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1), dtype=np.uint64)
+
+
+def _narrow(x: np.ndarray) -> bytes:
+    """Numbers below 2**32, byte by byte."""
+    return x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _wide(raw: memoryview) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).view(np.uint32).reshape(-1).astype(np.int64)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], pad: int) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(name, rows, tokens, where texts begin) of the parts of a task's rows. The name is made
+    of their place and tokens, so it is the same when the task reads the same rows again."""
+    task, made = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        for i, j in tb.blocks(batch.column("text"), CHUNK):
+            part = batch.slice(i, j - i)
+            tokens, at = _tokens(part.column("text"), pad)
+            content = tb.mix(tokens).sum(dtype=np.uint64) + tb.mix(np.array([(task << 24) + made + 1], dtype=np.uint64))
+            yield int(tb.mix(content).view(np.int64)[0]), part, tokens, at
+            made += 1
+
+
+def _trains(part: pa.RecordBatch, at: np.ndarray) -> np.ndarray:
+    return np.repeat(part.column("trains").to_numpy(zero_copy_only=False).astype(bool), np.diff(at))
 
 
 def _ask(order: int, buckets: int):
-    """(route, chunk, bucket, blob): questions routed to buckets, texts to themselves."""
-    schema = pa.schema([("route", pa.int64()), ("chunk", pa.int64()), ("bucket", pa.int64()), ("blob", pa.binary())])
+    """(chunk, bucket, blob): the n-grams of a chunk and their training counts, to their buckets."""
+    schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("blob", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, made = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for i, j in tb.blocks(batch.column("text"), CHUNK):
-                part = batch.slice(i, j - i)
-                texts = part.column("text")
-                trains = part.column("trains").to_numpy(zero_copy_only=False).astype(bool)
-                keys, counts, _, _ = _chunk_keys(*_tokens(texts, order - 1), order, trains)
-                chunk = (task << 24) + made
-                made += 1
-                by, cuts, _ = _by_bucket(keys, buckets)
-                found = np.flatnonzero(np.diff(cuts))
-                blobs = [pack(keys[o], counts[o].astype(np.uint32)) for o in (by[cuts[b] : cuts[b + 1]] for b in found.tolist())]
-                buf, offsets = tb.flat(texts)
-                ids = part.column("doc_id").cast(pa.int64())
-                own = pack(ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False), trains, offsets, buf)
-                yield pa.RecordBatch.from_arrays([pa.array([*found.tolist(), -chunk - 1]), pa.array([chunk] * (len(found) + 1)), pa.array([*found.tolist(), -1]), pa.array([*blobs, own], pa.binary())], schema=schema)
+        for chunk, part, tokens, at in _chunks(batches, order - 1):
+            grams = Grams(tokens, at, order)
+            blobs: dict[int, list[bytes]] = {}
+            for n, (keys, counts) in enumerate(zip(grams.keys, grams.counts(_trains(part, at)), strict=True)):
+                by, cuts = _by_bucket(keys, buckets)
+                for b in np.flatnonzero(np.diff(cuts)).tolist():
+                    o = by[cuts[b] : cuts[b + 1]]
+                    short = keys[o] >> SHORT if n else keys[o]
+                    blobs.setdefault(b, [b""] * (2 * order))[2 * n : 2 * n + 2] = _squeeze(short), _narrow(counts[o])
+            yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(blobs), pa.int64()), pa.array(list(blobs), pa.int64()), pa.array([pack(*x) for x in blobs.values()], pa.binary())], schema=schema)
 
     return run
 
 
-def _add_up(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+def _send(order: int):
+    """(chunk, blob): a chunk's rows as numbers of their tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, part, tokens, at in _chunks(batches, order - 1):
+            distinct, number = np.unique(tokens, return_inverse=True)
+            ids = part.column("doc_id").cast(pa.int64())
+            plain = (ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False), part.column("trains").to_numpy(zero_copy_only=False).astype(bool), at)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([pack(*plain, _squeeze(distinct), _narrow(number))], pa.binary())], names=["chunk", "blob"])
+
+    return run
+
+
+def _opened(blobs: list[bytes]) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+    """(keys, counts) by blob and order."""
     parts = [unpack(b) for b in blobs]
-    keys = [np.frombuffer(p[0], dtype=np.uint64) for p in parts]
-    counts = np.concatenate([np.frombuffer(p[1], dtype=np.uint32) for p in parts]).astype(float)
-    distinct, number = np.unique(np.concatenate(keys), return_inverse=True)
-    return distinct, np.bincount(number, weights=counts, minlength=len(distinct)).astype(np.int64), number, [len(k) for k in keys]
+    return [[(_unsqueeze(k), _wide(c)) for k, c in zip(p[::2], p[1::2], strict=True)] for p in parts]
+
+
+def _sums(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The sum of each distinct key, and for each part the sums of its keys."""
+    distinct, number = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    total = np.bincount(number, weights=np.concatenate([c for _, c in found]).astype(float), minlength=len(distinct)).astype(np.int64)
+    return total, np.split(total[number], np.cumsum([len(k) for k, _ in found])[:-1])
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    if table.column("route")[0].as_py() < 0:
-        return table.select(["chunk", "bucket", "blob"])
-    _, total, number, sizes = _add_up(table.column("blob").to_pylist())
-    cuts = np.cumsum(sizes)[:-1]
-    blobs = [pack(total[n].astype(np.int64)) for n in np.split(number, cuts)]
+    """The corpus counts of the n-grams that each chunk asked a bucket for."""
+    opened = _opened(table.column("blob").to_pylist())
+    each = [_sums([x[n] for x in opened])[1] for n in range(len(opened[0]))]
+    blobs = [pack(*(answers[k].view(np.uint8).reshape(-1, 8).T.tobytes() for answers in each)) for k in range(len(opened))]
     return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "blob": pa.array(blobs, pa.binary())})
 
 
 def _size_of(table: pa.Table) -> pa.Table:
     """(n, v): occurrences and distinct tokens of a bucket's training tokens."""
-    _, total, _, _ = _add_up(table.column("blob").to_pylist())
+    total = _sums([x[0] for x in _opened(table.column("blob").to_pylist())])[0]
     return pa.table({"n": [int(total.sum())], "v": [int((total > 0).sum())]})
 
 
+class Automaton:
+    """States, arcs and failure arcs of the n-grams of a block.
+
+    State 0 is the root, the others are the seen n-grams below the order. Each seen n-gram is
+    an arc: from the state of its history on its last token. The arcs of a state of k tokens
+    are among the n-grams of k + 1, whose numbers by place the block knows: that is how the
+    arc of a state and the next token is found."""
+
+    def __init__(self, grams: Grams, counts: list[np.ndarray], n: int, v: int, mu: float) -> None:
+        order = len(counts)
+        name, total = [], 1  # of the state of each n-gram, 0: no such state
+        for c in counts[:-1]:
+            seen = np.flatnonzero(c > 0)
+            name.append(np.zeros(len(c), dtype=np.int64))
+            name[-1][seen] = total + np.arange(len(seen))
+            total += len(seen)
+        # All n-grams in one row of arcs, those of each order from `base` on.
+        self.base = np.cumsum([0, *[len(c) for c in counts]])
+        self.number = grams.number
+        self.length = np.zeros(total, dtype=np.int64)
+        self.fails_to, self.fail_weight = np.zeros(total, dtype=np.int64), np.zeros(total)
+        prob = (counts[0] + 1.0) / (n + v + 1.0)
+        weights, targets, seens = [np.log10(prob)], [name[0] if order > 1 else np.zeros(len(prob), dtype=np.int64)], [np.ones(len(prob), dtype=bool)]
+        for k in range(1, order):
+            end = np.zeros(len(counts[k]), dtype=np.int64)  # a place where each n-gram ends
+            place = np.flatnonzero(grams.number[k] >= 0)
+            end[grams.number[k][place]] = place
+            history, suffix = grams.number[k - 1][end - 1], grams.number[k - 1][end]
+            c = counts[k - 1][history]
+            prob = np.where(c > 0, (counts[k] + mu * prob[suffix]) / (c + mu), prob[suffix])
+            weights.append(np.log10(prob))
+            seens.append(counts[k] > 0)
+            targets.append(name[k] if k + 1 < order else name[k - 1][suffix])
+            if k + 1 < order:
+                s = np.flatnonzero(name[k])
+                self.fails_to[name[k][s]] = name[k - 1][suffix[s]]
+        for k, states in enumerate(name):
+            s = np.flatnonzero(states)
+            self.length[states[s]] = k + 1
+            self.fail_weight[states[s]] = np.log10(mu / (counts[k][s] + mu))
+        self.weight, self.to, self.has = np.concatenate(weights), np.concatenate(targets), np.concatenate(seens)
+
+    def step(self, state: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after reading the tokens at the places, each in its state, and the weights."""
+        cost, left = np.zeros(len(state)), np.arange(len(state))
+        to, state = np.zeros(len(state), dtype=np.int64), state.copy()
+        while len(left):
+            length = self.length[state[left]]
+            arc = np.empty(len(left), dtype=np.int64)
+            for k, number in enumerate(self.number):
+                of = np.flatnonzero(length == k)
+                arc[of] = self.base[k] + number[place[left[of]]]
+            has = self.has[arc]
+            cost[left[has]] += self.weight[arc[has]]
+            to[left[has]] = self.to[arc[has]]
+            left = left[~has]
+            cost[left] += self.fail_weight[state[left]]
+            state[left] = self.fails_to[state[left]]
+        return to, cost
+
+    def traverse(self, at: np.ndarray, pad: int) -> np.ndarray:
+        """log10 P of every text: at tells where it begins, `pad` starts before its tokens."""
+        size = np.diff(at) - pad
+        pieces = np.maximum(1, -(-size // PIECE))
+        owner = np.repeat(np.arange(len(size)), pieces)
+        within = tb.ranges(np.zeros(len(size), dtype=np.int64), pieces) * PIECE
+        length = np.minimum(PIECE, size[owner] - within)
+        by = np.argsort(-length, kind="stable")
+        owner, begin, length = owner[by], (at[:-1][owner] + within)[by], length[by]
+        state, score = np.zeros(len(by), dtype=np.int64), np.zeros(len(by))
+        for t in range(int(length[0]) + pad if len(length) else 0):
+            n = len(length) if t < pad else int(np.searchsorted(-length, pad - t, side="left"))
+            state[:n], cost = self.step(state[:n], begin[:n] + t)
+            if t >= pad:
+                score[:n] += cost
+        return np.bincount(owner, weights=score, minlength=len(size))
+
+
 def _score(order: int, buckets: int, n: int, v: int, mu: float):
-    def run(table: pa.Table) -> pa.Table:
-        own, answers = None, {}
+    def run(table: pa.Table, sent: pa.Table) -> pa.Table:
+        if sent.num_rows != 1 or not table.num_rows:
+            raise ValueError("docs gave other rows when it was read again; write it to a table first")
+        own, answers = unpack(sent.column("blob")[0].as_py()), {}
         for bucket, blob in zip(table.column("bucket").to_pylist(), table.column("blob").to_pylist(), strict=True):
-            if bucket < 0:
-                own = unpack(blob)
-            else:
-                answers[bucket] = np.frombuffer(unpack(blob)[0], dtype=np.int64)
-        kinds = (np.int64, bool, bool, np.int64, np.uint8)
-        ids, no_id, trains, offsets, buf = (np.frombuffer(p, dtype=t) for p, t in zip(own, kinds, strict=True))
-        texts = pa.LargeStringArray.from_buffers(len(ids), pa.py_buffer(offsets), pa.py_buffer(buf))
-        pad = order - 1
-        tokens, at = _tokens(texts, pad)
-        keys, _, places, numbers = _chunk_keys(tokens, at, order, trains)
-        by, cuts, _ = _by_bucket(keys, buckets)
-        counts = np.zeros(len(keys), dtype=np.int64)
-        for b in np.flatnonzero(np.diff(cuts)).tolist():
-            counts[by[cuts[b] : cuts[b + 1]]] = answers[b]
-        count_at = []
-        for p, number in zip(places, numbers, strict=True):
-            c = np.zeros(len(tokens), dtype=np.int64)
-            c[p] = counts[number]
-            count_at.append(c)
+            answers[bucket] = [np.ascontiguousarray(np.frombuffer(p, dtype=np.uint8).reshape(8, -1).T).view(np.int64).reshape(-1) for p in unpack(blob)]
+        ids, no_id, trains, at = (np.frombuffer(p, dtype=t) for p, t in zip(own[:4], (np.int64, bool, bool, np.int64), strict=True))
+        tokens = _unsqueeze(own[4])[_wide(own[5])] if len(own[5]) else np.zeros(0, dtype=np.uint64)
+        grams, pad, counts = Grams(tokens, at, order), order - 1, []
+        for k, keys in enumerate(grams.keys):
+            by, cuts = _by_bucket(keys, buckets)
+            c = np.zeros(len(keys), dtype=np.int64)
+            for b in np.flatnonzero(np.diff(cuts)).tolist():
+                c[by[cuts[b] : cuts[b + 1]]] = answers[b][k]
+            counts.append(c)
         real = tb.ranges(at[:-1] + pad, np.diff(at) - pad)
-        seen = count_at[0][real]
-        prob = (seen + 1.0) / (n + v + 1.0)
-        for k in range(2, order + 1):
-            state = count_at[k - 2][real - 1]  # of the history, 0: no such state
-            prob = np.where(state > 0, (count_at[k - 1][real] + mu * prob) / (state + mu), prob)
-        cut = np.searchsorted(real, at[:-1])
-        size = np.diff(at) - pad
+        seen = counts[0][grams.number[0][real]]
+        cut, size = np.searchsorted(real, at[:-1]), np.diff(at) - pad
         add = lambda x: np.add.reduceat(x, cut) if len(cut) else np.zeros(0)
         base = add(np.log10(seen + 1.0)) - size * np.log10(n + v + 1.0)
-        return pa.table({"doc_id": pa.array(ids, mask=no_id), "held_out": ~trains, "n_tokens": pa.array(size), "n_known": pa.array(add((seen > 0).astype(np.int64)), pa.int64()), "base_score": base, "score": add(np.log10(prob))})
+        score = Automaton(grams, counts, n, v, mu).traverse(at, pad)
+        return pa.table({"doc_id": pa.array(ids, mask=no_id), "held_out": ~trains, "n_tokens": pa.array(size), "n_known": pa.array(add((seen > 0).astype(np.int64)), pa.int64()), "base_score": base, "score": score})
 
     return run
 
 
-def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", trains: F.Column | None = None, order: int = 2, mu: float = 64.0, buckets: int | None = None) -> DataFrame:
+def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", trains: F.Column | None = None, order: int = 3, mu: float = 64.0, buckets: int | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every
     row of docs. trains says which rows train the model (all where not given)."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), (F.lit(True) if trains is None else trains).alias("trains"))
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), (F.lit(True) if trains is None else trains).alias("trains"))
     buckets = buckets or groups_for(rows, "text", BUCKET_BYTES, least=8)
-    asked = "route long, chunk long, bucket long, blob binary"
-    words = rows.where("trains").mapInArrow(_ask(1, buckets), asked).where(F.col("route") >= 0)
+    asked = "chunk long, bucket long, blob binary"
+    words = rows.where("trains").mapInArrow(tidy(_ask(1, buckets)), asked)
     n, v = words.groupBy("bucket").applyInArrow(_size_of, "n long, v long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    answered = rows.mapInArrow(_ask(order, buckets), asked).groupBy("route").applyInArrow(_answer, "chunk long, bucket long, blob binary")
-    scored = answered.groupBy("chunk").applyInArrow(_score(order, buckets, int(n), int(v), mu), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    answered = rows.mapInArrow(tidy(_ask(order, buckets)), asked).groupBy("bucket").applyInArrow(_answer, asked)
+    sent = rows.mapInArrow(tidy(_send(order)), "chunk long, blob binary")
+    scored = answered.groupBy("chunk").cogroup(sent.groupBy("chunk")).applyInArrow(_score(order, buckets, int(n), int(v), mu), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score")
 
 

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import uuid
 import zlib
 
 import numpy as np
@@ -65,14 +66,14 @@ def test_windows_of_rows_that_share_an_id_and_of_null_ids(spark):
 def test_language_model(spark):
     docs = edge_docs(spark)
     trains = F.col("doc_id") % 2 == 1
-    for order in (2, 3):
+    for order in (1, 2, 3, 4):
         got = lm.score(docs, trains=trains, order=order, mu=4.0, buckets=3).collect()
         rows = [(r["doc_id"], words(r["text"], lower=True) + ["</s>"]) for r in docs.collect()]
         counts = collections.Counter()
         for i, w in rows:
             if i % 2 == 1:
                 padded = ["<s>"] * (order - 1) + w
-                for p in range(order - 2, len(padded)):
+                for p in range(max(0, order - 2), len(padded)):
                     for n in range(1, order + 1):
                         if n <= p + 1:
                             counts[tuple(padded[p - n + 1 : p + 1])] += 1
@@ -98,6 +99,55 @@ def test_language_model(spark):
     assert lm.score(docs.limit(0)).count() == 0
 
 
+class PlainAutomaton:
+    """States are tuples; arcs and failure arcs as dictionaries, one token at a time."""
+
+    def __init__(self, rows, order, mu):
+        self.order, counts = order, collections.Counter()
+        for w in rows:
+            padded = ["<s>"] * (order - 1) + w
+            for p in range(order - 2, len(padded)):
+                for n in range(1, min(order, p + 1) + 1):
+                    counts[tuple(padded[p - n + 1 : p + 1])] += 1
+        self.single = {g: c for g, c in counts.items() if len(g) == 1 and g != ("<s>",)}
+        self.floor = sum(self.single.values()) + len(self.single) + 1
+        self.states = {g for g in counts if len(g) < order} | {()}
+        self.fail = {s: (s[1:], math.log10(mu / (counts[s] + mu))) for s in self.states if s}
+        prob = {}
+        for g in sorted(counts, key=len):
+            below = prob[g[1:]] if len(g) > 1 else None
+            prob[g] = (counts[g] + 1) / self.floor if below is None else (counts[g] + mu * below) / (counts[g[:-1]] + mu)
+        self.arcs = {(g[:-1], g[-1]): (next(g[k:] for k in range(len(g) + 1) if g[k:] in self.states), math.log10(prob[g])) for g in counts}
+
+    def score(self, w):
+        state, total = next(s for s in (("<s>",) * n for n in range(self.order - 1, -1, -1)) if s in self.states), 0.0
+        for token in w:
+            while (state, token) not in self.arcs and state:
+                state, weight = self.fail[state]
+                total += weight
+            state, weight = self.arcs.get((state, token), ((), -math.log10(self.floor)))
+            total += weight
+        return total
+
+
+def test_language_model_equals_a_plain_automaton(spark):
+    """Long texts are traversed in pieces, others side by side; the scores are those of one walk."""
+    texts = [prose(i, 30 + 400 * (i % 5), 40 + i) for i in range(40)] + ["new words only", "", None, prose(5, 3000, 300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for order in (2, 3):
+        plain = PlainAutomaton([words(t, lower=True) + ["</s>"] for i, t in enumerate(texts) if i % 3], order, 2.0)
+        for r in lm.score(docs, trains=F.col("doc_id") % 3 > 0, order=order, mu=2.0, buckets=5).collect():
+            assert r["score"] == pytest.approx(plain.score(words(texts[r["doc_id"]], lower=True) + ["</s>"]))
+    none = lm.score(docs, trains=F.lit(False)).collect()
+    assert len(none) == len(texts) and all(r["score"] == 0 and r["train_tokens"] == 0 for r in none)
+
+
+def test_language_model_tells_of_rows_that_change(spark):
+    docs = spark.createDataFrame([(i, prose(i, 50)) for i in range(20)], "doc_id long, text string").withColumn("text", F.concat("text", F.udf(lambda: f" {uuid.uuid4()}").asNondeterministic()()))
+    with pytest.raises(Exception, match="write it to a table first"):
+        lm.score(docs).collect()
+
+
 def fingerprint(text, k=4):
     w = words(text, lower=True)
     if not w:
