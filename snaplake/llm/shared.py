@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def use_checkpoints(spark: SparkSession) -> None:
@@ -38,6 +39,23 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[f"`{c}`" for c in df.columns if c.lower() not in taken])
 
 
+def fresh(df: DataFrame, *names: str) -> dict[str, str]:
+    """A column name that df has not, in any case, for each of names."""
+    taken, out = {c.lower() for c in df.columns}, {}
+    for n in names:
+        free = f"_{n}"
+        while free.lower() in taken:
+            free = f"_{free}"
+        out[n] = free
+        taken.add(free.lower())
+    return out
+
+
+def fields(df: DataFrame) -> str:
+    """The columns of df as a schema in DDL."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def pack(*arrays: np.ndarray | bytes, level: int = 3) -> bytes:
     """Arrays and byte strings as one compressed blob."""
     parts, head = [], []
@@ -66,9 +84,7 @@ def as_batch(columns: dict[str, Iterable], schema: pa.Schema) -> pa.RecordBatch:
 
 def groups_for(df: DataFrame, text: str, bytes_each: int, least: int = 1) -> int:
     """How many groups of about bytes_each the texts of df make: grows with the input."""
-    from pyspark.sql import functions as F
-
-    total = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    total = df.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     return max(least, int(-(-total // bytes_each)))
 
 
@@ -87,17 +103,21 @@ BROADCAST_IDS = 1_000_000
 def without_ids(df: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     """df without the rows whose id is in ids (one distinct column). A short list is
     broadcast, so df isn't shuffled; a longer one is joined by its hash."""
-    from pyspark.sql import functions as F
-
-    side = ids.toDF("_gone")
+    gone = fresh(df, "gone")["gone"]
+    side = ids.toDF(gone)
     if ids.count() <= BROADCAST_IDS:
         side = F.broadcast(side)
-    return df.join(side, F.col(f"`{name}`") == F.col("_gone"), "left_anti")
+    return df.join(side, F.col(f"`{name}`") == F.col(gone), "left_anti")
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
-    """Hand texts to Python tasks in batches of this size: less memory beside the heap."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    """Hand texts to Python tasks in batches of this size, less memory beside the heap, where
+    the session sets no size of its own."""
+    if spark.conf.get(BATCH_BYTES, "1") == "1":
+        spark.conf.set(BATCH_BYTES, size)
 
 
 def tidy(run):

@@ -32,8 +32,9 @@ _IS_LETTER[65:91] = _IS_LETTER[97:123] = _IS_LETTER[128:] = True
 _IS_STOP = np.zeros(256, dtype=bool)
 _IS_STOP[[ord(c) for c in ".!?\n"]] = True
 
-_BYTE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
+#: A byte table and a base for each of two independent hashes.
+_BYTE = np.random.default_rng(20240607).integers(1, 2**63, (2, 256), dtype=np.uint64) * U64(2) + U64(1)
+_BASE = (0x9E3779B97F4A7C15 | 1, 0xBB67AE8584CAA73B | 1)
 _WORD_BASE = 0xD6E8FEB86659FD93 | 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -77,8 +78,9 @@ class Words:
     def text_ids(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.offsets) - 1), self.counts)
 
-    def hashes(self) -> np.ndarray:
-        """One well mixed 64-bit value a word; equal words, equal values."""
+    def hashes(self, lane: int = 0) -> np.ndarray:
+        """One well mixed 64-bit value a word; equal words, equal values. Lanes 0 and 1 share
+        no table, so words that collide in one are as likely as others to in the other."""
         out = np.zeros(len(self.starts), dtype=np.uint64)
         i = 0
         while i < len(out):
@@ -86,9 +88,9 @@ class Words:
             zero = int(self.starts[i])
             j = max(i + 1, int(np.searchsorted(self.ends, zero + SEGMENT, side="right")))
             part = self.buf[zero : int(self.ends[j - 1])]
-            up, down = _power_table(_BASE, len(part) + 1)
+            up, down = _power_table(_BASE[lane], len(part) + 1)
             total = np.zeros(len(part) + 1, dtype=np.uint64)
-            np.cumsum(_BYTE[part] * up[: len(part)], out=total[1:])
+            np.cumsum(_BYTE[lane][part] * up[: len(part)], out=total[1:])
             first, last = self.starts[i:j] - zero, self.ends[i:j] - zero
             out[i:j] = mix((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64))
             i = j

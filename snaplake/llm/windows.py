@@ -12,9 +12,16 @@ all windows are cut out again and sorted, which brings equal windows together.
 A task first judges the windows of its own block and sends only those that no
 smaller id of the block has, so a passage in a third of all documents reaches its
 bucket once a block. With salts > 1 a bucket is judged in that many parts before
-the survivors meet. Buckets grow in number with the input, not in size.
+the survivors meet.
 
-Equality of windows is that of two independent 64-bit hashes of their words. Null
+Buckets grow in number with the input, not in size: a first pass counts the windows of
+every bucket, and where a frequent run of words as minimiser makes one larger than
+`most` windows, its windows go by a longer minimiser instead (2 m + 1 words), and where
+that is too frequent as well, each by itself as a whole. Equal windows take equal
+decisions, so they still meet. What can't be split is one window repeated, and that is
+sent once a block.
+
+Equality of windows is that of two 64-bit hashes of their words that share no table. Null
 and empty texts have no words; texts of any length are handled whole. A row with a
 null id neither removes nor loses words. Equal rows, and rows that share an id, never
 remove each other's words. Input columns named like an output column are replaced.
@@ -31,18 +38,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .shared import groups_for, pack, unpack, without
+from .shared import fields, fresh, groups_for, pack, tidy, unpack, without
 
 BLOCK = 4 << 20
 #: Text bytes whose super-k-mers share a bucket; packed they are about three times that.
 BUCKET_BYTES = 6 << 20
 #: Compression level of the packed strings, which are most of what is shuffled.
 LEVEL = 7
-_SECOND = np.uint64(0x5851F42D4C957F2D)
+#: Windows of a bucket beyond which it is split, about four times those of BUCKET_BYTES of prose.
+MOST_WINDOWS = 4_000_000
 
 
-def _lanes(h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    return tb.window_hashes(h, k), tb.window_hashes(tb.mix(h ^ _SECOND), k)
+def _lanes(words: tb.Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+    return tb.window_hashes(words.hashes(), k), tb.window_hashes(words.hashes(lane=1), k)
 
 
 def _repeated(one: np.ndarray, two: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -111,8 +119,62 @@ def _spans(where: np.ndarray, owner: np.ndarray, ids: np.ndarray, rows: np.ndarr
     return ids[o], rows[o], at[first].astype(np.int32), (last - first + 1).astype(np.int32)
 
 
-def _send(k: int, m: int, buckets: int):
+def _keys(h: np.ndarray, k: int, m: int, starts: np.ndarray) -> np.ndarray:
+    """The least hash of m neighbouring words in each of the windows of k words at starts."""
+    return _sliding_min(tb.window_hashes(h, m), k - m + 1)[starts]
+
+
+def _widths(k: int, m: int) -> list[int]:
+    """Words of the minimisers that are tried in turn; the last is the window itself."""
+    return [m, *([2 * m + 1] if 2 * m + 1 < k else []), *([k] if m < k else [])]
+
+
+def _inner(words: tb.Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the windows that lie in one text, and their texts."""
+    owner = words.text_ids()
+    if len(owner) < k:
+        return np.zeros(0, dtype=np.int64), owner[:0]
+    starts = np.flatnonzero(owner[: len(owner) - k + 1] == owner[k - 1 :])
+    return starts, owner[starts]
+
+
+def _sizes(k: int, m: int, buckets: int):
+    """(bucket, n): windows of a block by the buckets of all minimisers but the last; those of
+    the second width are numbered from `buckets` on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in tb.blocks(batch.column("text"), BLOCK):
+                words = tb.split(batch.column("text").slice(i, j - i))
+                starts, h = _inner(words, k)[0], words.hashes()
+                found = [_keys(h, k, w, starts) % np.uint64(buckets) + np.uint64(lap * buckets) for lap, w in enumerate(_widths(k, m)[:-1])] if len(starts) else []
+                bucket, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int64)), pa.array(n.astype(np.int64))], names=["bucket", "n"])
+
+    return run
+
+
+def large_buckets(docs: DataFrame, k: int, m: int, buckets: int, most: int) -> list[int]:
+    """Buckets of more than most windows: no more than twice the corpus's windows / most."""
+    counted = docs.select("text").mapInArrow(_sizes(k, m, buckets), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return sorted(r["bucket"] for r in counted.where(F.col("n") > most).select("bucket").collect())
+
+
+def _send(k: int, m: int, buckets: int, large: list[int]):
     schema = pa.schema([("bucket", pa.int64()), ("blob", pa.binary())])
+    split = np.array(large, dtype=np.int64)
+
+    def key_and_bucket(h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What neighbouring windows share that travel together, and where they go."""
+        key = np.zeros(len(starts), dtype=np.uint64)
+        bucket, left = np.zeros(len(starts), dtype=np.int64), np.arange(len(starts))
+        for lap, width in enumerate(_widths(k, m)):
+            key[left] = _keys(h, k, width, starts[left])
+            bucket[left] = (key[left] % np.uint64(buckets)).astype(np.int64) + lap * buckets
+            left = left[np.isin(bucket[left], split)] if len(split) else left[:0]
+            if not len(left):
+                break
+        return key, bucket
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,20 +182,19 @@ def _send(k: int, m: int, buckets: int):
                 part = batch.slice(i, j - i)
                 ids, rows = (part.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "row"))
                 words = tb.split(part.column("text"))
-                h, owner = words.hashes(), words.text_ids()
-                if len(h) < k:
+                starts, owner = _inner(words, k)
+                if not len(starts):
                     continue
-                starts = np.flatnonzero(owner[: len(h) - k + 1] == owner[k - 1 :])
-                one, two = (x[starts] for x in _lanes(h, k))
-                gone = _repeated(one, two, ids[owner[starts]])
-                at = starts - words.offsets[owner[starts]]
-                out, stay = starts[gone], starts[~gone]
-                spans = _spans(out, owner[out], ids, rows, at[gone])
-                least = _sliding_min(tb.window_hashes(h, m), k - m + 1)[stay]
-                first, last = _breaks(stay, owner[stay], least)
-                o = owner[stay[first]]
+                one, two = (x[starts] for x in _lanes(words, k))
+                gone = _repeated(one, two, ids[owner])
+                at = starts - words.offsets[owner]
+                spans = _spans(starts[gone], owner[gone], ids, rows, at[gone])
+                stay, at, owner = starts[~gone], at[~gone], owner[~gone]
+                key, bucket = key_and_bucket(words.hashes(), stay)
+                first, last = _breaks(stay, owner, key, bucket)
+                o = owner[first]
                 strings = words.packed(stay[first], stay[last] + k - 1)[1]
-                keys, blobs = _blob_rows((least[first] % np.uint64(buckets)).astype(np.int64), (ids[o], rows[o], at[~gone][first].astype(np.int32), (last - first + 1).astype(np.int32)), strings, spans)
+                keys, blobs = _blob_rows(bucket[first], (ids[o], rows[o], at[first].astype(np.int32), (last - first + 1).astype(np.int32)), strings, spans)
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], schema=schema)
 
     return run
@@ -166,7 +227,7 @@ def _judge(k: int, *, last_round: bool):
             offsets = (place[i : j + 1] - place[i]).astype(np.int64)
             part = pa.LargeStringArray.from_buffers(j - i, pa.py_buffer(offsets.tobytes()), pa.py_buffer(text[place[i] : place[j]]))
             words = tb.split(part)
-            one, two = _lanes(words.hashes(), k)
+            one, two = _lanes(words, k)
             starts = tb.ranges(words.offsets[:-1], n[i:j].astype(np.int64))
             ones.append(one[starts])
             twos.append(two[starts])
@@ -199,16 +260,17 @@ def _judge(k: int, *, last_round: bool):
     return run
 
 
-def repeated_spans(docs: DataFrame, *, k: int = 13, minimiser: int = 3, buckets: int | None = None, salts: int = 1) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, k: int = 13, minimiser: int = 3, buckets: int | None = None, salts: int = 1, most: int = MOST_WINDOWS) -> DataFrame:
     """(id, row, start, n) for docs(id, row, text): n windows from word `start` on are repeated.
 
     buckets: grows with the input where not given. salts: parts in which a bucket is
-    judged first; raise it with the number of input blocks (about one a thousand)."""
+    judged first; raise it with the number of input blocks (about one a thousand).
+    most: windows beyond which a bucket is split."""
     if not 1 <= minimiser <= k:
         raise ValueError("a minimiser has 1 to k words")
     docs = docs.where(F.col("id").isNotNull())
     buckets = buckets or groups_for(docs, "text", BUCKET_BYTES, least=8)
-    sent = docs.mapInArrow(_send(k, minimiser, buckets), "bucket long, blob binary")
+    sent = docs.mapInArrow(tidy(_send(k, minimiser, buckets, large_buckets(docs, k, minimiser, buckets, most))), "bucket long, blob binary")
     if salts > 1:
         sent = (
             sent.withColumn("salt", F.spark_partition_id() % salts).groupBy("bucket", "salt")
@@ -218,12 +280,14 @@ def repeated_spans(docs: DataFrame, *, k: int = 13, minimiser: int = 3, buckets:
 
 
 def _kept(k: int, names: list[str]):
+    """The rows with their columns `names`, from those, the text and the spans in this order."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j in tb.blocks(batch.column("_text"), BLOCK):
+            for i, j in tb.blocks(batch.column(len(names)), BLOCK):
                 part = batch.slice(i, j - i)
-                words = tb.split(part.column("_text"))
-                spans = part.column("_spans").fill_null([])
+                words = tb.split(part.column(len(names)))
+                spans = part.column(len(names) + 1).fill_null([])
                 values = spans.flatten()
                 owner = np.repeat(np.arange(j - i), spans.value_lengths().to_numpy(zero_copy_only=False))
                 start, n = (values.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1))
@@ -246,24 +310,27 @@ def _kept(k: int, names: list[str]):
                 lost_words = np.concatenate([[0], np.cumsum(gone)])
                 removed = lost_words[words.offsets[1:]] - lost_words[words.offsets[:-1]]
                 kept = pa.array(texts, pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(words.counts), pa.array(removed), kept], names=[*names, "n_words", "n_removed", "kept"])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(words.counts), pa.array(removed), kept], names=[*names, "n_words", "n_removed", "kept"])
 
     return run
 
 
-def remove_repeated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 13, minimiser: int = 3, buckets: int | None = None, salts: int = 1) -> DataFrame:
+def remove_repeated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 13, minimiser: int = 3, buckets: int | None = None, salts: int = 1, most: int = MOST_WINDOWS) -> DataFrame:
     """docs without its text column but with n_words, n_removed (long) and kept: the
     words that stay, joined by one space."""
     rest = without(docs, text, "n_words", "n_removed", "kept")
     names = rest.columns
     # Rows are told apart by their texts only where ids repeat: a hash does not compress.
-    repeats = not docs.groupBy(doc_id).count().where("count > 1").isEmpty()
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(doc_id).cast("long").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"), (F.xxhash64(text) if repeats else F.lit(0).cast("long")).alias("_row"))
-    spans = repeated_spans(rows.select(F.col("_id").alias("id"), F.col("_row").alias("row"), F.col("_text").alias("text")), k=k, minimiser=minimiser, buckets=buckets, salts=salts)
-    by_row = spans.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
-    joined = rows.join(by_row.hint("shuffle_hash"), ["_id", "_row"], "left").select(*[f"`{c}`" for c in names], "_text", "_spans")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema)
-    return joined.mapInArrow(_kept(k, names), f"{fields}, n_words long, n_removed long, kept string")
+    repeats = not docs.groupBy(f"`{doc_id}`").count().where("count > 1").isEmpty()
+    own = fresh(docs, "id", "row", "text", "spans")
+    rows = docs.select(
+        *[F.col(f"`{c}`") for c in names], F.col(f"`{doc_id}`").cast("long").alias(own["id"]), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(own["text"]),
+        (F.xxhash64(f"`{text}`") if repeats else F.lit(0).cast("long")).alias(own["row"]),
+    )
+    spans = repeated_spans(rows.select(F.col(own["id"]).alias("id"), F.col(own["row"]).alias("row"), F.col(own["text"]).alias("text")), k=k, minimiser=minimiser, buckets=buckets, salts=salts, most=most)
+    by_row = spans.groupBy(F.col("id").alias(own["id"]), F.col("row").alias(own["row"])).agg(F.collect_list(F.struct("start", "n")).alias(own["spans"]))
+    joined = rows.join(by_row.hint("shuffle_hash"), [own["id"], own["row"]], "left").select(*[f"`{c}`" for c in names], own["text"], own["spans"])
+    return joined.mapInArrow(_kept(k, names), f"{fields(rest)}, n_words long, n_removed long, kept string".lstrip(", "))
 
 
 def op4_superkmer_repeats(spark, sf_dir: str) -> DataFrame:

@@ -372,3 +372,29 @@ def test_recall_of_near_copies_against_all_pairs(spark):
     assert not any(caught(0, 0.65))
     assert kept & set(range(first, len(rows))) == {first}
     assert all(a in kept for a, _, _ in pairs)
+
+
+def test_a_frequent_run_of_words_fills_no_bucket(spark):
+    """One triple stands in every window: its bucket is split, and the result is that of no split."""
+    r = np.random.default_rng(4)
+    texts = [" ".join(f"the same three x{r.integers(4000)} y{r.integers(4000)} z{r.integers(9)}" for _ in range(60)) for _ in range(60)]
+    texts += [texts[3][:1500], "a " + texts[7]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    buckets, most = 40, 1500
+    rows = docs.select(F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("row"), "text")
+    large = windows.large_buckets(rows, 13, 3, buckets, most)
+    assert large
+    windows_of = lambda split: {b: sum(int(windows._open(x)[0][3].sum()) for x in blobs) for b, blobs in rows.mapInArrow(windows._send(13, 3, buckets, split), "bucket long, blob binary").groupBy("bucket").agg(F.collect_list("blob")).collect()}
+    assert max(windows_of([]).values()) > most >= max(windows_of(large).values())
+    want = brute_windows(list(enumerate(texts)), 13)
+    got = windows.remove_repeated(docs, buckets=buckets, most=most).collect()
+    assert len(got) == len(texts) and all((x["n_words"], x["n_removed"], x["kept"]) == want[x["doc_id"]] for x in got)
+    assert sum(x["n_removed"] for x in got) > 300
+
+
+def test_hash_lanes_differ():
+    import pyarrow as pa
+
+    w = textblocks.split(pa.array(["some words of a text " * 3]))
+    one, two = w.hashes(), w.hashes(lane=1)
+    assert not set(one.tolist()) & set(two.tolist()) and len(set(zip(one.tolist(), two.tolist(), strict=True))) == 5
