@@ -16,15 +16,15 @@ A node's name is a digest of the chain of segments, so building the tree is one
 grouping by name. Depth-first order: conversations are sorted by the names along their
 path and numbered; a node belongs to the first conversation through it. Offsets are
 running sums in that order, by partition first. Conversations are streamed in order
-of turns through tasks, never held; a first turn that most conversations share is one
-group of partial aggregates.
+of turns through tasks, never held, but for 8 bytes a turn that make its path. A first
+turn that most conversations share is one group of partial aggregates; where ways meet
+their nodes, such a node is dealt to several keys.
 
 Turns are ordered by turn, then role and text; null turns come first, null roles and
 texts count as empty. Repeated rows are turns of their own, and rows with a null
 conv_id one conversation. Turns of any length are handled whole. Other columns are not
-looked at. An empty table gives an empty result. Paths are compared by their first
-`path_nodes` nodes, then by their last: beyond that depth a subtree may be laid out in
-several runs, with parents still before children.
+looked at. An empty table gives an empty result. The order is depth-first at any depth; a
+path ends at Spark's largest binary value, 268 million turns.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut, shared_folder
+from .shared import cut, fields, shared_folder
 
 _TEXT = str.maketrans({"\\": "\\\\", "<": "\\l", "[": "\\k"})
 _ROLE = str.maketrans({"\\": "\\\\", "<": "\\l", "[": "\\k", "|": "\\p", "\n": "\\n"})
@@ -69,41 +69,52 @@ def parse(seg: str) -> tuple[str, str]:
 _TURNS = "conv_id long, depth long, node binary, parent binary, n_chars long, position long, loss_start long, loss_end long, seg string, path binary"
 
 
-def _chain(path_nodes: int):
+def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Turns in order to nodes; the last turn of a conversation has its path."""
+    names = [f.split()[0] for f in _TURNS.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+    out: list[list] = []
+    conv, node, depth, position, path, begun = None, b"", 0, 0, bytearray(), False
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in _TURNS.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-        out: list[list] = []
-        conv, node, depth, position, path, begun = None, b"", 0, 0, b"", False
-
-        def flush(upto: int) -> Iterator[pa.RecordBatch]:
-            if upto > 0:
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out[:upto]], type=k) for c, k in enumerate(kinds)], names=names)
-                del out[:upto]
-
-        def close() -> None:
-            if out:
-                out[-1][9] = path + node
-
-        for batch in batches:
-            for c, role, text in zip(*(batch.column(k).to_pylist() for k in ("conv_id", "role", "text")), strict=True):
-                if not begun or c != conv:
-                    close()
-                    conv, node, depth, position, path, begun = c, b"", 0, 0, b"", True
-                seg, a, b = segment(role or "", text or "")
-                above, node = node, hashlib.sha256(node + seg.encode()).digest()[:16]
-                loss = (a, b) if role == "assistant" else (None, None)
-                out.append([c, depth, node, above or None, len(seg), position, *loss, seg, None])
-                if depth < path_nodes:
-                    path += node[:8]
-                depth, position = depth + 1, position + len(seg)
-            yield from flush(len(out) - 1)
-        close()
-        yield from flush(len(out))
-
-    return run
+    def flush(upto: int) -> Iterator[pa.RecordBatch]:
+        if upto > 0:
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out[:upto]], type=k) for c, k in enumerate(kinds)], names=names)
+            del out[:upto]
+
+    def close() -> None:
+        if out:
+            out[-1][9] = bytes(path)
+
+    for batch in batches:
+        for c, role, text in zip(*(batch.column(k).to_pylist() for k in ("conv_id", "role", "text")), strict=True):
+            if not begun or c != conv:
+                close()
+                conv, node, depth, position, path, begun = c, b"", 0, 0, bytearray(), True
+            seg, a, b = segment(role or "", text or "")
+            above, node = node, hashlib.sha256(node + seg.encode()).digest()[:16]
+            loss = (a, b) if role == "assistant" else (None, None)
+            out.append([c, depth, node, above or None, len(seg), position, *loss, seg, None])
+            path += node[:8]
+            depth, position = depth + 1, position + len(seg)
+        yield from flush(len(out) - 1)
+    close()
+    yield from flush(len(out))
+
+
+#: Ways through a node beyond which it is dealt to several keys; in large inputs a hundred-thousandth of them.
+WAYS = 50_000
+
+
+def _at_nodes(ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """ways(conv_id, node, ..) joined with nodes(node, n_ways, ..). A node on many ways is
+    repeated under several keys, and its ways are dealt to them; there are at most 100 000
+    such nodes, whose names are broadcast."""
+    most = max(WAYS, ways.count() // 100_000)
+    parts = F.ceil(F.col("n_ways") / most).cast("int")
+    shared = nodes.where(F.col("n_ways") > most).select("node", parts.alias("parts"))
+    left = ways.join(F.broadcast(shared), "node", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("conv_id"), F.col("parts")).cast("int"), F.lit(0))).drop("parts")
+    right = nodes.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("n_ways")
+    return left.join(right, ["node", "part"]).drop("part")
 
 
 def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,30 +150,29 @@ def _ancestors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(lists, type=_ARROW_SPANS)], names=["node", "ancestors"])
 
 
-def build(turns: DataFrame, path: str, *, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", path_nodes: int = 1024) -> DataFrame:
+def build(turns: DataFrame, path: str, *, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """Write the tree of turns to path/tree and return (conv_id, depth, node), the way of
-    each conversation through it. The tree's columns: node, parent, offset, n_chars,
+    each conversation through it. The tree's columns: node, n_ways, parent, offset, n_chars,
     position, loss_start, loss_end, seg, ancestors."""
-    rows = turns.select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
-    ways = cut(rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(_chain(path_nodes), _TURNS))
+    rows = turns.select(F.col(f"`{conv_id}`").cast("long").alias("conv_id"), *[F.col(f"`{c}`").alias(n) for c, n in ((turn, "turn"), (role, "role"), (text, "text"))])
+    ways = cut(rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(_chain, _TURNS))
     ranks = cut(ways.where(F.col("path").isNotNull()).select("conv_id", "path").orderBy("path", "conv_id").select(F.col("conv_id").alias("_c"), F.monotonically_increasing_id().alias("rank")))
     ranked = ways.drop("path").join(ranks, F.col("conv_id").eqNullSafe(F.col("_c"))).drop("_c")
     same = ["parent", "n_chars", "position", "loss_start", "loss_end", "seg"]
-    nodes = ranked.groupBy("node").agg(F.min(F.struct("rank", "depth")).alias("at"), *[F.first(c).alias(c) for c in same])
-    laid = cut(nodes.select("node", "at.rank", "at.depth", *same).orderBy("rank", "depth"))
+    nodes = ranked.groupBy("node").agg(F.min(F.struct("rank", "depth")).alias("at"), F.count(F.lit(1)).alias("n_ways"), *[F.first(c).alias(c) for c in same])
+    laid = cut(nodes.select("node", "n_ways", "at.rank", "at.depth", *same).orderBy("rank", "depth"))
     part = laid.withColumn("part", F.spark_partition_id())
     sizes = {r["part"]: r["n"] for r in part.groupBy("part").agg(F.sum("n_chars").alias("n")).collect()}  # one number a partition
     before, total = [], 0
     for p in range(max(sizes, default=-1) + 1):
         before.append(total)
         total += sizes.get(p, 0)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in part.schema)
     base = F.get(F.array(*[F.lit(b).cast("long") for b in before or [0]]), F.col("part"))
-    placed = cut(part.mapInArrow(_offsets, f"{fields}, offset long").withColumn("offset", F.col("offset") + base).drop("part"))
-    spots = placed.select(F.col("node").alias("_n"), "offset", F.col("rank").alias("_owner"))
-    on_way = ranked.select("conv_id", "rank", "depth", "node", "n_chars").join(spots, F.col("node") == F.col("_n"))
+    placed = cut(part.mapInArrow(_offsets, f"{fields(part)}, offset long").withColumn("offset", F.col("offset") + base).drop("part"))
+    spots = placed.select("node", "n_ways", "offset", F.col("rank").alias("owner"))
+    on_way = _at_nodes(ranked.select("conv_id", "rank", "depth", "node", "n_chars"), spots)
     owned = (
-        on_way.select("conv_id", "depth", "node", "offset", "n_chars", (F.col("rank") == F.col("_owner")).alias("own"))
+        on_way.select("conv_id", "depth", "node", "offset", "n_chars", (F.col("rank") == F.col("owner")).alias("own"))
         .repartition("conv_id").sortWithinPartitions("conv_id", "depth").mapInArrow(_ancestors, f"node binary, ancestors {_SPANS}")
     )
     placed.join(owned, "node").drop("rank", "depth").write.parquet(f"{path}/tree")
@@ -213,7 +223,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_back(ways: DataFrame, tree: DataFrame) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
     n_intervals) of every conversation, from the tree."""
-    read = ways.join(tree.select("node", "seg", "position", "offset", "loss_start", "loss_end", "ancestors"), "node")
+    read = _at_nodes(ways, tree.select("node", "n_ways", "seg", "position", "offset", "loss_start", "loss_end", "ancestors"))
     ordered = read.repartition("conv_id").sortWithinPartitions("conv_id", "depth")
     return ordered.mapInArrow(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_intervals long")
 

@@ -127,7 +127,7 @@ def test_chat_tree(spark):
             (3, 0, "system", "be <|kind|>"), (3, 1, "user", "bye"), (4, 0, "assistant", None), (5, 0, None, ""), (6, 1, "user", "same"), (6, 1, "user", "same"), (None, 0, "user", "lost"), (7, None, "a|b\n", "x" * 50_000), *deep, *[(21, *r[1:]) for r in deep[:200]], (21, 200, "user", "fork")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
     path = f"{shared.shared_folder(spark)}/chat-{uuid.uuid4().hex}"
-    ways = chat.build(turns, path, path_nodes=50)
+    ways = chat.build(turns.withColumn("node", F.lit(1)).withColumn("N_WAYS", F.lit("x")), path)
     tree = spark.read.parquet(f"{path}/tree")
     got = {r["conv_id"]: r for r in chat.read_back(ways, tree).collect()}
     convs = {}
@@ -147,11 +147,34 @@ def test_chat_tree(spark):
         assert n["offset"] == end and n["position"] == sum(a["end"] - a["start"] for a in n["ancestors"])
         assert all(a["end"] <= n["offset"] for a in n["ancestors"])
         end += n["n_chars"]
+    # Depth-first: when a node begins, the last one with its parent's end of way is still open.
+    open_nodes = []
+    for n in nodes:
+        while open_nodes and open_nodes[-1] != n["parent"]:
+            open_nodes.pop()
+        assert bool(open_nodes) == (n["parent"] is not None)
+        open_nodes.append(n["node"])
     control = re.compile(r"</s>|\[/?INST\]|<\|")
     assert not any(control.search(s[a:b]) for r, t in (x for v in convs.values() for x in v) for s, a, b in [chat.segment(r, t)])
     assert chat.build(turns.limit(0), path + "-empty").count() == 0
 
 
+def test_a_chat_tree_is_depth_first_at_any_depth(spark, monkeypatch):
+    """Ways that fork after 1 500 common turns, and nodes on more ways than a key takes."""
+    monkeypatch.setattr(chat, "WAYS", 2)
+    rows = [(c, t, "user", f"turn {t}" if t < 1500 or t % 7 else f"turn {t} of {c % 3}") for c in range(7) for t in range(1500 + 20 * c)]
+    path = f"{shared.shared_folder(spark)}/chat-{uuid.uuid4().hex}"
+    ways = chat.build(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), path)
+    tree = spark.read.parquet(f"{path}/tree")
+    open_nodes = []
+    for n in tree.orderBy("offset").select("node", "parent").collect():
+        while open_nodes and open_nodes[-1] != n["parent"]:
+            open_nodes.pop()
+        assert bool(open_nodes) == (n["parent"] is not None)
+        open_nodes.append(n["node"])
+    assert {r["conv_id"]: r["n_turns"] for r in chat.read_back(ways, tree).collect()} == {c: 1500 + 20 * c for c in range(7)}
+
+
 PATTERNS = (
     re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 )
