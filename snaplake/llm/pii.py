@@ -7,9 +7,12 @@ estimates how strongly a term reveals a protected value. For a value e and a ter
     disclosure(t, e) = PMI(t; e) / IC(e) = log(n_te N / (n_t n_e)) / log(N / n_e),
 
 the share of e's information that t gives away (1: t occurs with e only), where n
-counts texts and t occurs within `near` words of e. A term reaching `generalise_at` is
-generalised to a placeholder, one reaching `remove_at` removed, wherever it stands in a
-text with that value; both need `support` different texts, as two rare words meet once by chance.
+counts texts and t occurs anywhere in the text outside personal data. A term reaching
+`generalise_at` is generalised to a placeholder, one reaching `remove_at` removed, wherever
+it stands in a text with that value. Any rare word stands by chance in a text with some
+value: a term needs `support` texts with it, where texts that share their least hash of
+three neighbouring words, as copies and near copies do, count once. A value in fewer texts
+is hidden itself, and no word of its text is judged.
 
 Terms are runs of letters, A-Z lower-cased. Their numbers of texts cover the whole
 corpus: a block sends each of its words once, with its count, to a bucket that keeps
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .shared import cut, groups_for, pack, tidy, unpack, without
+from .shared import cut, fields, groups_for, pack, tidy, unpack, without
 
 BLOCK = 4 << 20
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -90,13 +93,8 @@ def base_spans(t: str) -> list[tuple[int, int, int]]:
 
 
 _BASE = "array<struct<kind:int,start:int,end:int>>"
-_NEAR = "array<struct<entity:bigint,term:bigint,start:int,end:int,first:int>>"
-_FOUND = f"_base {_BASE}, _near {_NEAR}, _entities array<bigint>"
-_ARROW = (
-    pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])),
-    pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("first", pa.int32())])),
-    pa.list_(pa.int64()),
-)
+_FOUND = f"_base {_BASE}, _kin bigint, _entities array<bigint>"
+_ARROW = (pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])), pa.int64(), pa.list_(pa.int64()))
 
 
 def _entity(kind: int, value: str) -> int:
@@ -112,47 +110,57 @@ def _may_hold(words: tb.Words) -> np.ndarray:
     return np.unique(np.searchsorted(words.text_offsets, mark, side="right") - 1)
 
 
-def _scan(text: str, near: int):
-    """Rows with _base, _near and _entities added."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, j in tb.blocks(batch.column(text), BLOCK):
-                part = batch.slice(i, j - i)
-                texts = part.column(text)
-                words = tb.split(texts, lower=True, letters=True)
-                base, beside, entities = ([[] for _ in range(j - i)] for _ in range(3))
-                h = None
-                for k in _may_hold(words).tolist():
-                    t = texts[k].as_py() or ""
-                    spans = base_spans(t)
-                    if not spans:
-                        continue
-                    if h is None:
-                        h = words.hashes().view(np.int64)
-                        chars = np.concatenate([[0], np.cumsum((words.buf & 0xC0) != 0x80)])
-                    lo, hi = int(words.offsets[k]), int(words.offsets[k + 1])
-                    zero = chars[words.text_offsets[k]]
-                    starts, ends = chars[words.starts[lo:hi]] - zero, chars[words.ends[lo:hi]] - zero
-                    free = np.ones(hi - lo, dtype=bool)
-                    for a, _, b in spans:
-                        free &= (ends <= a) | (starts >= b)
-                    open_at = np.flatnonzero(free)
-                    seen: set[tuple[int, int]] = set()
-                    for a, kind, b in spans:
-                        base[k].append({"kind": kind, "start": a, "end": b})
-                        e = _entity(kind, t[a:b])
-                        entities[k].append(e)
-                        left, right = np.searchsorted(starts[open_at], a), np.searchsorted(starts[open_at], b)
-                        for w in open_at[max(0, left - near) : right + near].tolist():
-                            pair = (e, int(h[lo + w]))
-                            beside[k].append({"entity": e, "term": pair[1], "start": int(starts[w]), "end": int(ends[w]), "first": int(pair not in seen)})
-                            seen.add(pair)
-                    entities[k] = sorted(set(entities[k]))
-                cols = [pa.array(v, type=kind) for v, kind in zip((base, beside, entities), _ARROW, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *cols], names=[*part.schema.names, "_base", "_near", "_entities"])
-
-    return run
+def _free(words: tb.Words, chars: np.ndarray, k: int, spans: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers, starts and ends (code points) of the words of text k outside the spans."""
+    at = np.arange(int(words.offsets[k]), int(words.offsets[k + 1]))
+    zero = chars[words.text_offsets[k]]
+    starts, ends = chars[words.starts[at]] - zero, chars[words.ends[at]] - zero
+    free = np.ones(len(at), dtype=bool)
+    for a, _, b in spans:
+        free[np.searchsorted(ends, a, side="right") : np.searchsorted(starts, b)] = False
+    return at[free], starts[free], ends[free]
+
+
+def _chars(words: tb.Words) -> np.ndarray:
+    """Code points before each byte."""
+    return np.concatenate([[0], np.cumsum((words.buf & 0xC0) != 0x80)])
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with _base, _kin and _entities added; texts without personal data have no kin."""
+    for batch in batches:
+        for i, j in tb.blocks(batch.column("_text"), BLOCK):
+            part = batch.slice(i, j - i)
+            texts = part.column("_text")
+            words = tb.split(texts, lower=True, letters=True)
+            base, kin, entities, h = [[] for _ in range(j - i)], [None] * (j - i), [[] for _ in range(j - i)], None
+            for k in _may_hold(words).tolist():
+                t = texts[k].as_py() or ""
+                spans = base_spans(t)
+                if not spans:
+                    continue
+                h = words.hashes() if h is None else h
+                own = h[int(words.offsets[k]) : int(words.offsets[k + 1])]
+                base[k] = [{"kind": kind, "start": a, "end": b} for a, kind, b in spans]
+                kin[k] = int(tb.window_hashes(own, min(3, len(own))).min().view(np.int64)) if len(own) else 0
+                entities[k] = sorted({_entity(kind, t[a:b]) for a, kind, b in spans})
+            cols = [pa.array(v, type=kind) for v, kind in zip((base, kin, entities), _ARROW, strict=True)]
+            yield pa.RecordBatch.from_arrays([*part.columns, *cols], names=[*part.schema.names, "_base", "_kin", "_entities"])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(entity, term, kin, n): in how many texts of a block with a kin they stand together."""
+    for batch in batches:
+        for i, j in tb.blocks(batch.column("_text"), BLOCK):
+            part = batch.slice(i, j - i)
+            words = tb.split(part.column("_text"), lower=True, letters=True)
+            h, chars = words.hashes().view(np.int64), _chars(words)
+            found = [np.zeros((0, 3), dtype=np.int64)]
+            for k, (t, kin, entities) in enumerate(zip(part.column("_text").to_pylist(), part.column("_kin").to_pylist(), part.column("_told").to_pylist(), strict=True)):
+                terms = np.unique(h[_free(words, chars, k, base_spans(t))[0]])
+                found += [np.stack([np.full(len(terms), e), terms, np.full(len(terms), kin)], axis=1) for e in entities]
+            rows, n = np.unique(np.concatenate(found), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, c]) for c in range(3)), pa.array(n.astype(np.int64))], names=["entity", "term", "kin", "n"])
 
 
 def _text_counts(buckets: int):
@@ -193,73 +201,75 @@ def _asked_counts(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table({"term": asked.view(np.int64), "n_t": total})
 
 
-def _occurrences(text: str, remove_at: float):
+_TERMS = "array<struct<start:int,end:int,remove:boolean>>"
+
+
+def _occurrences(remove_at: float):
     """(_id, _twin, _terms): every place of a text's disclosing terms outside its personal data."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("remove", pa.bool_())]))
         for batch in batches:
-            for i, j in tb.blocks(batch.column(text), BLOCK):
+            for i, j in tb.blocks(batch.column("_text"), BLOCK):
                 part = batch.slice(i, j - i)
-                words = tb.split(part.column(text), lower=True, letters=True)
-                h = words.hashes().view(np.int64)
-                chars = np.concatenate([[0], np.cumsum((words.buf & 0xC0) != 0x80)])
+                words = tb.split(part.column("_text"), lower=True, letters=True)
+                h, chars = words.hashes().view(np.int64), _chars(words)
                 out = []
                 for k, told in enumerate(part.column("_told").to_pylist()):
                     share = {t["term"]: t["disclosure"] for t in told}
-                    lo, hi = int(words.offsets[k]), int(words.offsets[k + 1])
-                    at = lo + np.flatnonzero(np.isin(h[lo:hi], np.array(list(share), dtype=np.int64)))
-                    zero = chars[words.text_offsets[k]]
-                    starts, ends = chars[words.starts[at]] - zero, chars[words.ends[at]] - zero
-                    free = np.ones(len(at), dtype=bool)
-                    for a, _, b in base_spans(part.column(text)[k].as_py()):
-                        free &= (ends <= a) | (starts >= b)
-                    out.append([{"start": int(starts[w]), "end": int(ends[w]), "remove": share[int(h[at[w]])] >= remove_at} for w in np.flatnonzero(free).tolist()])
+                    at, starts, ends = _free(words, chars, k, base_spans(part.column("_text")[k].as_py()))
+                    hit = np.flatnonzero(np.isin(h[at], np.array(list(share), dtype=np.int64)))
+                    out.append([{"start": int(starts[w]), "end": int(ends[w]), "remove": share[int(h[at[w]])] >= remove_at} for w in hit.tolist()])
                 yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_twin"), pa.array(out, type=kind)], names=["_id", "_twin", "_terms"])
 
     return run
 
 
-def term_spans(docs: DataFrame, found: DataFrame, texts: DataFrame, *, text: str, support: int, generalise_at: float, remove_at: float, buckets: int | None = None) -> DataFrame:
-    """(_id, _twin, _terms): the disclosing terms of each text of found. texts has theirs by _id and _twin."""
-    n_all = docs.count()
-    near = found.select("_id", "_twin", F.explode("_near").alias("c")).select("_id", "_twin", "c.*")
-    n_e = found.select(F.explode("_entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    pairs = near.groupBy("entity", "term").agg(F.sum("first").alias("n_te"), F.count_distinct("_twin").alias("texts")).where(F.col("texts") >= support)
-    pairs = cut(pairs.join(n_e, "entity"))
-    buckets = buckets or groups_for(docs, text, 8 * BLOCK, least=8)
+def _told(rows: DataFrame, hit: DataFrame) -> DataFrame:
+    """hit's (_id, _twin, _kin, _text) with the list _told of rows(_i, _t, _told); a text once."""
+    return hit.join(rows, hit["_id"].eqNullSafe(rows["_i"]) & (hit["_twin"] == rows["_t"])).select("_id", "_twin", "_kin", "_text", "_told").dropDuplicates(["_id", "_twin"])
+
+
+def term_spans(texts: DataFrame, hit: DataFrame, *, support: int, generalise_at: float, remove_at: float, buckets: int | None = None) -> DataFrame:
+    """(_id, _twin, _terms): the disclosing terms of each text of hit, the texts with personal
+    data. texts(text) are all texts."""
+    n_all = texts.count()
+    held = hit.select(F.col("_id").alias("_i"), F.col("_twin").alias("_t"), "_kin", F.explode("_entities").alias("entity"))
+    known = cut(held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"), F.count_distinct("_kin").alias("kins")).where(F.col("kins") >= support).drop("kins"))
+    asking = held.join(known, "entity").groupBy("_i", "_t").agg(F.collect_set("entity").alias("_told"))
+    # A row of hit counts for itself, also where several share a text and an id.
+    holders = hit.join(asking, hit["_id"].eqNullSafe(asking["_i"]) & (hit["_twin"] == asking["_t"])).select("_text", "_kin", "_told")
+    met = holders.mapInArrow(tidy(_pairs), "entity long, term long, kin long, n long").groupBy("entity", "term", "kin").agg(F.sum("n").alias("n"))
+    pairs = met.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("kins")).where(F.col("kins") >= support)
+    pairs = cut(pairs.join(known, "entity").select("entity", "term", "n_te", "n_e"))
+    buckets = buckets or groups_for(texts, "text", 8 * BLOCK, least=8)
     bucket = F.col("term").bitwiseAND(F.lit(2**63 - 1)) % buckets
-    counts = docs.select(F.col(text).alias("text")).mapInArrow(tidy(_text_counts(buckets)), "bucket long, blob binary")
+    counts = texts.mapInArrow(tidy(_text_counts(buckets)), "bucket long, blob binary")
     asked = pairs.select("term").distinct().withColumn("bucket", bucket)
     n_t = counts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_asked_counts, "term long, n_t long")
     share = F.log(F.col("n_te") * F.lit(float(n_all)) / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n_all)) / F.col("n_e"))
     risky = pairs.join(n_t, "term").where((F.col("n_e") < n_all) & (F.col("n_t") > 0)).withColumn("disclosure", share).where(F.col("disclosure") >= generalise_at)
-    holders = found.select(F.col("_id").alias("_i"), F.col("_twin").alias("_t"), F.explode("_entities").alias("entity"))
-    told = holders.join(risky.select("entity", "term", "disclosure"), "entity").groupBy("_i", "_t", "term").agg(F.max("disclosure").alias("disclosure"))
+    told = held.join(risky.select("entity", "term", "disclosure"), "entity").groupBy("_i", "_t", "term").agg(F.max("disclosure").alias("disclosure"))
     told = told.groupBy("_i", "_t").agg(F.collect_list(F.struct("term", "disclosure")).alias("_told"))
-    rows = texts.join(told, texts["_id"].eqNullSafe(told["_i"]) & (texts["_twin"] == told["_t"])).select("_id", "_twin", text, "_told").dropDuplicates(["_id", "_twin"])
-    return rows.mapInArrow(tidy(_occurrences(text, remove_at)), "_id long, _twin long, _terms array<struct<start:int,end:int,remove:boolean>>")
-
+    return _told(told, hit).mapInArrow(tidy(_occurrences(remove_at)), f"_id long, _twin long, _terms {_TERMS}")
 
-def _with_keys(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.withColumns({"_id": F.col(f"`{doc_id}`").cast("long"), "_twin": F.xxhash64(text)})
 
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(row, _id, _twin, _text): all columns but the text in one struct, so no name clashes."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() != text.lower()]
+    return docs.select(F.struct(*rest).alias("row"), F.col(f"`{doc_id}`").cast("long").alias("_id"), F.xxhash64(f"`{text}`").alias("_twin"), F.col(f"`{text}`").alias("_text"))
 
-def _schema(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
-
-def find(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", near: int = 8, support: int = 3, generalise_at: float = 0.8, remove_at: float = 0.95) -> DataFrame:
+def find(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", support: int = 3, generalise_at: float = 0.8, remove_at: float = 0.95) -> DataFrame:
     """Every row of docs without its text, with spans: array of (start, kind, end, remove)
     in order of start and kind; kind is a place in KINDS."""
-    keyed = _with_keys(without(docs, "spans"), doc_id, text)
-    scanned = keyed.mapInArrow(tidy(_scan(text, near)), f"{_schema(keyed)}, {_FOUND}")
-    found = cut(scanned.withColumn("_text", F.when(F.size("_base") > 0, F.col(f"`{text}`"))).drop(text))
-    hit = found.where(F.size("_base") > 0)
-    terms = term_spans(docs, hit.drop("_text"), hit.select("_id", "_twin", F.col("_text").alias(text)), text=text, support=support, generalise_at=generalise_at, remove_at=remove_at)
+    keyed = _keyed(without(docs, "spans"), doc_id, text)
+    scanned = keyed.mapInArrow(tidy(_scan), f"{fields(keyed)}, {_FOUND}")
+    found = cut(scanned.withColumn("_text", F.when(F.size("_base") > 0, F.col("_text"))))
+    terms = term_spans(docs.select(F.col(f"`{text}`").alias("text")), found.where(F.size("_base") > 0), support=support, generalise_at=generalise_at, remove_at=remove_at)
     base = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(False).alias("remove")))
     extra = F.transform(F.coalesce("_terms", F.array()), lambda s: F.struct(s["start"].alias("start"), F.lit(4).alias("kind"), s["end"].alias("end"), s["remove"].alias("remove")))
-    return _left_by_row(found, terms).withColumn("spans", F.array_sort(F.concat(base, extra))).drop("_id", "_twin", "_text", "_base", "_near", "_entities", "_terms")
+    return _left_by_row(found.select("row", "_id", "_twin", "_base"), terms).select("row.*", F.array_sort(F.concat(base, extra)).alias("spans"))
 
 
 def _left_by_row(rows: DataFrame, terms: DataFrame) -> DataFrame:
@@ -267,36 +277,32 @@ def _left_by_row(rows: DataFrame, terms: DataFrame) -> DataFrame:
     return rows.join(right, rows["_id"].eqNullSafe(right["_i"]) & (rows["_twin"] == right["_t"]), "left").drop("_i", "_t")
 
 
-def _rewrite(text: str, names: list[str]):
+def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     place = ["[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for t, base, terms in zip(*(batch.column(c).to_pylist() for c in (text, "_base", "_terms")), strict=True):
-                spans = sorted([(s["start"], s["end"], place[s["kind"]]) for s in base] + [(s["start"], s["end"], "" if s["remove"] else place[4]) for s in terms or ()])
-                parts, done = [], 0
-                for a, b, to in spans:
-                    if a >= done:
-                        parts += [t[done:a], to]
-                    done = max(done, b)
-                out.append("".join([*parts, t[done:]]))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == text else batch.column(c) for c in names], names=names)
-
-    return run
-
-
-def sanitise(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", near: int = 8, support: int = 3, generalise_at: float = 0.8, remove_at: float = 0.95) -> DataFrame:
+    for batch in batches:
+        out = []
+        for t, base, terms in zip(*(batch.column(c).to_pylist() for c in ("_text", "_base", "_terms")), strict=True):
+            spans = sorted([(s["start"], s["end"], place[s["kind"]]) for s in base] + [(s["start"], s["end"], "" if s["remove"] else place[4]) for s in terms or ()])
+            parts, done = [], 0
+            for a, b, to in spans:
+                if a >= done:
+                    parts += [t[done:a], to]
+                done = max(done, b)
+            out.append("".join([*parts, t[done:]]))
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], names=["row", "_text"])
+
+
+def sanitise(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", support: int = 3, generalise_at: float = 0.8, remove_at: float = 0.95) -> DataFrame:
     """docs with personal data and disclosing terms replaced in the text; columns stay.
     Where spans overlap the first placeholder stands for all. n_chars is not touched."""
-    names = docs.columns
-    keyed = _with_keys(docs, doc_id, text)
-    scanned = keyed.mapInArrow(tidy(_scan(text, near)), f"{_schema(keyed)}, {_FOUND}")
-    plain = scanned.where(F.size("_base") == 0).select(*[f"`{c}`" for c in names])
+    keyed = _keyed(docs, doc_id, text)
+    scanned = keyed.mapInArrow(tidy(_scan), f"{fields(keyed)}, {_FOUND}")
+    plain = scanned.where(F.size("_base") == 0).select("row", "_text")
     hit = cut(scanned.where(F.size("_base") > 0))
-    terms = term_spans(docs, hit.drop(text), hit.select("_id", "_twin", F.col(f"`{text}`")), text=text, support=support, generalise_at=generalise_at, remove_at=remove_at)
-    changed = _left_by_row(hit, terms).select(*[f"`{c}`" for c in names], "_base", "_terms").mapInArrow(_rewrite(text, names), _schema(docs))
-    return plain.union(changed)
+    terms = term_spans(docs.select(F.col(f"`{text}`").alias("text")), hit, support=support, generalise_at=generalise_at, remove_at=remove_at)
+    changed = _left_by_row(hit.select("row", "_id", "_twin", "_text", "_base"), terms).select("row", "_text", "_base", "_terms").mapInArrow(_rewrite, fields(plain))
+    back = [F.col("_text").alias(c) if c.lower() == text.lower() else F.col(f"row.`{c}`") for c in docs.columns]
+    return plain.union(changed).select(*back)
 
 
 def op10_pii_disclosure(spark, sf_dir: str) -> DataFrame:
