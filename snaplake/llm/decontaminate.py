@@ -22,6 +22,12 @@ one window of their own length. An item with windows of fewer literal tokens (su
 of values, lists of names) is matched in a third reading too, whose tokens are the words and
 values themselves: its copies are found, not those with other values.
 
+Items with one template whose slots repeat alike (the same question with other values)
+are one class: what is consistent with one of them is with all. Documents meet only the
+class's item of the smallest id, which stands for it in the result, so N items of one
+template and M documents of it give M rows; classes() has the members. Kinds are told
+against that item.
+
 A row with a null id is not looked at and stays. Null and empty texts match nothing; texts of any length are handled whole. Ties are
 broken by coverage, then place. Repeated rows give one result; an input column named
 like an output column is not looked at. Empty tables give an empty result.
@@ -29,6 +35,7 @@ like an output column is not looked at. Empty tables give an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,8 +50,8 @@ from . import textblocks as tb
 from .shared import cut, tidy, without_ids
 
 BLOCK = 4 << 20
-#: Benchmark windows up to which their hashes are sent to the tasks that scan documents.
-SENT_WINDOWS = 2_000_000
+#: Benchmark windows up to which they are sent to the tasks: 2 MB of hashes, 50 MB of rows or so.
+SENT_WINDOWS = 200_000
 #: Unit words.
 UNITS = (
     "%", "kg", "g", "mg", "t", "km", "m", "cm", "mm", "l", "ml", "s", "ms", "min", "h", "hz", "khz", "mhz", "w", "kw", "v", "mph", "kmh",
@@ -162,6 +169,43 @@ def _slots(words: tb.Words, read: Reading, start: int, k: int) -> list[str]:
     return out
 
 
+def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
+    return benchmark.select(F.col(f"`{item_id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).where(F.col("id").isNotNull())
+
+
+def _all_literal(read: Reading, k: int, literal: int) -> bool:
+    """Whether every window of an item has enough literal tokens."""
+    size = min(k, len(read.h))
+    return size > 0 and len(_windows(read, TOKENS, size, literal)[0]) == len(read.h) - size + 1
+
+
+def _named(k: int, literal: int):
+    """(id, text, name): a digest of an item's template and of which slots share a value."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = []
+            for row in range(batch.num_rows):
+                words, reads = readings(batch.column("text").slice(row, 1))
+                made = hashlib.sha256()
+                for read in reads[:RAW]:
+                    seen: dict[str, int] = {}
+                    pattern = [seen.setdefault(v.lower(), len(seen)) for v in _slots(words, read, 0, len(read.h))]
+                    made.update(read.h.tobytes() + read.slot.tobytes() + np.array(pattern, dtype=np.int32).tobytes())
+                if not _all_literal(reads[TOKENS], k, literal):
+                    made.update(reads[RAW].h.tobytes())  # its own words and values are matched too
+                names.append(made.digest()[:16])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(names, pa.binary())], names=["id", "text", "name"])
+
+    return run
+
+
+def classes(benchmark: DataFrame, *, item_id: str = "item_id", text: str = "text", k: int = 8, literal: int = 4) -> DataFrame:
+    """(item_id, class_id) of every item: class_id is the smallest id of its class."""
+    named = _items(benchmark, item_id, text).mapInArrow(_named(k, literal), "id long, text string, name binary").select("id", "name")
+    return named.join(named.groupBy("name").agg(F.min("id").alias("class_id")), "name").select(F.col("id").alias("item_id"), "class_id").distinct()
+
+
 _ROWS = "id long, hash long, mode int, place int, word int, size int, windows int, slots array<string>"
 _NAMES = ["id", "hash", "mode", "place", "word", "size", "windows", "slots"]
 _KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string())]
@@ -178,9 +222,7 @@ def _item_rows(k: int, literal: int):
                     if not size:
                         continue
                     start, hashes = _windows(read, mode, size, literal)
-                    if mode == TOKENS:
-                        whole = len(start) == len(read.h) - size + 1
-                    elif mode == RAW and whole:
+                    if mode == RAW and _all_literal(reads[TOKENS], k, literal):
                         continue
                     for p, x in zip(start.tolist(), hashes.view(np.int64).tolist(), strict=True):
                         for col, v in zip(out, (batch.column("id")[row].as_py(), x, mode, p, int(read.first[p]), size, len(start), _slots(words, read, p, size)), strict=True):
@@ -276,16 +318,17 @@ def _judge(cover: float):
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", k: int = 8, literal: int = 4, cover: float = 0.5) -> DataFrame:
-    """(doc_id, item_id, kind, coverage, n_slots, n_changed, place) of each leaked item."""
+    """(doc_id, item_id, kind, coverage, n_slots, n_changed, place) of each leaked class of items."""
     spark = docs.sparkSession
-    items = cut(benchmark.select(F.col(item_id).cast("long").alias("id"), F.col("text").alias("text")).where(F.col("id").isNotNull()).mapInArrow(_item_rows(k, literal), _ROWS))
+    named = _items(benchmark, item_id, "text").mapInArrow(_named(k, literal), "id long, text string, name binary")
+    items = cut(named.groupBy("name").agg(F.min(F.struct("id", "text")).alias("first")).select("first.*").mapInArrow(_item_rows(k, literal), _ROWS))
     sizes = sorted((r["mode"], r["size"]) for r in items.select("mode", "size").distinct().collect())  # k at most
     n = items.count()
     known = None
     if n <= SENT_WINDOWS:
         got = items.select("hash").distinct().toPandas()["hash"].to_numpy(dtype=np.int64)
         known = spark.sparkContext.broadcast(np.sort(got.view(np.uint64)))
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull())
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).where(F.col("id").isNotNull())
     found = rows.mapInArrow(tidy(_doc_rows(sizes, literal, known)), _ROWS).select(F.col("id").alias("doc_id"), "hash", F.col("place").alias("doc_place"), F.col("word"), F.col("slots").alias("doc_slots"))
     small = F.broadcast if n <= SENT_WINDOWS else (lambda df: df)
     side = items.select(F.col("id").alias("item_id"), "hash", "mode", "size", F.col("place").alias("item_place"), "windows", F.col("slots").alias("item_slots"))
