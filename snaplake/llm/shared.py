@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import tempfile
 import uuid
 from collections.abc import Iterable
 
@@ -15,10 +14,11 @@ from pyspark.sql import functions as F
 
 
 def use_checkpoints(spark: SparkSession) -> None:
-    """Keep the cluster's spark.checkpoint.dir; set a folder only where there is none."""
+    """Keep the cluster's spark.checkpoint.dir; only where there is none use a folder of the
+    warehouse, which executors share as well."""
     sc = spark.sparkContext
     if not sc.getConf().get("spark.checkpoint.dir") and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared")
 
 
 def shared_folder(spark: SparkSession) -> str:

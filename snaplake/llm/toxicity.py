@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .shared import as_batch, tidy, without
+from .shared import as_batch, fields, fresh, tidy, without
 
 BLOCK = 4 << 20
 #: A sentence without any known word offends with about 6e-6.
@@ -212,13 +212,12 @@ def _maximise(known: np.ndarray, rows: list[tuple[int, int, list[int]]], ridge:
     return ToxicityModel(known, theta[:-1], float(1 / (1 + np.exp(-theta[-1]))))
 
 
-def score(docs: DataFrame, model: ToxicityModel, *, text: str = "text", offends_at: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: ToxicityModel, *, text: str = "text", offends_at: float = 0.5, columns: tuple[str, str] = ("score", "offending")) -> DataFrame:
     """Every row of docs with `score` (double) and `offending`: the sentences with
     p >= offends_at as (start, end, p), in bytes of the UTF-8 text from their first to
-    their last word."""
-    docs = without(docs, "score", "offending")
+    their last word. columns: other names for the two."""
+    docs = without(docs, *columns)
     span = "array<struct<start:bigint,end:bigint,p:double>>"
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     known, weights, leak, bias = model.words, model.weights, model.leak, model.bias
     arrow_span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
 
@@ -243,9 +242,9 @@ def score(docs: DataFrame, model: ToxicityModel, *, text: str = "text", offends_
                     base = words.text_offsets[owner]
                     for k in np.flatnonzero(p >= offends_at).tolist():
                         spans[owner[k]].append({"start": int(words.starts[low[k]] - base[k]), "end": int(words.ends[high[k]] - base[k]), "p": float(p[k])})
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(-np.expm1(log_no)), pa.array(spans, type=arrow_span)], names=[*part.schema.names, "score", "offending"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(-np.expm1(log_no)), pa.array(spans, type=arrow_span)], names=[*part.schema.names, *columns])
 
-    return docs.mapInArrow(tidy(run), f"{fields}, score double, offending {span}")
+    return docs.mapInArrow(tidy(run), f"{fields(docs)}, `{columns[0]}` double, `{columns[1]}` {span}")
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 4, part: int = 2) -> F.Column:
@@ -254,9 +253,11 @@ def held_out(doc_id: str = "doc_id", parts: int = 4, part: int = 2) -> F.Column:
 
 
 def reject(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3) -> DataFrame:
-    """docs without those that score threshold or more; the columns stay."""
+    """docs without those that score threshold or more; all columns stay, `score` as well."""
     model = fit(docs, labels.where(~held_out()))
-    return score(docs, model).where(F.col("score") < threshold).select(*docs.columns)
+    own = fresh(docs, "score", "offending")
+    scored = score(docs, model, columns=(own["score"], own["offending"]))
+    return scored.where(F.col(own["score"]) < threshold).select(*[f"`{c}`" for c in docs.columns])
 
 
 def op1_toxicity_noisy_or(spark, sf_dir: str) -> DataFrame:

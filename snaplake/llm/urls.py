@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import without
+from .shared import fresh, without
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed values: (verdict, host and path prefix).
@@ -119,12 +119,12 @@ def pattern_verdicts(urls: DataFrame, rules: Sequence[tuple[str, str]]) -> DataF
 def judge(pages: DataFrame, *, url: str = "url", site_rules: Sequence[tuple[str, str]] = SITE_RULES, pattern_rules: Sequence[tuple[str, str]] = PATTERN_RULES) -> DataFrame:
     """pages with host, path, rule, pattern and verdict."""
     rows = without(pages, "host", "path", "rule", "pattern", "verdict")
-    u = F.col(f"`{url}`")
+    own, u = fresh(pages, "url", "said"), F.col(f"`{url}`")
     host, path = host_of(u), path_of(u)
     rule, said = site_rule(F.col("host"), F.col("path"), site_rules)
-    matched = pattern_verdicts(rows.select(u.alias("url")), pattern_rules).select(F.col("url").alias("_url"), "pattern", F.col("said").alias("_said"))
-    judged = rows.withColumns({"host": host, "path": path}).join(matched, u == F.col("_url"), "left")
-    return judged.withColumns({"rule": rule, "verdict": F.coalesce(said, "_said", F.lit("allow"))}).drop("_url", "_said")
+    matched = pattern_verdicts(rows.select(u.alias("url")), pattern_rules).select(F.col("url").alias(own["url"]), "pattern", F.col("said").alias(own["said"]))
+    judged = rows.withColumns({"host": host, "path": path}).join(matched, u == F.col(own["url"]), "left")
+    return judged.withColumns({"rule": rule, "verdict": F.coalesce(said, own["said"], F.lit("allow"))}).drop(own["url"], own["said"])
 
 
 def op6_url_rules(spark, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from snaplake.llm import chat, decontaminate, pii, shared, toxicity, urls
+from snaplake.llm import chat, decontaminate, lm, media, packing, pii, shared, simhash, toxicity, urls, windows
 
 from .brute import edge_docs, prose
 
@@ -98,6 +98,46 @@ def test_leaks_of_few_literal_tokens(spark):
     assert got == {(1, 1): "exact", (3, 2): "exact", (4, 3): "exact"}
 
 
+def test_items_of_one_template_are_one_class(spark):
+    """Many items and documents of one question give a row a document."""
+    ask = "a farmer called {} has {} sheep and sells {} of them to his neighbour {} for a price of {} coins before the winter"
+    fill = lambda i: ask.format(f"Name{'abcdefghij'[i % 10]}x", 100 + i, 3 + i, f"Other{'abcdefghij'[i // 10 % 10]}x", 7000 + i)
+    other = ask.format("Bob", 5, 5, "Bob", 5)
+    items = spark.createDataFrame([*((i, fill(i)) for i in range(1, 120)), (500, other)], "item_id long, text string")
+    docs = spark.createDataFrame([*((i, f"so {fill(i + 40)} and on") for i in range(150)), (900, other)], "doc_id long, text string")
+    got = decontaminate.leaks(docs, items)
+    assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [*((i, 1) for i in range(150)), (900, 500)]
+    assert {(r["item_id"], r["class_id"]) for r in decontaminate.classes(items).collect()} == {*((i, 1) for i in range(1, 120)), (500, 500)}
+
+
+def brute_leaks(text, items, k=8, cover=0.5):
+    """Items with half of their windows of k words in the text, for texts without any slot."""
+    w = re.findall(r"[a-z]+", text)
+    inside = {tuple(w[p : p + k]) for p in range(len(w) - k + 1)}
+    out = set()
+    for i, t in items:
+        v = re.findall(r"[a-z]+", t)
+        windows = [tuple(v[p : p + k]) for p in range(len(v) - k + 1)]
+        if sum(x in inside for x in windows) >= cover * len(windows):
+            out.add(i)
+    return out
+
+
+def test_leaks_equal_brute_force_without_slots(spark):
+    import random
+
+    r = random.Random(5)
+    items = [(i, prose(700 + i, r.randint(12, 40), 900)) for i in range(30)]
+    rows = []
+    for d in range(120):
+        v = items[r.randrange(30)][1].split()
+        a = r.randrange(len(v))
+        rows.append((d, f"{prose(d, 40, 900)} {' '.join(v[a : a + r.randint(1, len(v))])} {prose(d + 300, 40, 900)}"))
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {(d, i) for d, t in rows for i in brute_leaks(t, items)}
+    assert got == want and 10 < len(want) < 110
+
+
 URLS = [
     None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/x?q#f", "https://a.example.com/en/", "https://example.com/EN/", "https://com/", "https://x.com", "https://x.net/es/1", "ftp://net/fr/#a://b/",
     "https://spam-farm.org/", "https://notspam-farm.org/", "https://spam-farms.org/", "https://docs.spam-farm.org/a", "https://x.org/online-casino?x", "https://x.org/casinos", "https://x.org/?a=1&sessionid=deadbeef99",
@@ -234,6 +274,95 @@ def test_terms_are_replaced_in_the_whole_text(spark):
     assert all("quillon" not in clean[i].lower() and clean[i].endswith("the [TERM] [TERM]") for i in range(12))
 
 
+def brute_terms(rows, support, generalise_at):
+    """(id, term) by plain counting: texts with value and term, of three or more texts."""
+    import collections
+    import math
+
+    lower = lambda t: t.translate(str.maketrans(urls.UPPER, urls.LOWER))
+    held, free, n_t = {}, {}, collections.Counter()
+    for i, t in rows:
+        n_t.update(set(re.findall(r"[a-z]+", lower(t))))
+        spans = plain_spans(t)
+        held[i] = {lower(t[a:b]) for a, _, b in spans}
+        free[i] = {m[0] for m in re.finditer(r"[a-z]+", lower(t)) if all(m.end() <= a or m.start() >= b for a, _, b in spans)}
+    out, n = set(), len(rows)
+    for e in set().union(*held.values()):
+        own = [i for i in held if e in held[i]]
+        met = collections.Counter(w for i in own for w in free[i])
+        told = {w for w, c in met.items() if c >= support and math.log(c * n / (n_t[w] * len(own))) / math.log(n / len(own)) >= generalise_at}
+        out |= {(i, w) for i in own for w in told & free[i]}
+    return out
+
+
+def test_terms_equal_brute_force(spark):
+    rows = [(r["doc_id"], r["text"]) for r in secrets(spark).collect()] + [(300 + i, f"{prose(800 + i, 50, 300)} Zed{'abc'[i % 3]} ring +49 30 901820{i % 3} or bob1@mail.org") for i in range(15)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    text = dict(rows)
+    for at in (0.6, 0.9):
+        got = {(r["doc_id"], text[r["doc_id"]][s["start"] : s["end"]].lower()) for r in pii.find(docs, generalise_at=at).collect() for s in r["spans"] if s["kind"] == 4}
+        want = brute_terms(rows, 3, at)
+        assert got == want and want
+
+
+CLASHES = "score string, Offending string, _id string, _base string, _near string, _url string, _Gone string, row string, _text string, _twin string, spans2 string, __gone string"
+
+
+def test_columns_of_any_name_stay(spark):
+    names = [c.split()[0] for c in CLASHES.split(", ")]
+    docs = toxic_docs(spark, 80).select("doc_id", "text", "toxic")
+    labels = docs.select("doc_id", "toxic")
+    docs = docs.drop("toxic").withColumns({n: F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")) for n in names})
+    docs = docs.union(docs.limit(1)).unionByName(secrets(spark).withColumn("doc_id", F.col("doc_id") + 5000).withColumns({n: F.lit("x") for n in names}))
+    items = spark.createDataFrame([(1, docs.orderBy("doc_id").first()["text"])], "item_id long, text string")
+    for kept in (toxicity.reject(docs, labels), simhash.keep_one(docs), decontaminate.reject(docs, items), pii.sanitise(docs)):
+        assert kept.columns == docs.columns
+        rest = [c for c in docs.columns if c != "text"]
+        assert kept.select(rest).exceptAll(docs.select(rest)).count() == 0 and kept.count() > 0
+    found = pii.find(docs)
+    assert found.columns == [*[c for c in docs.columns if c != "text"], "spans"] and found.count() == docs.count()
+    removed = windows.remove_repeated(docs)
+    assert removed.columns == [*[c for c in docs.columns if c != "text"], "n_words", "n_removed", "kept"] and removed.count() == docs.count()
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("http://spam-farm.org/").alias("url"), *names)
+    judged = urls.judge(pages)
+    assert judged.select(names).exceptAll(pages.select(names)).count() == 0 and {r["verdict"] for r in judged.collect()} == {"block"}
+    # Operators that look at their own columns alone give the same with clashing ones beside them.
+    bare = docs.select("doc_id", "text")
+    assert decontaminate.leaks(docs, items).exceptAll(decontaminate.leaks(bare, items)).count() == 0
+    assert lm.score(docs).exceptAll(lm.score(bare)).count() == 0
+    assert packing.pack(docs, packing.word_tokenizer()).select("doc_id", "piece", "length").exceptAll(packing.pack(bare, packing.word_tokenizer()).select("doc_id", "piece", "length")).count() == 0
+    one, two = (media.round_trip(d, f"{shared.shared_folder(spark)}/media-{uuid.uuid4().hex}") for d in (docs.withColumn("FILE", F.lit(1)), bare))
+    assert one.exceptAll(two).count() == 0
+
+
+def noisy_or(text, model):
+    """The score of one text, sentence by sentence, by the model's weights."""
+    import numpy as np
+    import pyarrow as pa
+
+    from snaplake.llm import textblocks
+
+    at, no = dict(zip(model.words.tolist(), model.weights.tolist(), strict=True)), 1 - model.leak
+    for sentence in re.split(r"[.!?\n]", text or ""):
+        told = set()
+        for w in re.findall(r"[A-Za-z]+", sentence):
+            for k in (0, *toxicity.STEMS):
+                if not k or len(w) > k:
+                    h = textblocks.split(pa.array([w[: k or None].lower()])).hashes()[0] ^ np.uint64(k)
+                    told |= {int(h)} & at.keys()
+        if told:
+            no *= 1 - 1 / (1 + np.exp(-(model.bias + sum(at[h] for h in told))))
+    return 1 - no
+
+
+def test_scores_equal_a_plain_noisy_or(spark):
+    docs = toxic_docs(spark, 200)
+    model = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert len(model.words)
+    for r in toxicity.score(docs, model).collect():
+        assert r["score"] == pytest.approx(noisy_or(r["text"], model), abs=1e-9)
+
+
 def test_pii_edges(spark):
     docs = edge_docs(spark, "spans string, base string, near string")
     got = pii.find(docs)
