@@ -39,7 +39,7 @@ from .shared import cut, groups_for, pack, shared_folder, unpack, written
 BLOCK = 4 << 20
 UNIT = 576
 #: Bytes of a chunk: least, and most; about LEAST + 2**BITS on average.
-LEAST, BITS, MOST = 256, 10, 8192
+LEAST, BITS, MOST = 256, 11, 8192
 RATE = 8000
 #: Shared chunks up to which the list of their owners is broadcast: 50 MB or so.
 BROADCAST_CHUNKS = 1_000_000
