@@ -22,8 +22,8 @@ texts side by side, and over pieces of long ones: a piece starts order - 1 token
 which is all that a state can remember. Frequent n-grams cost one entry a block, and
 buckets grow in number with the input.
 
-Tokens are told apart by 64-bit hashes, longer n-grams by 48 bits of theirs within a
-bucket; as buckets keep their size, one n-gram in about a billion shares its count with
+Tokens are told apart by 64-bit hashes, longer n-grams by 44 bits of theirs within a
+bucket; as buckets keep their size, one n-gram in about fifty million shares its count with
 another, whatever the input. A-Z is lower-cased, words
 are runs without white space, and each text ends with an end token. Null and empty
 texts hold just that. A row with a null id trains the model. Repeated rows count and
@@ -46,12 +46,12 @@ from .shared import groups_for, pack, tidy, unpack
 from .toxicity import held_out
 
 BLOCK = 4 << 20
-CHUNK = 16 << 20
+CHUNK = 10 << 20
 BUCKET_BYTES = 4 << 20
 #: Tokens of a piece, the longest stretch that is traversed in one go.
 PIECE = 512
 #: Bits of a longer n-gram's hash that its question leaves out; the bucket tells more of it.
-SHORT = np.uint64(16)
+SHORT = np.uint64(20)
 #: Fixed values of this module's hashes: the end of a text and what stands before its start.
 END, START = np.uint64(0x0E4D0E4D0E4D0E4D), np.uint64(0x57A9757A97757A97)
 
@@ -284,6 +284,7 @@ def _score(order: int, buckets: int, n: int, v: int, mu: float):
         own, answers = unpack(sent.column("blob")[0].as_py()), {}
         for bucket, blob in zip(table.column("bucket").to_pylist(), table.column("blob").to_pylist(), strict=True):
             answers[bucket] = [np.ascontiguousarray(np.frombuffer(p, dtype=np.uint8).reshape(8, -1).T).view(np.int64).reshape(-1) for p in unpack(blob)]
+        del table, sent
         ids, no_id, trains, at = (np.frombuffer(p, dtype=t) for p, t in zip(own[:4], (np.int64, bool, bool, np.int64), strict=True))
         tokens = _unsqueeze(own[4])[_wide(own[5])] if len(own[5]) else np.zeros(0, dtype=np.uint64)
         grams, pad, counts = Grams(tokens, at, order), order - 1, []
@@ -298,7 +299,9 @@ def _score(order: int, buckets: int, n: int, v: int, mu: float):
         cut, size = np.searchsorted(real, at[:-1]), np.diff(at) - pad
         add = lambda x: np.add.reduceat(x, cut) if len(cut) else np.zeros(0)
         base = add(np.log10(seen + 1.0)) - size * np.log10(n + v + 1.0)
+        del tokens, answers, own
         score = Automaton(grams, counts, n, v, mu).traverse(at, pad)
+        pa.default_memory_pool().release_unused()
         return pa.table({"doc_id": pa.array(ids, mask=no_id), "held_out": ~trains, "n_tokens": pa.array(size), "n_known": pa.array(add((seen > 0).astype(np.int64)), pa.int64()), "base_score": base, "score": score})
 
     return run
