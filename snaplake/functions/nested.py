@@ -72,8 +72,8 @@ def newest_marker(bookmakers: Column) -> Column:
 
 
 def json_objects(df: DataFrame, key: str, payload: str, needs: Sequence[str], carries: Sequence[str] = ()) -> DataFrame:
-    """(key, path, object, inherited): every object at any depth of a JSON text that has all
-    of `needs`. inherited holds the nearest value of each of `carries` at or above it.
+    """(key, place, path, object, inherited): every object at any depth of a JSON text that has
+    all of `needs`, numbered from above. inherited holds the nearest value of each of `carries` at or above it.
     Texts that are no JSON have none."""
     rows = df.select(F.col(key).alias("key"), F.col(payload).alias("payload"))
 
@@ -94,11 +94,11 @@ def json_objects(df: DataFrame, key: str, payload: str, needs: Sequence[str], ca
                     tree = json.loads(text) if isinstance(text, str) else None
                 except ValueError:
                     continue
-                out += [(k, p, json.dumps(o, sort_keys=True), json.dumps(a, sort_keys=True)) for p, o, a in walk(tree, "", {})]
-            yield pd.DataFrame(out, columns=["key", "path", "object", "inherited"])
+                out += [(k, i, p, json.dumps(o, sort_keys=True), json.dumps(a, sort_keys=True)) for i, (p, o, a) in enumerate(walk(tree, "", {}))]
+            yield pd.DataFrame(out, columns=["key", "place", "path", "object", "inherited"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInPandas(run, f"key {kind}, path string, object string, inherited string").withColumnRenamed("key", key)
+    return rows.mapInPandas(run, f"key {kind}, place int, path string, object string, inherited string").withColumnRenamed("key", key)
 
 
 def attribute_values(html: Column, name: str) -> Column:

@@ -37,8 +37,9 @@ def rekey(facts: DataFrame, dim: DataFrame, old: Sequence[str], dim_old: Sequenc
 
 
 def resolve_alias(df: DataFrame, name: Column, aliases: DataFrame, out: str) -> DataFrame:
-    """df with the code of its name; aliases(alias, code) are normalised and few."""
-    return df.withColumn("_alias", name).join(F.broadcast(aliases.select(F.col("alias").alias("_a"), F.col("code").alias(out))), F.col("_alias") == F.col("_a"), "left").drop("_alias", "_a")
+    """df with the code of its name; aliases(alias, code) are normalised. Spark broadcasts
+    them where their size allows."""
+    return df.withColumn("_alias", name).join(aliases.select(F.col("alias").alias("_a"), F.col("code").alias(out)), F.col("_alias") == F.col("_a"), "left").drop("_alias", "_a")
 
 
 def player_snapshot(players: DataFrame, pages: DataFrame, key: Column, name: Column, page_name: Column, order: Sequence[Column], values: Sequence[str]) -> DataFrame:

@@ -49,9 +49,9 @@ def composed_points(raw: Column, bonus: Column, minutes: Column, start: Column,
 
 
 def uniform(key: Column, draw: Column, stream: int) -> Column:
-    """A number in (0, 1) that depends on its arguments only."""
-    text = F.concat_ws("|", key.cast("string"), draw.cast("string"), F.lit(str(stream)))
-    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") + 0.5) / float(2**32)
+    """A number in (0, 1) that depends on its arguments only. Four streams share a digest."""
+    text = F.concat_ws("|", key.cast("string"), draw.cast("string"), F.lit(str(stream // 4)))
+    return (F.conv(F.substring(F.md5(text), 1 + 8 * (stream % 4), 8), 16, 10).cast("double") + 0.5) / float(2**32)
 
 
 def draws(df: DataFrame, key: str, start: str, mean: str, spread: str, bonus: Mapping[str, float], n: int = 400) -> DataFrame:
@@ -62,7 +62,7 @@ def draws(df: DataFrame, key: str, start: str, mean: str, spread: str, bonus: Ma
     d = df.select(key, start, mean, spread, *bonus, F.explode(F.sequence(F.lit(1), F.lit(n))).alias("draw"))
     u = lambda stream: uniform(F.col(key), F.col("draw"), stream)
     normal = F.sqrt(-2 * F.log(u(1))) * F.cos(2 * math.pi * u(2))
-    extra = sum((F.when(u(10 + i) < F.col(p), points).otherwise(0.0) for i, (p, points) in enumerate(bonus.items())), F.lit(0.0))
+    extra = sum((F.when(u(3 + i) < F.col(p), points).otherwise(0.0) for i, (p, points) in enumerate(bonus.items())), F.lit(0.0))
     points = F.greatest(F.col(mean) + F.col(spread) * normal, F.lit(0.0)) + extra
     return d.select(key, "draw", F.when(u(0) < F.col(start), points).otherwise(0.0).alias("points"))
 

@@ -26,8 +26,7 @@ def d2(spark, d):
 
 @query("d3_listagg_within_group", "SELECT c_nationkey, string_agg(c_mktsegment, ', ' ORDER BY c_acctbal DESC, c_custkey) AS segments FROM customer GROUP BY 1")
 def d3(spark, d):
-    table(spark, d, "customer").createOrReplaceTempView("snaplake_customer")
-    return spark.sql("SELECT c_nationkey, listagg(c_mktsegment, ', ') WITHIN GROUP (ORDER BY c_acctbal DESC, c_custkey) AS segments FROM snaplake_customer GROUP BY 1")
+    return spark.sql("SELECT c_nationkey, listagg(c_mktsegment, ', ') WITHIN GROUP (ORDER BY c_acctbal DESC, c_custkey) AS segments FROM {c} GROUP BY 1", c=table(spark, d, "customer"))
 
 
 @query("d5_conditional_recent_averages", """

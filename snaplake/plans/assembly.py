@@ -144,10 +144,8 @@ def j2(spark, d):
 
 @query("j4_recent_price_average", "SELECT l_partkey, round(avg(l_extendedprice) FILTER (l_extendedprice >= 10000), 4) AS mean_price FROM lineitem GROUP BY 1")
 def j4(spark, d):
-    g = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.collect_list("l_extendedprice").alias("p"))
-    kept = F.filter("p", lambda x: x >= 10000)
-    mean = F.aggregate(kept, F.lit(0.0), lambda s, x: s + x) / F.nullif(F.size(kept), F.lit(0))
-    return g.select("l_partkey", F.round(mean, 4).alias("mean_price"))
+    g = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.avg(F.when(F.col("l_extendedprice") >= 10000, F.col("l_extendedprice"))).alias("mean"))
+    return g.select("l_partkey", F.round("mean", 4).alias("mean_price"))
 
 
 @query("j11_last_row_wins_per_match", "SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS season, CAST(month(o_orderdate) AS INTEGER) AS matchday, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY 1, 2, 3")
@@ -274,6 +272,5 @@ def j12(spark, d):
 
 @query("j14_value_history_last_wins", "SELECT user_id, CAST(ts AS DATE) AS mv_date, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2")
 def j14(spark, d):
-    h = table(spark, d, "events").groupBy("user_id").agg(F.collect_list(F.struct("ts", "event_id", "value")).alias("it"))
-    rows = h.select("user_id", F.explode("it").alias("x")).select("user_id", F.col("x.ts").cast("date").alias("mv_date"), "x.*")
+    rows = table(spark, d, "events").withColumn("mv_date", F.col("ts").cast("date"))
     return latest.newest_per_key(rows, ["user_id", "mv_date"], ["ts", "event_id"]).select("user_id", "mv_date", "value")

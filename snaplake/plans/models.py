@@ -5,20 +5,20 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import latest, rollup
-from ..operators.sequence import rolling_folds
+from ..operators import latest, rollup, scoring
+from ..operators.sequence import rolling_folds, scale_to_caps, time_holdout
 from ..sources.tables import table
 from .catalog import query
 
 #: Families in order of preference when their scores tie.
-FAMILIES = ("linear", "boosted")
+FAMILIES = ("linear", "forest", "boosted")
 
 
 def preprocessing(numeric: list[str], categorical: list[str]) -> list:
@@ -38,6 +38,8 @@ def preprocessing(numeric: list[str], categorical: list[str]) -> list:
 def regressor(family: str, label: str):
     if family == "linear":
         return LinearRegression(labelCol=label, predictionCol="prediction", regParam=0.01)
+    if family == "forest":
+        return RandomForestRegressor(labelCol=label, predictionCol="prediction", numTrees=10, maxDepth=4, seed=7)
     return GBTRegressor(labelCol=label, predictionCol="prediction", maxIter=5, maxDepth=3, seed=7)
 
 
@@ -63,7 +65,7 @@ def walk_forward(rows: DataFrame, families=FAMILIES, n_splits: int = 2) -> DataF
             model = regressor(family, "points").fit(ready)
             e = F.col("prediction") - F.col("points")
             scored = model.transform(prepared.transform(valid).select("features", "points"))
-            out.append(scored.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae")).select(F.lit(family).alias("family"), F.lit(fold).alias("fold"), "rmse", "mae"))
+            out.append(scored.where(F.col("points").isNotNull()).agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae")).select(F.lit(family).alias("family"), F.lit(fold).alias("fold"), "rmse", "mae"))
     return reduce(DataFrame.union, out)
 
 
@@ -80,12 +82,61 @@ def l2(spark, d):
     return walk_forward(features_of(spark, d))
 
 
+def classifier(family: str, label: str):
+    if family == "linear":
+        return LogisticRegression(labelCol=label, regParam=0.01)
+    if family == "forest":
+        return RandomForestClassifier(labelCol=label, numTrees=10, maxDepth=4, seed=7)
+    return GBTClassifier(labelCol=label, maxIter=5, maxDepth=3, seed=7)
+
+
+NUMBERS, KINDS = ["quantity", "size", "price"], ["brand"]
+
+
+def chance(scored: DataFrame, out: str) -> DataFrame:
+    """scored with the second class's probability as `out`."""
+    return scored.withColumn(out, vector_to_array("probability")[1]).drop("probability", "rawPrediction", "prediction")
+
+
+def best_classifier(rows: DataFrame, label: str, families=FAMILIES, n_splits: int = 2) -> dict:
+    """The family with the lowest mean Brier score over rolling folds, fitted on all rows.
+    Where the label has one class only, or no fold has both, there is a constant instead."""
+    known = rows.where(F.col(label).isNotNull())
+    low, high, mean = known.agg(F.min(label), F.max(label), F.avg(label)).first()
+    if low == high:
+        return {"family": "constant", "constant": float(mean or 0.0), "model": None, "scores": {}}
+    folds = rolling_folds(known, F.col("day"), n_splits=n_splits, min_train_days=4, validation_days=2)
+    parts, scores = known.join(F.broadcast(folds), "day"), {}
+    for fold in range(1, n_splits + 1):
+        train, valid = (parts.where((F.col("fold") == fold) & (F.col("part") == p)) for p in ("train", "valid"))
+        classes, n = train.agg(F.count_distinct(label), F.count(F.lit(1))).first()
+        if classes < 2 or not n:
+            continue
+        prepared = Pipeline(stages=preprocessing(NUMBERS, KINDS)).fit(train)
+        ready, held = prepared.transform(train).select("features", label), prepared.transform(valid).select("features", label)
+        for family in families:
+            got = chance(classifier(family, label).fit(ready).transform(held), "p").agg(rollup.brier(F.col("p"), F.col(label))).first()[0]
+            scores.setdefault(family, []).append(got)
+    means = {f: sum(x) / len(x) for f, x in scores.items() if None not in x}
+    if not means:
+        return {"family": "constant", "constant": float(mean), "model": None, "scores": {}}
+    best = min(means, key=lambda f: (means[f], families.index(f)))
+    model = Pipeline(stages=[*preprocessing(NUMBERS, KINDS), classifier(best, label)]).fit(known)
+    return {"family": best, "constant": None, "model": model, "scores": means}
+
+
+def with_chance(chosen: dict, rows: DataFrame, out: str) -> DataFrame:
+    """rows with the chosen classifier's probability as `out`."""
+    if chosen["model"] is None:
+        return rows.withColumn(out, F.lit(chosen["constant"]))
+    return chance(chosen["model"].transform(rows), out).select(*rows.columns, out)
+
+
 @query("l3_start_classifier")
 def l3(spark, d):
-    rows = features_of(spark, d)
-    stages = [*preprocessing(["quantity", "size", "price"], ["brand"]), LogisticRegression(labelCol="started", regParam=0.01)]
-    scored = Pipeline(stages=stages).fit(rows).transform(rows)
-    return scored.agg(rollup.brier(vector_to_array("probability")[1], F.col("started") > 0).alias("brier"), F.count(F.lit(1)).alias("n"))
+    """(family, brier, chosen): mean Brier score on the held-out folds of each candidate."""
+    got = best_classifier(features_of(spark, d), "started")
+    return spark.createDataFrame([(f, float(b), f == got["family"]) for f, b in got["scores"].items()], "family string, brier double, chosen boolean")  # a row a family
 
 
 @query("l6_champion_choice", "SELECT event_type AS family, CAST(count(*) AS BIGINT) AS n, max(CASE WHEN event_type = (SELECT event_type FROM (SELECT event_type, avg(value) AS v FROM events GROUP BY 1) ORDER BY v, event_type LIMIT 1) THEN 1 ELSE 0 END) AS is_champion FROM events GROUP BY 1")
@@ -109,32 +160,68 @@ def k12(spark, d):
     return out.withColumns({c: F.round(c, 4) for c in ("mae", "rmse", "bias")})
 
 
-TARGETS = ("points", "started", "quantity_share")
+#: Regression targets and classification targets of the hierarchy.
+AMOUNTS, FLAGS = ("raw", "on_top", "minutes"), ("started", "subbed")
 
 
-def fit_targets(rows: DataFrame, targets=TARGETS) -> dict:
-    """One linear model for each target over the same prepared features."""
-    prepared = Pipeline(stages=preprocessing(["quantity", "size", "price"], ["brand"])).fit(rows)
-    ready = prepared.transform(rows).select("features", *targets).persist()
-    models = {t: regressor("linear", t).setPredictionCol(f"{t}_predicted").fit(ready) for t in targets}
-    ready.unpersist()
-    return {"prepared": prepared, "models": models}
+def targets_of(spark, d) -> DataFrame:
+    """Training rows with the five targets: points without bonus, bonus, minutes, whether a
+    player started and whether one came on later."""
+    rows = features_of(spark, d)
+    return rows.select(
+        "key", "day", *NUMBERS, *KINDS, "started", (F.col("points") * 0.9).alias("raw"), (F.col("points") * 0.1).alias("on_top"), (F.col("quantity") * 1.8).alias("minutes"),
+        ((F.col("started") == 0) & (F.col("quantity") > 25)).cast("double").alias("subbed"), "points",
+    )
+
+
+def fit_targets(rows: DataFrame) -> dict:
+    """A model for each target: linear ones of the amounts over the same prepared features,
+    and for each flag the best classifier."""
+    prepared = Pipeline(stages=preprocessing(NUMBERS, KINDS)).fit(rows)
+    ready = prepared.transform(rows).select("features", *AMOUNTS)
+    models = {t: regressor("linear", t).setPredictionCol(f"{t}_predicted").fit(ready) for t in AMOUNTS}
+    return {"prepared": prepared, "amounts": models, "flags": {t: best_classifier(rows, t, families=("linear", "boosted"), n_splits=1) for t in FLAGS}}
 
 
 def score_targets(bundle: dict, rows: DataFrame) -> DataFrame:
-    """rows with a prediction for each target, probabilities within 0 and 1."""
+    """rows with a prediction for each target and the points composed of them."""
     out = bundle["prepared"].transform(rows)
-    for m in bundle["models"].values():
+    for m in bundle["amounts"].values():
         out = m.transform(out)
-    clipped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("started_predicted")))
-    return out.withColumn("started_predicted", clipped).select("key", *[f"{t}_predicted" for t in bundle["models"]])
+    out = out.select(*rows.columns, *[f"{t}_predicted" for t in AMOUNTS])
+    for t, chosen in bundle["flags"].items():
+        out = with_chance(chosen, out, f"{t}_predicted")
+    p = lambda t: F.col(f"{t}_predicted")
+    return out.withColumn("points_predicted", scoring.composed_points(p("raw"), p("on_top"), p("minutes"), p("started"), p("subbed")))
 
 
 @query("l4_hierarchical_targets")
 def l4(spark, d):
-    rows = features_of(spark, d).withColumn("quantity_share", F.col("quantity") / 50)
-    scored = score_targets(fit_targets(rows), rows)
-    return scored.groupBy("key").agg(F.avg("points_predicted").alias("points"), F.avg("started_predicted").alias("started"))
+    """Errors on the last year of what was fitted on the years before: RMSE of the composed
+    points, MAE of the bonus, Brier scores of the flags."""
+    parts = time_holdout(targets_of(spark, d), F.col("day"), 365)
+    bundle = fit_targets(parts.where("part = 'train'").drop("part"))
+    scored = score_targets(bundle, parts.where("part = 'valid'").drop("part"))
+    e = F.col("points_predicted") - F.col("points")
+    return scored.agg(
+        F.sqrt(F.avg(e * e)).alias("rmse_total"), F.avg(F.abs(F.col("on_top_predicted") - F.col("on_top"))).alias("mae_bonus"), rollup.brier(F.col("started_predicted"), F.col("started")).alias("brier_started"),
+        rollup.brier(F.col("subbed_predicted"), F.col("subbed")).alias("brier_subbed"), F.count(F.lit(1)).alias("n"),
+    )
+
+
+@query("l7_live_scoring")
+def l7(spark, d):
+    """Live rows (the newest of each key in the last quarter) scored by what was fitted before
+    it; the chances of a group add up to its places, and the champion's name is beside them."""
+    parts = time_holdout(targets_of(spark, d), F.col("day"), 90)
+    history, live = parts.where("part = 'train'").drop("part"), parts.where("part = 'valid'").drop("part")
+    newest = latest.newest_per_key(live, ["key"], ["day", "points"])
+    scored = score_targets(fit_targets(history), newest).select("key", "brand", *[f"{t}_predicted" for t in (*AMOUNTS, *FLAGS)])
+    capped = scale_to_caps(scored, ["brand"], {"started_predicted": 11.0, "subbed_predicted": 5.0})
+    p = lambda t: F.col(f"{t}_predicted")
+    points = scoring.composed_points(p("raw"), p("on_top"), p("minutes"), p("started"), p("subbed"))
+    best = F.broadcast(champion(walk_forward(history.withColumn("points", F.col("raw") + F.col("on_top")), families=("linear", "boosted"), n_splits=1)))  # one row
+    return capped.withColumn("points", points).join(best.select("champion")).select("key", "brand", "points", p("started").alias("started"), p("subbed").alias("subbed"), "champion")
 
 
 @query("d12_hierarchical_evaluation", """

@@ -50,9 +50,8 @@ def j7(spark, d):
 
 @query("j8_sorted_distinct_lists", "SELECT l_partkey, (SELECT string_agg(x, ',' ORDER BY x) FROM (SELECT DISTINCT l_returnflag AS x FROM lineitem b WHERE b.l_partkey = a.l_partkey)) AS markets, count(DISTINCT l_suppkey) AS n_books FROM lineitem a GROUP BY 1")
 def j8(spark, d):
-    o = N.explode_odds(_books(spark, d), "l_partkey", "bookmakers")
-    every = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("markets"), F.count_distinct("l_suppkey").alias("n_books"))
-    return every.join(o.select("l_partkey").distinct(), "l_partkey", "left").select("l_partkey", "markets", "n_books")
+    b = _books(spark, d).select("l_partkey", F.explode("bookmakers").alias("b")).select("l_partkey", "b.key", F.explode("b.markets").alias("m"))
+    return b.groupBy("l_partkey").agg(F.array_join(F.array_sort(F.collect_set("m.key")), ",").alias("markets"), F.count_distinct("key").alias("n_books"))
 
 
 @query("j9_clean_competitor_names", """

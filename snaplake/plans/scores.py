@@ -43,8 +43,8 @@ def h25(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", F.round(p, 6).alias("points"))
 
 
-U = "((CAST(concat('0x', substr(md5(concat_ws('|', CAST(c_custkey AS VARCHAR), CAST(draw AS VARCHAR), '{0}')), 1, 8)) AS UBIGINT) + 0.5) / 4294967296.0)"
-DRAWS = f"""SELECT c_custkey, CASE WHEN {U.format(0)} < start THEN greatest(mean + spread * sqrt(-2 * ln({U.format(1)})) * cos(2 * pi() * {U.format(2)}), 0) + CASE WHEN {U.format(10)} < goal THEN 4.0 ELSE 0 END ELSE 0 END AS points
+U = "((CAST(concat('0x', substr(md5(concat_ws('|', CAST(c_custkey AS VARCHAR), CAST(draw AS VARCHAR), '{0}')), {1}, 8)) AS UBIGINT) + 0.5) / 4294967296.0)"
+DRAWS = f"""SELECT c_custkey, CASE WHEN {U.format(0, 1)} < start THEN greatest(mean + spread * sqrt(-2 * ln({U.format(0, 9)})) * cos(2 * pi() * {U.format(0, 17)}), 0) + CASE WHEN {U.format(0, 25)} < goal THEN 4.0 ELSE 0 END ELSE 0 END AS points
 FROM (SELECT c_custkey, 0.3 + (c_nationkey % 7) / 10.0 AS start, c_nationkey * 1.0 AS mean, 1.0 + c_nationkey % 4 AS spread, 0.1 AS goal FROM customer), (SELECT unnest(range(1, 101)) AS draw)"""
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -14,8 +13,8 @@ from .catalog import query
 
 
 def scratch(spark, name: str) -> str:
-    """A new folder in the cluster's shared folder, or a local one where none is set."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-")
+    """A new folder in the cluster's shared folder, or in the warehouse where none is set."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

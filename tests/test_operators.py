@@ -154,3 +154,40 @@ def test_snapshots(spark, tmp_path):
     assert rows(snapshots.as_of(a, "2020", or_later=True), "v") == [(2,)]
     (tmp_path / "x.json").write_text('{"v": 1}\n\n{"v": 2}\n')
     assert snapshots.read_ndjson(spark, str(tmp_path / "x.json"), "v int").count() == 2
+
+
+def test_points_of_the_last_day_and_odd_payloads(spark):
+    from snaplake.operators import players
+
+    maps = [{"md": "3", "p": "5"}, {"md": "4", "hp": "true"}, {"spieltag": "4", "points": "7.456", "sec": "600"}, {"md": "x", "p": "9", "st": "Startelf"}]
+    df = spark.createDataFrame([("m", maps, {"ismc": "3"}), ("none", None, {}), ("seconds", [{"sec": "120"}], {"seconds": "600", "games": "2"})], "k string, m array<map<string,string>>, d map<string,string>")
+    out = df.withColumn("c", players._counted(F.col("m"))).select("k", *[c.alias(n) for n, c in players.playing_stats(F.col("d"), F.col("c")).items()])
+    got = {r["k"]: tuple(r)[1:] for r in out.collect()}
+    assert got == {"m": (3, 1, 3.33, 4, 7.46), "none": (None, None, None, None, None), "seconds": (2, None, 5.0, None, None)}
+
+
+def test_one_class_gives_a_constant(spark):
+    from snaplake.plans import models
+
+    rows = spark.createDataFrame([(dt.date(2024, 1, i), 1.0, 2.0, 3.0, "b", 1.0) for i in range(1, 9)], "day date, quantity double, size double, price double, brand string, started double")
+    got = models.best_classifier(rows, "started")
+    assert (got["family"], got["constant"], got["model"]) == ("constant", 1.0, None)
+    assert {r["p"] for r in models.with_chance(got, rows, "p").collect()} == {1.0}
+
+
+def test_entities_without_any_match_stay(spark):
+    from snaplake.operators import players
+
+    left = spark.createDataFrame([(1, "ann", "x", "ann-a"), (2, "bob", "x", "cid"), (3, None, None, None)], "id int, name string, team string, slug string")
+    right = spark.createDataFrame([("ann", "y", "s", 9), ("ann", "x", "s", 1), (None, "x", "cid", 4), ("cid", None, "cid", 5)], "name string, team string, slug string, v int")
+    got = players.match_entities(left, right, name=(F.col("name"), "name"), team=(F.col("team"), "team"), slug=(F.col("slug"), "slug"), order=[F.col("v").desc()], values=["v"])
+    assert rows(got, "id", "v") == [(1, 1), (2, 5), (3, None)]
+
+
+def test_pages_without_players(spark):
+    from snaplake.functions import pages
+
+    df = spark.createDataFrame([(1, None, "u"), (2, "", "u"), (3, '<script id="__NEXT_DATA__">{broken</script><b data-player-name="A">', "u"), (4, '<div class="player_position_row"><div class="player_position_column">', "u")], "id int, html string, url string")
+    got = pages.player_rows(df, "id", "html").collect()
+    assert [(r["id"], r["player_name"], r["status"]) for r in got] == [(3, "A", "unknown")]
+    assert pages.squad_rows(df, "id", "html", "url").count() == 0 and pages.player_rows(df.limit(0), "id", "html").count() == 0
