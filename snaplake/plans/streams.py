@@ -37,7 +37,7 @@ WHERE prev IS DISTINCT FROM event_type""")
 def n2(spark, d):
     at = scratch(spark, "changes")
     s = _events(spark, d).select("user_id", F.col("event_type").alias("status"), "ts")
-    out = streams.collected(streams.changes(s, "user_id", "status", "ts"), f"{at}/data", f"{at}/checkpoint")
+    out = streams.changes(s, "user_id", "status", "ts", f"{at}/data", f"{at}/checkpoint")
     return out.select("user_id", "status", F.col("changed_at").cast("timestamp_ntz").alias("changed_at"), F.col("first_seen_at").cast("timestamp_ntz").alias("first_seen_at"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import latest, sequence
+from ..operators import history, latest, sequence
 from ..sources.tables import table
 from .catalog import query
 
@@ -78,6 +78,31 @@ def e8(spark, d):
     return out.select("o_orderkey", *[F.round(f"o_totalprice_{c}", 4).alias(f"o_totalprice_{c}") for c in ("lag_1", "mean_3", "mean_5", "mean_10", "std_5")])
 
 
+@query("k6_training_frame", f"""
+SELECT o_orderkey, round(target, 4) AS target, round(log_price, 6) AS log_price, is_high, round(o_totalprice_lag_1, 4) AS o_totalprice_lag_1, round(o_totalprice_mean_5, 4) AS o_totalprice_mean_5 FROM (
+  SELECT o_orderkey, o_orderdate, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS target, ln(1 + o_totalprice) AS log_price, CAST(o_totalprice > 150000 AS INTEGER) AS is_high, coalesce(lag({SEQ}) OVER w, 0) AS o_totalprice_lag_1,
+    coalesce(avg({SEQ}) OVER (w ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 0) AS o_totalprice_mean_5
+  FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate ASC NULLS LAST, o_orderkey)) WHERE target IS NOT NULL AND o_orderdate IS NOT NULL""")
+def k6(spark, d):
+    target = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))
+    more = {"log_price": F.log1p("o_totalprice"), "is_high": (F.col("o_totalprice") > 150000).cast("int")}
+    out = history.training_frame(table(spark, d, "orders"), "o_custkey", "o_orderdate", "o_orderkey", "o_totalprice", target, more)
+    four = [F.round(c, 4).alias(c) for c in ("target", "o_totalprice_lag_1", "o_totalprice_mean_5")]
+    return out.select("o_orderkey", F.round("log_price", 6).alias("log_price"), "is_high", *four)
+
+
+@query("k7_history_load", """
+WITH o AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS season FROM orders), n AS (SELECT * FROM o WHERE season >= (SELECT max(season) FROM o) - 2),
+f AS (SELECT * FROM n WHERE o_custkey IN (SELECT DISTINCT o_custkey FROM n WHERE o_custkey IS NOT NULL ORDER BY 1 LIMIT 40)),
+v AS (SELECT o_custkey, o_orderdate, max(o_totalprice) AS known_value FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2)
+SELECT f.o_orderkey, f.o_custkey, f.season, v.known_value FROM f ASOF LEFT JOIN v ON f.o_custkey = v.o_custkey AND f.o_orderdate >= v.o_orderdate""")
+def k7(spark, d):
+    o = table(spark, d, "orders")
+    values = o.where("o_orderstatus = 'F'").groupBy("o_custkey", "o_orderdate").agg(F.max("o_totalprice").alias("known_value"))
+    facts = o.select("o_orderkey", "o_custkey", "o_orderdate", F.year("o_orderdate").alias("season"))
+    return history.load_history(facts, values, "o_custkey", "o_orderdate", "season", "known_value", n_keys=40).select("o_orderkey", "o_custkey", "season", "known_value")
+
+
 @query("e9_live_features_of_key", f"""
 SELECT o_custkey, round(avg(x), 4) AS last_three FROM (
   SELECT o_custkey, {SEQ} AS x, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) AS rn FROM orders) WHERE rn <= 3 GROUP BY o_custkey""")

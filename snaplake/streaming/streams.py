@@ -6,13 +6,11 @@ checkpoint of a stream is what a high-water mark is to a batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def files(spark: SparkSession, path: str, schema: T.StructType | str, kind: str = "parquet", per_batch: int | None = None) -> DataFrame:
@@ -42,25 +40,30 @@ def upsert_each_batch(stream: DataFrame, checkpoint: str, merge: Callable[[DataF
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def changes(stream: DataFrame, key: str, status: str, time: str) -> DataFrame:
+def changes(stream: DataFrame, key: str, status: str, time: str, path: str, checkpoint: str) -> DataFrame:
     """(key, status, changed_at, first_seen_at) whenever the status of a key is another than
-    the one kept in state. Rows of one micro-batch are taken in order of time."""
-    kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
-    out = f"{key} {kinds[key]}, {status} string, changed_at timestamp, first_seen_at timestamp"
-
-    def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, first = state.get if state.exists else (None, None)
-        found = []
-        rows = pd.concat(list(frames)).sort_values([time, status])
-        for s, t in zip(rows[status], rows[time], strict=True):
-            first = t if first is None else first
-            if s != last:
-                found.append((k[0], s, t, first))
-                last = s
-        state.update((last, first))
-        yield pd.DataFrame(found, columns=[key, status, "changed_at", "first_seen_at"])
-
-    return stream.groupBy(key).applyInPandasWithState(step, out, f"{status} string, first_seen timestamp", "append", GroupStateTimeout.NoTimeout)
+    before, read from path at the stream's end. Rows of one micro-batch are taken in order of
+    time and status, after what earlier batches left.
+
+    The last status and first time of every key are a table that each batch reads and
+    writes anew under its number, so a batch that is run again gives the same files. Changes
+    are found by lag() over a key's rows: Spark sorts and spills them, nothing is held."""
+    spark = stream.sparkSession
+
+    def one(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select(key, status, F.col(time).alias("_at"), F.lit(None).cast("timestamp").alias("_first"), F.lit(1).alias("_new"))
+        if batch_id:
+            rows = rows.unionByName(spark.read.parquet(f"{path}/state/{batch_id - 1}").withColumn("_new", F.lit(0)))
+        w = Window.partitionBy(key).orderBy("_new", "_at", status)
+        first = F.min(F.coalesce("_first", "_at")).over(Window.partitionBy(key))
+        seen = rows.withColumns({"_prev": F.lag(status).over(w), "first_seen_at": first})
+        found = seen.where((F.col("_new") == 1) & ~F.col("_prev").eqNullSafe(F.col(status)))
+        found.select(key, status, F.col("_at").alias("changed_at"), "first_seen_at").write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
+        last = rows.groupBy(key).agg(F.max(F.struct("_new", "_at", status)).alias("l"), F.min(F.coalesce("_first", "_at")).alias("_first"))
+        last.select(key, F.col(f"l.{status}").alias(status), F.col("l._at").alias("_at"), "_first").write.mode("overwrite").parquet(f"{path}/state/{batch_id}")
+
+    upsert_each_batch(stream, checkpoint, one)
+    return spark.read.parquet(f"{path}/changes").drop("batch")
 
 
 def collected(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:

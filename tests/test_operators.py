@@ -191,3 +191,15 @@ def test_pages_without_players(spark):
     got = pages.player_rows(df, "id", "html").collect()
     assert [(r["id"], r["player_name"], r["status"]) for r in got] == [(3, "A", "unknown")]
     assert pages.squad_rows(df, "id", "html", "url").count() == 0 and pages.player_rows(df.limit(0), "id", "html").count() == 0
+
+
+def test_changes_over_several_batches(spark, tmp_path):
+    from snaplake.streaming import streams
+
+    batches = [[("a", "x", 1), ("a", "x", 2), ("b", "y", 1)], [("a", "x", 3), ("a", "z", 4), (None, "n", 4)], [("b", "y", 5), ("a", "x", 6), ("c", None, 6), (None, "n", 7)]]
+    for i, rows_ in enumerate(batches):
+        at = [(k, s, dt.datetime(2024, 1, t)) for k, s, t in rows_]
+        spark.createDataFrame(at, "k string, s string, ts timestamp").coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+    stream = streams.files(spark, f"{tmp_path}/in/*", "k string, s string, ts timestamp", per_batch=1)
+    got = streams.changes(stream, "k", "s", "ts", f"{tmp_path}/out", f"{tmp_path}/cp").collect()
+    assert sorted((r["k"] or "", r["s"] or "", r["changed_at"].day, r["first_seen_at"].day) for r in got) == [("", "n", 4, 4), ("a", "x", 1, 1), ("a", "x", 6, 1), ("a", "z", 4, 1), ("b", "y", 1, 1)]
