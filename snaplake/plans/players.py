@@ -99,7 +99,7 @@ def c1b(spark, d):
 WITH {_MATCHED}, k AS (SELECT *, concat(lower(c_mktsegment), '_', coalesce(CAST(s_suppkey AS VARCHAR), 'unknown')) AS base FROM e)
 SELECT c_custkey, CASE WHEN row_number() OVER (PARTITION BY base ORDER BY c_custkey) > 1 THEN concat(base, '_', c_custkey) ELSE base END AS player_uid, concat(c_mktsegment, ' ', CASE WHEN c_custkey % 6 > 0 THEN concat('L', c_custkey) ELSE c_name END) AS player_name,
   coalesce(CASE WHEN c_custkey % 3 > 0 THEN concat('T', c_nationkey) ELSE 'T99' END, concat('T', s_suppkey)) AS team_uid, s_suppkey AS page_id, 'https://site.example/' || s_suppkey || '/' AS page_url,
-  CASE WHEN c_custkey % 4 > 0 THEN CAST(floor(c_acctbal) AS BIGINT) ELSE c_custkey % 1000 END AS market_value, c_custkey % 13 AS goals_total, '1998-08-01' AS snapshot_date, '9899' AS season_uid FROM k""")
+  CASE WHEN c_custkey % 4 > 0 THEN CAST(floor(c_acctbal) AS BIGINT) ELSE c_custkey % 1000 END AS market_value, c_custkey % 13 AS goals_total, '1998-08-01' AS snapshot_date, CAST(9899 AS INTEGER) AS season_uid FROM k""")
 def k1b(spark, d):
     """Payload rows with their page, a key that is unique, and the snapshot's date and season."""
     rows = _player_rows(spark, d).join(table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"), "c_custkey")
@@ -177,8 +177,8 @@ def run_exports(live: DataFrame, folds: dict[str, DataFrame], champion: DataFram
 
 @query("a16_run_exports", """
 WITH l AS (SELECT avg(value) AS view_score FROM events WHERE event_type = 'view'), p AS (SELECT avg(value) AS buy_score FROM events WHERE event_type = 'purchase')
-SELECT 'live' AS table_name, count(*) AS n, 'view' AS champion_model, CAST(NULL AS DOUBLE) AS score FROM customer UNION ALL SELECT 'folds', count(*), NULL, sum(value) FROM events WHERE event_type IN ('view', 'purchase')
-UNION ALL SELECT 'champion', 1, 'view', view_score FROM l UNION ALL SELECT 'run', (SELECT count(*) FROM customer), 'view', buy_score FROM p""")
+SELECT 'live' AS table_name, count(*) AS n, 'view' AS champion_model, CAST(NULL AS DOUBLE) AS score FROM customer UNION ALL SELECT 'folds', count(*), NULL, round(sum(value), 2) FROM events WHERE event_type IN ('view', 'purchase')
+UNION ALL SELECT 'champion', 1, 'view', round(view_score, 4) FROM l UNION ALL SELECT 'run', (SELECT count(*) FROM customer), 'view', round(buy_score, 4) FROM p""")
 def a16b(spark, d):
     e = table(spark, d, "events").select("event_id", F.col("value").alias("rmse"), "event_type")
     folds = {"view": e.where("event_type = 'view'").drop("event_type"), "purchase": e.where("event_type = 'purchase'").withColumn("extra", F.lit(1)).drop("event_type")}
@@ -186,9 +186,9 @@ def a16b(spark, d):
     got = run_exports(table(spark, d, "customer").select("c_custkey"), folds, none, "1998-08-01")
     n, no = F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("score")
     live = got["live"].groupBy("champion_model").agg(n).select(F.lit("live").alias("table_name"), "n", "champion_model", no)
-    fold = got["folds"].agg(n, F.sum("rmse").alias("score")).select(F.lit("folds"), "n", F.lit(None).cast("string"), "score")
-    best = got["champion"].select(F.lit("champion"), F.lit(1).cast("long"), "champion_model", "view_score")
-    return live.union(fold).union(best).union(got["run"].select(F.lit("run"), "live_rows", "champion_model", "purchase_score"))
+    fold = got["folds"].agg(n, F.round(F.sum("rmse"), 2).alias("score")).select(F.lit("folds"), "n", F.lit(None).cast("string"), "score")
+    best = got["champion"].select(F.lit("champion"), F.lit(1).cast("long"), "champion_model", F.round("view_score", 4))
+    return live.union(fold).union(best).union(got["run"].select(F.lit("run"), "live_rows", "champion_model", F.round("purchase_score", 4)))
 
 
 def _squad_pages(spark, d) -> DataFrame:
