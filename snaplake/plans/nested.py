@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import nested as N
+from ..functions import scalars as S
+from ..operators import latest
 from ..sources.tables import table
 from .catalog import query
 
@@ -70,6 +72,20 @@ def j10(spark, d):
     return found.select("event_id", F.get_json_object("object", "$.k").cast("long").alias("k"), "path", F.get_json_object("inherited", "$.kind").alias("kind"))
 
 
+@query("j12_nested_events_last_wins", """
+SELECT sha1(concat_ws('|', CAST(user_id AS VARCHAR), json_extract_string(props, '$.k'), event_type)) AS event_hash, max(event_id) AS event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS points FROM events WHERE user_id IS NOT NULL AND event_type <> 'error' GROUP BY user_id, event_type, json_extract_string(props, '$.k')""")
+def j12_nested(spark, d):
+    """Objects with a type and points at any depth; of those with one hash the last stays."""
+    e = table(spark, d, "events").where("user_id is not null")
+    k = F.get_json_object("props", "$.k")
+    event = F.concat(F.lit('{"eti":"'), F.when(F.col("event_type") == "error", "").otherwise(F.col("event_type")), F.lit('","p":'), k, F.lit("}"))
+    payload = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"it":[{"deep":['), event, F.lit(']},{"eti":"no points"}]}'))).otherwise(event)
+    found = N.json_objects(e.select(F.struct("event_id", "user_id").alias("row"), payload.alias("payload")), "row", "payload", ["eti", "p"])
+    kind, points = N.json_first(F.col("object"), ["eti"]), N.json_first(F.col("object"), ["p"])
+    rows = found.where(kind.isNotNull()).select("row.*", S.content_hash(F.col("row.user_id"), points, kind).alias("event_hash"), points.cast("double").alias("points"), "place")
+    return latest.newest_per_key(rows, ["event_hash"], ["event_id", "place"]).select("event_hash", "event_id", "points")
+
+
 @query("j13_table_from_array_or_map", "SELECT DISTINCT CAST(json_extract(props, '$.k') AS INTEGER) AS type_id, concat('event_', json_extract(props, '$.k')) AS name FROM events")
 def j13(spark, d):
     pairs = F.explode(F.from_json("props", "map<string,int>")).alias("key", "type_id")
