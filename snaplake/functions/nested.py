@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scalars import parse_time
+
 
 def json_first(c: Column, keys: Sequence[str], kind: str = "string") -> Column:
     """The first of several top-level keys that is present and readable."""
@@ -71,6 +73,22 @@ def newest_marker(bookmakers: Column) -> Column:
     return F.array_max(F.concat(F.transform(bookmakers, lambda b: b["last_update"]), inner))
 
 
+#: Spellings of the time of an update.
+UPDATED = ("last_update", "lastUpdate", "updated_at", "updatedAt")
+
+
+def newest_event_marker(event: Column) -> Column:
+    """The newest time under any spelling at an event (JSON text), its books and their
+    markets; texts that are no time are passed over."""
+    own = ",".join(f"{k}:string" for k in UPDATED)
+    e = F.from_json(event, f"struct<{own},bookmakers:array<struct<{own},markets:array<struct<{own}>>>>>")
+    times = lambda x: F.transform(F.array(*[x[k] for k in UPDATED]), parse_time)
+    books = F.filter(F.coalesce(e["bookmakers"], F.array()), lambda b: b.isNotNull())
+    markets = F.flatten(F.transform(books, lambda b: F.coalesce(b["markets"], F.array())))
+    every = F.concat(times(e), F.flatten(F.transform(books, times)), F.flatten(F.transform(markets, times)))
+    return F.array_max(F.array_compact(every))
+
+
 def json_objects(df: DataFrame, key: str, payload: str, needs: Sequence[str], carries: Sequence[str] = ()) -> DataFrame:
     """(key, place, path, object, inherited): every object at any depth of a JSON text that has
     all of `needs`, numbered from above. inherited holds the nearest value of each of `carries` at or above it.

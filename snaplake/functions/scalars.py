@@ -111,6 +111,31 @@ def canonical_url(c: Column) -> Column:
     return F.concat(F.regexp_replace(bare, "/+$", ""), F.lit("/"))
 
 
+def site_url(c: Column, domain: str, site: str, section: str) -> Column:
+    """Page addresses of a domain: https, no query or fragment, cut before a section of the
+    path, a slash at the end. Other addresses are only trimmed; other hosts of the domain
+    only get https."""
+    text = F.trim(c)
+    secure = F.regexp_replace(text, "^http://", "https://")
+    path = F.regexp_replace(F.substring(secure, F.lit(len(site) + 1), F.length(secure)), "[?#].*$", "")
+    path = F.when(path.contains(section), F.concat(F.split_part(path, F.lit(section), F.lit(1)), F.lit("/"))).otherwise(path)
+    return F.when(~text.contains(domain), text).when(~secure.startswith(site), secure).otherwise(F.concat(F.lit(site), path, F.when(path.endswith("/"), "").otherwise("/")))
+
+
+def squad_url(c: Column, section: str, other: str) -> Column:
+    """The squad page of a team page: the path up to its section, or with the section in
+    place of another one, or behind a path that ends in a name and a number; else null."""
+    form = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)([^?#]*)"
+    host, path = F.regexp_extract(F.trim(c), form, 1), F.coalesce(F.nullif(F.regexp_extract(F.trim(c), form, 2), F.lit("")), F.lit("/"))
+    clean = (
+        F.when(path.endswith(section), path)
+        .when(path.contains(section), F.concat(F.split_part(path, F.lit(section), F.lit(1)), F.lit(section)))
+        .when(path.contains(other), F.replace(path, F.lit(other), F.lit(section)))
+        .when(path.rlike(r"/[^/]+/\d+/?$"), F.concat(F.regexp_replace(path, "/$", ""), F.lit(section)))
+    )
+    return F.when(host != "", F.concat(host, clean))
+
+
 def labelled(code: Column, labels: Mapping[str, str], default: str) -> Column:
     pairs = [F.lit(x) for kv in labels.items() for x in kv]
     return F.coalesce(F.create_map(*pairs)[code], F.lit(default))

@@ -48,6 +48,15 @@ def error_metrics(df: DataFrame, error: Column, by: str) -> DataFrame:
     ).select(F.when(F.col("all") == 1, "ALL").otherwise(F.col("scope")).alias("scope"), "n", "mae", "rmse", "bias")
 
 
+def backtest(predicted: DataFrame, actual: DataFrame, key: str, by: str) -> DataFrame:
+    """error_metrics of (key, predicted, by) against (key, actual); an error if no key is
+    in both."""
+    both = predicted.join(actual, key)
+    if both.isEmpty():
+        raise LookupError("no prediction has an actual value")
+    return error_metrics(both, F.col("predicted") - F.col("actual"), by)
+
+
 def brier(probability: Column, outcome: Column) -> Column:
     """Aggregate: mean squared difference of a probability and a 0/1 outcome."""
     return F.avg((probability - outcome.cast("double")) * (probability - outcome.cast("double")))

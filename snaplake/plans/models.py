@@ -155,8 +155,8 @@ e AS (SELECT coalesce(CASE WHEN p.user_id % 3 = 0 THEN 'even' ELSE 'odd' END, 'U
 SELECT coalesce(scope, 'ALL') AS scope, count(e) AS n, round(avg(abs(e)), 4) AS mae, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(e), 4) AS bias FROM e GROUP BY GROUPING SETS ((), (scope))""")
 def k12(spark, d):
     last = lambda kind, name: latest.newest_per_key(table(spark, d, "events").where(F.col("event_type") == kind), ["user_id"], ["ts", "event_id"]).select("user_id", F.col("value").alias(name))
-    j = last("view", "predicted").join(last("purchase", "actual"), "user_id").withColumn("scope", F.when(F.col("user_id") % 3 == 0, "even").otherwise("odd"))
-    out = rollup.error_metrics(j, F.col("predicted") - F.col("actual"), "scope")
+    scoped = last("view", "predicted").withColumn("scope", F.when(F.col("user_id") % 3 == 0, "even").otherwise("odd"))
+    out = rollup.backtest(scoped, last("purchase", "actual"), "user_id", "scope")
     return out.withColumns({c: F.round(c, 4) for c in ("mae", "rmse", "bias")})
 
 

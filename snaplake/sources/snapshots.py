@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import entity_key, to_text
+
 STAMP = "snapshot_ts"
 
 
@@ -85,6 +87,28 @@ def land(df: DataFrame, path: str, file_stamp: str) -> None:
     df.withColumns({"bronze_loaded_at": F.current_timestamp(), "bronze_file_timestamp": F.lit(file_stamp)}).write.mode("append").parquet(path)
 
 
+def land_all(frames: dict[str, DataFrame | None], required: Sequence[str], path: str, file_stamp: str) -> list[str]:
+    """Land every dataset that is there, in a folder of its name below path, and return the
+    names; an error before anything is written if a required one is missing."""
+    missing = [name for name in required if frames.get(name) is None]
+    if missing:
+        raise LookupError(f"no dataset {', '.join(missing)}")
+    landed = {name: df for name, df in frames.items() if df is not None}
+    for name, df in landed.items():
+        land(df, f"{path.rstrip('/')}/{name}", file_stamp)
+    return sorted(landed)
+
+
+def master_records(records: DataFrame, uid: str, id_col: str, name: str, born: str) -> DataFrame:
+    """Records with a name (player_<id> where there is none) and a key: the given one, if it
+    is not a number, or else one of name and birth date; an error if there is no record."""
+    if records.isEmpty():
+        raise LookupError("there are no records")
+    named = records.withColumn(name, F.coalesce(to_text(F.col(name)), F.concat(F.lit("player_"), F.coalesce(F.col(id_col).cast("string"), F.lit("unknown")))))
+    given = to_text(F.col(uid))
+    return named.withColumn(uid, F.when(given.rlike("[^0-9]"), given).otherwise(entity_key(F.col(name), F.col(born))))
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table, rows): the manifest of an export."""
     out = None

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snaplake.functions import nested as N
 from snaplake.functions import scalars as S
-from snaplake.operators import joins, latest, merge, rollup, scoring, sequence
+from snaplake.operators import fixtures, gold, joins, latest, merge, rollup, scoring, sequence
 from snaplake.sources import snapshots
 
 
@@ -203,3 +203,50 @@ def test_changes_over_several_batches(spark, tmp_path):
     stream = streams.files(spark, f"{tmp_path}/in/*", "k string, s string, ts timestamp", per_batch=1)
     got = streams.changes(stream, "k", "s", "ts", f"{tmp_path}/out", f"{tmp_path}/cp").collect()
     assert sorted((r["k"] or "", r["s"] or "", r["changed_at"].day, r["first_seen_at"].day) for r in got) == [("", "n", 4, 4), ("a", "x", 1, 1), ("a", "x", 6, 1), ("a", "z", 4, 1), ("b", "y", 1, 1)]
+
+
+def test_addresses(spark):
+    rows = ["http://www.a.de/fc/1/kader/?x=1", "https://www.a.de/fc/1#t", "https://m.a.de/fc/1", "ftp://b.de/x", " ", None, "https://www.a.de", "https://www.a.de/fc/12/kaderanalyse/3", "https://www.a.de/fc/kader/9/", "nothing"]
+    df = spark.createDataFrame([(r,) for r in rows], "u string")
+    got = df.select(S.site_url(F.col("u"), "a.de", "https://www.a.de", "/kader/"), S.squad_url(F.col("u"), "/kader/", "/kaderanalyse/")).collect()
+    assert [r[0] for r in got] == ["https://www.a.de/fc/1/", "https://www.a.de/fc/1/", "https://m.a.de/fc/1", "ftp://b.de/x", "", None, "https://www.a.de/", "https://www.a.de/fc/12/kaderanalyse/3/", "https://www.a.de/fc/", "nothing"]
+    assert [r[1] for r in got] == ["http://www.a.de/fc/1/kader/", "https://www.a.de/fc/1/kader/", "https://m.a.de/fc/1/kader/", None, None, None, None, "https://www.a.de/fc/12/kader/3", "https://www.a.de/fc/kader/", None]
+
+
+def test_fixture_payloads_of_any_form(spark):
+    rows = [(1, '[{"day": 1, "cur": true, "it": [{"t1": 1, "t2": 2, "t1sy": "a.b"}, {"t1": 1, "t2": 2}]}, {"n": "7", "sn": "25/26"}]'), (2, '{"data": [], "it": [{"day": 3}]}'), (3, "no json"), (4, None), (5, '{"items": [{"matchday": 4}, {"matchday": 2}]}')]
+    df = spark.createDataFrame(rows, "k int, p string")
+    day, season = fixtures.calendar(fixtures.days_of(F.col("p")))
+    assert [tuple(r) for r in df.select("k", day, season).orderBy("k").collect()] == [(1, 1, "25/26"), (2, None, None), (3, None, None), (4, None, None), (5, 4, None)]
+    matches = fixtures.matches_of(df, "p", ["k"])
+    assert [tuple(r) for r in fixtures.fixture_lookup(matches, ["k"]).select("k", "day", "t1", "t2", "t1sy").collect()] == [(1, 1, 1, 2, None)]
+    assert sorted(tuple(r) for r in fixtures.team_symbols(matches, ["k"], {2: "z-z", 9: "q"}).collect()) == [(1, "AB"), (2, "ZZ"), (9, "Q")]
+
+
+def test_newest_marker_under_any_spelling(spark):
+    rows = ['{"updatedAt": "2024-01-03T00:00:00Z", "bookmakers": null}', '{"bookmakers": [{"lastUpdate": "2024-01-01", "markets": [{"updated_at": "2024-02-01T10:00:00Z"}, {"last_update": "soon"}]}, {"markets": null}]}', "{}", "x", None]
+    got = spark.createDataFrame([(r,) for r in rows], "e string").select(N.newest_event_marker(F.col("e"))).collect()
+    assert [r[0] and r[0].strftime("%m-%d %H") for r in got] == ["01-03 00", "02-01 10", None, None, None]
+
+
+def test_missing_inputs_are_errors(spark, tmp_path):
+    with pytest.raises(LookupError):
+        snapshots.land_all({"a": spark.range(1), "b": None}, ["a", "b"], str(tmp_path / "x"), "t")
+    assert not (tmp_path / "x").exists()
+    with pytest.raises(LookupError):
+        rollup.backtest(spark.sql("select 1 k, 1.0D predicted, 'x' s"), spark.sql("select 2 k, 1.0D actual"), "k", "s")
+    with pytest.raises(LookupError):
+        snapshots.master_records(spark.sql("select '1' u, 1 i, 'n' n, date'2000-01-01' b where false"), "u", "i", "n", "b")
+
+
+def test_gold_tables_of_odd_players(spark):
+    schema = "player_uid string, player_name string, team_uid string, position string, status string, lineup string, risk string, competitors int, last_points double, average_points double, matchday int, market_value double"
+    players = spark.createDataFrame([("a", None, None, None, None, None, None, None, None, None, None, None), (" ", "b", "t", "FWD", "fit", "starter", "low", 1, 5.0, 5.0, 1, 1.0)], schema)
+    teams = spark.createDataFrame([("t", 0.4, None), ("t", None, "2024")], "team_uid string, win_probability double, commence_time string")
+    tables = gold.gold_tables(players, teams, "now", 10)
+    row = tables["player_daily"].collect()
+    assert len(row) == 1 and row[0].start_probability == pytest.approx(0.75) and row[0].value_score == 0 and row[0].market_value is None
+    assert {r.metric: r.value for r in tables["quality_metrics"].collect()} == {"player_count": 1.0, "coverage_ratio": 1.0, "draws": 100.0}
+    assert [tuple(r) for r in gold.best_context(teams).collect()] == [("t", 0.4)]
+    empty = gold.gold_tables(players.limit(0), teams, "now", 10)
+    assert empty["player_daily"].count() == 0 and empty["quality_metrics"].where("value = 0").count() == 2
