@@ -56,17 +56,16 @@ def walk_forward(rows: DataFrame, families=FAMILIES, n_splits: int = 2) -> DataF
     """(family, fold, rmse, mae): each family fitted on the days before each fold's window."""
     folds = rolling_folds(rows, F.col("day"), n_splits=n_splits, min_train_days=4, validation_days=2)
     parts = rows.join(F.broadcast(folds), "day").persist()  # days and folds are few
-    out = []
+    out, e = [], F.col("prediction") - F.col("points")
     for fold in range(1, n_splits + 1):
         train, valid = (parts.where((F.col("fold") == fold) & (F.col("part") == p)) for p in ("train", "valid"))
         prepared = Pipeline(stages=preprocessing(["quantity", "size", "price"], ["brand"])).fit(train)
-        ready = prepared.transform(train).select("features", "points")
+        ready, held = prepared.transform(train).select("features", "points"), prepared.transform(valid).select("features", "points")
         for family in families:
-            model = regressor(family, "points").fit(ready)
-            e = F.col("prediction") - F.col("points")
-            scored = model.transform(prepared.transform(valid).select("features", "points"))
-            out.append(scored.where(F.col("points").isNotNull()).agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae")).select(F.lit(family).alias("family"), F.lit(fold).alias("fold"), "rmse", "mae"))
-    return reduce(DataFrame.union, out)
+            scored = regressor(family, "points").fit(ready).transform(held).where(F.col("points").isNotNull())
+            out.append((family, fold, *scored.agg(F.sqrt(F.avg(e * e)), F.avg(F.abs(e))).first()))
+    parts.unpersist()
+    return rows.sparkSession.createDataFrame(out, "family string, fold int, rmse double, mae double")  # a row a family and fold
 
 
 def champion(folds: DataFrame, families=FAMILIES) -> DataFrame:
@@ -100,11 +99,15 @@ def chance(scored: DataFrame, out: str) -> DataFrame:
 
 def best_classifier(rows: DataFrame, label: str, families=FAMILIES, n_splits: int = 2) -> dict:
     """The family with the lowest mean Brier score over rolling folds, fitted on all rows.
-    Where the label has one class only, or no fold has both, there is a constant instead."""
+    A single family needs no folds. Where the label has one class only, or no fold has both,
+    there is a constant instead."""
     known = rows.where(F.col(label).isNotNull())
     low, high, mean = known.agg(F.min(label), F.max(label), F.avg(label)).first()
     if low == high:
         return {"family": "constant", "constant": float(mean or 0.0), "model": None, "scores": {}}
+    if len(families) == 1:
+        model = Pipeline(stages=[*preprocessing(NUMBERS, KINDS), classifier(families[0], label)]).fit(known)
+        return {"family": families[0], "constant": None, "model": model, "scores": {}}
     folds = rolling_folds(known, F.col("day"), n_splits=n_splits, min_train_days=4, validation_days=2)
     parts, scores = known.join(F.broadcast(folds), "day"), {}
     for fold in range(1, n_splits + 1):
@@ -174,13 +177,42 @@ def targets_of(spark, d) -> DataFrame:
     )
 
 
-def fit_targets(rows: DataFrame) -> dict:
-    """A model for each target: linear ones of the amounts over the same prepared features,
-    and for each flag the best classifier."""
+def best_regressor(ready: DataFrame, label: str, families, folds: DataFrame | None = None):
+    """(family, model) with the lowest mean RMSE of walk_forward's folds, or without folds the
+    lowest RMSE on ready itself; the model is fitted on all of ready (features, label)."""
+    if folds is not None and (best := champion(folds, families).first()):
+        return best.champion, regressor(best.champion, label).fit(ready)
+    models = {f: regressor(f, label).fit(ready) for f in families}
+    e = F.col("prediction") - F.col(label)
+    scores = {f: m.transform(ready).agg(F.sqrt(F.avg(e * e))).first()[0] for f, m in models.items()} if len(models) > 1 else {}
+    best = min(families, key=lambda f: (scores.get(f, 0.0), families.index(f)))
+    return best, models[best]
+
+
+@query("l2_best_regressor")
+def l2_best(spark, d):
+    """(family, mean_rmse, chosen, rmse_all): mean fold RMSE of each family, and the RMSE of
+    the best one, fitted again on all rows, over all rows."""
+    rows = features_of(spark, d)
+    folds = walk_forward(rows)
+    ready = Pipeline(stages=preprocessing(NUMBERS, KINDS)).fit(rows).transform(rows).select("features", "points")
+    best, model = best_regressor(ready, "points", FAMILIES, folds)
+    e = F.col("prediction") - F.col("points")
+    every = model.transform(ready).agg(F.sqrt(F.avg(e * e)).alias("rmse_all"))
+    means = folds.groupBy("family").agg(F.avg("rmse").alias("mean_rmse")).withColumn("chosen", F.col("family") == best)
+    return means.join(F.broadcast(every)).select("family", "mean_rmse", "chosen", F.when(F.col("chosen"), F.col("rmse_all")).alias("rmse_all"))  # a row a family
+
+
+def fit_targets(rows: DataFrame, families=("linear",), flag_families=("linear", "boosted")) -> dict:
+    """A model for each target: the best of the families for the amounts, over the same
+    prepared features, and for each flag the best classifier."""
     prepared = Pipeline(stages=preprocessing(NUMBERS, KINDS)).fit(rows)
-    ready = prepared.transform(rows).select("features", *AMOUNTS)
-    models = {t: regressor("linear", t).setPredictionCol(f"{t}_predicted").fit(ready) for t in AMOUNTS}
-    return {"prepared": prepared, "amounts": models, "flags": {t: best_classifier(rows, t, families=("linear", "boosted"), n_splits=1) for t in FLAGS}}
+    ready = prepared.transform(rows).select("features", *AMOUNTS).persist()
+    chosen = {t: best_regressor(ready, t, families) for t in AMOUNTS}
+    ready.unpersist()
+    models = {t: m.copy().setPredictionCol(f"{t}_predicted") for t, (_, m) in chosen.items()}
+    flags = {t: best_classifier(rows, t, families=flag_families, n_splits=1) for t in FLAGS}
+    return {"prepared": prepared, "amounts": models, "flags": flags, "families": {**{t: f for t, (f, _) in chosen.items()}, **{t: c["family"] for t, c in flags.items()}}}
 
 
 def score_targets(bundle: dict, rows: DataFrame) -> DataFrame:
@@ -195,13 +227,8 @@ def score_targets(bundle: dict, rows: DataFrame) -> DataFrame:
     return out.withColumn("points_predicted", scoring.composed_points(p("raw"), p("on_top"), p("minutes"), p("started"), p("subbed")))
 
 
-@query("l4_hierarchical_targets")
-def l4(spark, d):
-    """Errors on the last year of what was fitted on the years before: RMSE of the composed
-    points, MAE of the bonus, Brier scores of the flags."""
-    parts = time_holdout(targets_of(spark, d), F.col("day"), 365)
-    bundle = fit_targets(parts.where("part = 'train'").drop("part"))
-    scored = score_targets(bundle, parts.where("part = 'valid'").drop("part"))
+def evaluated(scored: DataFrame) -> DataFrame:
+    """One row: RMSE of the composed points, MAE of the bonus, Brier scores of the flags."""
     e = F.col("points_predicted") - F.col("points")
     return scored.agg(
         F.sqrt(F.avg(e * e)).alias("rmse_total"), F.avg(F.abs(F.col("on_top_predicted") - F.col("on_top"))).alias("mae_bonus"), rollup.brier(F.col("started_predicted"), F.col("started")).alias("brier_started"),
@@ -209,6 +236,38 @@ def l4(spark, d):
     )
 
 
+@query("l4_hierarchical_targets")
+def l4(spark, d):
+    """Errors on the last year of what was fitted on the years before."""
+    parts = time_holdout(targets_of(spark, d), F.col("day"), 365)
+    bundle = fit_targets(parts.where("part = 'train'").drop("part"))
+    return evaluated(score_targets(bundle, parts.where("part = 'valid'").drop("part")))
+
+
+def capped_points(scored: DataFrame, group: list[str]) -> DataFrame:
+    """scored with chances that add up to the places of a group (11 and 5), and its points
+    composed again."""
+    capped = scale_to_caps(scored, group, {"started_predicted": 11.0, "subbed_predicted": 5.0})
+    p = lambda t: F.col(f"{t}_predicted")
+    return capped.withColumn("points_predicted", scoring.composed_points(p("raw"), p("on_top"), p("minutes"), p("started"), p("subbed")))
+
+
+@query("l5_hierarchical_folds")
+def l5(spark, d):
+    """A row a fold: what is fitted on the days before its window, scored on the window with
+    the chances of a group held to its places; errors, and the family of each target (the
+    better one for amounts, logistic models for flags)."""
+    rows = targets_of(spark, d)
+    parts = rows.join(F.broadcast(rolling_folds(rows, F.col("day"), n_splits=2, min_train_days=4, validation_days=2)), "day")  # days and folds are few
+    out = []
+    for fold in (1, 2):
+        train, valid = (parts.where((F.col("fold") == fold) & (F.col("part") == p)).drop("fold", "part") for p in ("train", "valid"))
+        bundle = fit_targets(train, families=("linear", "boosted"), flag_families=("linear",))
+        errors = evaluated(capped_points(score_targets(bundle, valid), ["day", "brand"]))
+        out.append(errors.select(F.lit(fold).alias("fold"), "*", *[F.lit(f).alias(f"family_{t}") for t, f in bundle["families"].items()]))
+    return reduce(DataFrame.union, out)
+
+
 @query("l7_live_scoring")
 def l7(spark, d):
     """Live rows (the newest of each key in the last quarter) scored by what was fitted before
@@ -217,11 +276,10 @@ def l7(spark, d):
     history, live = parts.where("part = 'train'").drop("part"), parts.where("part = 'valid'").drop("part")
     newest = latest.newest_per_key(live, ["key"], ["day", "points"])
     scored = score_targets(fit_targets(history), newest).select("key", "brand", *[f"{t}_predicted" for t in (*AMOUNTS, *FLAGS)])
-    capped = scale_to_caps(scored, ["brand"], {"started_predicted": 11.0, "subbed_predicted": 5.0})
+    capped = capped_points(scored, ["brand"])
     p = lambda t: F.col(f"{t}_predicted")
-    points = scoring.composed_points(p("raw"), p("on_top"), p("minutes"), p("started"), p("subbed"))
     best = F.broadcast(champion(walk_forward(history.withColumn("points", F.col("raw") + F.col("on_top")), families=("linear", "boosted"), n_splits=1)))  # one row
-    return capped.withColumn("points", points).join(best.select("champion")).select("key", "brand", "points", p("started").alias("started"), p("subbed").alias("subbed"), "champion")
+    return capped.join(best.select("champion")).select("key", "brand", F.col("points_predicted").alias("points"), p("started").alias("started"), p("subbed").alias("subbed"), "champion")
 
 
 @query("d12_hierarchical_evaluation", """
