@@ -10,6 +10,7 @@ from .chat import op7_prefix_tree_chat
 from .decontaminate import op3_template_leaks
 from .lm import op5_backoff_automaton
 from .media import op2_media_chunks
+from .merkle import op13_merkle_intervals
 from .packing import op9_vector_best_fit
 from .pii import op10_pii_disclosure
 from .simhash import op8_simhash_components
@@ -28,6 +29,7 @@ QUERIES = (
     op8_simhash_components,
     op9_vector_best_fit,
     op10_pii_disclosure,
+    op13_merkle_intervals,
 )
 
 
