@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import op7_prefix_tree_chat
 from .decontaminate import op3_template_leaks
+from .extract import op11_sql, op11_tag_path_text
 from .lm import op5_backoff_automaton
 from .media import op2_media_chunks
 from .merkle import op13_merkle_intervals
@@ -29,6 +30,7 @@ QUERIES = (
     op8_simhash_components,
     op9_vector_best_fit,
     op10_pii_disclosure,
+    op11_tag_path_text,
     op13_merkle_intervals,
 )
 
@@ -38,4 +40,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_rules": op6_sql()}
+    return {"op6_url_rules": op6_sql(), "op11_tag_path_text": op11_sql()}
