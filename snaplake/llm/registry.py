@@ -15,6 +15,7 @@ from .merkle import op13_merkle_intervals
 from .packing import op9_vector_best_fit
 from .pii import op10_pii_disclosure
 from .simhash import op8_simhash_components
+from .structure import op12_run_length_repair
 from .toxicity import op1_toxicity_noisy_or
 from .urls import op6_sql, op6_url_rules
 from .windows import op4_superkmer_repeats
@@ -31,6 +32,7 @@ QUERIES = (
     op9_vector_best_fit,
     op10_pii_disclosure,
     op11_tag_path_text,
+    op12_run_length_repair,
     op13_merkle_intervals,
 )
 
