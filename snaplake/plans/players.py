@@ -195,10 +195,13 @@ def _squad_pages(spark, d) -> DataFrame:
     """Pages with rows for each of the parsers around their own HTML, by page_id."""
     i = F.col("page_id").cast("string")
     script = F.concat(F.lit("<script id=\"__NEXT_DATA__\">{&quot;a&quot;:[{\"player_name\":\"P"), i, F.lit("\",\"slug\":\"p-"), i, F.lit("\",\"status\":\"fit\",\"sub\":{\"name\":\"Q"), i, F.lit("\",\"lineUp\":true}},{\"name\":\"no row\"}]}</script>"))
-    link = lambda who: F.concat(F.lit(f'<a href="/{who}-'), i, F.lit(f'_7/"><img alt="{who.upper()}'), i, F.lit('"></a>'))
+    link = lambda who, body: F.concat(F.lit(f'<a href="/{who}-'), i, F.lit(f'_7/">{body}</a>'))
+    photo = lambda who, alt: F.concat(F.lit('<div class="player_position_photo left"><div class="sub_pic">'), link(who, f'<img alt="{alt}">'), F.lit("</div><div><div>7</div></div></div>"))
+    sub = lambda who, name: F.concat(F.lit('<div class="sub_child" style="x">'), photo(who, ""), F.lit('<div class="player_name">'), link(who, name), F.lit("</div></div>"))
     area = F.concat(
-        F.lit('<div class="player_position_row"><div class="player_position_column x"><div class="sub_child">'), link("ann"), F.lit('</div><div class="sub_child">'), link("bob"), F.lit('</div></div></div><div class="team_squad_area"><div class="player_position_column">'),
-        link("cid"), F.lit('</div><div class="player_position_column">'), link("ann"), F.lit('</div></div><div class="league_name_holder"></div>'),
+        F.lit('<div class="box"><div class="player_position_row"><div class="player_position_column x">'), sub("ann", "M&uuml;ller &amp; Ann"), sub("bob", ""),
+        F.lit('</div></div></div><div class="team_squad_area"><div class="player_position_column">'), photo("cid", "CID"), link("not", "a photo"), F.lit('</div><div class="player_position_column">'), photo("ann", ""),
+        F.lit('</div></div><div class="league_name_holder"></div>'), photo("far", "behind the league"),
     )
     tags = F.concat(F.lit("<i data-player-name='D &amp; "), i, F.lit("' data-player-id='"), i, F.lit("' data-predicted-lineup='Bank'></i><i data-player-name=' '></i>"))
     kind = F.col("page_id") % 4
@@ -208,9 +211,9 @@ def _squad_pages(spark, d) -> DataFrame:
 @query("j18_player_rows", """
 SELECT page_id, 0 AS parser, concat('p-', page_id) AS slug, concat('P', page_id) AS player_name, 'fit' AS status, 'unknown' AS lineup, '' AS competitors FROM pages WHERE page_id % 4 = 0
 UNION ALL SELECT page_id, 0, '', concat('Q', page_id), 'unknown', 'starter', '' FROM pages WHERE page_id % 4 = 0
-UNION ALL SELECT page_id, 1, concat('ann-', page_id), concat('ANN', page_id), 'unknown', 'starter', concat('BOB', page_id) FROM pages WHERE page_id % 4 = 1
-UNION ALL SELECT page_id, 1, concat('bob-', page_id), concat('BOB', page_id), 'unknown', 'starter', concat('ANN', page_id) FROM pages WHERE page_id % 4 = 1
-UNION ALL SELECT page_id, 1, concat('cid-', page_id), concat('CID', page_id), 'unknown', 'bench', '' FROM pages WHERE page_id % 4 = 1
+UNION ALL SELECT page_id, 1, concat('ann-', page_id), 'Müller & Ann', 'unknown', 'starter', concat('Bob ', page_id) FROM pages WHERE page_id % 4 = 1
+UNION ALL SELECT page_id, 1, concat('bob-', page_id), concat('Bob ', page_id), 'unknown', 'starter', 'Müller & Ann' FROM pages WHERE page_id % 4 = 1
+UNION ALL SELECT page_id, 1, concat('cid-', page_id), 'CID', 'unknown', 'bench', '' FROM pages WHERE page_id % 4 = 1
 UNION ALL SELECT page_id, 2, CAST(page_id AS VARCHAR), concat('D & ', page_id), 'unknown', 'bench', '' FROM pages WHERE page_id % 4 = 2""")
 def j18_rows(spark, d):
     rows = P.player_rows(_squad_pages(spark, d), "page_id", "html")
@@ -218,11 +221,13 @@ def j18_rows(spark, d):
 
 
 @query("j18_squad_rows", """
-SELECT page_id, CAST(0 AS INTEGER) AS place, concat('eva-', page_id) AS slug, concat('EVA ', page_id) AS player_name, concat(regexp_extract(url, '^([a-z]+://[^/?#]+)', 1), '/eva-', page_id, '_8/') AS profile_url, concat(regexp_extract(url, '^([a-z]+://[^/?#]+)', 1), '/i/', page_id, '.png') AS image_url, DATE '1999-02-03' AS birthdate FROM pages
-UNION ALL SELECT page_id, 1, concat('fay-', page_id), concat('Fay ', page_id), concat(regexp_extract(url, '^([a-z]+://[^/?#]+)', 1), '/fay-', page_id, '_9/'), NULL, NULL FROM pages""")
+SELECT page_id, CAST(0 AS INTEGER) AS place, concat('eva-', page_id) AS slug, concat('EVA & ', page_id) AS player_name, concat(regexp_extract(url, '^([a-z]+://[^/?#]+)', 1), '/eva-', page_id, '_8/') AS profile_url, concat(regexp_extract(url, '^([a-z]+://[^/?#]+)', 1), '/images/player/', page_id, '.png') AS image_url, DATE '1999-02-03' AS birthdate FROM pages
+UNION ALL SELECT page_id, 1, concat('fay-', page_id), concat('Fay ', page_id), concat(regexp_extract(url, '^([a-z]+://[^/?#]+)', 1), '/fay-', page_id, '_9/'), NULL, NULL FROM pages
+UNION ALL SELECT page_id, 2, concat('gil-', page_id), 'Gil é', concat(regexp_extract(url, '^([a-z]+://[^/?#]+)', 1), '/gil-', page_id, '_10/'), NULL, NULL FROM pages""")
 def j18_squads(spark, d):
     i = F.col("page_id").cast("string")
-    block = lambda who, n, name, more: F.concat(F.lit(f'<div class="leg_column_row"><a href="/{who}-'), i, F.lit(f'_{n}/">'), name, F.lit("</a>"), more, F.lit("</div>"))
-    eva = block("eva", 8, F.concat(F.lit("<b>EVA</b> "), i), F.concat(F.lit('<img src="/i/'), i, F.lit('.png"> 03.02.1999')))
-    pages = table(spark, d, "pages").select("page_id", "url", F.concat("html", eva, block("fay", 9, F.lit(""), F.lit(" 41.02.1999")), eva).alias("html"))
+    block = lambda who, n, name, more: F.concat(F.lit('<div class="leg_column_row"><div class="player_img">'), F.lit(f'<a href="/{who}-'), i, F.lit(f'_{n}/">'), name, F.lit("</a></div>"), more, F.lit("</div>"))
+    eva = block("eva", 8, F.concat(F.lit("<b>EVA</b> &#x26; "), i), F.concat(F.lit('<img src="/logo.png"><div><img src="/images/player/'), i, F.lit('.png"> 03.02.1999</div>')))
+    foot = F.lit('<div class="foot"><img src="/images/player/foot.png">05.06.1970</div>')
+    pages = table(spark, d, "pages").select("page_id", "url", F.concat("html", eva, block("fay", 9, F.lit(""), F.lit(" 41.02.1999")), eva, block("gil", 10, F.lit('<img alt="Gil &eacute;">'), F.lit("")), foot).alias("html"))
     return P.squad_rows(pages, "page_id", "html", "url").select("page_id", "place", "slug", "player_name", "profile_url", "image_url", "birthdate")
