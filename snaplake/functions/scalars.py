@@ -1,20 +1,17 @@
 """Column functions: safe casts, name keys, dates, seasons, URLs, probabilities.
 
-All are expressions of built-in functions; only full Unicode folding has a Python form.
+All are expressions of built-in functions.
 """
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Mapping, Sequence
+from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-#: Latin letters with accents and their plain forms.
-ACCENTED = "àáâãäåèéêëìíîïòóôõöùúûüýÿñçšžÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜÝÑÇŠŽ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuyyncszAAAAAAEEEEIIIIOOOOOUUUUYNCSZ"
 
 
 def to_text(c: Column) -> Column:
@@ -36,8 +33,38 @@ def first_text(*columns: Column) -> Column:
     return F.coalesce(*[to_text(c) for c in columns])
 
 
+@lru_cache(None)
+def _folds() -> tuple[str, str, str, dict[str, str]]:
+    """Characters that are another one under compatibility decomposition without combining
+    marks and what they become, those that vanish, and those that become several. Hangul
+    syllables aren't listed: their parts are no letters of a key."""
+    one, plain, gone, several = [], [], [], {}
+    for code in range(0x80, sys.maxunicode + 1):
+        if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
+            continue
+        c = chr(code)
+        folded = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if folded == c:
+            continue
+        if not folded:
+            gone.append(c)
+        elif len(folded) == 1:
+            one.append(c)
+            plain.append(folded)
+        else:
+            several[c] = folded
+    return "".join(one), "".join(plain), "".join(gone), several
+
+
 def without_accents(c: Column) -> Column:
-    return F.translate(c, ACCENTED, PLAIN)
+    """Text after compatibility decomposition, without combining marks. Texts without a
+    character that becomes several are one translate."""
+    one, plain, gone, several = _folds()
+    spelled = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in several.items())), F.lit("\x01"), F.lit("\x02"))
+    letters = F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
+    longer = F.array_join(F.transform(letters, lambda x: F.coalesce(F.try_element_at(spelled, x), x)), "")
+    # Characters of `one + gone` beyond the length of `plain` are dropped.
+    return F.translate(F.when(c.rlike("[" + "".join(several) + "]"), longer).otherwise(c), one + gone, plain)
 
 
 def name_key(c: Column, joiner: str = " ", default: str | None = None) -> Column:
@@ -47,15 +74,11 @@ def name_key(c: Column, joiner: str = " ", default: str | None = None) -> Column
     return key if default is None else F.coalesce(key, F.lit(default))
 
 
-@F.pandas_udf(T.StringType())
-def unicode_name_key(names: pd.Series) -> pd.Series:
-    """name_key for any script: compatibility decomposition, then no combining marks."""
-    plain = names.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
-    return plain.str.lower().str.replace("[^a-z0-9]+", " ", regex=True).str.strip()
-
-
-def slug(c: Column) -> Column:
-    return F.nullif(F.regexp_replace(F.regexp_replace(F.lower(without_accents(c)), "[^a-z0-9]+", "-"), "^-|-$", ""), F.lit(""))
+def slug(c: Column, only_ascii: bool = True) -> Column:
+    """Lower-case letters and digits joined by hyphens; letters of other scripts stay with
+    only_ascii=False and else part words."""
+    other = "[^a-z0-9]+" if only_ascii else r"[^\p{L}\p{N}]+"
+    return F.nullif(F.regexp_replace(F.regexp_replace(F.lower(without_accents(c)), other, "-"), "^-|-$", ""), F.lit(""))
 
 
 def entity_key(name: Column, born: Column) -> Column:

@@ -46,14 +46,6 @@ def lookup_cascade(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str,
     return out.select(*left.columns, *[best[v].alias(v) for v in values], by.alias("matched_by"))
 
 
-def best_candidate(left: DataFrame, right: DataFrame, left_id: str, on: Column, same: Column, order: Sequence[Column], values: Sequence[str]) -> DataFrame:
-    """left_id with the values of its best candidate: one in the same team if there is any,
-    then by order."""
-    pairs = left.join(right, on)
-    rank = F.row_number().over(Window.partitionBy(left_id).orderBy(F.coalesce(same, F.lit(False)).desc(), *order))
-    return pairs.withColumn("_rank", rank).where("_rank = 1").select(left_id, *values)
-
-
 def unreferenced(dim: DataFrame, key: str, *references: DataFrame) -> DataFrame:
     """Rows of dim whose key stands in none of the one-column references."""
     used = references[0].toDF("_key")

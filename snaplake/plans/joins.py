@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import joins, latest
+from ..functions import scalars as S
+from ..operators import joins, latest, players
 from ..sources.tables import table
 from .catalog import query
 
@@ -14,9 +15,49 @@ WITH p AS (SELECT c.c_custkey, s.s_suppkey, row_number() OVER (PARTITION BY c.c_
   FROM customer c JOIN supplier s ON c.c_nationkey = s.s_nationkey)
 SELECT c_custkey, s_suppkey FROM p WHERE rn = 1""")
 def c1(spark, d):
-    c, s = table(spark, d, "customer"), table(spark, d, "supplier")
-    same = F.substring("c_name", -1, 1) == F.substring("s_name", -1, 1)
-    return joins.best_candidate(c, s, "c_custkey", c.c_nationkey == s.s_nationkey, same, [F.col("s_acctbal").desc(), F.col("s_suppkey")], ["s_suppkey"])
+    """A row a key on the right before it is joined: a nation with many of both makes no pairs."""
+    s = table(spark, d, "supplier").withColumns({"team": F.substring("s_name", -1, 1), "slug": F.lit(None).cast("string")})
+    found = players.match_entities(
+        table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_name"), s, name=(F.col("c_nationkey"), "s_nationkey"), team=(F.substring("c_name", -1, 1), "team"), slug=(F.lit(""), "slug"),
+        order=[F.col("s_acctbal").desc(), F.col("s_suppkey")], values=["s_suppkey"],
+    )
+    return found.where("s_suppkey is not null").select("c_custkey", "s_suppkey")
+
+
+_SPELT = ("Kovačić", "KOVACIC", "kovacic!", "Ｋｏｖａｃｉｃ", "Müller", "muller", "Мюллер", "ﬁne")
+#: The key of each spelling; letters without a plain form are none.
+_SPELT_KEYS = ("kovacic", "kovacic", "kovacic", "kovacic", "muller", "muller", "", "fine")
+_SPELT_SQL = ", ".join(f"({i}, '{k}')" for i, k in enumerate(_SPELT_KEYS))
+
+
+@query("c1_entity_match_by_spelling", f"""
+WITH spelt(i, k) AS (VALUES {_SPELT_SQL}), s AS (SELECT s_suppkey, s_acctbal, trim(concat(k, ' ', s_nationkey)) AS name FROM supplier JOIN spelt ON s_suppkey % 8 = i),
+c AS (SELECT c_custkey, trim(concat(k, ' ', c_nationkey)) AS name FROM customer JOIN spelt ON c_custkey % 8 = i)
+SELECT c_custkey, name, (SELECT s_suppkey FROM s WHERE s.name = c.name ORDER BY s_acctbal DESC, s_suppkey LIMIT 1) AS s_suppkey FROM c""")
+def c1_spelling(spark, d):
+    """Names written in other ways meet by their keys."""
+    spelt = F.array(*[F.lit(x) for x in _SPELT])
+    key = lambda number, nation: S.name_key(F.concat_ws(" ", F.get(spelt, (F.col(number) % 8).cast("int")), F.col(nation)))
+    s = table(spark, d, "supplier").select("s_suppkey", "s_acctbal", key("s_suppkey", "s_nationkey").alias("key"), F.lit(None).cast("string").alias("team"), F.lit(None).cast("string").alias("slug"))
+    c = table(spark, d, "customer").select("c_custkey", key("c_custkey", "c_nationkey").alias("name"))
+    none = F.lit("")
+    return players.match_entities(c, s, name=(F.col("name"), "key"), team=(none, "team"), slug=(none, "slug"), order=[F.col("s_acctbal").desc(), F.col("s_suppkey")], values=["s_suppkey"])
+
+
+@query("c2_cascade_by_spelling", f"""
+WITH spelt(i, k) AS (VALUES {_SPELT_SQL}), s AS (SELECT s_suppkey, trim(concat(k, ' ', s_suppkey // 8)) AS name, nullif(k, '') AS last FROM supplier JOIN spelt ON s_suppkey % 8 = i),
+c AS (SELECT c_custkey, trim(concat(k, ' ', c_custkey // 8)) AS name, nullif(k, '') AS last FROM customer JOIN spelt ON c_custkey % 8 = i),
+n AS (SELECT name, max(s_suppkey) AS v FROM s GROUP BY 1 HAVING count(*) = 1), l AS (SELECT last, max(s_suppkey) AS v FROM s WHERE last IS NOT NULL GROUP BY 1 HAVING count(*) = 1)
+SELECT c_custkey, coalesce(n.v, l.v) AS s_suppkey, CASE WHEN n.v IS NOT NULL THEN 'name' WHEN l.v IS NOT NULL THEN 'last' END AS matched_by FROM c LEFT JOIN n USING (name) LEFT JOIN l ON c.last = l.last""")
+def c2_spelling(spark, d):
+    """Exact key, then the key of one word, each only where one row has it."""
+    spelt = F.array(*[F.lit(x) for x in _SPELT])
+    word = lambda number: F.get(spelt, (F.col(number) % 8).cast("int"))
+    both = lambda number: (S.name_key(F.concat_ws(" ", word(number), F.expr(f"{number} div 8"))), S.name_key(word(number)))
+    (mine, my_last), (theirs, their_last) = both("c_custkey"), both("s_suppkey")
+    s = table(spark, d, "supplier").select("s_suppkey", theirs.alias("key"), their_last.alias("last"))
+    c = table(spark, d, "customer").select("c_custkey", mine.alias("mine"), my_last.alias("mine_last"))
+    return joins.lookup_cascade(c, s, [("name", F.col("mine"), F.col("key")), ("last", F.col("mine_last"), F.col("last"))], ["s_suppkey"]).select("c_custkey", "s_suppkey", "matched_by")
 
 
 @query("c2_unique_key_cascade", """

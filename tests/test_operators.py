@@ -1,6 +1,8 @@
 """Edge rows of the operators: nulls, ties, empty groups, one row, accents, bad text."""
 
 import datetime as dt
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,11 +104,23 @@ def test_keyword_split_may_overlap(spark):
 
 def test_scalars_on_bad_text(spark):
     df = spark.createDataFrame([("3.9", "31.12.1999", "Éric  de-Ção!"), ("x", "1999-02-30", " "), (None, None, None), (" 7 ", "2000/01/02", "Zoë")], "n string, d string, s string")
-    got = df.select(S.to_int(F.col("n")), S.parse_date(F.col("d")), S.name_key(F.col("s")), S.unicode_name_key(F.col("s")), S.slug(F.col("s"))).collect()
+    got = df.select(S.to_int(F.col("n")), S.parse_date(F.col("d")), S.name_key(F.col("s")), S.slug(F.col("s")), S.slug(F.lit("Łódź / Ελλάς"), only_ascii=False)).collect()
     assert [r[0] for r in got] == [3, None, None, 7]
     assert [r[1] for r in got] == [dt.date(1999, 12, 31), None, None, dt.date(2000, 1, 2)]
     assert [r[2] for r in got] == ["eric de cao", None, None, "zoe"]
-    assert [r[3] for r in got][0] == "eric de cao" and [r[4] for r in got][0] == "eric-de-cao"
+    assert [r[3] for r in got][0] == "eric-de-cao" and [r[4] for r in got][0] == "łodz-ελλας"
+
+
+def test_name_keys_of_all_characters(spark):
+    """Every character between two letters, against the standard library."""
+
+    def key(text):
+        plain = "".join(x for x in unicodedata.normalize("NFKD", text) if not unicodedata.combining(x))
+        return re.sub("[^a-z0-9]+", " ", plain.lower()).strip() or None
+
+    texts = [f"x{chr(c)}Y" for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF and (c < 0x3100 or c % 7 == 0 or 0xF900 <= c < 0x10000 or 0x1D400 <= c < 0x1D800 or 0x1F100 <= c < 0x1F200)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").repartition(4).select("t", S.name_key(F.col("t")).alias("k")).collect()
+    assert [(r["t"], r["k"]) for r in got if r["k"] != key(r["t"])] == []
 
 
 def test_times_and_seasons(spark):
