@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import merge
 from ..sources.tables import table
 from ..streaming import streams
 from .catalog import query
@@ -44,18 +43,9 @@ def n2(spark, d):
 @query("n3_incremental_upsert", "SELECT user_id, max(ts) AS ts, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY 1")
 def n3(spark, d):
     at = scratch(spark, "upsert")
-    versions: list[str] = []
-
-    def one(batch, batch_id: int) -> None:
-        new = batch.groupBy("user_id").agg(F.max_by(F.struct("ts", "event_type"), F.struct("ts", "event_id")).alias("r")).select("user_id", "r.ts", "r.event_type")
-        if versions:
-            new = merge.upsert(batch.sparkSession.read.parquet(versions[-1]), new, ["user_id"], default="overwrite")
-        path = f"{at}/v{batch_id}"
-        new.write.mode("overwrite").parquet(path)
-        versions.append(path)
-
-    streams.upsert_each_batch(_events(spark, d), f"{at}/checkpoint", one)
-    return spark.read.parquet(versions[-1]).select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type")
+    newest = F.max_by(F.struct("ts", "event_type"), F.struct("ts", "event_id")).alias("r")
+    streams.upsert(_events(spark, d), f"{at}/table", f"{at}/checkpoint", ["user_id"], lambda batch: batch.groupBy("user_id").agg(newest).select("user_id", "r.ts", "r.event_type"), default="overwrite")
+    return streams.newest_version(spark, f"{at}/table").select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type")
 
 
 @query("n4_idempotent_event_dedup", "SELECT user_id, event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1, 2")
