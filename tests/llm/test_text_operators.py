@@ -374,6 +374,50 @@ def test_recall_of_near_copies_against_all_pairs(spark):
     assert all(a in kept for a, _, _ in pairs)
 
 
+def blocks_of(r, text, kind, share):
+    """text with a share of it changed as a block: moved about, put behind it, or replaced."""
+    w = text.split()
+    new = [f"fresh{r.integers(10**9)}" for _ in range(int(len(w) * share))]
+    if kind == "appended":
+        return " ".join([*w, *new])
+    if kind == "replaced":
+        at = int(r.integers(0, len(w) - len(new)))
+        return " ".join([*w[:at], *new, *w[at + len(new) :]])
+    cuts = sorted(r.choice(np.arange(1, len(w)), size=int(r.integers(3, 9)), replace=False).tolist())
+    parts = [w[a:b] for a, b in zip([0, *cuts], [*cuts, len(w)])]
+    return " ".join(x for k in r.permutation(len(parts)) for x in parts[k])
+
+
+def test_recall_of_copies_changed_in_blocks(spark):
+    """Moved, appended and replaced blocks: 0.9 of the pairs from 0.80, all from 0.85."""
+    r = np.random.default_rng(21)
+    pairs, rows = [], []
+    for k in range(900):
+        kind = ("moved", "appended", "replaced")[k % 3]
+        share = {"moved": 0, "appended": r.uniform(0.12, 0.26), "replaced": r.uniform(0.05, 0.12)}[kind]
+        base = prose(30_000 + k, 300, 4000)
+        near = blocks_of(r, base, kind, share)
+        pairs.append((kind, len(rows) + 1, similarity(base, near)))
+        rows += [base, near]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    kept = {x["doc_id"] for x in simhash.keep_one(docs).collect()}
+    assert set(range(0, len(rows), 2)) <= kept
+    for kind in ("moved", "appended", "replaced"):
+        caught = lambda low, high: [b not in kept for k, b, s in pairs if k == kind and low <= s < high]  # noqa: E731, B023
+        print(kind, len(caught(0.8, 0.85)), np.mean(caught(0.8, 0.85)), len(caught(0.85, 1.1)), np.mean(caught(0.85, 1.1)))
+        assert kind == "moved" or len(caught(0.8, 0.85)) > 40 and np.mean(caught(0.8, 0.85)) >= 0.9
+        assert len(caught(0.85, 1.1)) > 40 and all(caught(0.85, 1.1))
+
+
+def test_a_frequent_fingerprint_is_named_by_broadcast(spark, monkeypatch):
+    """Groups of copies beyond the bound get the same names as by the join."""
+    docs = spark.createDataFrame([(i, "the same words in many rows of it") for i in range(50)] + [(100, None), (101, ""), (102, "other words stand in this one row")], "doc_id long, text string")
+    want = sorted((x["doc_id"], x["component_id"]) for x in simhash.group(docs).collect())
+    monkeypatch.setattr(simhash, "FREQUENT", 10)
+    assert sorted((x["doc_id"], x["component_id"]) for x in simhash.group(docs).collect()) == want
+    assert {c for d, c in want if d < 50} == {0}
+
+
 def test_a_frequent_run_of_words_fills_no_bucket(spark):
     """One triple stands in every window: its bucket is split, and the result is that of no split."""
     r = np.random.default_rng(4)
