@@ -22,9 +22,8 @@ texts side by side, and over pieces of long ones: a piece starts order - 1 token
 which is all that a state can remember. Frequent n-grams cost one entry a block, and
 buckets grow in number with the input.
 
-Tokens are told apart by 64-bit hashes, longer n-grams by 44 bits of theirs within a
-bucket; as buckets keep their size, one n-gram in about fifty million shares its count with
-another, whatever the input. A-Z is lower-cased, words
+N-grams are told apart by 64-bit hashes. A bucket is a range of them, so the keys of a block
+are in the order of buckets, and go there as small differences without losing a bit. A-Z is lower-cased, words
 are runs without white space, and each text ends with an end token. Null and empty
 texts hold just that. A row with a null id trains the model. Repeated rows count and
 are scored each. docs is read three times and must give the same rows each time, as a
@@ -50,8 +49,6 @@ CHUNK = 10 << 20
 BUCKET_BYTES = 4 << 20
 #: Tokens of a piece, the longest stretch that is traversed in one go.
 PIECE = 512
-#: Bits of a longer n-gram's hash that its question leaves out; the bucket tells more of it.
-SHORT = np.uint64(20)
 #: Fixed values of this module's hashes: the end of a text and what stands before its start.
 END, START = np.uint64(0x0E4D0E4D0E4D0E4D), np.uint64(0x57A9757A97757A97)
 
@@ -97,11 +94,13 @@ class Grams:
         return [np.bincount(x[trains & self.counted & (x >= 0)], minlength=len(k)) for k, x in zip(self.keys, self.number, strict=True)]
 
 
-def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The places of the keys by bucket, in order of keys, and where each bucket begins."""
-    bucket = (keys % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+def _by_bucket(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """(bucket, where its keys begin, where they end) of sorted keys, for the buckets that occur."""
+    if not len(keys):
+        return []
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    return list(zip(bucket[first].tolist(), first.tolist(), [*first[1:].tolist(), len(keys)], strict=True))
 
 
 def _squeeze(keys: np.ndarray) -> bytes:
@@ -149,11 +148,8 @@ def _ask(order: int, buckets: int):
             grams = Grams(tokens, at, order)
             blobs: dict[int, list[bytes]] = {}
             for n, (keys, counts) in enumerate(zip(grams.keys, grams.counts(_trains(part, at)), strict=True)):
-                by, cuts = _by_bucket(keys, buckets)
-                for b in np.flatnonzero(np.diff(cuts)).tolist():
-                    o = by[cuts[b] : cuts[b + 1]]
-                    short = keys[o] >> SHORT if n else keys[o]
-                    blobs.setdefault(b, [b""] * (2 * order))[2 * n : 2 * n + 2] = _squeeze(short), _narrow(counts[o])
+                for b, i, j in _by_bucket(keys, buckets):
+                    blobs.setdefault(b, [b""] * (2 * order))[2 * n : 2 * n + 2] = _squeeze(keys[i:j]), _narrow(counts[i:j])
             yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(blobs), pa.int64()), pa.array(list(blobs), pa.int64()), pa.array([pack(*x) for x in blobs.values()], pa.binary())], schema=schema)
 
     return run
@@ -289,10 +285,9 @@ def _score(order: int, buckets: int, n: int, v: int, mu: float):
         tokens = _unsqueeze(own[4])[_wide(own[5])] if len(own[5]) else np.zeros(0, dtype=np.uint64)
         grams, pad, counts = Grams(tokens, at, order), order - 1, []
         for k, keys in enumerate(grams.keys):
-            by, cuts = _by_bucket(keys, buckets)
             c = np.zeros(len(keys), dtype=np.int64)
-            for b in np.flatnonzero(np.diff(cuts)).tolist():
-                c[by[cuts[b] : cuts[b + 1]]] = answers[b][k]
+            for b, i, j in _by_bucket(keys, buckets):
+                c[i:j] = answers[b][k]
             counts.append(c)
         real = tb.ranges(at[:-1] + pad, np.diff(at) - pad)
         seen = counts[0][grams.number[0][real]]
