@@ -148,19 +148,16 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*part.columns, *cols], names=[*part.schema.names, "_base", "_kin", "_entities"])
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(entity, term, kin, n): in how many texts of a block with a kin they stand together."""
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_id, _twin, _kin, term): the distinct words of each text outside its personal data."""
     for batch in batches:
         for i, j in tb.blocks(batch.column("_text"), BLOCK):
             part = batch.slice(i, j - i)
             words = tb.split(part.column("_text"), lower=True, letters=True)
             h, chars = words.hashes().view(np.int64), _chars(words)
-            found = [np.zeros((0, 3), dtype=np.int64)]
-            for k, (t, kin, entities) in enumerate(zip(part.column("_text").to_pylist(), part.column("_kin").to_pylist(), part.column("_told").to_pylist(), strict=True)):
-                terms = np.unique(h[_free(words, chars, k, base_spans(t))[0]])
-                found += [np.stack([np.full(len(terms), e), terms, np.full(len(terms), kin)], axis=1) for e in entities]
-            rows, n = np.unique(np.concatenate(found), axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, c]) for c in range(3)), pa.array(n.astype(np.int64))], names=["entity", "term", "kin", "n"])
+            terms = [np.unique(h[_free(words, chars, k, base_spans(t))[0]]) for k, t in enumerate(part.column("_text").to_pylist())]
+            row = pa.array(np.repeat(np.arange(j - i), [len(t) for t in terms]))
+            yield pa.RecordBatch.from_arrays([*(part.column(c).take(row) for c in ("_id", "_twin", "_kin")), pa.array(np.concatenate(terms))], names=["_id", "_twin", "_kin", "term"])
 
 
 def _text_counts(buckets: int):
@@ -182,10 +179,9 @@ def _text_counts(buckets: int):
                 words_, counts = np.unique(h[new], return_counts=True)
                 bucket = (words_ & np.uint64(2**63 - 1)).astype(np.int64) % buckets
                 by = np.argsort(bucket, kind="stable")
-                cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
-                found = np.flatnonzero(np.diff(cuts))
-                blobs = [pack(words_[o], counts[o].astype(np.int32)) for o in (by[cuts[b] : cuts[b + 1]] for b in found.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+                first = np.flatnonzero(np.diff(bucket[by], prepend=-1))
+                blobs = [pack(words_[o], counts[o].astype(np.int32)) for o in np.split(by, first[1:])] if len(first) else []
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[by][first], pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     return run
 
@@ -232,24 +228,36 @@ def _told(rows: DataFrame, hit: DataFrame) -> DataFrame:
 
 def term_spans(texts: DataFrame, hit: DataFrame, *, support: int, generalise_at: float, remove_at: float, buckets: int | None = None) -> DataFrame:
     """(_id, _twin, _terms): the disclosing terms of each text of hit, the texts with personal
-    data. texts(text) are all texts."""
+    data. texts(text) are all texts.
+
+    Words and values meet only where they can disclose: as n_te <= n_e, a term reaches d for e
+    only if n_t <= N**(1 - d) * n_e**d, and it stands in `support` texts. Values of just the same
+    texts are one class, which is counted once for all of them."""
     n_all = texts.count()
     held = hit.select(F.col("_id").alias("_i"), F.col("_twin").alias("_t"), "_kin", F.explode("_entities").alias("entity"))
-    known = cut(held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"), F.count_distinct("_kin").alias("kins")).where(F.col("kins") >= support).drop("kins"))
-    asking = held.join(known, "entity").groupBy("_i", "_t").agg(F.collect_set("entity").alias("_told"))
+    mark = lambda *c: F.sum(F.xxhash64(*c).cast("decimal(20,0)"))
+    known = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"), F.count_distinct("_kin").alias("kins"), mark("_i", "_t").alias("a"), mark("_t", F.lit(7), "_i").alias("b"))
+    known = cut(known.where((F.col("kins") >= support) & (F.col("n_e") < n_all)).select("entity", "n_e", F.xxhash64("n_e", "a", "b").alias("class")))
+    asking = cut(held.join(known, "entity").select("_i", "_t", "class", "n_e").distinct())
+    most = asking.agg(F.max("n_e")).first()[0] or 0
+    bound = lambda n_e: F.pow(F.lit(float(max(n_all, 1))), F.lit(1 - generalise_at)) * F.pow(n_e, F.lit(generalise_at)) * (1 + 1e-9)
     # A row of hit counts for itself, also where several share a text and an id.
-    holders = hit.join(asking, hit["_id"].eqNullSafe(asking["_i"]) & (hit["_twin"] == asking["_t"])).select("_text", "_kin", "_told")
-    met = holders.mapInArrow(tidy(_pairs), "entity long, term long, kin long, n long").groupBy("entity", "term", "kin").agg(F.sum("n").alias("n"))
-    pairs = met.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("kins")).where(F.col("kins") >= support)
-    pairs = cut(pairs.join(known, "entity").select("entity", "term", "n_te", "n_e"))
+    texts_asked = asking.select("_i", "_t").distinct()
+    holders = hit.join(texts_asked, hit["_id"].eqNullSafe(texts_asked["_i"]) & (hit["_twin"] == texts_asked["_t"]), "left_semi").select("_id", "_twin", "_kin", "_text")
+    words = holders.mapInArrow(tidy(_words), "_id long, _twin long, _kin long, term long")
     buckets = buckets or groups_for(texts, "text", 8 * BLOCK, least=8)
     bucket = F.col("term").bitwiseAND(F.lit(2**63 - 1)) % buckets
     counts = texts.mapInArrow(tidy(_text_counts(buckets)), "bucket long, blob binary")
-    asked = pairs.select("term").distinct().withColumn("bucket", bucket)
+    asked = words.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support).select("term", bucket.alias("bucket"))
     n_t = counts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_asked_counts, "term long, n_t long")
+    rare = cut(n_t.where((F.col("n_t") > 0) & (F.col("n_t") <= bound(F.lit(float(most))))))
+    own = words.join(rare, "term")
+    both = own.join(asking, own["_id"].eqNullSafe(asking["_i"]) & (own["_twin"] == asking["_t"])).where(F.col("n_t") <= bound(F.col("n_e")))
+    met = both.groupBy("class", "term", "_kin").agg(F.count(F.lit(1)).alias("n"), F.first("n_t").alias("n_t"), F.first("n_e").alias("n_e"))
+    pairs = met.groupBy("class", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("kins"), F.first("n_t").alias("n_t"), F.first("n_e").alias("n_e")).where(F.col("kins") >= support)
     share = F.log(F.col("n_te") * F.lit(float(n_all)) / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n_all)) / F.col("n_e"))
-    risky = pairs.join(n_t, "term").where((F.col("n_e") < n_all) & (F.col("n_t") > 0)).withColumn("disclosure", share).where(F.col("disclosure") >= generalise_at)
-    told = held.join(risky.select("entity", "term", "disclosure"), "entity").groupBy("_i", "_t", "term").agg(F.max("disclosure").alias("disclosure"))
+    risky = pairs.withColumn("disclosure", share).where(F.col("disclosure") >= generalise_at)
+    told = asking.join(risky.select("class", "term", "disclosure"), "class").groupBy("_i", "_t", "term").agg(F.max("disclosure").alias("disclosure"))
     told = told.groupBy("_i", "_t").agg(F.collect_list(F.struct("term", "disclosure")).alias("_told"))
     return _told(told, hit).mapInArrow(tidy(_occurrences(remove_at)), f"_id long, _twin long, _terms {_TERMS}")
 

@@ -295,6 +295,20 @@ def brute_terms(rows, support, generalise_at):
     return out
 
 
+def test_many_values_of_one_text(spark):
+    """Four texts share 3 000 addresses and their own words: the addresses are one class, so the
+    words are counted once and not 3 000 times; a fifth text has half of the addresses."""
+    mails = [f"m{i}x@mail{i % 7}.org" for i in range(3000)]
+    rows = [(i, " ".join([*mails, prose(900 + i, 300, 3000), "zedring quaxle"])) for i in range(4)] + [(4, " ".join([*mails[:1500], prose(950, 30, 3000), "quaxle"]))]
+    rows += [(10 + i, prose(2000 + i, 60, 3000)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    text = dict(rows)
+    got = {(r["doc_id"], text[r["doc_id"]][s["start"] : s["end"]]) for r in pii.find(docs).collect() for s in r["spans"] if s["kind"] == 4}
+    assert {(i, w) for i in range(4) for w in ("zedring", "quaxle")} | {(4, "quaxle")} <= got
+    few = [(i, t if i > 4 else " ".join(w for w in t.split() if "@" not in w or w in (mails[0], mails[2000]))) for i, t in rows]
+    assert got == {(i, w) for i, w in brute_terms(few, 3, 0.8)}
+
+
 def test_terms_equal_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in secrets(spark).collect()] + [(300 + i, f"{prose(800 + i, 50, 300)} Zed{'abc'[i % 3]} ring +49 30 901820{i % 3} or bob1@mail.org") for i in range(15)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
