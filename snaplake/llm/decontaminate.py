@@ -43,7 +43,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
@@ -332,7 +332,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text
     found = rows.mapInArrow(tidy(_doc_rows(sizes, literal, known)), _ROWS).select(F.col("id").alias("doc_id"), "hash", F.col("place").alias("doc_place"), F.col("word"), F.col("slots").alias("doc_slots"))
     small = F.broadcast if n <= SENT_WINDOWS else (lambda df: df)
     side = items.select(F.col("id").alias("item_id"), "hash", "mode", "size", F.col("place").alias("item_place"), "windows", F.col("slots").alias("item_slots"))
-    met = found.join(small(side), "hash").withColumn("diagonal", F.col("doc_place") - F.col("item_place"))
+    if known is None:
+        found = found.join(side.select("hash").distinct(), "hash", "left_semi")
+    found = cut(found)
+    # A leak has ceil(cover * windows) places of an item, so one of any windows - that + 1 of them:
+    # only an item's rarest so many fetch documents. A sentence that stands in front of many
+    # items brings no document to all of them.
+    common = Window.partitionBy("item_id", "mode").orderBy("n_items", "item_place")
+    often = side.groupBy("hash").agg(F.count(F.lit(1)).alias("n_items"))
+    rank = F.row_number().over(common)
+    rarest = side.join(often, "hash").withColumn("rank", rank).where(F.col("rank") <= F.col("windows") - F.ceil(F.col("windows") * cover) + 1).select("hash", "item_id", "mode")
+    candidates = found.select("doc_id", "hash").distinct().join(small(rarest), "hash").select("doc_id", "item_id", "mode").distinct()
+    met = found.join(candidates, "doc_id").join(small(side), ["hash", "item_id", "mode"]).withColumn("diagonal", F.col("doc_place") - F.col("item_place"))
     pairs = F.transform(F.arrays_zip("item_slots", "doc_slots"), lambda s: F.struct(F.lower(s["item_slots"]).alias("i"), F.lower(s["doc_slots"]).alias("d")))
     # An alignment has as many windows as the item at most, so its sets are small.
     aligned = met.groupBy("doc_id", "item_id", "mode", "diagonal").agg(

@@ -274,6 +274,18 @@ def test_terms_are_replaced_in_the_whole_text(spark):
     assert all("quillon" not in clean[i].lower() and clean[i].endswith("the [TERM] [TERM]") for i in range(12))
 
 
+def test_a_sentence_of_many_items_fetches_no_documents(spark):
+    """1 000 items begin with one sentence, which stands in 300 documents without any item: only
+    documents with the rest of an item are leaks, whatever they begin with."""
+    head = "Read the text below with great care and then answer the following question in full"
+    items = [(i, f"{head}: {prose(5000 + i, 22, 9000)}.") for i in range(1000)]
+    docs = [(i, f"{prose(i, 40, 9000)}. {head}. {prose(9000 + i, 30, 9000)}") for i in range(300)]
+    docs += [(1000 + i, f"{prose(i, 10, 9000)} {items[i * 7][1]}") for i in range(9)] + [(2000, items[3][1].split(": ")[1]), (2001, None), (2002, head)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(d, b).collect()}
+    assert got == {(1000 + i, i * 7) for i in range(9)} | {(2000, 3)}
+
+
 def brute_terms(rows, support, generalise_at):
     """(id, term) by plain counting: texts with value and term, of three or more texts."""
     import collections
