@@ -104,14 +104,17 @@ def _depth(text: Column) -> Column:
     return F.aggregate(F.filter(F.split(brackets, ""), lambda c: c != ""), start, step)["most"]
 
 
-def _opened(node: Column, needs: Sequence[str], carries: Sequence[str]) -> Column:
+def _opened(node: Column, needs: Sequence[str], carries: Sequence[str | Sequence[str]]) -> Column:
     """The node, done, and its children that are objects or lists; a node that is done alone."""
     text = node["text"]
     is_object = text.startswith("{")
     values, raw = F.from_json(F.when(is_object, text), "map<string,variant>"), F.from_json(F.when(is_object, text), "map<string,string>")
     items, raw_items = F.from_json(F.when(~is_object, text), "array<variant>"), F.from_json(F.when(~is_object, text), "array<string>")
     holds = lambda v: F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.lit(False))
-    own = lambda c: F.when(F.map_contains_key(values, c) & ~F.is_variant_null(F.element_at(values, c)), F.to_json(F.element_at(values, c)))
+    value = lambda c: F.when(F.map_contains_key(values, c) & ~F.is_variant_null(F.element_at(values, c)), F.to_json(F.element_at(values, c)))
+    # Of several spellings the first that is present counts; blank texts tell nothing.
+    either = lambda names: reduce(lambda out, c: F.when(F.map_contains_key(values, c), value(c)).otherwise(out), reversed(names), F.lit(None).cast("string"))
+    own = lambda c: value(c) if isinstance(c, str) else F.when(~either(c).rlike(r'^"\s*"$'), either(c))
     found = F.array(*[F.coalesce(own(c), F.get(node["carried"], F.lit(i))) for i, c in enumerate(carries)]).cast("array<string>")
     carried = F.when(is_object, found).otherwise(node["carried"])
     fits = is_object & F.coalesce(reduce(lambda x, y: x & y, [F.map_contains_key(values, n) for n in needs], F.lit(True)), F.lit(False))
@@ -125,10 +128,11 @@ def _opened(node: Column, needs: Sequence[str], carries: Sequence[str]) -> Colum
     return F.when(node["open"], F.concat(F.array(done), F.coalesce(children, F.array()))).otherwise(F.array(node))
 
 
-def json_objects(df: DataFrame, key: str, payload: str, needs: Sequence[str], carries: Sequence[str] = ()) -> DataFrame:
+def json_objects(df: DataFrame, key: str, payload: str, needs: Sequence[str], carries: Sequence[str | Sequence[str]] = ()) -> DataFrame:
     """(key, place, path, object, inherited): every object at any depth of a JSON text that has
     all of `needs`, numbered from above in the order of the text. inherited holds the nearest value of each of
-    `carries` at or above it. Texts that are no JSON have none.
+    `carries` at or above it; several spellings of one are named by the first. Texts that are no
+    JSON have none.
 
     The nodes of a text are one array, whose open ones are replaced by themselves and
     their children once for each level; how many levels there are is counted first. Nothing is
@@ -144,7 +148,8 @@ def json_objects(df: DataFrame, key: str, payload: str, needs: Sequence[str], ca
             rows = rows.checkpoint()
     fitting = F.array_sort(F.transform(F.filter("nodes", lambda n: n["fits"]), lambda n: F.struct(n["at"], n["path"], n["text"], n["carried"])))
     found = rows.select(key, F.posexplode(fitting).alias("place", "n"))
-    pairs = [F.when(F.get("n.carried", F.lit(i)).isNotNull(), F.concat(F.to_json(F.array(F.lit(c))).substr(F.lit(2), F.length(F.to_json(F.array(F.lit(c)))) - 2), F.lit(":"), F.get("n.carried", F.lit(i)))) for i, c in enumerate(carries)]
+    names = [c if isinstance(c, str) else c[0] for c in carries]
+    pairs = [F.when(F.get("n.carried", F.lit(i)).isNotNull(), F.concat(F.to_json(F.array(F.lit(c))).substr(F.lit(2), F.length(F.to_json(F.array(F.lit(c)))) - 2), F.lit(":"), F.get("n.carried", F.lit(i)))) for i, c in enumerate(names)]
     inherited = F.concat(F.lit("{"), F.array_join(F.array(*pairs).cast("array<string>"), ","), F.lit("}"))
     return found.select(key, "place", "n.path", F.col("n.text").alias("object"), inherited.alias("inherited"))
 
