@@ -7,21 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import slices
 
-def as_of_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, values: Sequence[str]) -> DataFrame:
+
+def as_of_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, values: Sequence[str], rows: int = slices.ROWS) -> DataFrame:
     """left with the values of the newest row of right that has the key and a time not after
     the left row's. Both sides are put on one time line per key, where the last right row
     is carried forward: one shuffle by key, no pair of rows is ever compared. right has one
-    row for each key and time. Left rows with a null key or time get nulls."""
+    row for each key and time. Left rows with a null key or time get nulls. A key with more
+    than `rows` rows is carried slice by slice, in many tasks."""
     cols = left.columns
     line = left.select(*cols, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), *[F.lit(None).cast(right.schema[v].dataType).alias(f"_v_{v}") for v in values], F.lit(None).cast("boolean").alias("_here"))
     points = right.where(F.col(right_time).isNotNull() & F.col(key).isNotNull()).select(
         *[(F.col(key) if c == key else F.lit(None).cast(left.schema[c].dataType)).alias(c) for c in cols],
         F.col(right_time).alias("_t"), F.lit(0).alias("_side"), *[F.col(v).alias(f"_v_{v}") for v in values], F.lit(True).alias("_here"),
     )
-    w = Window.partitionBy(key).orderBy(F.col("_t").asc_nulls_last(), "_side").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.last(F.when(F.col("_here"), F.struct(*[F.col(f"_v_{v}").alias(v) for v in values])), ignorenulls=True).over(w)
-    found = line.unionByName(points).withColumn("_last", last).where("_side = 1")
+    order = [F.col("_t").asc_nulls_last(), F.col("_side")]
+    point = F.when(F.col("_here"), F.struct(*[F.col(f"_v_{v}").alias(v) for v in values]))
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    plain = lambda df: df.withColumn("_last", F.last(point, ignorenulls=True).over(w))
+    found = slices.apart(line.unionByName(points), key, rows, plain, lambda df: slices.carried(df, key, order, point)).where("_side = 1")
     known = F.col(key).isNotNull() & F.col("_t").isNotNull()
     return found.select(*cols, *[F.when(known, F.col("_last")[v]).alias(v) for v in values])
 

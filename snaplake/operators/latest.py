@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import slices
+
 
 def _ordered(order: Sequence[str | Column]) -> list[Column]:
     """Column names mean newest first, nulls last."""
@@ -39,10 +41,22 @@ def keep_newest_duplicates(df: DataFrame, source_id: Column, keys: Sequence[Colu
     return numbered.where("_rank = 1").drop("_source", "_rank")
 
 
-def suffix_collisions(df: DataFrame, key: str, order: Sequence[Column], out: str = "unique_key") -> DataFrame:
-    """The first row of a key keeps it; later ones get -2, -3 and so on."""
-    n = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return df.withColumn(out, F.when(n > 1, F.concat(F.col(key), F.lit("-"), n.cast("string"))).otherwise(F.col(key)))
+def suffix_collisions(df: DataFrame, key: str, order: Sequence[Column], out: str = "unique_key", rows: int = slices.ROWS) -> DataFrame:
+    """The first row of a key keeps it; later ones get -2, -3 and so on. A key with more than
+    `rows` rows is numbered slice by slice."""
+    plain = lambda part: part.withColumn("_number", F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long"))
+    found = slices.apart(df, key, rows, plain, lambda part: slices.numbered(part, key, order))
+    n = F.col("_number")
+    return found.withColumn(out, F.when(n > 1, F.concat(F.col(key), F.lit("-"), n.cast("string"))).otherwise(F.col(key))).drop("_number")
+
+
+def distinguished(df: DataFrame, key: str, own: str, order: Sequence[str | Column], out: str) -> DataFrame:
+    """df with `out`: the key for rows of the identity `own` that the first row of the key has, and
+    key_own for all others; of rows of one such name the last in order stays. The first identity of a
+    key is an aggregate, so a key of very many rows is no single task."""
+    first = df.groupBy(key).agg(F.min_by(own, F.struct(*order)).alias("_first"))
+    named = df.join(first, key).withColumn(out, F.when(F.col(own) == F.col("_first"), F.col(key)).otherwise(F.concat_ws("_", key, own)))
+    return newest_per_key(named.drop("_first"), [out], order)
 
 
 def first_non_empty(*columns: Column) -> Column:

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import cut
+
 #: What a column of an existing row becomes: the new value, the new one unless null, or the old one unless null.
 POLICIES = ("overwrite", "fill", "keep")
 
@@ -50,9 +52,28 @@ def insert_absent(base: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     return base.unionByName(fresh.select(*base.columns))
 
 
+def last_targets(moved: DataFrame) -> DataFrame:
+    """(source, target) with the end of each chain a to b to c as the target of all before it, by
+    pointer jumping: each round doubles how far a target looks, so a chain of n ids takes
+    about log2(n) rounds. One target a source; a chain that comes back to itself raises."""
+    now = cut(moved.select("source", "target").where(~F.col("source").eqNullSafe(F.col("target"))).distinct())
+    n = now.count()
+    if now.select("source").distinct().count() != n:
+        raise ValueError("a source has several targets")
+    for _ in range(n.bit_length() + 1):
+        ahead = now.select(F.col("source").alias("_s"), F.col("target").alias("_t"))
+        hops = now.join(ahead, F.col("target") == F.col("_s"), "left")
+        now = cut(hops.select("source", F.coalesce("_t", "target").alias("target"), F.col("_t").isNotNull().alias("moved")))
+        if now.where("moved").isEmpty():
+            return now.drop("moved")
+        now = now.drop("moved")
+    raise ValueError("ids are merged in a circle")
+
+
 def merge_identity(facts: DataFrame, moved: DataFrame, id_col: str, keys: Sequence[str], policy: Mapping[str, Column]) -> DataFrame:
-    """facts with ids replaced by moved(source, target); rows that then share a key become
-    one by the aggregates of policy."""
+    """facts with ids replaced by moved(source, target), up to the last target of a chain; rows
+    that then share a key become one by the aggregates of policy."""
+    moved = last_targets(moved)
     j = facts.join(moved.select(F.col("source").alias("_source"), "target"), F.col(id_col) == F.col("_source"), "left")
     renamed = j.withColumn(id_col, F.coalesce("target", F.col(id_col))).drop("_source", "target")
     return renamed.groupBy(*keys).agg(*[agg.alias(c) for c, agg in policy.items()])

@@ -154,9 +154,10 @@ def f5(spark, d):
 
 @query("a11_export_manifest", "SELECT 'customer' AS \"table\", count(*) AS rows FROM customer UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem")
 def a11(spark, d):
-    from ..sources.snapshots import row_counts
+    from ..sources.snapshots import export
+    from .streams import scratch
 
-    return row_counts({t: table(spark, d, t) for t in ("customer", "orders", "lineitem")})
+    return export({t: table(spark, d, t) for t in ("customer", "orders", "lineitem")}, scratch(spark, "export"), "1998-08-01T000000Z")
 
 
 @query("a17_preview_by_name", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, substr(text, 1, 60) AS text, lang FROM documents WHERE contains(lower(source), 'src1') OR contains(lower(lang), 'fr')")

@@ -58,6 +58,15 @@ def m5(spark, d):
     return merge.merge_identity(e, moved, "user_id", ["user_id", "event_type"], {"value": F.max("value"), "ts": F.max("ts"), "n": F.count(F.lit(1))})
 
 
+@query("m5_identity_chain", """
+SELECT user_id - CASE WHEN user_id % 10 BETWEEN 1 AND 6 THEN user_id % 10 ELSE 0 END AS user_id, max(value) AS value, count(*) AS n FROM events GROUP BY 1""")
+def m5_chain(spark, d):
+    """Each of six ids is merged into the one before it: all end at the last of the chain."""
+    e = table(spark, d, "events")
+    moved = e.where("user_id % 10 between 1 and 6").select(F.explode(F.sequence(F.lit(1), F.lit(6))).alias("k"), F.expr("user_id - user_id % 10").alias("base")).select((F.col("base") + F.col("k")).alias("source"), (F.col("base") + F.col("k") - 1).alias("target")).distinct()
+    return merge.merge_identity(e, moved, "user_id", ["user_id"], {"value": F.max("value"), "n": F.count(F.lit(1))})
+
+
 @query("m6_retention_purge", "SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE year(o_orderdate) >= 1999) GROUP BY 1")
 def m6(spark, d):
     dim = table(spark, d, "orders").withColumnRenamed("o_orderkey", "l_orderkey")

@@ -67,6 +67,30 @@ def a2(spark, d):
     return snapshots.pinned(stored, snapshots.latest_common([stored, stored.where("event_type = 'view'")])).select("event_id", snapshots.STAMP)
 
 
+@query("a2_snapshot_replaced", """
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS snapshot_ts FROM events WHERE event_type = 'view' AND CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""")
+def a2_replaced(spark, d):
+    """Snapshots are written one after another; the last one of a time replaces it alone."""
+    from ..sources import snapshots
+
+    at, e = scratch(spark, "replaced"), table(spark, d, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    newest = e.agg(F.max("day")).first()[0]
+    snapshots.write_snapshot(e.where(F.col("day") < newest).drop("day"), at, "1990-01-01")
+    for part in (e, e.where("event_type = 'view'")):
+        snapshots.write_snapshot(part.where(F.col("day") == newest).drop("day"), at, newest)
+    stored = spark.read.parquet(at).withColumn(snapshots.STAMP, F.col(snapshots.STAMP).cast("string"))
+    return snapshots.pinned(stored, newest).select("event_id", snapshots.STAMP)
+
+
+@query("a10_telemetry_of_stored_rows", "SELECT 'run-1' AS run_id, count(*) AS rows, count(*) FILTER (event_type = 'error') AS errors, count(DISTINCT event_type) AS datasets, CASE WHEN count(*) > 0 THEN 'success' ELSE 'empty' END AS status FROM events")
+def a10_stored(spark, d):
+    """The run's row tells of what was stored, and reads one column of it."""
+    from ..sources import snapshots
+
+    stored, n = snapshots.write_snapshot(table(spark, d, "events"), scratch(spark, "run"), "run-1"), F.count(F.lit(1))
+    return stored.agg(F.lit("run-1").alias("run_id"), n.alias("rows"), F.count_if(F.col("event_type") == "error").alias("errors"), F.count_distinct("event_type").alias("datasets"), F.when(n > 0, "success").otherwise("empty").alias("status"))
+
+
 @query("a3_csv_round_trip", "SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS slug FROM customer")
 def a3(spark, d):
     from ..sources import snapshots

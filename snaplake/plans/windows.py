@@ -136,6 +136,18 @@ def e12(spark, d):
     return latest.suffix_collisions(table(spark, d, "part"), "p_brand", [F.col("p_partkey")]).select("p_partkey", "unique_key")
 
 
+@query("e13_latest_bridge_update", """
+WITH b AS (SELECT o_custkey, o_orderkey % 25 AS team FROM orders WHERE o_orderkey % 3 > 0 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY year(o_orderdate) DESC, o_orderdate DESC, o_orderkey DESC) = 1)
+SELECT c_custkey, CASE WHEN o_custkey IS NOT NULL THEN team ELSE c_nationkey END AS team, o_custkey IS NOT NULL AND team IS DISTINCT FROM c_nationkey AS changed FROM customer LEFT JOIN b ON o_custkey = c_custkey""")
+def e13(spark, d):
+    """A dimension takes the team of its newest bridge row, where it has one that differs."""
+    bridge = table(spark, d, "orders").where("o_orderkey % 3 > 0").select("o_custkey", (F.col("o_orderkey") % 25).alias("team"), F.year("o_orderdate").alias("season"), "o_orderdate", "o_orderkey")
+    newest = latest.newest_per_key(bridge, ["o_custkey"], ["season", "o_orderdate", "o_orderkey"])
+    c = table(spark, d, "customer").join(newest, F.col("c_custkey") == F.col("o_custkey"), "left")
+    known = F.col("o_custkey").isNotNull()
+    return c.select("c_custkey", F.when(known, F.col("team")).otherwise(F.col("c_nationkey").cast("long")).alias("team"), (known & ~F.col("team").eqNullSafe(F.col("c_nationkey").cast("long"))).alias("changed"))
+
+
 DAYS = "days AS (SELECT day, row_number() OVER (ORDER BY day) AS n, count(*) OVER () AS days FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE ts IS NOT NULL))"
 
 

@@ -6,7 +6,8 @@ A dataset is a folder partitioned by snapshot_ts, a sortable text like
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +23,22 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType | str) -> D
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def write_snapshot(df: DataFrame, path: str, stamp: str) -> None:
-    """Write df as the snapshot of this time; an older one of the same time is replaced."""
-    out = df.withColumn(STAMP, F.lit(stamp)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    out.partitionBy(STAMP).parquet(path)
+def write_snapshot(df: DataFrame, path: str, stamp: str) -> DataFrame:
+    """Write df as the snapshot of this time, an older one of the same time is replaced, and return
+    what was written, read from there: df isn't computed again for what is told of it."""
+    at = f"{path}/{STAMP}={stamp}"
+    df.write.mode("overwrite").parquet(at)
+    # Read by the folder of its time: a stamp may look like a date or a number.
+    return df.sparkSession.read.schema(df.schema).parquet(at).withColumn(STAMP, F.lit(stamp))
+
+
+def export(tables: Mapping[str, DataFrame], path: str, stamp: str) -> DataFrame:
+    """Write each table's snapshot below path and return the manifest (table, rows). Rows are
+    counted in the files written, where Parquet knows them without reading a column. (Observed
+    metrics would do it in the write, but leave a session in which plans that hold a fitted
+    model can't be sent to executors.)"""
+    counts = [write_snapshot(df, f"{path}/{name}", stamp).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows") for name, df in tables.items()]
+    return reduce(DataFrame.union, counts)
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
@@ -109,15 +122,6 @@ def master_records(records: DataFrame, uid: str, id_col: str, name: str, born: s
     return named.withColumn(uid, F.when(given.rlike("[^0-9]"), given).otherwise(entity_key(F.col(name), F.col(born))))
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table, rows): the manifest of an export."""
-    out = None
-    for name, df in tables.items():
-        one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
-        out = one if out is None else out.union(one)
-    return out
-
-
 def preview(df: DataFrame, columns: Sequence[str], name_columns: Sequence[str], contains: str | None, n: int, width: int = 60) -> DataFrame:
     """n rows of some columns, of those whose names contain a text in any case; arrays are
     joined and long texts cut for display."""
