@@ -50,7 +50,7 @@ def suffix_collisions(df: DataFrame, key: str, order: Sequence[Column], out: str
     return found.withColumn(out, F.when(n > 1, F.concat(F.col(key), F.lit("-"), n.cast("string"))).otherwise(F.col(key))).drop("_number")
 
 
-def distinguished(df: DataFrame, key: str, own: str, order: Sequence[str | Column], out: str) -> DataFrame:
+def distinguished(df: DataFrame, key: str, own: str, order: Sequence[str], out: str) -> DataFrame:
     """df with `out`: the key for rows of the identity `own` that the first row of the key has, and
     key_own for all others; of rows of one such name the last in order stays. The first identity of a
     key is an aggregate, so a key of very many rows is no single task."""

@@ -84,9 +84,9 @@ def _label(code: Column, labels: Mapping[int, str], default: str) -> Column:
 
 def player_row(
     df: DataFrame, keep: Sequence[str], *, market: str, details: str, matches: str, values: str, transfers: str, now: Column,
-    positions: Mapping[int, str], injuries: Mapping[int, str], injured: Sequence[int], chances: Mapping[int, str],
+    positions: Mapping[int, str], injuries: Mapping[int, str], injured: Sequence[int], chances: Mapping[int, str], colors: Mapping[int, str] | None = None,
 ) -> DataFrame:
-    """keep and the 30 columns of a player. values and transfers are arrays of (time, value)."""
+    """keep and the 35 columns of a player. values and transfers are arrays of (time, value)."""
     m, d = F.coalesce(F.col(market), F.create_map().cast("map<string,string>")), F.coalesce(F.col(details), F.create_map().cast("map<string,string>"))
     either = lambda f, mine, theirs=None: F.coalesce(f(m, mine), f(d, theirs or mine))
     first = either(text, FIRST)
@@ -112,23 +112,24 @@ def player_row(
         **playing_stats(d, F.col("_counted")),
         "goals_total": whole(d, ("g", "goals", "goals_total")), "assists_total": whole(d, ("a", "assists", "assists_total")),
         "yellow_cards_total": whole(d, ("y", "yellow_cards", "yellow_total")), "red_cards_total": whole(d, ("r", "red_cards", "red_total")),
-        "start_probability_code": chance, "start_probability_label": _label(chance, chances, "unknown"), "injury_status_code": status, "injury_status": _label(status, injuries, "unknown"),
+        "start_probability_code": chance, "start_probability_color": _label(chance, colors or {}, "unknown"), "start_probability_label": _label(chance, chances, "unknown"), "injury_status_code": status, "injury_status": _label(status, injuries, "unknown"),
         "is_injured": F.coalesce(status.isin(*injured), F.lit(False)), "status_last_updated_at": F.coalesce(text(m, ("dt", "status_updated_at", "updated_at")), text(d, ("dt", "ts", "status_updated_at", "updated_at"))),
+        "raw_market_row": F.col(market), "raw_player_details": F.when(F.size(d) > 0, d), "raw_player_performance": F.when(F.size(matches) > 0, F.col(matches)), "raw_player_transfers": F.coalesce(F.col(transfers), F.array()),
     }
     return rows.select(*keep, *[c.alias(n) for n, c in columns.items()])
 
 
-def match_entities(left: DataFrame, right: DataFrame, *, name: tuple[Column, str], team: tuple[Column, str], slug: tuple[Column, str], order: Sequence[Column], values: Sequence[str]) -> DataFrame:
+def match_entities(left: DataFrame, right: DataFrame, *, name: tuple[Column, str], team: tuple[Column, str], slug: tuple[Column, str], order: Sequence[Column], values: Sequence[str], slug_order: Sequence[Column] | None = None) -> DataFrame:
     """Every row of left with values of the row of right that is the same entity: by name,
     of the same team where a row of that name is, then the first by order; where no row has
-    the name, the first with the slug; else nulls. Each pair is a left column and the name of
+    the name, the first with the slug (by slug_order where given); else nulls. Each pair is a left column and the name of
     a right one. right is cut to a row a key before each join, so a frequent name makes no
     pairs."""
     out, found = left, []
     for tag, pairs in (("t", (name, team)), ("n", (name,)), ("s", (slug,))):
         keys = [c for _, c in pairs]
         known = right.where(" and ".join(f"`{k}` is not null" for k in keys))
-        side = latest.newest_per_key(known, keys, order).select(*[F.col(k).alias(f"_{tag}{i}") for i, k in enumerate(keys)], F.struct(*values).alias(f"_{tag}v"))
+        side = latest.newest_per_key(known, keys, slug_order or order if tag == "s" else order).select(*[F.col(k).alias(f"_{tag}{i}") for i, k in enumerate(keys)], F.struct(*values).alias(f"_{tag}v"))
         on = [mine == F.col(f"_{tag}{i}") for i, (mine, _) in enumerate(pairs)]
         out = out.join(side, on[0] if len(on) == 1 else on[0] & on[1], "left")
         found.append(F.col(f"_{tag}v"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pages as P
 from ..functions import scalars as S
-from ..operators import latest, players
+from ..operators import latest, players, silver
 from ..sources import snapshots
 from ..sources.tables import table
 from .catalog import query
@@ -15,6 +15,7 @@ from .catalog import query
 NOW = "TIMESTAMP '1998-08-01 00:00:00'"
 POSITIONS = {1: "GK", 2: "DEF", 3: "MID", 4: "FWD"}
 INJURIES = {0: "fit", 1: "injured", 2: "doubtful"}
+COLORS = {1: "green", 2: "yellow", 3: "orange", 4: "red"}
 CHANCES = {1: "likely", 2: "probable", 3: "open", 4: "unlikely"}
 
 
@@ -71,7 +72,69 @@ def _player_rows(spark, d) -> DataFrame:
     payloads = _payloads(spark, d).withColumns({c: F.coalesce(c, F.array().cast("array<struct<time:timestamp,value:double>>")) for c in ("values", "transfers")})
     return players.player_row(
         payloads, ["c_custkey"], market="market", details="details", matches="matches", values="values", transfers="transfers", now=F.expr(NOW),
-        positions=POSITIONS, injuries=INJURIES, injured=[1], chances=CHANCES,
+        positions=POSITIONS, injuries=INJURIES, injured=[1], chances=CHANCES, colors=COLORS,
+    )
+
+
+@query("j1_raw_columns", """
+WITH o AS (SELECT o_custkey AS k, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS f, CAST(arg_min(month(o_orderdate), (o_orderdate, o_orderkey)) AS VARCHAR) AS first_day FROM orders GROUP BY 1)
+SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN CASE c_custkey % 6 WHEN 2 THEN 'yellow' WHEN 4 THEN 'red' ELSE 'unknown' END ELSE 'unknown' END AS start_probability_color, c_name AS market_name, c_mktsegment AS details_name, n AS n_matches, first_day, coalesce(f, 0) AS n_transfers
+FROM customer LEFT JOIN o ON k = c_custkey""")
+def j1_raw(spark, d):
+    rows = _player_rows(spark, d)
+    return rows.select("c_custkey", "start_probability_color", F.col("raw_market_row.n").alias("market_name"), F.col("raw_player_details.fn").alias("details_name"), F.size("raw_player_performance").cast("long").alias("n_matches"), F.get("raw_player_performance", F.lit(0))["md"].alias("first_day"), F.size("raw_player_transfers").cast("long").alias("n_transfers"))
+
+
+#: Teams, their names and the first parts of their pages' addresses.
+TEAMS = {k: f"T{k:02d}" for k in range(20)}
+TEAM_NAMES = {f"T{k:02d}": f"Team {k}" for k in range(0, 20, 2)}
+SITE = ("site.example", "https://www.site.example", "/squad/")
+_NAME = "CASE WHEN c_custkey % 50 = 7 THEN 'Same Name' ELSE concat(c_mktsegment, ' ', CASE WHEN c_custkey % 6 > 0 THEN concat('L', c_custkey) ELSE c_name END) END"
+
+
+def _team_pages(spark, d) -> DataFrame:
+    """Pages of two of three players: every third one has two of its name, another third one of its slug."""
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", F.expr(_NAME).alias("name"))
+    k, n = F.col("c_custkey"), F.col("n")
+    twice = c.where("c_custkey % 3 < 2").withColumn("n", F.explode(F.array(F.lit(0), F.lit(1)))).where("n = 0 or c_custkey % 3 = 0")
+    by_name = k % 3 == 0
+    text = lambda c: c.cast("string")
+    return twice.select(
+        F.when(by_name, F.lit("no-slug")).otherwise(S.slug(F.col("name"))).alias("slug"), text(k * 10 + n).alias("page_player_id"),
+        F.when(by_name, F.translate("name", "AEIO", "ÀËÌÔ")).otherwise("zzz").alias("page_name"), F.when(k % 4 == 0, F.lit("03.02.1999")).when(k % 4 == 1, F.lit("2000/01/01")).when(k % 4 == 2, F.lit("2001-05-06")).alias("birthdate"),
+        F.concat(F.lit("http://www.site.example/"), F.when(n == 0, F.concat(F.lit("team-"), text(F.col("c_nationkey")))).otherwise("other"), F.lit("/12/squad/?x=1")).alias("source_url"), F.concat(F.lit("p"), text(k)).alias("profile_url"),
+        F.lit(None).cast("string").alias("image_url"), F.when(n == 0, " bench ").otherwise("starter").alias("lineup"), F.lit("fit").alias("status"), F.when(k % 5 == 0, "HIGH ").when(k % 5 == 1, "none").alias("risk"),
+        F.when(k % 5 != 3, F.array_repeat(F.lit("X"), (k % 3).cast("int"))).alias("competitors"), F.when(k % 7 == 0, F.lit("2")).alias("competitor_count"), F.when(n == 1, F.lit("2024-02-01")).otherwise("2024-01-01").alias("last_changed_at"),
+        F.lit("2023-01-01").alias("first_seen_at"), F.lit("2024-03-01").alias("scraped_at"), k.alias("at"), n.alias("n"),
+    )
+
+
+@query("k1_silver_players", f"""
+WITH c AS (SELECT *, {_NAME} AS name, CASE WHEN c_custkey % 3 > 0 THEN c_nationkey ELSE 99 END AS team_id FROM customer),
+t AS (SELECT *, CASE WHEN team_id < 20 THEN concat('T', lpad(CAST(team_id AS VARCHAR), 2, '0')) END AS kb FROM c),
+pg AS (SELECT c.c_custkey AS pk, n, c.name, c_nationkey, CASE WHEN n = 0 THEN CASE WHEN c_nationkey < 15 THEN concat('U', c_nationkey) ELSE 'TEA' END ELSE 'OTH' END AS code FROM c, (SELECT unnest([0, 1]) AS n) WHERE c_custkey % 3 = 0 OR (c_custkey % 3 = 1 AND n = 0)),
+m AS (SELECT t.*, coalesce(
+    (SELECT max_by(pk * 10 + n, (n, -pk)) FROM pg WHERE pk % 3 = 0 AND pg.name = t.name),
+    CASE WHEN t.c_custkey % 3 < 3 THEN (SELECT min(pk * 10 + n) FROM pg WHERE pk % 3 = 1 AND pg.name = t.name) END) AS page FROM t),
+x AS (SELECT m.*, page // 10 AS pk, page % 10 AS n, pg.code, CASE WHEN page // 10 % 4 = 0 THEN '1999-02-03' WHEN page // 10 % 4 = 2 THEN '2001-05-06' END AS born FROM m LEFT JOIN pg ON page = pg.pk * 10 + pg.n),
+b AS (SELECT *, concat(CASE WHEN name = 'Same Name' THEN 'SameName' ELSE concat(upper(left(lower(c_mktsegment), 1)), substr(lower(c_mktsegment), 2), CASE WHEN c_custkey % 6 > 0 THEN concat('L', c_custkey) ELSE concat('Customer', split_part(c_name, '#', 2)) END) END, coalesce(replace(born, '-', ''), '00000000')) AS base FROM x),
+r AS (SELECT *, coalesce(kb, code) AS team, CASE WHEN pk % 7 = 0 THEN 2 WHEN pk % 5 <> 3 THEN pk % 3 END AS told FROM b)
+SELECT CASE WHEN c_custkey = min(c_custkey) OVER (PARTITION BY base) THEN base ELSE concat(base, '_', c_custkey) END AS player_uid, name AS player_name, born AS player_birthdate, team AS team_uid,
+  CASE WHEN regexp_matches(team, '^T[0-9][02468]$') THEN concat('Team ', CAST(substr(team, 2) AS INTEGER)) ELSE '' END AS team_name, CASE c_custkey % 5 WHEN 1 THEN 'GK' WHEN 2 THEN 'DEF' WHEN 3 THEN 'MID' WHEN 4 THEN 'FWD' ELSE 'UNKNOWN' END AS player_position,
+  9899 AS season_uid, '1998-08-01' AS snapshot_date, CAST(c_custkey AS VARCHAR) AS player_id, team_id, c_custkey % 13 AS goals_total, page AS page_player_id, CASE WHEN page IS NULL THEN '' WHEN pk % 3 = 0 THEN 'no-slug' ELSE regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g') END AS page_slug,
+  CASE WHEN page IS NULL THEN '' ELSE concat('https://www.site.example/', CASE WHEN n = 0 THEN concat('team-', (SELECT c_nationkey FROM pg WHERE pg.pk = r.pk LIMIT 1)) ELSE 'other' END, '/12/') END AS page_team_url,
+  CASE WHEN page IS NULL THEN '' WHEN n = 0 THEN 'bench' ELSE 'starter' END AS page_predicted_lineup, CASE WHEN pk % 5 = 0 THEN 'high' WHEN told IS NULL THEN 'unknown' WHEN told = 0 THEN 'low' WHEN told = 1 THEN 'medium' ELSE 'high' END AS page_competition_risk,
+  coalesce(told, 0) AS page_competitor_count, CASE WHEN pk % 5 <> 3 THEN pk % 3 ELSE 0 END AS n_competitors, CASE WHEN page IS NULL THEN '' WHEN n = 1 THEN '2024-02-01' ELSE '2024-01-01' END AS page_last_changed_at
+FROM r""")
+def k1_silver(spark, d):
+    """Names in other spellings, two pages of a name, slugs, and many players of one name."""
+    rows = _player_rows(spark, d).join(table(spark, d, "customer").select("c_custkey", F.expr(_NAME).alias("given")), "c_custkey").withColumn("player_name", F.col("given")).drop("given")
+    url_codes = {f"team-{k}": f"U{k}" for k in range(15)}
+    out = silver.silver_players(rows, _team_pages(spark, d), stamp="1998-08-01T000000Z", order=["c_custkey"], page_order=[F.col("at"), F.col("n")], team_codes=TEAMS, team_names=TEAM_NAMES, url_codes=url_codes, site=SITE)
+    assert len(out.columns) == 45
+    return out.withColumn("n_competitors", F.size("page_competitor_names").cast("long")).select(
+        "player_uid", "player_name", "player_birthdate", "team_uid", "team_name", "player_position", "season_uid", "snapshot_date", "player_id", "team_id", "goals_total", "page_player_id", "page_slug", "page_team_url",
+        "page_predicted_lineup", "page_competition_risk", "page_competitor_count", "n_competitors", "page_last_changed_at",
     )
 
 
