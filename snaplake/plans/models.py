@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import latest, rollup, scoring
+from ..operators.ridge import ridge_folds
 from ..operators.sequence import rolling_folds, scale_to_caps, time_holdout
 from ..sources.tables import table
 from .catalog import query
@@ -81,6 +82,13 @@ def l2(spark, d):
     return walk_forward(features_of(spark, d))
 
 
+@query("l2_ridge_folds")
+def l2_ridge(spark, d):
+    """(fold, n_train, n_valid, rmse, price_weight): four folds from one pass over the rows."""
+    got = ridge_folds(features_of(spark, d), F.col("day"), NUMBERS, "brand", "points")
+    return spark.createDataFrame([(g["fold"], g["n_train"], g["n_valid"], g["rmse"], g["fit"].weights["price"]) for g in got], "fold int, n_train long, n_valid long, rmse double, price_weight double")  # a row a fold
+
+
 def classifier(family: str, label: str):
     if family == "linear":
         return LogisticRegression(labelCol=label, regParam=0.01)
