@@ -155,7 +155,8 @@ def _sizes(k: int, m: int, buckets: int):
 
 
 def large_buckets(docs: DataFrame, k: int, m: int, buckets: int, most: int) -> list[int]:
-    """Buckets of more than most windows: no more than twice the corpus's windows / most."""
+    """Buckets of more than most windows: no more than twice the corpus's windows / most, with
+    the default 8 bytes for two million windows."""
     counted = docs.select("text").mapInArrow(_sizes(k, m, buckets), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     return sorted(r["bucket"] for r in counted.where(F.col("n") > most).select("bucket").collect())
 
@@ -260,16 +261,18 @@ def _judge(k: int, *, last_round: bool):
     return run
 
 
-def repeated_spans(docs: DataFrame, *, k: int = 13, minimiser: int = 3, buckets: int | None = None, salts: int = 1, most: int = MOST_WINDOWS) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, k: int = 13, minimiser: int = 3, buckets: int | None = None, salts: int | None = None, most: int = MOST_WINDOWS) -> DataFrame:
     """(id, row, start, n) for docs(id, row, text): n windows from word `start` on are repeated.
 
     buckets: grows with the input where not given. salts: parts in which a bucket is
-    judged first; raise it with the number of input blocks (about one a thousand).
+    judged first, so that a passage of every block comes to its last group once a part; one for
+    a thousand blocks where not given.
     most: windows beyond which a bucket is split."""
     if not 1 <= minimiser <= k:
         raise ValueError("a minimiser has 1 to k words")
     docs = docs.where(F.col("id").isNotNull())
     buckets = buckets or groups_for(docs, "text", BUCKET_BYTES, least=8)
+    salts = salts or groups_for(docs, "text", 1000 * BLOCK)
     sent = docs.mapInArrow(tidy(_send(k, minimiser, buckets, large_buckets(docs, k, minimiser, buckets, most))), "bucket long, blob binary")
     if salts > 1:
         sent = (
@@ -315,7 +318,7 @@ def _kept(k: int, names: list[str]):
     return run
 
 
-def remove_repeated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 13, minimiser: int = 3, buckets: int | None = None, salts: int = 1, most: int = MOST_WINDOWS) -> DataFrame:
+def remove_repeated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 13, minimiser: int = 3, buckets: int | None = None, salts: int | None = None, most: int = MOST_WINDOWS) -> DataFrame:
     """docs without its text column but with n_words, n_removed (long) and kept: the
     words that stay, joined by one space."""
     rest = without(docs, text, "n_words", "n_removed", "kept")
