@@ -21,6 +21,10 @@ RISK = {"low": 0.03, "medium": -0.06, "high": -0.12}
 #: Chance to score by position; points of a score, a win, minutes and a card.
 SCORER = {"fwd": 0.24, "mid": 0.15, "def": 0.07, "gk": 0.01}
 SCORE_POINTS, WIN_POINTS, MINUTES_POINTS, CARD_POINTS = 14.0, 6.0, 4.0, -4.0
+#: The share of recent points without bonus; their spread by square root, and its
+#: least; points that keep a value, and points of a whole change of it.
+RAW_SHARE, SPREAD, LEAST_SPREAD = 0.78, 0.9, 4.0
+EVEN_POINTS, POINTS_A_VALUE = 50.0, 1000.0
 
 
 def best_context(teams: DataFrame) -> DataFrame:
@@ -41,13 +45,13 @@ def scored_players(players: DataFrame, teams: DataFrame, at: str, n: int = 400)
     })
     card = F.lit(0.12) + F.when(F.lower(blank("status")) == "questionable", 0.05).otherwise(0.0) + F.when(F.lower("risk") == "high", 0.04).otherwise(0.0)
     rows = rows.withColumns({"start": start_probability(blank("status"), blank("lineup"), F.col("risk"), STATUS, LINEUP, RISK, default=0.72), "card": clamp(card, 0.05, 0.30)})
-    spread = F.greatest(F.lit(4.0), F.sqrt(F.greatest("recent", F.lit(1.0))) * 0.9)
+    spread = F.greatest(F.lit(LEAST_SPREAD), F.sqrt(F.greatest("recent", F.lit(1.0))) * SPREAD)
     bonus: dict[str, float] = {"scorer": SCORE_POINTS, "win": WIN_POINTS, "card": CARD_POINTS}
-    draws = drawn_points(F.concat_ws("|", "player_uid", F.lit(at)), F.col("start"), F.col("recent") * 0.78, spread, {p: (F.col(p), v) for p, v in bonus.items()}, n=max(100, n), always=MINUTES_POINTS)
+    draws = drawn_points(F.concat_ws("|", "player_uid", F.lit(at)), F.col("start"), F.col("recent") * RAW_SHARE, spread, {p: (F.col(p), v) for p, v in bonus.items()}, n=max(100, n), always=MINUTES_POINTS)
     out = rows.withColumn("draws", draws).withColumn("s", summary_of(F.col("draws"))).drop("draws")
     worth, total = F.coalesce("market_value", F.lit(0.0)), F.col("s.mean")
-    change = worth * ((total - 50.0) / 1000.0)
-    parts: dict[str, Column] = {"base_raw_ev": F.col("recent") * 0.78, "scorer_ev": F.col("scorer") * SCORE_POINTS, "win_ev": F.col("win") * WIN_POINTS, "minutes_bonus_ev": F.lit(MINUTES_POINTS), "cards_negative_ev": F.col("card") * CARD_POINTS}
+    change = worth * ((total - EVEN_POINTS) / POINTS_A_VALUE)
+    parts: dict[str, Column] = {"base_raw_ev": F.col("recent") * RAW_SHARE, "scorer_ev": F.col("scorer") * SCORE_POINTS, "win_ev": F.col("win") * WIN_POINTS, "minutes_bonus_ev": F.lit(MINUTES_POINTS), "cards_negative_ev": F.col("card") * CARD_POINTS}
     return out.select(
         *players.columns, F.col("start").alias("start_probability"), (1 - F.col("start")).alias("p_dnp"), *[(F.col("start") * c).alias(p) for p, c in parts.items()],
         total.alias("pred_total"), *[F.col(f"s.{q}").alias(f"{q}_points") for q in ("std", "p10", "p50", "p90")],
@@ -61,10 +65,11 @@ PARTS = ("base_raw_ev", "scorer_ev", "win_ev", "minutes_bonus_ev", "cards_negati
 
 def gold_tables(players: DataFrame, teams: DataFrame, at: str, n: int = 400) -> dict[str, DataFrame]:
     """The tables by day, by matchday and of parts, and quality metrics. The share of
-    players with lineup or risk counts a risk that is derived, as every player has one."""
+    players with lineup or risk counts a risk that is derived from competitors too."""
     s = scored_players(players, teams, at, n)
     known = players.where(F.trim("player_uid") != "")
-    covered = F.coalesce(F.avg(F.lit(1.0)), F.lit(0.0))
+    told = (F.trim(F.coalesce("lineup", F.lit(""))) != "") | F.coalesce(competition_risk(F.col("risk"), F.coalesce("competitors", F.lit(0))) != "", F.lit(False))
+    covered = F.coalesce(F.avg(told.cast("double")), F.lit(0.0))
     metrics = known.agg(F.count(F.lit(1)).alias("player_count"), covered.alias("coverage_ratio"), F.lit(max(100, n)).alias("draws"))
     return {
         "player_daily": s.select("player_uid", "player_name", "team_uid", "position", *DAILY),

@@ -87,6 +87,7 @@ def player_row(
     positions: Mapping[int, str], injuries: Mapping[int, str], injured: Sequence[int], chances: Mapping[int, str], colors: Mapping[int, str] | None = None,
 ) -> DataFrame:
     """keep and the 35 columns of a player. values and transfers are arrays of (time, value)."""
+    # The spellings of fields below.
     m, d = F.coalesce(F.col(market), F.create_map().cast("map<string,string>")), F.coalesce(F.col(details), F.create_map().cast("map<string,string>"))
     either = lambda f, mine, theirs=None: F.coalesce(f(m, mine), f(d, theirs or mine))
     first = either(text, FIRST)
