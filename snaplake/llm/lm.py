@@ -26,7 +26,7 @@ N-grams are told apart by 64-bit hashes. A bucket is a range of them, so the key
 are in the order of buckets, and go there as small differences without losing a bit. A-Z is lower-cased, words
 are runs without white space, and each text ends with an end token. Null and empty
 texts hold just that. A row with a null id trains the model. Repeated rows count and
-are scored each. docs is read three times and must give the same rows each time, as a
+are scored each. docs is read twice and must give the same rows each time, as a
 table does; where it doesn't, an error is raised. An empty table gives an empty result.
 """
 
@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .shared import groups_for, pack, tidy, unpack
+from .shared import groups_for, pack, tidy, unpack, written
 from .toxicity import held_out
 
 BLOCK = 4 << 20
@@ -156,14 +156,16 @@ def _ask(order: int, buckets: int):
 
 
 def _send(order: int):
-    """(chunk, blob): a chunk's rows as numbers of their tokens."""
+    """(chunk, blob): a chunk's rows as numbers of their tokens, low ones for frequent tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, part, tokens, at in _chunks(batches, order - 1):
-            distinct, number = np.unique(tokens, return_inverse=True)
+            distinct, number, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+            rank = np.empty(len(distinct), dtype=np.int64)
+            rank[np.argsort(-counts, kind="stable")] = np.arange(len(distinct))
             ids = part.column("doc_id").cast(pa.int64())
             plain = (ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False), part.column("trains").to_numpy(zero_copy_only=False).astype(bool), at)
-            yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([pack(*plain, _squeeze(distinct), _narrow(number))], pa.binary())], names=["chunk", "blob"])
+            yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([pack(*plain, _squeeze(distinct), _narrow(rank[number]), _narrow(counts))], pa.binary())], names=["chunk", "blob"])
 
     return run
 
@@ -174,25 +176,27 @@ def _opened(blobs: list[bytes]) -> list[list[tuple[np.ndarray, np.ndarray]]]:
     return [[(_unsqueeze(k), _wide(c)) for k, c in zip(p[::2], p[1::2], strict=True)] for p in parts]
 
 
-def _sums(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The sum of each distinct key, and for each part the sums of its keys."""
+def _sums(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The distinct keys, the sum of each, and for each part the sums of its keys."""
     distinct, number = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
     total = np.bincount(number, weights=np.concatenate([c for _, c in found]).astype(float), minlength=len(distinct)).astype(np.int64)
-    return total, np.split(total[number], np.cumsum([len(k) for k, _ in found])[:-1])
+    return distinct, total, np.split(total[number], np.cumsum([len(k) for k, _ in found])[:-1])
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """The corpus counts of the n-grams that each chunk asked a bucket for."""
-    opened = _opened(table.column("blob").to_pylist())
-    each = [_sums([x[n] for x in opened])[1] for n in range(len(opened[0]))]
-    blobs = [pack(*(answers[k].view(np.uint8).reshape(-1, 8).T.tobytes() for answers in each)) for k in range(len(opened))]
-    return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "blob": pa.array(blobs, pa.binary())})
+_ANSWERS = "chunk long, bucket long, blob binary, n long, v long"
 
 
-def _size_of(table: pa.Table) -> pa.Table:
-    """(n, v): occurrences and distinct tokens of a bucket's training tokens."""
-    total = _sums([x[0] for x in _opened(table.column("blob").to_pylist())])[0]
-    return pa.table({"n": [int(total.sum())], "v": [int((total > 0).sum())]})
+def _answer(table: pa.Table) -> pa.Table:
+    """The corpus counts of the n-grams that each chunk asked a bucket for, and in a row without
+    a chunk the occurrences and distinct tokens of the bucket's training tokens."""
+    opened = _opened(table.column("blob").to_pylist())
+    sums = [_sums([x[n] for x in opened]) for n in range(len(opened[0]))]
+    blobs = [pack(*(answers[k].view(np.uint8).reshape(-1, 8).T.tobytes() for _, _, answers in sums)) for k in range(len(opened))]
+    # The start before a text is a history, no token.
+    tokens, none = sums[0][1][sums[0][0] != START], [None] * len(blobs)
+    columns = {"chunk": [*table.column("chunk").to_pylist(), None], "bucket": [*table.column("bucket").to_pylist(), None], "n": [*none, int(tokens.sum())], "v": [*none, int((tokens > 0).sum())]}
+    out = {c: pa.array(v, pa.int64()) for c, v in columns.items()}
+    return pa.table({"chunk": out["chunk"], "bucket": out["bucket"], "blob": pa.array([*blobs, None], pa.binary()), "n": out["n"], "v": out["v"]})
 
 
 class Automaton:
@@ -282,7 +286,7 @@ def _score(order: int, buckets: int, n: int, v: int, mu: float):
             answers[bucket] = [np.ascontiguousarray(np.frombuffer(p, dtype=np.uint8).reshape(8, -1).T).view(np.int64).reshape(-1) for p in unpack(blob)]
         del table, sent
         ids, no_id, trains, at = (np.frombuffer(p, dtype=t) for p, t in zip(own[:4], (np.int64, bool, bool, np.int64), strict=True))
-        tokens = _unsqueeze(own[4])[_wide(own[5])] if len(own[5]) else np.zeros(0, dtype=np.uint64)
+        tokens = _unsqueeze(own[4])[np.argsort(-_wide(own[6]), kind="stable")][_wide(own[5])] if len(own[5]) else np.zeros(0, dtype=np.uint64)
         grams, pad, counts = Grams(tokens, at, order), order - 1, []
         for k, keys in enumerate(grams.keys):
             c = np.zeros(len(keys), dtype=np.int64)
@@ -307,10 +311,11 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", trains
     row of docs. trains says which rows train the model (all where not given)."""
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), (F.lit(True) if trains is None else trains).alias("trains"))
     buckets = buckets or groups_for(rows, "text", BUCKET_BYTES, least=8)
-    asked = "chunk long, bucket long, blob binary"
-    words = rows.where("trains").mapInArrow(tidy(_ask(1, buckets)), asked)
-    n, v = words.groupBy("bucket").applyInArrow(_size_of, "n long, v long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    answered = rows.mapInArrow(tidy(_ask(order, buckets)), asked).groupBy("bucket").applyInArrow(_answer, asked)
+    asked = rows.mapInArrow(tidy(_ask(order, buckets)), "chunk long, bucket long, blob binary")
+    # In the shared folder: the sizes of the corpus are known before the first text is scored.
+    answers = written(asked.groupBy("bucket").applyInArrow(_answer, _ANSWERS), "answers")
+    n, v = answers.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    answered = answers.where(F.col("chunk").isNotNull()).select("chunk", "bucket", "blob")
     sent = rows.mapInArrow(tidy(_send(order)), "chunk long, blob binary")
     scored = answered.groupBy("chunk").cogroup(sent.groupBy("chunk")).applyInArrow(_score(order, buckets, int(n), int(v), mu), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score")
