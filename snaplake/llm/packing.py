@@ -158,7 +158,7 @@ def _piece_rows(path: str, capacity: int, end_id: int, keep_ids: bool):
 
 def tokenised(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", capacity: int = 2048, end_id: int = 0, keep_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every piece, and its ids if wanted."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
     return rows.mapInArrow(tidy(_piece_rows(tokenizer, capacity, end_id, keep_ids)), schema)
 
