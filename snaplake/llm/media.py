@@ -121,13 +121,18 @@ def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _send_bytes(buckets: int):
+def _send_bytes(buckets: int, senders: dict[bytes, int]):
+    """senders: for files that stand in very many rows the one id whose rows send the bytes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, media, _ in _files(batch.column("text")):
+            for i, media, _ in _files(batch.column("text")):
                 by: dict[int, dict[bytes, bytes]] = {}
-                for m in media:
+                ids = batch.column("doc_id").slice(i, len(media)).to_pylist()
+                for doc_id, m in zip(ids, media, strict=True):
                     d = name_of(m)
+                    if senders.get(d, doc_id) != doc_id:
+                        continue
                     by.setdefault(int.from_bytes(d[:6], "big") % buckets, {})[d] = m
                 blobs = [pack(b"".join(x), np.array([len(m) for m in x.values()], dtype=np.int64), b"".join(x.values()), level=LEVEL) for x in by.values()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(by), pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
@@ -167,13 +172,20 @@ def _store_rows(left: pa.Table, right: pa.Table) -> pa.Table:
 
 def index(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, file, chunks) of every row: the digests of its file and chunks."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     return rows.mapInArrow(_digest_rows, "doc_id long, n_bytes long, file binary, chunks array<binary>")
 
 
-def store(docs: DataFrame, digests: DataFrame, path: str, *, text: str = "text", buckets: int | None = None) -> None:
+#: Rows of one file beyond which one id alone sends it; in large inputs a thousandth of the rows.
+FREQUENT = 10_000
+
+
+def store(docs: DataFrame, digests: DataFrame, path: str, *, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None) -> None:
     """Write the files of docs to path; digests is index(docs)."""
     files = digests.groupBy("file").agg(F.first("chunks").alias("chunks"))
+    # A file of more than a thousandth of all rows is one of a thousand at most.
+    often = digests.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("sender")).where((F.col("n") > max(FREQUENT, digests.count() // 1000)) & F.col("sender").isNotNull())
+    senders = {bytes(r["file"]): r["sender"] for r in often.select("file", "sender").collect()}
     places = files.select("file", F.posexplode("chunks").alias("place", "digest"))
     owner = cut(places.groupBy("digest").agg(F.min(F.struct("file", "place")).alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     if owner.count() <= BROADCAST_CHUNKS:
@@ -183,7 +195,8 @@ def store(docs: DataFrame, digests: DataFrame, path: str, *, text: str = "text",
         F.collect_list(F.when(~mine, F.col("place"))).alias("borrowed"), F.collect_list(F.when(mine, F.col("place"))).alias("lent")
     )
     buckets = buckets or groups_for(docs, text, 2 * BLOCK, least=8)
-    sent = docs.select(F.col(text).alias("text")).mapInArrow(_send_bytes(buckets), "bucket long, blob binary")
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    sent = rows.mapInArrow(_send_bytes(buckets, senders), "bucket long, blob binary")
     duties = duties.withColumn("bucket", F.conv(F.substring(F.hex("file"), 1, 12), 16, 10).cast("long") % buckets)
     rows = sent.groupBy("bucket").cogroup(duties.groupBy("bucket")).applyInArrow(_store_rows, _STORE)
     rows.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(LEVEL)).parquet(path)
@@ -223,7 +236,7 @@ def read(stored: DataFrame) -> DataFrame:
 def round_trip(docs: DataFrame, path: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Store docs at path, read them back and return a row for every row of docs."""
     digests = written(index(docs, doc_id=doc_id, text=text), "media-index")
-    store(docs, digests, path, text=text)
+    store(docs, digests, path, doc_id=doc_id, text=text)
     features = read(docs.sparkSession.read.parquet(path))
     hexed = {c: F.lower(F.hex(c)) for c in ("payload_sha256", "media_sha256")}
     return digests.select("doc_id", "n_bytes", "file").join(features, "file").drop("file").withColumns(hexed)

@@ -326,6 +326,15 @@ def test_media_round_trip(spark):
     assert stored.agg(F.sum("borrows")).first()[0] > 0
 
 
+def test_a_frequent_file_is_sent_once(spark, monkeypatch):
+    """Copies beyond the bound are sent by the rows of one id; all rows are read back the same."""
+    docs = spark.createDataFrame([(i, "copy of one text " * 300) for i in range(60)] + [(None, "copy of one text " * 300), (90, None), (91, "other")], "`doc.id` long, `a text` string").repartition(6)
+    read = lambda: sorted(map(str, media.round_trip(docs, f"{shared.shared_folder(spark)}/frequent-{uuid.uuid4().hex}", doc_id="doc.id", text="a text").collect()))
+    want = read()
+    monkeypatch.setattr(media, "FREQUENT", 10)
+    assert read() == want and len(want) == 63
+
+
 def test_damaged_media_is_told(spark):
     docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
     path = f"{shared.shared_folder(spark)}/media-damaged"
