@@ -104,28 +104,46 @@ def _depth(text: Column) -> Column:
     return F.aggregate(F.filter(F.split(brackets, ""), lambda c: c != ""), start, step)["most"]
 
 
+def _bound(value: Column, use) -> Column:
+    """use(value), with value computed once however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _opened(node: Column, needs: Sequence[str], carries: Sequence[str | Sequence[str]]) -> Column:
     """The node, done, and its children that are objects or lists; a node that is done alone."""
     text = node["text"]
     is_object = text.startswith("{")
-    values, raw = F.from_json(F.when(is_object, text), "map<string,variant>"), F.from_json(F.when(is_object, text), "map<string,string>")
-    items, raw_items = F.from_json(F.when(~is_object, text), "array<variant>"), F.from_json(F.when(~is_object, text), "array<string>")
+    inner = F.when(is_object, text)
+    outer = F.when(~is_object, text)
+    read = F.struct(
+        F.from_json(inner, "map<string,variant>").alias("values"), F.from_json(inner, "map<string,string>").alias("raw"),
+        F.from_json(outer, "array<variant>").alias("items"), F.from_json(outer, "array<string>").alias("raw_items"),
+    )
     holds = lambda v: F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.lit(False))
-    value = lambda c: F.when(F.map_contains_key(values, c) & ~F.is_variant_null(F.element_at(values, c)), F.to_json(F.element_at(values, c)))
-    # Of several spellings the first that is present counts; blank texts tell nothing.
-    either = lambda names: reduce(lambda out, c: F.when(F.map_contains_key(values, c), value(c)).otherwise(out), reversed(names), F.lit(None).cast("string"))
-    own = lambda c: value(c) if isinstance(c, str) else F.when(~either(c).rlike(r'^"\s*"$'), either(c))
-    found = F.array(*[F.coalesce(own(c), F.get(node["carried"], F.lit(i))) for i, c in enumerate(carries)]).cast("array<string>")
-    carried = F.when(is_object, found).otherwise(node["carried"])
-    fits = is_object & F.coalesce(reduce(lambda x, y: x & y, [F.map_contains_key(values, n) for n in needs], F.lit(True)), F.lit(False))
-    made = lambda at, path, text, fits, open_, carried: F.struct(at.alias("at"), path.alias("path"), text.alias("text"), fits.alias("fits"), open_.alias("open"), carried.alias("carried"))
-    child = lambda i, name, text: made(F.concat(node["at"], F.array(i)), F.concat(node["path"], F.lit("/"), name), F.ltrim(text), F.lit(False), F.lit(True), carried)
-    # Numbered first, so that a child knows its place among all of them.
-    keyed = F.filter(F.transform(F.map_entries(values), lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), holds(e["value"]).alias("holds"))), lambda e: e["holds"])
-    listed = F.filter(F.transform(items, lambda v, i: F.struct(i.alias("i"), holds(v).alias("holds"))), lambda e: e["holds"])
-    children = F.when(is_object, F.transform(keyed, lambda e: child(e["i"], e["key"], F.element_at(raw, e["key"])))).otherwise(F.transform(listed, lambda e: child(e["i"], e["i"].cast("string"), F.get(raw_items, e["i"]))))
-    done = made(node["at"], node["path"], text, fits, F.lit(False), carried)
-    return F.when(node["open"], F.concat(F.array(done), F.coalesce(children, F.array()))).otherwise(F.array(node))
+
+    def made(at: Column, path: Column, text: Column, fits: Column, open_: Column, carried: Column) -> Column:
+        return F.struct(at.alias("at"), path.alias("path"), text.alias("text"), fits.alias("fits"), open_.alias("open"), carried.alias("carried"))
+
+    def carried_by(values: Column) -> Column:
+        value = lambda c: F.when(F.map_contains_key(values, c) & ~F.is_variant_null(F.element_at(values, c)), F.to_json(F.element_at(values, c)))
+        # Of several spellings the first that is present counts; blank texts tell nothing.
+        either = lambda names: reduce(lambda out, c: F.when(F.map_contains_key(values, c), value(c)).otherwise(out), reversed(names), F.lit(None).cast("string"))
+        told = lambda c: value(c) if isinstance(c, str) else _bound(either(c), lambda x: F.when(~x.rlike(r'^"\s*"$'), x))
+        found = F.array(*[F.coalesce(told(c), F.get(node["carried"], F.lit(i))) for i, c in enumerate(carries)]).cast("array<string>")
+        return F.when(is_object, found).otherwise(node["carried"])
+
+    def family(r: Column, carried: Column) -> Column:
+        values, raw, items, raw_items = (r[c] for c in ("values", "raw", "items", "raw_items"))
+        fits = is_object & F.coalesce(reduce(lambda x, y: x & y, [F.map_contains_key(values, n) for n in needs], F.lit(True)), F.lit(False))
+        child = lambda i, name, text: made(F.concat(node["at"], F.array(i)), F.concat(node["path"], F.lit("/"), name), F.ltrim(text), F.lit(False), F.lit(True), carried)
+        # Numbered first, so that a child knows its place among all of them.
+        keyed = F.filter(F.transform(F.map_entries(values), lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), holds(e["value"]).alias("holds"))), lambda e: e["holds"])
+        listed = F.filter(F.transform(items, lambda v, i: F.struct(i.alias("i"), holds(v).alias("holds"))), lambda e: e["holds"])
+        children = F.when(is_object, F.transform(keyed, lambda e: child(e["i"], e["key"], F.element_at(raw, e["key"])))).otherwise(F.transform(listed, lambda e: child(e["i"], e["i"].cast("string"), F.get(raw_items, e["i"]))))
+        done = made(node["at"], node["path"], text, fits, F.lit(False), carried)
+        return F.concat(F.array(done), F.coalesce(children, F.array()))
+
+    return F.when(node["open"], _bound(read, lambda r: _bound(carried_by(r["values"]), lambda c: family(r, c)))).otherwise(F.array(node))
 
 
 def json_objects(df: DataFrame, key: str, payload: str, needs: Sequence[str], carries: Sequence[str | Sequence[str]] = ()) -> DataFrame:

@@ -61,10 +61,12 @@ def without_accents(c: Column) -> Column:
     character that becomes several are one translate."""
     one, plain, gone, several = _folds()
     spelled = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in several.items())), F.lit("\x01"), F.lit("\x02"))
-    letters = F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
-    longer = F.array_join(F.transform(letters, lambda x: F.coalesce(F.try_element_at(spelled, x), x)), "")
+    some = "[" + "".join(several) + "]"
+    # Such characters alone, and what stands between them whole.
+    pieces = F.regexp_extract_all(c, F.lit(f"{some}|[^{some[1:]}+"), F.lit(0))
+    longer = F.array_join(F.transform(pieces, lambda x: F.when(x.rlike(f"^{some}"), F.try_element_at(spelled, x)).otherwise(x)), "")
     # Characters of `one + gone` beyond the length of `plain` are dropped.
-    return F.translate(F.when(c.rlike("[" + "".join(several) + "]"), longer).otherwise(c), one + gone, plain)
+    return F.translate(F.when(c.rlike(some), longer).otherwise(c), one + gone, plain)
 
 
 def name_key(c: Column, joiner: str = " ", default: str | None = None) -> Column:

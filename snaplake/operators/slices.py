@@ -22,8 +22,8 @@ ROWS = 1_000_000
 def frequent(df: DataFrame, key: str, rows: int) -> DataFrame | None:
     """One column `key`: the keys with more than `rows` rows; None where there is none. They
     are fewer than a `rows`-th of df, and their names are what is broadcast."""
-    found = cut(df.groupBy(F.col(key).alias(key)).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select(key))
-    return None if found.isEmpty() else found
+    found = df.groupBy(F.col(key).alias(key)).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select(key)
+    return None if found.isEmpty() else cut(found)
 
 
 def apart(df: DataFrame, key: str, rows: int, plain: Callable[[DataFrame], DataFrame], sliced: Callable[[DataFrame], DataFrame]) -> DataFrame:
