@@ -167,8 +167,8 @@ def json_objects(df: DataFrame, key: str, payload: str, needs: Sequence[str], ca
     fitting = F.array_sort(F.transform(F.filter("nodes", lambda n: n["fits"]), lambda n: F.struct(n["at"], n["path"], n["text"], n["carried"])))
     found = rows.select(key, F.posexplode(fitting).alias("place", "n"))
     names = [c if isinstance(c, str) else c[0] for c in carries]
-    pairs = [F.when(F.get("n.carried", F.lit(i)).isNotNull(), F.concat(F.to_json(F.array(F.lit(c))).substr(F.lit(2), F.length(F.to_json(F.array(F.lit(c)))) - 2), F.lit(":"), F.get("n.carried", F.lit(i)))) for i, c in enumerate(names)]
-    inherited = F.concat(F.lit("{"), F.array_join(F.array(*pairs).cast("array<string>"), ","), F.lit("}"))
+    pairs = [F.when(F.get("n.carried", F.lit(i)).isNotNull(), F.concat(F.to_json(F.array(F.lit(c))).substr(F.lit(2), F.length(F.to_json(F.array(F.lit(c)))) - 2), F.lit(": "), F.get("n.carried", F.lit(i)))) for i, c in enumerate(names)]
+    inherited = F.concat(F.lit("{"), F.array_join(F.array(*pairs).cast("array<string>"), ", "), F.lit("}"))
     return found.select(key, "place", "n.path", F.col("n.text").alias("object"), inherited.alias("inherited"))
 
 

@@ -56,17 +56,29 @@ def _folds() -> tuple[str, str, str, dict[str, str]]:
     return "".join(one), "".join(plain), "".join(gone), several
 
 
+@lru_cache(None)
+def _plain_ranges() -> str:
+    """Ranges of characters that don't become several, as a class of a pattern: those of Latin
+    letters and the widest others. The patterns of Java try the ranges of a class one by one, so
+    there are few."""
+    marks = sorted(map(ord, _folds()[3]))
+    gaps = [(a, b) for a, b in zip([0, *[m + 1 for m in marks]], [*[m - 1 for m in marks], sys.maxunicode]) if a <= b]
+    latin = [g for g in gaps if g[0] < 0x250]
+    wide = sorted(set(gaps) - set(latin), key=lambda g: g[0] - g[1])[:10]
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in [*latin, *sorted(wide)])
+
+
 def without_accents(c: Column) -> Column:
     """Text after compatibility decomposition, without combining marks. Texts without a
     character that becomes several are one translate."""
     one, plain, gone, several = _folds()
     spelled = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in several.items())), F.lit("\x01"), F.lit("\x02"))
-    some = "[" + "".join(several) + "]"
-    # Such characters alone, and what stands between them whole.
-    pieces = F.regexp_extract_all(c, F.lit(f"{some}|[^{some[1:]}+"), F.lit(0))
-    longer = F.array_join(F.transform(pieces, lambda x: F.when(x.rlike(f"^{some}"), F.try_element_at(spelled, x)).otherwise(x)), "")
+    has_some = F.translate(c, "".join(several), "\x01" * len(several)).contains("\x01")
+    # Runs of characters that surely stay, and the others one by one.
+    pieces = F.regexp_extract_all(c, F.lit(f"(?s)[{_plain_ranges()}]+|."), F.lit(0))
+    longer = F.array_join(F.transform(pieces, lambda x: F.when(F.length(x) == 1, F.coalesce(F.try_element_at(spelled, x), x)).otherwise(x)), "")
     # Characters of `one + gone` beyond the length of `plain` are dropped.
-    return F.translate(F.when(c.rlike(some), longer).otherwise(c), one + gone, plain)
+    return F.translate(F.when(has_some, longer).otherwise(c), one + gone, plain)
 
 
 def name_key(c: Column, joiner: str = " ", default: str | None = None) -> Column:
