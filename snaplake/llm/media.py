@@ -182,9 +182,10 @@ FREQUENT = 10_000
 
 def store(docs: DataFrame, digests: DataFrame, path: str, *, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None) -> None:
     """Write the files of docs to path; digests is index(docs)."""
-    files = digests.groupBy("file").agg(F.first("chunks").alias("chunks"))
+    files = cut(digests.groupBy("file").agg(F.first("chunks").alias("chunks"), F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("sender")))
     # A file of more than a thousandth of all rows is one of a thousand at most.
-    often = digests.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("sender")).where((F.col("n") > max(FREQUENT, digests.count() // 1000)) & F.col("sender").isNotNull())
+    total = files.agg(F.sum("n")).first()[0] or 0
+    often = files.where((F.col("n") > max(FREQUENT, total // 1000)) & F.col("sender").isNotNull())
     senders = {bytes(r["file"]): r["sender"] for r in often.select("file", "sender").collect()}
     places = files.select("file", F.posexplode("chunks").alias("place", "digest"))
     owner = cut(places.groupBy("digest").agg(F.min(F.struct("file", "place")).alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
