@@ -50,11 +50,22 @@ def playing_stats(matches: Column) -> Column:
 
 
 def clean_names(names: Column, own: Column) -> Column:
-    """Trimmed names, the first spelling of each (case aside), without one's own."""
+    """Trimmed names, the first spelling of each (case aside), without one's own. Spellings are
+    sorted, so a list of many names costs no comparison of all pairs."""
     texts = F.filter(F.transform(names, lambda n: F.trim(n)), lambda n: n != "")
-    keyed = F.transform(texts, lambda n, i: F.struct(F.lower(n).alias("k"), i.alias("i"), n.alias("n")))
-    first = F.filter(keyed, lambda s: ~F.exists(keyed, lambda t: (t["k"] == s["k"]) & (t["i"] < s["i"])))
-    return F.transform(F.filter(first, lambda s: s["k"] != F.coalesce(F.lower(F.trim(own)), F.lit(""))), lambda s: s["n"])
+    keyed = F.array_sort(F.transform(texts, lambda n, i: F.struct(F.lower(n).alias("k"), i.alias("i"), n.alias("n"))))
+    first = _bound(keyed, lambda all_: F.filter(all_, lambda s, i: (i == 0) | (s["k"] != F.get(all_, i - 1)["k"])))
+    others = F.filter(first, lambda s: s["k"] != F.coalesce(F.lower(F.trim(own)), F.lit("")))
+    return F.transform(F.array_sort(F.transform(others, lambda s: F.struct(s["i"], s["n"]))), lambda s: s["n"])
+
+
+def clean_names_of(df: DataFrame, group: str, name: Column, order: Column, own: Column, out: str = "names") -> DataFrame:
+    """(group, out): clean_names of each group's rows in an order. Spellings of one name are merged
+    before rows are collected, so a list is as long as a group has different names."""
+    text = F.trim(name)
+    spelt = df.where(F.nullif(text, F.lit("")).isNotNull()).groupBy(group, F.lower(text).alias("_k")).agg(F.min(F.struct(order.alias("o"), text.alias("n"))).alias("_s"))
+    lists = spelt.groupBy(group).agg(F.transform(F.array_sort(F.collect_list("_s")), lambda s: s["n"]).alias("_all"))
+    return lists.select(group, clean_names(F.col("_all"), own).alias(out))
 
 
 def explode_odds(df: DataFrame, event: str, bookmakers: str) -> DataFrame:

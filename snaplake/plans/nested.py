@@ -60,8 +60,8 @@ def j8(spark, d):
 WITH n AS (SELECT c_nationkey, lower(c_mktsegment) AS k, arg_min(c_mktsegment, c_custkey) AS first, min(c_custkey) AS i FROM customer GROUP BY 1, 2)
 SELECT c_nationkey, string_agg(first, '|' ORDER BY i) AS names, count(*) AS n_names FROM n WHERE k <> 'building' GROUP BY 1""")
 def j9(spark, d):
-    g = table(spark, d, "customer").groupBy("c_nationkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", F.concat(F.lit(" "), "c_mktsegment").alias("n")))), lambda s: s["n"]).alias("all"))
-    names = g.select("c_nationkey", N.clean_names(F.col("all"), F.lit(" Building ")).alias("names"))
+    spelt = F.concat(F.lit(" "), "c_mktsegment")
+    names = N.clean_names_of(table(spark, d, "customer"), "c_nationkey", spelt, F.col("c_custkey"), F.lit(" Building ")).where(F.size("names") > 0)
     return names.select("c_nationkey", F.array_join("names", "|").alias("names"), F.size("names").cast("long").alias("n_names"))
 
 

@@ -149,6 +149,14 @@ def test_clean_names(spark):
     assert df.select(N.clean_names(F.col("n"), F.col("o"))).first()[0] == ["Ann", "Cid"]
 
 
+def test_clean_names_of_long_groups(spark):
+    df = spark.range(20_000).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 2 == 0, F.concat(F.lit(" N"), (F.col("id") % 7000).cast("string"))).otherwise("Own").alias("n"), F.col("id").alias("o"))
+    one = df.where("g = 0").agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "n"))), lambda s: s["n"]).alias("all")).select(N.clean_names(F.col("all"), F.lit("n2 "))).first()[0]
+    assert one == [f"N{i}" for i in range(0, 7000, 2) if i != 2]
+    got = {r["g"]: r["names"] for r in N.clean_names_of(df, "g", F.col("n"), F.col("o"), F.lit("OWN")).collect()}
+    assert got == {0: [f"N{i}" for i in range(0, 7000, 2)], 1: []}
+
+
 def test_draws_need_a_hundred(spark):
     df = spark.createDataFrame([("a", 1.0, 5.0, 0.0, 0.0)], "k string, s double, m double, d double, b double")
     with pytest.raises(ValueError):
