@@ -1,7 +1,7 @@
 """Scored players: expected values by part, a sampled distribution, four tables.
 
 Every number of a player comes from its own row and its team's row. Draws are an array
-inside the row, so sampling needs no shuffle.
+inside the row; only the players are dealt to many tasks before they are drawn for.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import clamp, competition_risk
 from .latest import newest_per_key
 from .rollup import as_metric_rows
-from .scoring import drawn_points, mapped, start_probability, summary_of
+from .scoring import dealt, drawn_points, mapped, start_probability, summary_of
 
 #: Start probability by status, its shifts by lineup and risk.
 STATUS = {"fit": 0.84, "questionable": 0.58, "injured": 0.08, "suspended": 0.05}
@@ -48,7 +48,7 @@ def scored_players(players: DataFrame, teams: DataFrame, at: str, n: int = 400)
     spread = F.greatest(F.lit(LEAST_SPREAD), F.sqrt(F.greatest("recent", F.lit(1.0))) * SPREAD)
     bonus: dict[str, float] = {"scorer": SCORE_POINTS, "win": WIN_POINTS, "card": CARD_POINTS}
     draws = drawn_points(F.concat_ws("|", "player_uid", F.lit(at)), F.col("start"), F.col("recent") * RAW_SHARE, spread, {p: (F.col(p), v) for p, v in bonus.items()}, n=max(100, n), always=MINUTES_POINTS)
-    out = rows.withColumn("draws", draws).withColumn("s", summary_of(F.col("draws"))).drop("draws")
+    out = dealt(rows, "player_uid").withColumn("draws", draws).withColumn("s", summary_of(F.col("draws"))).drop("draws")
     worth, total = F.coalesce("market_value", F.lit(0.0)), F.col("s.mean")
     change = worth * ((total - EVEN_POINTS) / POINTS_A_VALUE)
     parts: dict[str, Column] = {"base_raw_ev": F.col("recent") * RAW_SHARE, "scorer_ev": F.col("scorer") * SCORE_POINTS, "win_ev": F.col("win") * WIN_POINTS, "minutes_bonus_ev": F.lit(MINUTES_POINTS), "cards_negative_ev": F.col("card") * CARD_POINTS}

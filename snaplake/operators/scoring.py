@@ -75,10 +75,17 @@ def drawn_points(key: Column, start: Column, mean: Column, spread: Column, bonus
     return F.transform(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.array(*[digest(key, i, b) for b in blocks])), one)
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """df in several tasks a core. A small file of many keys is one input task, and so is a joined
+    one that adaptive execution coalesced by its bytes, but what a row costs here is its draws."""
+    spark = df.sparkSession
+    return df.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
+
+
 def draws(df: DataFrame, key: str, start: str, mean: str, spread: str, bonus: Mapping[str, float], n: int = 400) -> DataFrame:
     """(key, draw, points): the n draws of each row as rows."""
     d = drawn_points(F.col(key), F.col(start), F.col(mean), F.col(spread), {p: (F.col(p), v) for p, v in bonus.items()}, n)
-    return df.select(key, F.posexplode(d).alias("draw", "points")).withColumn("draw", F.col("draw") + 1)
+    return dealt(df, key).select(key, F.posexplode(d).alias("draw", "points")).withColumn("draw", F.col("draw") + 1)
 
 
 def summary_of(values: Column) -> Column:
@@ -105,4 +112,4 @@ def sampled_distribution(df: DataFrame, key: str, start: str, mean: str, spread:
     """Mean, deviation, p10, p50 and p90 of n draws of each row; bonus maps the column of a
     probability to points."""
     d = drawn_points(F.col(key), F.col(start), F.col(mean), F.col(spread), {p: (F.col(p), v) for p, v in bonus.items()}, n)
-    return df.select(key, d.alias("draws")).select(key, summary_of(F.col("draws")).alias("s")).select(key, "s.*")
+    return dealt(df, key).select(key, d.alias("draws")).select(key, summary_of(F.col("draws")).alias("s")).select(key, "s.*")

@@ -157,6 +157,15 @@ def test_clean_names_of_long_groups(spark):
     assert got == {0: [f"N{i}" for i in range(0, 7000, 2)], 1: []}
 
 
+def test_draws_of_one_file_are_many_tasks(spark):
+    df = spark.range(0, 400, 1, 1).select("id", F.lit(0.5).alias("s"), F.lit(9.0).alias("m"), F.lit(2.0).alias("d"), F.lit(0.1).alias("g"))
+    got = scoring.sampled_distribution(df, "id", "s", "m", "d", {"g": 4.0}, n=100).withColumn("_task", F.spark_partition_id())
+    assert got.select("_task").distinct().count() > 4 and got.count() == 400
+    players = df.select(F.col("id").cast("string").alias("player_uid"), F.lit("t").alias("team_uid"), *[F.lit(None).cast("string").alias(c) for c in ("position", "status", "lineup", "risk")], F.lit(0).alias("competitors"), F.lit(30.0).alias("last_points"), F.lit(30.0).alias("average_points"), F.lit(1e6).alias("market_value"))
+    teams = spark.createDataFrame([("t", 0.4, 1)], "team_uid string, win_probability double, commence_time int")
+    assert gold.scored_players(players, teams, "now", 100).select(F.spark_partition_id()).distinct().count() > 4
+
+
 def test_draws_need_a_hundred(spark):
     df = spark.createDataFrame([("a", 1.0, 5.0, 0.0, 0.0)], "k string, s double, m double, d double, b double")
     with pytest.raises(ValueError):
