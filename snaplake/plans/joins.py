@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -85,18 +86,39 @@ def c5(spark, d):
     return joins.as_of_join(bought, views, "user_id", "ts", "ts", ["last_view_value"]).select("event_id", "user_id", "last_view_value")
 
 
+#: Line items that meet their orders in one task.
+TASK_ROWS = 1_000_000
+
+
+def _sides(spark, d, placed, *more):
+    """(o_orderkey, customer_id, supplier_id, *more): line items with what placed(df, key of its nation, name)
+    tells of their customer and supplier. Either side is narrow before the two meet in one
+    join by order, in a task for each million line items (adaptive execution would merge more of
+    them, by bytes of compressed rows): what a task sorts and groups doesn't grow."""
+    li, o, c, s = (table(spark, d, t) for t in ("lineitem", "orders", "customer", "supplier"))
+    sold = li.join(placed(s, "s_nationkey", "supplier_id"), F.col("l_suppkey") == F.col("s_suppkey")).select("l_orderkey", "supplier_id", *more)
+    bought = o.join(placed(c, "c_nationkey", "customer_id"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "customer_id")
+    tasks = 1 + li.count() // TASK_ROWS  # from the files' footers
+    return sold.repartition(tasks, "l_orderkey").join(bought.repartition(tasks, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey")
+
+
 @query("c6_role_playing_dims", """
 SELECT o.o_orderkey, cn.n_name AS customer_nation, sn.n_name AS supplier_nation, CASE WHEN l.l_returnflag = 'R' THEN cn.n_name ELSE sn.n_name END AS own_nation, CASE WHEN l.l_returnflag = 'R' THEN sn.n_name ELSE cn.n_name END AS other_nation, count(*) AS n
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
 LEFT JOIN nation cn ON c.c_nationkey = cn.n_nationkey LEFT JOIN nation sn ON s.s_nationkey = sn.n_nationkey GROUP BY ALL""")
 def c6(spark, d):
-    li, o, c, s = (table(spark, d, t) for t in ("lineitem", "orders", "customer", "supplier"))
-    nation = lambda key, name: table(spark, d, "nation").select(F.col("n_nationkey").alias(key), F.col("n_name").alias(name))
-    fact = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey).join(s, li.l_suppkey == s.s_suppkey)
-    both = fact.join(nation("c_nationkey", "customer_nation"), "c_nationkey", "left").join(nation("s_nationkey", "supplier_nation"), "s_nationkey", "left")
-    own = F.when(F.col("l_returnflag") == "R", F.col("customer_nation")).otherwise(F.col("supplier_nation"))
-    other = F.when(F.col("l_returnflag") == "R", F.col("supplier_nation")).otherwise(F.col("customer_nation"))
-    return both.groupBy("o_orderkey", "customer_nation", "supplier_nation", own.alias("own_nation"), other.alias("other_nation")).agg(F.count(F.lit(1)).alias("n"))
+    """Orders are grouped by small numbers of names, and names are put beside the groups."""
+    n = table(spark, d, "nation")
+    ids = n.select("n_nationkey", F.when(F.col("n_name").isNotNull(), F.min("n_nationkey").over(Window.partitionBy("n_name"))).alias("id"))
+    both = _sides(spark, d, lambda df, key, out: df.join(ids.select(F.col("n_nationkey").alias(key), F.col("id").alias(out)), key, "left"), F.coalesce(F.col("l_returnflag") == "R", F.lit(False)).alias("returned"))
+    # Where both names are the same, it makes no difference which one is its own.
+    turned = F.col("returned") & ~F.col("customer_id").eqNullSafe(F.col("supplier_id"))
+    groups = both.groupBy("o_orderkey", "customer_id", "supplier_id", turned.alias("turned")).agg(F.count(F.lit(1)).alias("n"))
+    named = lambda key, name: n.where("n_name is not null").groupBy(F.col("n_name").alias(name)).agg(F.min("n_nationkey").alias(key))
+    out = groups.join(named("customer_id", "customer_nation"), "customer_id", "left").join(named("supplier_id", "supplier_nation"), "supplier_id", "left")
+    own = F.when(F.col("turned"), F.col("customer_nation")).otherwise(F.col("supplier_nation"))
+    other = F.when(F.col("turned"), F.col("supplier_nation")).otherwise(F.col("customer_nation"))
+    return out.select("o_orderkey", "customer_nation", "supplier_nation", own.alias("own_nation"), other.alias("other_nation"), "n")
 
 
 @query("c8_profile_with_latest_value", """
@@ -205,8 +227,7 @@ MATCH = "m AS (SELECT DISTINCT o_orderkey, c_nationkey, s_nationkey FROM lineite
 
 @query("g1_both_sides_of_a_match", f"WITH {MATCH} SELECT team, opponent, side, count(*) AS n FROM ({SIDES}) GROUP BY ALL")
 def g1(spark, d):
-    li, o, c, s = (table(spark, d, t) for t in ("lineitem", "orders", "customer", "supplier"))
-    m = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey).join(s, li.l_suppkey == s.s_suppkey).select("o_orderkey", "c_nationkey", "s_nationkey").distinct()
+    m = _sides(spark, d, lambda df, key, out: df.withColumnRenamed(key, out)).select("o_orderkey", F.col("customer_id").alias("c_nationkey"), F.col("supplier_id").alias("s_nationkey")).distinct()
     side = lambda a, b, name: F.struct(F.col(a).alias("team"), F.col(b).alias("opponent"), F.lit(name).alias("side"))
     both = m.select("o_orderkey", F.explode(F.array(side("c_nationkey", "s_nationkey", "home"), side("s_nationkey", "c_nationkey", "away"))).alias("s")).select("s.*")
     return both.groupBy("team", "opponent", "side").agg(F.count(F.lit(1)).alias("n"))

@@ -93,3 +93,13 @@ def test_snapshots_replace_their_own_time(spark, tmp_path):
     assert plain(manifest, "table", "rows") == [("x", 100), ("y", 3)]
     plan = manifest._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan  # no column is read
+
+
+def test_line_items_meet_orders_in_tasks_of_so_many_rows(spark, monkeypatch):
+    from snaplake.plans import QUERIES, joins
+
+    monkeypatch.setattr(joins, "TASK_ROWS", 500, raising=False)
+    for name in ("c6_role_playing_dims", "g1_both_sides_of_a_match"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        n = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count() // 500 + 1
+        assert "RepartitionByExpression [l_orderkey" in plan and f"], {n}" in plan
