@@ -57,9 +57,14 @@ def backtest(predicted: DataFrame, actual: DataFrame, key: str, by: str) -> Data
     return error_metrics(both, F.col("predicted") - F.col("actual"), by)
 
 
+def square_error(probability: Column, outcome: Column) -> Column:
+    """Squared difference of a probability and a 0/1 outcome."""
+    return (probability - outcome.cast("double")) * (probability - outcome.cast("double"))
+
+
 def brier(probability: Column, outcome: Column) -> Column:
     """Aggregate: mean squared difference of a probability and a 0/1 outcome."""
-    return F.avg((probability - outcome.cast("double")) * (probability - outcome.cast("double")))
+    return F.avg(square_error(probability, outcome))
 
 
 def as_metric_rows(row: DataFrame) -> DataFrame:

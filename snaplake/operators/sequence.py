@@ -32,11 +32,11 @@ def sequence_features(df: DataFrame, key: str, order: Sequence[Column], value: s
     return slices.apart(df, key, rows, lambda part: features(part, Window.partitionBy(key).orderBy(*order)), sliced)
 
 
-def scale_to_caps(df: DataFrame, group: Sequence[str], caps: dict[str, float]) -> DataFrame:
+def scale_to_caps(df: DataFrame, group: Sequence[str], caps: dict[str, float], weight: Column | None = None) -> DataFrame:
     """Scale each column so that its sum over a group is at most its cap, then each row so
-    that its columns add up to 1 at most. A null group is a group. Sums are aggregated and joined
+    that its columns add up to 1 at most. A null group is a group; a row counts `weight` times. Sums are aggregated and joined
     back, so no task holds a group."""
-    sums = df.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]).agg(*[F.sum(c).alias(f"_s_{c}") for c in caps])
+    sums = df.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]).agg(*[F.sum(c if weight is None else F.col(c) * weight).alias(f"_s_{c}") for c in caps])
     same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)])
     scaled = df.join(sums, same).withColumns({c: F.col(c) * F.least(F.lit(1.0), F.coalesce(F.lit(cap) / F.nullif(F.col(f"_s_{c}"), F.lit(0.0)), F.lit(1.0))) for c, cap in caps.items()})
     total = sum((F.col(c) for c in caps), F.lit(0.0))

@@ -216,6 +216,26 @@ def test_parts_of_training_rows_are_not_broadcast(spark):
     assert not rows.storageLevel.useMemory
 
 
+def test_equal_training_rows_are_read_once(spark):
+    from snaplake.plans import models
+
+    rows = models.features_of(spark, "/root/testdata/sf0.001").where("key < 400").drop("started").cache()
+    many = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("size") > 20, 3).otherwise(2)))).drop("copy")
+    once = models.weighted(many)
+    assert once.count() == rows.drop("key").distinct().count() < many.count() / 2
+    again = models.repeated(once, block=2)
+    assert rows_of(again) == rows_of(many.drop("key"))
+    # Sums and medians are those of all rows: a third of the weights' errors would be seen here.
+    assert models.prepared_by(once).stages[0].surrogateDF.first() == models.preprocessing(models.NUMBERS, models.KINDS)[0].fit(many).surrogateDF.first()
+    one_by_one = many.withColumn(models.WEIGHT, F.lit(1.0))
+    got, want = ([tuple(r) for r in models.walk_forward(x, families=("linear", "boosted")).collect()] for x in (once, one_by_one))
+    assert got == [(f, n, pytest.approx(rmse, rel=1e-6), pytest.approx(mae, rel=1e-6)) for f, n, rmse, mae in want] and len(got) == 4
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=str)
+
+
 def test_entities_without_any_match_stay(spark):
     from snaplake.operators import players
 
