@@ -91,12 +91,16 @@ def newest_event_marker(event: Column) -> Column:
     """The newest time under any spelling at an event (JSON text), its books and their
     markets; texts that are no time are passed over."""
     own = ",".join(f"{k}:string" for k in UPDATED)
-    e = F.from_json(event, f"struct<{own},bookmakers:array<struct<{own},markets:array<struct<{own}>>>>>")
-    times = lambda x: F.transform(F.array(*[x[k] for k in UPDATED]), parse_time)
-    books = F.filter(F.coalesce(e["bookmakers"], F.array()), lambda b: b.isNotNull())
-    markets = F.flatten(F.transform(books, lambda b: F.coalesce(b["markets"], F.array())))
-    every = F.concat(times(e), F.flatten(F.transform(books, times)), F.flatten(F.transform(markets, times)))
-    return F.array_max(F.array_compact(every))
+    texts = lambda x: F.array(*[x[k] for k in UPDATED])
+
+    def newest(e: Column) -> Column:
+        books = F.filter(F.coalesce(e["bookmakers"], F.array()), lambda b: b.isNotNull())
+        markets = F.flatten(F.transform(books, lambda b: F.coalesce(b["markets"], F.array())))
+        every = F.concat(texts(e), F.flatten(F.transform(books, texts)), F.flatten(F.transform(markets, texts)))
+        return F.array_max(F.transform(F.array_compact(F.array_distinct(every)), parse_time))
+
+    # The text is read once, and each of its times once.
+    return _bound(F.from_json(event, f"struct<{own},bookmakers:array<struct<{own},markets:array<struct<{own}>>>>>"), newest)
 
 
 #: Levels of a JSON text that one plan goes down before what it found is written.

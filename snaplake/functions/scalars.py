@@ -117,7 +117,9 @@ def parse_date(c: Column) -> Column:
 def parse_time(c: Column) -> Column:
     """ISO time (without zone: UTC), or a number of days (10 000 to 100 000), seconds, or
     milliseconds (above 1e10) since 1970; anything else is null."""
-    t, n = F.trim(c), to_double(c)
+    t = F.trim(c)
+    # A colon, or a minus behind a digit, is in no number; a cast that fails on them is dear.
+    n = to_double(F.when(~t.rlike("[0-9]-|:"), t))
     number = F.when((n >= 10_000) & (n <= 100_000), n * 86_400).when(n > 1e10, n / 1000).otherwise(n)
     return F.when(n.isNotNull(), F.timestamp_seconds(number)).otherwise(F.try_to_timestamp(t))
 
