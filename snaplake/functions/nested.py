@@ -130,11 +130,16 @@ def _opened(node: Column, needs: Sequence[str], carries: Sequence[str | Sequence
     is_object = text.startswith("{")
     inner = F.when(is_object, text)
     outer = F.when(~is_object, text)
+    # Texts of children are read where there is a second bracket only: most objects hold none.
     read = F.struct(
-        F.from_json(inner, "map<string,variant>").alias("values"), F.from_json(inner, "map<string,string>").alias("raw"),
+        F.from_json(inner, "map<string,variant>").alias("values"), F.from_json(F.when(F.substring(text, 2, 1 << 30).rlike(r"[\[{]"), inner), "map<string,string>").alias("raw"),
         F.from_json(outer, "array<variant>").alias("items"), F.from_json(outer, "array<string>").alias("raw_items"),
     )
-    holds = lambda v: F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+
+    def holds(value: Column, raw: Column) -> Column:
+        """Whether a value is an object or a list, and no text that looks like one."""
+        is_a = lambda kind: F.try_variant_get(value, "$", kind).isNotNull()
+        return F.when(raw.startswith("{"), is_a("map<string,variant>")).when(raw.startswith("["), is_a("array<variant>")).otherwise(False)
 
     def made(at: Column, path: Column, text: Column, fits: Column, open_: Column, carried: Column) -> Column:
         return F.struct(at.alias("at"), path.alias("path"), text.alias("text"), fits.alias("fits"), open_.alias("open"), carried.alias("carried"))
@@ -152,13 +157,17 @@ def _opened(node: Column, needs: Sequence[str], carries: Sequence[str | Sequence
         fits = is_object & F.coalesce(reduce(lambda x, y: x & y, [F.map_contains_key(values, n) for n in needs], F.lit(True)), F.lit(False))
         child = lambda i, name, text: made(F.concat(node["at"], F.array(i)), F.concat(node["path"], F.lit("/"), name), F.ltrim(text), F.lit(False), F.lit(True), carried)
         # Numbered first, so that a child knows its place among all of them.
-        keyed = F.filter(F.transform(F.map_entries(values), lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), holds(e["value"]).alias("holds"))), lambda e: e["holds"])
-        listed = F.filter(F.transform(items, lambda v, i: F.struct(i.alias("i"), holds(v).alias("holds"))), lambda e: e["holds"])
+        keyed = F.filter(F.transform(F.map_entries(values), lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), holds(e["value"], F.element_at(raw, e["key"])).alias("holds"))), lambda e: e["holds"])
+        listed = F.filter(F.transform(items, lambda v, i: F.struct(i.alias("i"), holds(v, F.get(raw_items, i)).alias("holds"))), lambda e: e["holds"])
         children = F.when(is_object, F.transform(keyed, lambda e: child(e["i"], e["key"], F.element_at(raw, e["key"])))).otherwise(F.transform(listed, lambda e: child(e["i"], e["i"].cast("string"), F.get(raw_items, e["i"]))))
         done = made(node["at"], node["path"], text, fits, F.lit(False), carried)
         return F.concat(F.array(done), F.coalesce(children, F.array()))
 
-    return F.when(node["open"], _bound(read, lambda r: _bound(carried_by(r["values"]), lambda c: family(r, c)))).otherwise(F.array(node))
+    # What holds no other node and none of the keys asked for is done unread; an escape may hide a key.
+    asked = [f'"{n}"' for c in (needs, *carries) for n in ((c,) if isinstance(c, str) else c)]
+    shut = reduce(lambda x, y: x & y, [~text.contains(k) for k in asked], ~F.substring(text, 2, 1 << 30).rlike(r"[\[{\\]"))
+    unread = made(node["at"], node["path"], text, is_object if not needs else F.lit(False), F.lit(False), node["carried"])
+    return F.when(node["open"] & shut, F.array(unread)).when(node["open"], _bound(read, lambda r: _bound(carried_by(r["values"]), lambda c: family(r, c)))).otherwise(F.array(node))
 
 
 def json_objects(df: DataFrame, key: str, payload: str, needs: Sequence[str], carries: Sequence[str | Sequence[str]] = ()) -> DataFrame:

@@ -71,7 +71,7 @@ def performance_rows(
     aren't both in it are left out."""
     objects = nested.json_objects(df, key, payload, (), [SEASON])
     m = F.col("fields")
-    rows = objects.select(key, "place", F.get_json_object("inherited", f"$.{SEASON[0]}").alias("label"), F.col("object").alias("raw_json"), F.from_json("object", "map<string,string>").alias("fields"))
+    rows = objects.select(key, "place", F.get_json_object("inherited", f"$.{SEASON[0]}").alias("label"), F.col("object").alias("raw_json"), F.explode(F.array(F.from_json("object", "map<string,string>"))).alias("fields"))  # behind explode conditions on fields don't read the text again
     rows = rows.where(present(m, LOOKS_LIKE_DAY).isNotNull() & present(m, LOOKS_LIKE_POINTS).isNotNull())
     goals = F.split(F.replace(to_text(present(m, SCORE)), F.lit(" "), F.lit("")), ":", 2)
     both = F.transform(goals, lambda g: F.when(g.rlike(r"^[+-]?\d+$"), g.try_cast("bigint")))

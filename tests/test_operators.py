@@ -144,6 +144,21 @@ def test_objects_at_any_depth(spark):
     assert [(r["k"], r["path"]) for r in got] == [(1, "/it/0/ph/0")] and '"season": "s"' in got[0]["inherited"]
 
 
+def test_texts_of_objects_are_not_read_again(spark):
+    """Keys behind escapes, texts that look like objects, and empty lists; conditions on fields."""
+    from snaplake.operators import matches
+
+    text = r'''{"sn": "A", "x": [{"k": "{\"a\": 1}", "e": {}, "l": []}, {"\u0073n": "B", "v": 1}, {"v": 2}, [1], "[2]", {"v": "]["}]}'''
+    got = N.json_objects(spark.createDataFrame([(1, text)], "i int, t string"), "i", "t", (), ["sn"]).orderBy("place").collect()
+    assert [(r["path"], r["inherited"]) for r in got] == [("", '{"sn": "A"}'), ("/x/0", '{"sn": "A"}'), ("/x/0/e", '{"sn": "A"}'), ("/x/1", '{"sn": "B"}'), ("/x/2", '{"sn": "A"}'), ("/x/5", '{"sn": "A"}')]
+    assert [r["path"] for r in N.json_objects(spark.createDataFrame([(1, text)], "i int, t string"), "i", "t", ("v",), ["sn"]).orderBy("place").collect()] == ["/x/1", "/x/2", "/x/5"]
+    df = spark.createDataFrame([("p", "{}")], "k string, payload string")
+    plan = matches.performance_rows(df, "k", "payload")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapType(StringType,StringType" in plan and all("from_json" not in line for line in plan.split("\n") if "Filter (" in line)
+    event = N.newest_event_marker(F.col("payload")).alias("m")
+    assert df.select(event)._jdf.queryExecution().analyzed().toString().count("from_json(") == 1
+
+
 def test_clean_names(spark):
     df = spark.createDataFrame([([" Ann ", "ann", "Bob", "", "Cid"], "bob")], "n array<string>, o string")
     assert df.select(N.clean_names(F.col("n"), F.col("o"))).first()[0] == ["Ann", "Cid"]
