@@ -113,9 +113,20 @@ def _name_of_slug(slug: Column) -> Column:
     return F.initcap(F.trim(F.regexp_replace(slug, "-+", " ")))
 
 
+#: Characters of HTML in one task; tokens of a page are sorted there several times.
+TASK_CHARS = 4_000_000
+
+
+def dealt(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """The pages in a task for each TASK_CHARS, whatever the number of shuffle partitions; windows by
+    page need no other shuffle."""
+    chars = pages.agg(F.sum(F.length(html))).first()[0] or 0
+    return pages.repartition(chars // TASK_CHARS + 1, key)
+
+
 def _read(pages: DataFrame, key: str, html: str) -> DataFrame:
     """Tokens of pages with class, href and the ends of div elements."""
-    rows = M.with_ends(M.tokens(pages, key, html), key, "div")
+    rows = M.with_ends(M.tokens(dealt(pages.select(key, html), key, html), key, html), key, "div")
     return rows.withColumns({"css": F.when(F.col("tag") == "div", M.attribute(F.col("token"), "class")), "href": F.when((F.col("tag") == "a") & ~F.col("closes"), M.attribute(F.col("token"), "href"))})
 
 

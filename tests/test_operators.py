@@ -269,6 +269,17 @@ def test_pages_without_players(spark):
     assert pages.squad_rows(df, "id", "html", "url").count() == 0 and pages.player_rows(df.limit(0), "id", "html").count() == 0
 
 
+def test_pages_meet_in_tasks_of_so_many_characters(spark, monkeypatch):
+    from snaplake.functions import pages as P
+
+    monkeypatch.setattr(P, "TASK_CHARS", 2000, raising=False)
+    block = '<div class="leg_column_row"><a href="/eva-x_8/">Eva</a></div>' + "<p>word</p>" * 50
+    df = spark.range(40).select("id", F.lit(block).alias("html"), F.lit("https://a.b/").alias("url"))
+    got = P.squad_rows(df, "id", "html", "url")
+    assert f"], {len(block) * 40 // 2000 + 1}" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(got, "id", "place", "slug", "player_name") == [(i, 0, "eva-x", "Eva") for i in range(40)]
+
+
 def test_changes_over_several_batches(spark, tmp_path):
     from snaplake.streaming import streams
 
